@@ -383,6 +383,22 @@ def _sql() -> dict[str, str]:
     q["doc_project"] = (f"{with_(RECS, OK, article_ctes('ok', 'page_id', 'html', 'k'), latest, gazetteer_cte(), entity_ctes('docs', 'page_id', 'article'))} "
                         f"SELECT d.ts14 AS ts, d.url, d.id, d.domain, d.wc, d.html, coalesce(s.entities, '') AS entities "
                         f"FROM docs d LEFT JOIN e_str s ON d.page_id = s.page_id")
+
+    arch = (f"{base} SELECT url, format, record_type, date_raw, "
+            f"CASE WHEN format = 'arc' AND starts_with(url, 'filedesc://') THEN NULL ELSE status END AS status, "
+            f"CASE WHEN format = 'arc' AND starts_with(url, 'filedesc://') "
+            f"THEN md5(http_head || {CRLF} || page_html) ELSE md5(page_html) END AS content_md5, "
+            f"CAST(NULL AS VARCHAR) AS error FROM snaps")
+    q["warc_roundtrip"] = arch
+    q["warc_split_exact"] = arch
+    q["doc_upsert"] = (f"{okb} SELECT o.id, o.url, o.file, CASE WHEN o.page_id % 10 = 0 "
+                       f"THEN o.rec_offset + {FX.COPY_OFFSET} ELSE o.rec_offset END AS rec_offset, k.wc "
+                       f"FROM ok o JOIN k_art k ON o.page_id = k.page_id WHERE k.wc > 0")
+    q["json_lines"] = (f"{with_(RECS, OK)} SELECT url, ts14 AS ts, mime AS type, status AS s, "
+                       f"CAST(length(html) AS INTEGER) AS c_chars FROM ok")
+    q["text_export"] = (f"{with_(RECS, OK, domains_cte(), capped, article_ctes('capped', 'page_id', 'html', 't'))} "
+                        f"SELECT unnest(string_split(coalesce(c.ts14, '') || {NL} || t.article, {NL})) AS value "
+                        f"FROM capped c JOIN t_art t ON c.page_id = t.page_id WHERE t.wc > 0")
     return q
 
 

@@ -7,6 +7,8 @@ match the DuckDB oracle in ``plans.oracle``.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +24,10 @@ from trawl.operators.dedup import cap_per_file
 from trawl.operators.pubdate import pub_date
 from trawl.operators.snapshot import to_snapshots, with_text, with_ts14
 from trawl.plans import jobs
-from trawl.session import ensure_conf
+from trawl.session import ensure_conf, shared_dir
 from trawl.sources import fixtures as fx
+from trawl.sources import sinks
+from trawl.sources.webarchive import read_archive, write_archive
 
 Query = Callable[[SparkSession, str], DataFrame]
 TS_MS = "yyyy-MM-dd HH:mm:ss.SSS"
@@ -241,6 +245,75 @@ def q_text_rows(spark, sf_dir):
     return rows.select("file", "rec_offset", "value")
 
 
+# ---- archive source and sinks (written under the shared folder, read back) ----
+
+def _scratch(spark, kind: str, sf_dir: str) -> str:
+    return shared_dir(spark, kind, f"{os.path.basename(sf_dir.rstrip('/'))}-{uuid.uuid4().hex[:12]}")
+
+
+def _fixture_archive(spark, sf_dir) -> str:
+    """Write the capture fixture as .warc.gz / .arc.gz; return the folder."""
+    path = _scratch(spark, "archives", sf_dir)
+    write_archive(fx.capture_records(spark, sf_dir), path)
+    return path
+
+
+def _archive_rows(scan: DataFrame) -> DataFrame:
+    """Scan rows minus the file header the writer puts first in every ARC file."""
+    writer_header = ((F.col("format") == "arc") & (F.col("rec_offset") == 0)
+                     & F.col("url").startswith("filedesc://"))
+    snaps = to_snapshots(scan.where(~writer_header))
+    return snaps.select("url", "format", "record_type", "date_raw", "status",
+                        F.md5(F.col("content")).alias("content_md5"), "error")
+
+
+def q_warc_roundtrip(spark, sf_dir):
+    return _archive_rows(read_archive(spark, _fixture_archive(spark, sf_dir)))
+
+
+# Split size that cuts every test archive into dozens of ranges.
+SMALL_SPLIT_BYTES = 4096
+
+
+def q_warc_split_exact(spark, sf_dir):
+    scan = read_archive(spark, _fixture_archive(spark, sf_dir),
+                        maxPartitionBytes=SMALL_SPLIT_BYTES, openCostInBytes=0)
+    return _archive_rows(scan)
+
+
+def _doc_rows(records: DataFrame) -> DataFrame:
+    docs = jobs.extracted(jobs.ok_captures(records))
+    return docs.select("id", "url", "file", "rec_offset", "wc")
+
+
+def q_doc_upsert(spark, sf_dir):
+    """Write the documents, then upsert a batch holding later copies
+    (rec_offset + 100000) of every tenth page; read the table back."""
+    recs = fx.capture_records(spark, sf_dir)
+    first = sinks.upsert_documents(spark, _doc_rows(recs), _scratch(spark, "docs", sf_dir))
+    copies = (recs.where(F.col("page_id") % 10 == 0)
+              .withColumn("rec_offset", F.col("rec_offset") + fx.COPY_OFFSET))
+    merged = sinks.upsert_documents(spark, _doc_rows(copies), _scratch(spark, "docs", sf_dir), existing_path=first)
+    return spark.read.parquet(merged)
+
+
+def q_json_lines(spark, sf_dir):
+    """{url, ts, c, type, s} per status-200 capture, written and re-read."""
+    ok = with_text(jobs.ok_captures(fx.capture_records(spark, sf_dir)))
+    path = sinks.write_json_lines(ok.select(sinks.json_record().alias("r")).select("r.*"),
+                                  _scratch(spark, "json", sf_dir), compression="gzip")
+    back = spark.read.schema("url string, ts string, c string, type string, s int").json(path)
+    return back.select("url", "ts", "type", "s", F.length("c").alias("c_chars"))
+
+
+def q_text_export(spark, sf_dir):
+    """S4 + X1: the text job written as gzip text over 4 files, re-read line
+    by line (a newline inside a value starts a new line, as in the reference)."""
+    rows = jobs.text_rows(fx.capture_records(spark, sf_dir), fx.domains(spark, sf_dir))
+    path = sinks.write_text(rows, _scratch(spark, "text", sf_dir), files=4)
+    return spark.read.text(path)
+
+
 QUERIES: dict[str, Query] = {
     "domain": q_domain,
     "title": q_title,
@@ -274,4 +347,9 @@ QUERIES: dict[str, Query] = {
     "cap_per_file": q_cap_per_file,
     "doc_project": q_doc_project,
     "text_rows": q_text_rows,
+    "warc_roundtrip": q_warc_roundtrip,
+    "warc_split_exact": q_warc_split_exact,
+    "doc_upsert": q_doc_upsert,
+    "json_lines": q_json_lines,
+    "text_export": q_text_export,
 }

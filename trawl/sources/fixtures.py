@@ -22,6 +22,8 @@ CRLF = "\r\n"
 EPOCH_BASE = 1349000000
 EPOCH_STEP = 3607
 ARC_SUFFIX = ".arc"
+# Offset added to the later copy of a capture in the upsert test.
+COPY_OFFSET = 100000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
