@@ -67,20 +67,55 @@ def entity_mentions(docs: DataFrame, gazetteer: DataFrame, key: str, text_col: s
             .where(F.col("rho") >= min_rho))
 
 
+def _entity_line(m: Column) -> Column:
+    return F.concat(F.lit("spot: "), m["spot"], F.lit(" title: "), m["title"], F.lit("\n"))
+
+
+def annotate(docs: DataFrame, gazetteer: DataFrame, key: str, text_col: str = "article",
+             min_rho: float = MIN_RHO) -> DataFrame:
+    """P16/P17 in one pass: every column of ``docs`` plus ``entities``
+    (the ``"spot: S title: T\n"`` lines of the kept mentions in text order,
+    '' when none). ``key`` must be unique in ``docs``.
+
+    Each document is exploded once into a marker element carrying the row
+    itself and one element per n-gram; n-grams join the gazetteer, only the
+    marker and the hits survive, and one aggregation by ``key`` puts each
+    document back together with its mentions. No second read of ``docs`` and
+    no join back: when ``docs`` is already hash-partitioned by ``key`` (as
+    after ``keep_latest``) the aggregation adds no shuffle, and a group is
+    one document with its hits, bounded by the capped page."""
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    with_toks = docs.select(F.col(key), row.alias("_row"), tokens(F.col(text_col)).alias("_toks"))
+    item = "struct<pos:int,n:int,gram:string,row:{}>".format(with_toks.schema["_row"].dataType.simpleString())
+    marker = F.array(F.struct(F.lit(None).cast("int").alias("pos"), F.lit(None).cast("int").alias("n"),
+                              F.lit(None).cast("string").alias("gram"), F.col("_row").alias("row")))
+    grams = F.transform(ngrams(F.col("_toks")),
+                        lambda g: F.struct(g["pos"].alias("pos"), g["n"].alias("n"), g["gram"].alias("gram"),
+                                           F.lit(None).cast(with_toks.schema["_row"].dataType).alias("row")))
+    items = with_toks.select(F.col(key), F.explode(F.concat(marker.cast(f"array<{item}>"), grams)).alias("it"))
+    items = items.select(key, F.col("it.pos").alias("pos"), F.col("it.n").alias("n"),
+                         F.col("it.gram").alias("spot"), F.col("it.row").alias("_row"))
+    gaz = gazetteer.select("spot", "title", F.col("rho").cast("double").alias("rho"))
+    hits = items.join(maybe_broadcast(gaz), on="spot", how="left")
+    hits = hits.where(F.col("_row").isNotNull() | F.col("title").isNotNull())
+    mention = F.when(F.col("title").isNotNull(),
+                     F.struct(F.col("pos"), (-F.col("n")).alias("neg_n"), "spot", "title", "rho"))
+    grouped = hits.groupBy(key).agg(F.first("_row", ignorenulls=True).alias("_row"),
+                                    F.array_sort(F.collect_list(mention)).alias("_m"))
+    # longest spot per position (sorted by pos, then longest first), then rho
+    best = F.filter(F.col("_m"), lambda m, i: (i == 0) | (F.get(F.col("_m"), i - 1)["pos"] != m["pos"]))
+    kept = F.filter(best, lambda m: m["rho"] >= min_rho)
+    ents = F.array_join(F.transform(kept, _entity_line), "")
+    return grouped.select(F.col("_row.*"), ents.alias("entities"))
+
+
 def entity_strings(docs: DataFrame, gazetteer: DataFrame, key: str, text_col: str = "article",
                    min_rho: float = MIN_RHO) -> DataFrame:
-    """Per document ``"spot: S title: T\\n"`` for each kept mention, in
-    text order. Documents without one are absent (see ``with_entities``)."""
-    m = entity_mentions(docs, gazetteer, key, text_col, min_rho)
-    line = F.concat(F.lit("spot: "), F.col("spot"), F.lit(" title: "), F.col("title"), F.lit("\n"))
-    return (m.groupBy(key)
-            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("pos"), line.alias("l")))),
-                                          lambda s: s["l"]), "").alias("entities")))
+    """``key`` and ``entities`` for every document."""
+    return annotate(docs.select(key, text_col), gazetteer, key, text_col, min_rho).select(key, "entities")
 
 
 def with_entities(docs: DataFrame, gazetteer: DataFrame, key: str, text_col: str = "article",
                   min_rho: float = MIN_RHO) -> DataFrame:
     """Adds ``entities`` ('' when the document has none)."""
-    ents = entity_strings(docs, gazetteer, key, text_col, min_rho)
-    return (docs.join(ents, on=key, how="left")
-            .withColumn("entities", F.coalesce(F.col("entities"), F.lit(""))))
+    return annotate(docs, gazetteer, key, text_col, min_rho)

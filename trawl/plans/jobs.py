@@ -39,11 +39,13 @@ def documents(records: DataFrame, gazetteer: DataFrame, cap_bytes: int = CONTENT
     """Index job: one document per id (the latest capture wins, A7), with
     its entity string (P16/P17) -> P23 columns.
 
-    Extraction runs in the scan stage; the one shuffle of documents is the
-    keep-latest on ``id``, and the entity strings (a small table, also
-    keyed by ``id``) join onto that partitioning."""
+    Extraction runs in the scan stage. The one shuffle of documents is the
+    keep-latest on ``id`` (partial WindowGroupLimit before it, so copies of a
+    hot id collapse map-side); annotation then regroups by ``id`` on that
+    same partitioning, without another shuffle or a second scan."""
     docs = keep_latest(extracted(ok_captures(records, **scan_options), cap_bytes), "id")
-    docs = entities.with_entities(docs, gazetteer, key="id", text_col="article")
+    docs = docs.select("ts14", "url", "id", "domain", "wc", "html", "article")
+    docs = entities.annotate(docs, gazetteer, key="id", text_col="article")
     return docs.select(F.col("ts14").alias("ts"), "url", "id", "domain", "wc", "html", "entities")
 
 
