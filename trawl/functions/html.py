@@ -36,6 +36,9 @@ LINK = r"(?i)<a[ \t\n\r\f][^>]*href[ \t\n\r\f]*=[ \t\n\r\f]*[\"'](https?://[^\"'
 
 
 def unescape(text: Column) -> Column:
+    """Named entities -> characters. (No ``contains('&')`` guard: inside a
+    lambda it would evaluate ``text`` twice, which costs more than the
+    replace scans it saves.)"""
     for entity, char in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
     return text
@@ -70,5 +73,8 @@ def raw_blocks(html: Column) -> Column:
 
 
 def anchor_html(block: Column) -> Column:
-    """All anchor elements of a block, concatenated."""
-    return F.array_join(F.regexp_extract_all(block, F.lit(ANCHOR), F.lit(0)), " ")
+    """All anchor elements of a block, concatenated ('' when the block has
+    no '<a' / '<A' at all, without running the regex)."""
+    has_anchor = (F.instr(block, "<a") > 0) | (F.instr(block, "<A") > 0)
+    return F.when(has_anchor, F.array_join(F.regexp_extract_all(block, F.lit(ANCHOR), F.lit(0)), " ")
+                  ).otherwise(F.lit(""))

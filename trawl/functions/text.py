@@ -109,16 +109,37 @@ def _attempt(text: Column, regex: str, fields: str) -> Column:
                                       second.cast("decimal(16,6)")))
 
 
-def _lastwins_attempts(text: Column):
-    return [(name, _attempt(text, regex, fields)) for name, regex, fields in LASTWINS_PATTERNS]
+def lastwins_attempts(text: Column) -> Column:
+    """array<timestamp>: the parse of each P20 pattern in list order (NULL
+    where it fails). Compute it once into a column, then read both the
+    value and the winning pattern from it (``lastwins_value`` /
+    ``lastwins_pattern``)."""
+    return F.array(*[_attempt(text, regex, fields) for _, regex, fields in LASTWINS_PATTERNS])
 
 
-def date_lastwins(text: Column) -> Column:
+def _last_index(attempts: Column) -> Column:
+    n = len(LASTWINS_PATTERNS)
+    idx = F.filter(F.sequence(F.lit(n), F.lit(1), F.lit(-1)), lambda i: F.element_at(attempts, i).isNotNull())
+    return F.get(idx, 0)
+
+
+def lastwins_value(attempts: Column) -> Column:
     """P20: timestamp from the last pattern in list order that parses a
     prefix of the text (D9: a timestamp, not Date.toString())."""
-    return F.coalesce(*[ts for _, ts in reversed(_lastwins_attempts(text))])
+    i = _last_index(attempts)
+    return F.when(i.isNotNull(), F.element_at(attempts, i))
+
+
+def lastwins_pattern(attempts: Column) -> Column:
+    """The pattern that won; NULL if none parsed."""
+    names = F.array(*[F.lit(p) for p, _, _ in LASTWINS_PATTERNS])
+    i = _last_index(attempts)
+    return F.when(i.isNotNull(), F.element_at(names, i))
+
+
+def date_lastwins(text: Column) -> Column:
+    return lastwins_value(lastwins_attempts(text))
 
 
 def date_lastwins_pattern(text: Column) -> Column:
-    """The pattern that won in ``date_lastwins``; NULL if none parsed."""
-    return F.coalesce(*[F.when(ts.isNotNull(), F.lit(p)) for p, ts in reversed(_lastwins_attempts(text))])
+    return lastwins_pattern(lastwins_attempts(text))

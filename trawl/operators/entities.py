@@ -47,10 +47,17 @@ def ngrams(toks: Column, max_n: int = MAX_NGRAM) -> Column:
     return F.concat(*per_n)
 
 
+def longest_spot(gazetteer: DataFrame) -> int:
+    """Tokens in the longest spot, capped at MAX_NGRAM: no longer n-gram can
+    match, so none is generated. One aggregate over the small side table."""
+    n = gazetteer.select(F.max(F.size(F.split(F.col("spot"), " "))).alias("n")).first()["n"]
+    return max(1, min(MAX_NGRAM, n or 1))
+
+
 def mentions(docs: DataFrame, gazetteer: DataFrame, key: str, text_col: str = "article") -> DataFrame:
     """All gazetteer hits: key, pos, n, spot, title, rho (every rho)."""
     toks = docs.select(F.col(key), tokens(F.col(text_col)).alias("_toks"))
-    grams = toks.select(F.col(key), F.explode(ngrams(F.col("_toks"))).alias("g"))
+    grams = toks.select(F.col(key), F.explode(ngrams(F.col("_toks"), longest_spot(gazetteer))).alias("g"))
     grams = grams.select(key, F.col("g.pos").alias("pos"), F.col("g.n").alias("n"), F.col("g.gram").alias("spot"))
     gaz = gazetteer.select("spot", "title", F.col("rho").cast("double").alias("rho"))
     return grams.join(maybe_broadcast(gaz), on="spot", how="inner")
@@ -89,7 +96,7 @@ def annotate(docs: DataFrame, gazetteer: DataFrame, key: str, text_col: str = "a
     item = "struct<pos:int,n:int,gram:string,row:{}>".format(with_toks.schema["_row"].dataType.simpleString())
     marker = F.array(F.struct(F.lit(None).cast("int").alias("pos"), F.lit(None).cast("int").alias("n"),
                               F.lit(None).cast("string").alias("gram"), F.col("_row").alias("row")))
-    grams = F.transform(ngrams(F.col("_toks")),
+    grams = F.transform(ngrams(F.col("_toks"), longest_spot(gazetteer)),
                         lambda g: F.struct(g["pos"].alias("pos"), g["n"].alias("n"), g["gram"].alias("gram"),
                                            F.lit(None).cast(with_toks.schema["_row"].dataType).alias("row")))
     items = with_toks.select(F.col(key), F.explode(F.concat(marker.cast(f"array<{item}>"), grams)).alias("it"))

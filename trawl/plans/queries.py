@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from trawl.functions import html as H
 from trawl.functions import http
-from trawl.functions.text import (date_lastwins, date_lastwins_pattern, date_mention, date_normalise,
-                                  word_count)
+from trawl.functions.text import (date_mention, date_normalise, lastwins_attempts, lastwins_pattern,
+                                  lastwins_value, word_count)
 from trawl.functions.urls import domain
 from trawl.operators import article, entities, filters, joins, stats
 from trawl.operators.dedup import cap_per_file
@@ -129,10 +129,10 @@ def q_date_normalize(spark, sf_dir):
 
 
 def q_date_lastwins(spark, sf_dir):
-    t = fx.lastwins_text(spark, sf_dir)
+    t = fx.lastwins_text(spark, sf_dir).withColumn("_tries", lastwins_attempts(F.col("text")))
     return t.select("o_orderkey", "text",
-                    F.date_format(date_lastwins(F.col("text")), "yyyy-MM-dd HH:mm:ss").alias("parsed"),
-                    date_lastwins_pattern(F.col("text")).alias("pattern"))
+                    F.date_format(lastwins_value(F.col("_tries")), "yyyy-MM-dd HH:mm:ss").alias("parsed"),
+                    lastwins_pattern(F.col("_tries")).alias("pattern"))
 
 
 def q_pub_date(spark, sf_dir):

@@ -75,3 +75,14 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         base = sc.getCheckpointDir()
     base = base.rstrip("/")
     return "/".join([base, *parts]) if parts else base
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin ``df`` to at least the default parallelism when its scan
+    yields fewer partitions (a small input, or one file with one row group),
+    so per-row text work uses every core. Inputs that already arrive in
+    enough splits -- any large one -- are returned untouched, without a
+    shuffle. Round-robin repartitioning sorts locally first, so a retried
+    task gets the same rows."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

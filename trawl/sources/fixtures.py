@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.session import ensure_conf
+from trawl.session import ensure_conf, spread
 
 CRLF = "\r\n"
 
@@ -27,7 +27,8 @@ COPY_OFFSET = 100000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table, spread over the cores when it arrives in fewer splits."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _case(col: Column, cases: list[tuple[int, str | None]], default) -> Column:
