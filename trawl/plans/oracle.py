@@ -371,6 +371,7 @@ def _sql() -> dict[str, str]:
     q["run_stats"] = (f"{okb} SELECT count(*) AS matched, count(*) FILTER (WHERE wc = 0) AS failed FROM k_art")
     q["domain_allowlist"] = (f"{with_(RECS, OK, domains_cte())} SELECT page_id, url, domain FROM ok "
                              f"WHERE domain IN (SELECT domain FROM domains)")
+    q["domain_list_scan"] = f"{with_(domains_cte())} SELECT domain FROM domains"
     capped = ("capped AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY file ORDER BY rec_offset) AS rn "
               "FROM ok WHERE domain IN (SELECT domain FROM domains)) c WHERE rn <= 10)")
     q["cap_per_file"] = f"{with_(RECS, OK, domains_cte(), capped)} SELECT file, rec_offset, url FROM capped"

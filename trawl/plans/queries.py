@@ -230,6 +230,17 @@ def q_domain_allowlist(spark, sf_dir):
     return joins.allow_list(ok, fx.domains(spark, sf_dir)).select("page_id", "url", "domain")
 
 
+def q_domain_list_scan(spark, sf_dir):
+    """S3: the allow-list written twice, as line files in two nested
+    folders, and read back recursively: distinct lines, verbatim."""
+    from trawl.sources.lists import read_domain_list
+    path = _scratch(spark, "lists", sf_dir)
+    d = fx.domains(spark, sf_dir)
+    d.write.mode("overwrite").text(f"{path}/a")
+    d.write.mode("overwrite").text(f"{path}/b/nested")
+    return read_domain_list(spark, path)
+
+
 def q_cap_per_file(spark, sf_dir):
     ok = jobs.ok_captures(fx.capture_records(spark, sf_dir))
     kept = joins.allow_list(ok, fx.domains(spark, sf_dir))
@@ -344,6 +355,7 @@ QUERIES: dict[str, Query] = {
     "mime_counts": q_mime_counts,
     "run_stats": q_run_stats,
     "domain_allowlist": q_domain_allowlist,
+    "domain_list_scan": q_domain_list_scan,
     "cap_per_file": q_cap_per_file,
     "doc_project": q_doc_project,
     "text_rows": q_text_rows,
