@@ -121,3 +121,13 @@ def test_many_small_files_are_packed(spark, tmp_path):
 def test_gzip_module_reads_our_members(tmp_path):
     data = warc("http://g.example/") + warc("http://g.example/2")
     assert gzip.decompress(data).count(b"WARC/1.0") == 2
+
+
+def test_uncompressed_arc_and_cap(spark, tmp_path):
+    head, body = resp(body=b"z" * 3000)
+    data = (W.arc_file_header("p.arc") + W.arc_record("http://p.example/1", "20120930111327", "text/html", head, body)
+            + W.arc_record("http://p.example/2", "-", "text/html", head, body))
+    p = write(tmp_path / "p.arc", [data])
+    rows = scan(spark, p, maxContentBytes=10).orderBy("rec_offset").collect()
+    assert [r["url"] for r in rows][1:] == ["http://p.example/1", "http://p.example/2"]
+    assert rows[1]["content"] == b"z" * 10 and rows[2]["date_raw"] is None

@@ -448,7 +448,7 @@ def _read_segment(seg: Segment, cap: int | None, ignore_corrupt: bool):
         if seg.path.lower().endswith(".gz"):
             yield from _read_gzip(r, seg, fmt, cap)
         else:
-            yield from _read_plain(r, seg, fmt)
+            yield from _read_plain(r, seg, fmt, cap)
 
 
 def _read_gzip(r: _Reader, seg: Segment, fmt: str, cap: int | None):
@@ -464,22 +464,48 @@ def _read_gzip(r: _Reader, seg: Segment, fmt: str, cap: int | None):
         pos = nxt
 
 
-def _read_plain(r: _Reader, seg: Segment, fmt: str):
-    data = r.read(0, seg.size)
-    yield from _records(data, seg.path, 0, fmt, None, per_record_offsets=True)
+def _read_plain(r: _Reader, seg: Segment, fmt: str, cap: int | None):
+    """Uncompressed archive, one record at a time: read the header, then
+    only the kept part of the block, then jump over the rest."""
+    pos = 0
+    while pos < seg.size:
+        head = r.read(pos, PROBE_BYTES)
+        skip = len(head) - len(head.lstrip(b"\r\n"))
+        pos += skip
+        head = head[skip:]
+        if not head:
+            return
+        try:
+            if fmt == "warc":
+                end = head.find(b"\r\n\r\n")
+                if not head.startswith(b"WARC/") or end < 0:
+                    raise ValueError("not a WARC record header")
+                m = re.search(rb"(?im)^content-length:[ \t]*([0-9]+)", head[:end])
+                length = int(m.group(1)) if m else 0
+                header_len = end + 4
+            else:
+                end = head.find(b"\n")
+                if end < 0:
+                    raise ValueError("truncated ARC header")
+                length = int(head[:end].rsplit(b" ", 1)[-1])
+                header_len = end + 1
+        except ValueError as e:
+            yield _error_row(seg.path, pos, fmt, f"unparseable record: {e}")
+            return
+        keep = length if cap is None else min(length, cap + HEADER_ALLOWANCE)
+        data = head[:header_len] + r.read(pos + header_len, keep)
+        yield from _records(data, seg.path, pos, fmt, None)
+        pos += header_len + length
 
 
-def _records(data: bytes, path: str, offset: int, fmt: str, err: str | None, per_record_offsets=False):
-    """Records of one gzip member (all at the member's offset) or of a
-    whole uncompressed file (each at its own byte offset)."""
-    last = 0
+def _records(data: bytes, path: str, offset: int, fmt: str, err: str | None):
+    """Records of one gzip member or one plain record, at ``offset``."""
     try:
-        for rec, nxt in _parse(data, fmt):
-            rec.update(file=path, rec_offset=(offset + last) if per_record_offsets else offset, error=err)
+        for rec, _ in _parse(data, fmt):
+            rec.update(file=path, rec_offset=offset, error=err)
             yield rec
-            last = nxt
     except Exception as e:  # noqa: BLE001
-        yield _error_row(path, offset + (last if per_record_offsets else 0), fmt, err or f"unparseable record: {e}")
+        yield _error_row(path, offset, fmt, err or f"unparseable record: {e}")
 
 
 def _error_row(path, offset, fmt, msg):
