@@ -29,8 +29,9 @@ def with_ts14(df: DataFrame) -> DataFrame:
               .withColumn("id", F.concat(F.col("ts14"), F.col("url"))))
 
 
-def with_text(df: DataFrame, cap_bytes: int = http.CONTENT_CAP_BYTES) -> DataFrame:
-    """P10 + P11: cap the body, resolve its charset and decode it to ``html``."""
-    capped = http.cap_content(F.col("content"), cap_bytes)
+def with_text(df: DataFrame, cap_bytes: int | None = http.CONTENT_CAP_BYTES) -> DataFrame:
+    """P10 + P11: cap the body (the reference's 1 MiB; ``None`` keeps whole
+    bodies), resolve its charset and decode it to ``html``."""
+    capped = F.col("content") if cap_bytes is None else http.cap_content(F.col("content"), cap_bytes)
     return (df.withColumn("charset", http.resolve_charset(F.col("content_type"), capped))
               .withColumn("html", http.decode_content(capped, F.col("charset"))))

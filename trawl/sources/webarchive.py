@@ -97,9 +97,9 @@ def list_files(paths: list[str]) -> list[tuple[str, int]]:
             infos = []
         for i in infos:
             uri = prefix + i.path
-            name = i.path.rsplit("/", 1)[-1]
-            if name.startswith((".", "_")):
-                continue
+            rel = i.path[len(root):] if i.path.startswith(root) else i.path
+            if any(part.startswith((".", "_")) for part in rel.split("/") if part):
+                continue  # hidden, as in Spark's file sources (staging, _SUCCESS)
             if has_glob and not fnmatch.fnmatch(uri, p):
                 continue
             out.append((uri, i.size))
@@ -520,6 +520,9 @@ class _Commit(WriterCommitMessage):
         self.files = files
 
 
+STAGING = "_staging"
+
+
 def warc_record(url, date_raw, record_type, http_head, content) -> bytes:
     payload = ((http_head or "").encode("latin-1") + (b"\r\n" if http_head is not None else b"")
                + (content or b""))
@@ -561,15 +564,22 @@ def gzip_member(data: bytes) -> bytes:
 
 
 class WebArchiveWriter(DataSourceWriter):
+    """Each task writes under ``<path>/_staging``; the driver's ``commit``
+    moves the files of the successful attempts into ``<path>``, so a task
+    retried after an executor loss leaves no partial or duplicate file
+    among the visible ones. ``abort`` removes what was staged."""
+
     def __init__(self, options: dict, overwrite: bool):
         self.path = options["path"].rstrip("/")
+        self.overwrite = overwrite
 
     def write(self, rows):
         from pyspark import TaskContext
         ctx = TaskContext.get()
         tag = f"part-{ctx.partitionId():05d}-{ctx.attemptNumber()}-{uuid.uuid4().hex[:8]}" if ctx else uuid.uuid4().hex
         fs, base = _fs_and_path(self.path)
-        fs.create_dir(base, recursive=True)
+        staging = f"{base}/{STAGING}"
+        fs.create_dir(staging, recursive=True)
         outs, files = {}, []
         try:
             for row in rows:
@@ -577,7 +587,7 @@ class WebArchiveWriter(DataSourceWriter):
                 fmt = d.get("format") or "warc"
                 if fmt not in outs:
                     name = f"{tag}.{fmt}.gz"
-                    outs[fmt] = fs.open_output_stream(f"{base}/{name}", compression=None)
+                    outs[fmt] = fs.open_output_stream(f"{staging}/{name}", compression=None)
                     files.append(name)
                     if fmt == "arc":
                         outs[fmt].write(gzip_member(arc_file_header(name)))
@@ -593,6 +603,25 @@ class WebArchiveWriter(DataSourceWriter):
                 o.close()
         return _Commit(files)
 
+    def commit(self, messages):
+        from pyarrow import fs as pafs
+        fs, base = _fs_and_path(self.path)
+        if self.overwrite:
+            for i in fs.get_file_info(pafs.FileSelector(base)):
+                if i.type == pafs.FileType.File and not i.base_name.startswith((".", "_")):
+                    fs.delete_file(i.path)
+        for m in messages:
+            for name in (m.files if m is not None else []):
+                fs.move(f"{base}/{STAGING}/{name}", f"{base}/{name}")
+        fs.delete_dir(f"{base}/{STAGING}")
+
+    def abort(self, messages):
+        fs, base = _fs_and_path(self.path)
+        try:
+            fs.delete_dir(f"{base}/{STAGING}")
+        except OSError:
+            pass
+
 
 class WebArchiveDataSource(DataSource):
     @classmethod
