@@ -37,7 +37,6 @@ CHARSET_ALIASES = {
 
 # RFC 2045 token characters, used to validate type/subtype (P5).
 _TOKEN = r"[!#$%&'*+.^_`|~0-9A-Za-z-]+"
-_WS = "[ \\t\\n\\r\\f]"
 
 
 def status(head: Column) -> Column:

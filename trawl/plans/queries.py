@@ -22,7 +22,7 @@ from trawl.functions.urls import domain
 from trawl.operators import article, entities, filters, joins, stats
 from trawl.operators.dedup import cap_per_file
 from trawl.operators.pubdate import pub_date
-from trawl.operators.snapshot import to_snapshots, with_text, with_ts14
+from trawl.operators.snapshot import to_snapshots, with_text
 from trawl.plans import jobs
 from trawl.session import ensure_conf, shared_dir
 from trawl.sources import fixtures as fx

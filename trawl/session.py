@@ -7,7 +7,6 @@ cluster session built elsewhere as under ``build_session`` in tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
