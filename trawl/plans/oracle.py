@@ -198,7 +198,7 @@ def domains_cte() -> str:
     return f"""
 domains AS (
   SELECT DISTINCT {domain('url')} AS domain FROM pages
-  WHERE page_id % 3 = 0 AND {domain('url')} IS NOT NULL)"""
+  WHERE contains(url, {lit(FX.ALLOW_LIST_MARK)}) AND {domain('url')} IS NOT NULL)"""
 
 
 def gazetteer_cte() -> str:
@@ -241,7 +241,7 @@ def article_ctes(src: str, key: str, html: str, prefix: str = "a") -> str:
 
 def entity_ctes(docs: str, key: str, text: str, gaz: str = "gaz", prefix: str = "e") -> str:
     """-> ``{prefix}_best(key, pos, n, spot, title, rho)`` and ``{prefix}_str(key, entities)``."""
-    ns = ", ".join(f"({n})" for n in range(1, E.MAX_NGRAM + 1))
+    ns = ", ".join(str(n) for n in range(1, E.MAX_NGRAM + 1))
     return f"""
 {prefix}_toks AS (
   SELECT {key}, CASE WHEN t = '' THEN CAST([] AS VARCHAR[]) ELSE string_split(t, ' ') END AS tk
@@ -249,7 +249,7 @@ def entity_ctes(docs: str, key: str, text: str, gaz: str = "gaz", prefix: str =
 {prefix}_grams AS (
   SELECT {key}, pos, n, array_to_string(list_slice(tk, pos, pos + n - 1), ' ') AS spot
   FROM (SELECT {key}, tk, n, unnest(range(1, len(tk) - n + 2)) AS pos
-        FROM {prefix}_toks CROSS JOIN (VALUES {ns}) ns(n)) g),
+        FROM (SELECT {key}, tk, unnest([{ns}]) AS n FROM {prefix}_toks) t) g),
 {prefix}_best AS (
   SELECT {key}, pos, n, spot, title, rho FROM (
     SELECT g.{key}, g.pos, g.n, g.spot, z.title, z.rho,
@@ -392,7 +392,7 @@ def _sql() -> dict[str, str]:
             f"CAST(NULL AS VARCHAR) AS error FROM snaps")
     q["warc_roundtrip"] = arch
     q["warc_split_exact"] = arch
-    q["doc_upsert"] = (f"{okb} SELECT o.id, o.url, o.file, CASE WHEN o.page_id % 10 = 0 "
+    q["doc_upsert"] = (f"{okb} SELECT o.id, o.url, o.file, CASE WHEN contains(o.url, {lit(FX.RECRAWL_MARK)}) "
                        f"THEN o.rec_offset + {FX.COPY_OFFSET} ELSE o.rec_offset END AS rec_offset, k.wc "
                        f"FROM ok o JOIN k_art k ON o.page_id = k.page_id WHERE k.wc > 0")
     q["json_lines"] = (f"{with_(RECS, OK)} SELECT url, ts14 AS ts, mime AS type, status AS s, "

@@ -173,9 +173,9 @@ def q_capture_time(spark, sf_dir):
 
 def q_charset_decode(spark, sf_dir):
     s = with_text(_snaps(spark, sf_dir))
-    p = _pages(spark, sf_dir).select("page_id", F.col("html").alias("page_html"))
-    return (s.join(p, "page_id").select("page_id", "charset", F.length("html").alias("n_chars"),
-                                        (F.col("html") == F.col("page_html")).alias("same_text")))
+    page_text = F.decode(F.col("content"), "UTF-8")  # the fixture's body is the page as UTF-8
+    return s.select("page_id", "charset", F.length("html").alias("n_chars"),
+                    (F.col("html") == page_text).alias("same_text"))
 
 
 def q_content_cap(spark, sf_dir):
@@ -298,11 +298,11 @@ def _doc_rows(records: DataFrame) -> DataFrame:
 
 
 def q_doc_upsert(spark, sf_dir):
-    """Write the documents, then upsert a batch holding later copies
-    (rec_offset + 100000) of every tenth page; read the table back."""
+    """Write the documents, then upsert a recrawl batch: later copies
+    (rec_offset + 100000) of the pages whose URL has a query; read back."""
     recs = fx.capture_records(spark, sf_dir)
     first = sinks.upsert_documents(spark, _doc_rows(recs), _scratch(spark, "docs", sf_dir))
-    copies = (recs.where(F.col("page_id") % 10 == 0)
+    copies = (recs.where(F.col("url").contains(fx.RECRAWL_MARK))
               .withColumn("rec_offset", F.col("rec_offset") + fx.COPY_OFFSET))
     merged = sinks.upsert_documents(spark, _doc_rows(copies), _scratch(spark, "docs", sf_dir), existing_path=first)
     return spark.read.parquet(merged)

@@ -24,6 +24,10 @@ EPOCH_STEP = 3607
 ARC_SUFFIX = ".arc"
 # Offset added to the later copy of a capture in the upsert test.
 COPY_OFFSET = 100000
+# The allow-list holds the domains of pages whose URL contains this.
+ALLOW_LIST_MARK = "/en/"
+# The upsert test recrawls the pages whose URL contains this (a query).
+RECRAWL_MARK = "?"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,10 +90,11 @@ def capture_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def domains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Allow-list: the distinct domains of every third page."""
+    """Allow-list: the distinct domains of the English pages (URL path
+    under ``/en/``)."""
     from trawl.functions.urls import domain
     pages = table(spark, sf_dir, "pages")
-    return (pages.where(F.col("page_id") % 3 == 0)
+    return (pages.where(F.col("url").contains(ALLOW_LIST_MARK))
             .select(domain(F.col("url")).alias("domain"))
             .where(F.col("domain").isNotNull()).distinct())
 
