@@ -131,3 +131,13 @@ def test_uncompressed_arc_and_cap(spark, tmp_path):
     rows = scan(spark, p, maxContentBytes=10).orderBy("rec_offset").collect()
     assert [r["url"] for r in rows][1:] == ["http://p.example/1", "http://p.example/2"]
     assert rows[1]["content"] == b"z" * 10 and rows[2]["date_raw"] is None
+
+
+@pytest.mark.parametrize("split", [150, 1000, 1 << 20])
+def test_uncompressed_warc_splits_exactly_once(spark, tmp_path, split):
+    # bodies that themselves contain a record separator and "WARC/1.0"
+    recs = [zlib.decompress(warc(f"http://v.example/{i}", body=b"\r\n\r\nWARC/1.0\r\n" * (i % 4) + b"x" * (i * 13 % 700)), 31)
+            for i in range(120)]
+    p = write(tmp_path / "v.warc", recs)
+    urls = [r[0] for r in scan(spark, p, maxPartitionBytes=split, openCostInBytes=0).select("url").collect()]
+    assert sorted(urls) == sorted(f"http://v.example/{i}" for i in range(120))

@@ -13,8 +13,10 @@ owns every member whose header *starts* inside it. A range that does not
 start at 0 scans forward to the first ``1f 8b 08`` whose trial inflate
 yields a record header, so each member is read by exactly one range
 however the file is cut (D1). A member running past the range end is
-finished by the range that owns its start. Uncompressed files are read
-whole. Small files are packed into one partition up to
+finished by the range that owns its start. Uncompressed WARC files are
+cut the same way, a range syncing to the first record header after a
+``\r\n\r\n`` whose Content-Length lands on the next record; uncompressed
+ARC files are read whole. Small files are packed into one partition up to
 ``maxPartitionBytes``, counting ``openCostInBytes`` per file (S7).
 
 Options (all optional):
@@ -131,7 +133,8 @@ def plan_partitions(files: list[tuple[str, int]], split: int, open_cost: int) ->
     """Cut gzip files into ranges; pack small files together."""
     big, small = [], []
     for path, size in files:
-        if path.lower().endswith(".gz") and size > split:
+        splittable = path.lower().endswith((".gz", ".warc"))
+        if splittable and size > split:
             for start in range(0, size, split):
                 big.append(ArchivePartition([Segment(path, start, min(start + split, size), size)]))
         else:
@@ -464,17 +467,61 @@ def _read_gzip(r: _Reader, seg: Segment, fmt: str, cap: int | None):
         pos = nxt
 
 
+_WARC_LENGTH = re.compile(rb"(?im)^content-length:[ \t]*([0-9]+)")
+
+
+def _plain_warc_record_at(r: _Reader, pos: int) -> int | None:
+    """Length of the WARC record whose header starts at ``pos`` if it is
+    one: a header with a Content-Length, and a block that ends exactly at
+    a record separator followed by another record or the end of file."""
+    head = r.read(pos, PROBE_BYTES)
+    end = head.find(b"\r\n\r\n")
+    if not head.startswith(b"WARC/1.") or end < 0:
+        return None
+    m = _WARC_LENGTH.search(head[:end])
+    if not m:
+        return None
+    stop = pos + end + 4 + int(m.group(1))
+    tail = r.read(stop, 11)
+    if tail[:4] != b"\r\n\r\n" or not (len(tail) == 4 or tail[4:].startswith(b"WARC/")):
+        return None
+    return stop + 4 - pos
+
+
+def sync_to_plain_record(r: _Reader, start: int, end: int) -> int | None:
+    """First offset in [start, end) where a validated WARC record starts
+    right after a record separator (which may begin before ``start``)."""
+    pos = max(start - 4, 0)
+    while pos < end:
+        buf = r.read(pos, CHUNK + 16)
+        if not buf:
+            return None
+        i = buf.find(b"\r\n\r\nWARC/1.")
+        while i >= 0:
+            cand = pos + i + 4
+            if cand >= end:
+                return None
+            if cand >= start and _plain_warc_record_at(r, cand) is not None:
+                return cand
+            i = buf.find(b"\r\n\r\nWARC/1.", i + 1)
+        pos += max(len(buf) - 16, 1)
+    return None
+
+
 def _read_plain(r: _Reader, seg: Segment, fmt: str, cap: int | None):
     """Uncompressed archive, one record at a time: read the header, then
-    only the kept part of the block, then jump over the rest."""
-    pos = 0
-    while pos < seg.size:
+    only the kept part of the block, then jump over the rest. A WARC range
+    that does not start at 0 begins at its first validated record; it owns
+    the records that start before its end (S2 for plain files)."""
+    pos = 0 if seg.start == 0 else sync_to_plain_record(r, seg.start, seg.end)
+    limit = min(seg.end, seg.size)
+    while pos is not None and pos < limit:
         head = r.read(pos, PROBE_BYTES)
         skip = len(head) - len(head.lstrip(b"\r\n"))
         pos += skip
         head = head[skip:]
-        if not head:
-            return
+        if not head or pos >= limit:
+            return  # the next record starts in the next range
         try:
             if fmt == "warc":
                 end = head.find(b"\r\n\r\n")
