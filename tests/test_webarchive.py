@@ -111,11 +111,15 @@ def test_content_cap_option(spark, tmp_path):
 def test_many_small_files_are_packed(spark, tmp_path):
     for i in range(20):
         write(tmp_path / f"f{i:02d}.warc.gz", [warc(f"http://p.example/{i}")])
-    df = scan(spark, str(tmp_path), maxPartitionBytes=1 << 20, openCostInBytes=4096)
+    df = scan(spark, str(tmp_path), maxPartitionBytes=1 << 20, openCostInBytes=4096, minPartitions=1)
     assert df.count() == 20
     assert df.rdd.getNumPartitions() == 1
     # with the default 4 MiB open cost each file outweighs a 1 MiB split
-    assert scan(spark, str(tmp_path), maxPartitionBytes=1 << 20).rdd.getNumPartitions() == 20
+    assert scan(spark, str(tmp_path), maxPartitionBytes=1 << 20, minPartitions=1).rdd.getNumPartitions() == 20
+    # by default a small input is spread over the session's cores, as Spark's file sources do
+    spread = scan(spark, str(tmp_path), maxPartitionBytes=1 << 20, openCostInBytes=4096)
+    assert spread.count() == 20
+    assert spread.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
 
 
 def test_gzip_module_reads_our_members(tmp_path):

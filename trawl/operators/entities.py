@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions.html import WS_RUN
-from trawl.operators.joins import maybe_broadcast
+from trawl.operators.joins import BROADCAST_MAX_ROWS
 
 # Relevance threshold and longest n-gram.
 MIN_RHO = 0.3
@@ -47,20 +47,24 @@ def ngrams(toks: Column, max_n: int = MAX_NGRAM) -> Column:
     return F.concat(*per_n)
 
 
-def longest_spot(gazetteer: DataFrame) -> int:
-    """Tokens in the longest spot, capped at MAX_NGRAM: no longer n-gram can
-    match, so none is generated. One aggregate over the small side table."""
-    n = gazetteer.select(F.max(F.size(F.split(F.col("spot"), " "))).alias("n")).first()["n"]
-    return max(1, min(MAX_NGRAM, n or 1))
+def prepare_gazetteer(gazetteer: DataFrame) -> tuple[DataFrame, int]:
+    """(side table ready to join, longest spot in tokens). One aggregate
+    over the gazetteer gives both its row count, which decides the
+    broadcast (bounded, see ``joins``), and its longest spot: no longer
+    n-gram can match, so none is generated."""
+    gaz = gazetteer.select("spot", "title", F.col("rho").cast("double").alias("rho"))
+    st = gaz.agg(F.count(F.lit(1)).alias("rows"), F.max(F.size(F.split(F.col("spot"), " "))).alias("n")).first()
+    side = F.broadcast(gaz) if st["rows"] <= BROADCAST_MAX_ROWS else gaz
+    return side, max(1, min(MAX_NGRAM, st["n"] or 1))
 
 
 def mentions(docs: DataFrame, gazetteer: DataFrame, key: str, text_col: str = "article") -> DataFrame:
     """All gazetteer hits: key, pos, n, spot, title, rho (every rho)."""
+    gaz, longest = prepare_gazetteer(gazetteer)
     toks = docs.select(F.col(key), tokens(F.col(text_col)).alias("_toks"))
-    grams = toks.select(F.col(key), F.explode(ngrams(F.col("_toks"), longest_spot(gazetteer))).alias("g"))
+    grams = toks.select(F.col(key), F.explode(ngrams(F.col("_toks"), longest)).alias("g"))
     grams = grams.select(key, F.col("g.pos").alias("pos"), F.col("g.n").alias("n"), F.col("g.gram").alias("spot"))
-    gaz = gazetteer.select("spot", "title", F.col("rho").cast("double").alias("rho"))
-    return grams.join(maybe_broadcast(gaz), on="spot", how="inner")
+    return grams.join(gaz, on="spot", how="inner")
 
 
 def entity_mentions(docs: DataFrame, gazetteer: DataFrame, key: str, text_col: str = "article",
@@ -91,19 +95,19 @@ def annotate(docs: DataFrame, gazetteer: DataFrame, key: str, text_col: str = "a
     no join back: when ``docs`` is already hash-partitioned by ``key`` (as
     after ``keep_latest``) the aggregation adds no shuffle, and a group is
     one document with its hits, bounded by the capped page."""
+    gaz, longest = prepare_gazetteer(gazetteer)
     row = F.struct(*[F.col(c) for c in docs.columns])
     with_toks = docs.select(F.col(key), row.alias("_row"), tokens(F.col(text_col)).alias("_toks"))
     item = "struct<pos:int,n:int,gram:string,row:{}>".format(with_toks.schema["_row"].dataType.simpleString())
     marker = F.array(F.struct(F.lit(None).cast("int").alias("pos"), F.lit(None).cast("int").alias("n"),
                               F.lit(None).cast("string").alias("gram"), F.col("_row").alias("row")))
-    grams = F.transform(ngrams(F.col("_toks"), longest_spot(gazetteer)),
+    grams = F.transform(ngrams(F.col("_toks"), longest),
                         lambda g: F.struct(g["pos"].alias("pos"), g["n"].alias("n"), g["gram"].alias("gram"),
                                            F.lit(None).cast(with_toks.schema["_row"].dataType).alias("row")))
     items = with_toks.select(F.col(key), F.explode(F.concat(marker.cast(f"array<{item}>"), grams)).alias("it"))
     items = items.select(key, F.col("it.pos").alias("pos"), F.col("it.n").alias("n"),
                          F.col("it.gram").alias("spot"), F.col("it.row").alias("_row"))
-    gaz = gazetteer.select("spot", "title", F.col("rho").cast("double").alias("rho"))
-    hits = items.join(maybe_broadcast(gaz), on="spot", how="left")
+    hits = items.join(gaz, on="spot", how="left")
     hits = hits.where(F.col("_row").isNotNull() | F.col("title").isNotNull())
     mention = F.when(F.col("title").isNotNull(),
                      F.struct(F.col("pos"), (-F.col("n")).alias("neg_n"), "spot", "title", "rho"))

@@ -20,8 +20,12 @@ ARC files are read whole. Small files are packed into one partition up to
 ``maxPartitionBytes``, counting ``openCostInBytes`` per file (S7).
 
 Options (all optional):
-  maxPartitionBytes   split size, default 128 MiB
+  maxPartitionBytes   largest range, default 128 MiB
   openCostInBytes     packing cost per file, default 4 MiB
+  minPartitions       spread a small input over this many tasks (ranges
+                      shrink to total bytes / minPartitions, as in Spark's
+                      file sources); ``read_archive`` passes the session's
+                      default parallelism
   urlPattern          keep records whose URL matches (whole string)  F2
   mimePattern         keep records whose MIME type matches           F3
   status              ALL (default) or SUCCESS (drop status >= 300)  F4
@@ -129,8 +133,17 @@ class ArchivePartition(InputPartition):
         self.segments = segments
 
 
+def split_bytes(files: list[tuple[str, int]], max_split: int, open_cost: int, min_partitions: int) -> int:
+    """Range size, as Spark's file sources choose it: at most
+    ``max_split``, but small enough that the input spreads over
+    ``min_partitions`` tasks (never below ``open_cost``)."""
+    total = sum(size + open_cost for _, size in files)
+    per_task = total // max(min_partitions, 1)
+    return max(1, min(max_split, max(open_cost, per_task)))
+
+
 def plan_partitions(files: list[tuple[str, int]], split: int, open_cost: int) -> list[ArchivePartition]:
-    """Cut gzip files into ranges; pack small files together."""
+    """Cut gzip and plain WARC files into ranges; pack small files."""
     big, small = [], []
     for path, size in files:
         splittable = path.lower().endswith((".gz", ".warc"))
@@ -390,9 +403,11 @@ class WebArchiveReader(DataSourceReader):
     def partitions(self):
         paths = [p for p in str(self.options.get("path", "")).split(",") if p]
         paths += [p for p in str(self.options.get("paths", "")).split(",") if p]
-        split = int(self.options.get("maxPartitionBytes", DEFAULT_SPLIT))
+        files = list_files(paths)
         cost = int(self.options.get("openCostInBytes", DEFAULT_OPEN_COST))
-        parts = plan_partitions(list_files(paths), split, cost)
+        split = split_bytes(files, int(self.options.get("maxPartitionBytes", DEFAULT_SPLIT)), cost,
+                            int(self.options.get("minPartitions", 1)))
+        parts = plan_partitions(files, split, cost)
         return parts or [ArchivePartition([])]
 
     def read(self, partition: ArchivePartition):
@@ -699,6 +714,7 @@ def register(spark) -> None:
 def read_archive(spark, path: str, **options):
     """``spark.read.format("webarchive")`` with the source registered."""
     register(spark)
+    options.setdefault("minPartitions", spark.sparkContext.defaultParallelism)
     reader = spark.read.format("webarchive")
     for k, v in options.items():
         reader = reader.option(k, str(v))
