@@ -43,8 +43,10 @@ def documents(records: DataFrame, gazetteer: DataFrame, cap_bytes: int = CONTENT
     keep-latest on ``id`` (partial WindowGroupLimit before it, so copies of a
     hot id collapse map-side); annotation then regroups by ``id`` on that
     same partitioning, without another shuffle or a second scan."""
-    docs = keep_latest(extracted(ok_captures(records, **scan_options), cap_bytes), "id")
-    docs = docs.select("ts14", "url", "id", "domain", "wc", "html", "article")
+    docs = extracted(ok_captures(records, **scan_options), cap_bytes)
+    # only what the document needs crosses the shuffle (not the raw body)
+    docs = docs.select("ts14", "url", "id", "domain", "wc", "html", "article", "file", "rec_offset")
+    docs = keep_latest(docs, "id").drop("file", "rec_offset")
     docs = entities.annotate(docs, gazetteer, key="id", text_col="article")
     return docs.select(F.col("ts14").alias("ts"), "url", "id", "domain", "wc", "html", "entities")
 
