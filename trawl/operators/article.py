@@ -23,7 +23,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions import html as H
-from trawl.functions.text import word_count
 
 # Thresholds of the decision tree.
 MAX_LINK_DENSITY = 1.0 / 3.0
@@ -100,12 +99,19 @@ def with_blocks(df: DataFrame, html_col: str = "html", out: str = "blocks") -> D
     return measured.withColumn(out, classified_blocks(F.col(tmp))).drop(tmp)
 
 
+def kept_words(blocks: Column) -> Column:
+    """P14 of the article without re-tokenising it: kept blocks are
+    whitespace-normalised and joined by newlines, so the article's word
+    count is the sum of their word counts."""
+    return F.aggregate(F.filter(blocks, lambda b: b["keep"]), F.lit(0), lambda acc, b: acc + b["words"])
+
+
 def with_article(df: DataFrame, html_col: str = "html") -> DataFrame:
     """Adds ``article`` and its word count ``wc``."""
     return (with_blocks(df, html_col, "_blocks")
             .withColumn("article", article_from_blocks(F.col("_blocks")))
-            .drop("_blocks")
-            .withColumn("wc", word_count(F.col("article"))))
+            .withColumn("wc", kept_words(F.col("_blocks")))
+            .drop("_blocks"))
 
 
 def blocks(df: DataFrame, key: str, html_col: str = "html") -> DataFrame:
