@@ -26,3 +26,6 @@ def test_index_and_text_jobs(spark, tmp_path):
     cli.main(["text", "--input", arch, "--domains", lists, "--output", str(tmp_path / "text"), "--files", "2"])
     lines = spark.read.text(str(tmp_path / "text")).count()
     assert lines > 0
+    cli.main(["text", "--input", arch, "--domains", lists, "--output", str(tmp_path / "rows"), "--format", "parquet"])
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    assert 0 < rows.count() < lines and rows.where("value like '%\n%'").count() == rows.count()

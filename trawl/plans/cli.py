@@ -39,6 +39,8 @@ def _parser() -> argparse.ArgumentParser:
     txt = sub.choices["text"]
     txt.add_argument("--domains", required=True, help="folder of domain-list files")
     txt.add_argument("--per-file", type=int, default=10)
+    txt.add_argument("--format", default="text", choices=["text", "parquet"],
+                     help="gzip text lines as the reference writes them, or parquet rows")
     return ap
 
 
@@ -71,7 +73,10 @@ def main(argv: list[str] | None = None) -> None:
     else:
         rows = jobs.text_rows(records, read_domain_list(spark, args.domains), per_file=args.per_file,
                               cap_bytes=cap)
-        sinks.write_text(rows, args.output, files=args.files or None)
+        if args.format == "text":
+            sinks.write_text(rows, args.output, files=args.files or None)
+        else:
+            sinks.write_rows(rows.select("value"), args.output, fmt="parquet", files=args.files or None)
 
 
 if __name__ == "__main__":
