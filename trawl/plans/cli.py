@@ -56,7 +56,9 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = ensure_conf(SparkSession.builder.appName(f"trawl-{args.job}").getOrCreate())
     cap = args.max_content_bytes or None
-    opts = {"status": args.status}
+    # both jobs keep responses only (F1), so the reader drops the rest
+    # (requests, metadata, ARC file headers) before they reach the JVM
+    opts = {"status": args.status, "responsesOnly": "true"}
     if args.url_pattern:
         opts["urlPattern"] = args.url_pattern
     if args.mime_pattern:
