@@ -145,3 +145,9 @@ def test_uncompressed_warc_splits_exactly_once(spark, tmp_path, split):
     p = write(tmp_path / "v.warc", recs)
     urls = [r[0] for r in scan(spark, p, maxPartitionBytes=split, openCostInBytes=0).select("url").collect()]
     assert sorted(urls) == sorted(f"http://v.example/{i}" for i in range(120))
+
+
+def test_missing_path_is_an_error(spark, tmp_path):
+    with pytest.raises(Exception, match="does not exist"):
+        scan(spark, str(tmp_path / "nope.warc.gz")).count()
+    assert scan(spark, str(tmp_path / "*.warc.gz")).count() == 0   # a glob may match nothing

@@ -99,8 +99,10 @@ def list_files(paths: list[str]) -> list[tuple[str, int]]:
         elif info.type == pafs.FileType.Directory:
             infos = [i for i in fs.get_file_info(pafs.FileSelector(root, recursive=True))
                      if i.type == pafs.FileType.File]
-        else:
+        elif has_glob:
             infos = []
+        else:
+            raise FileNotFoundError(f"archive path does not exist: {p}")
         for i in infos:
             uri = prefix + i.path
             rel = i.path[len(root):] if i.path.startswith(root) else i.path
