@@ -87,10 +87,18 @@ def _month_by_name(name: Column) -> Column:
 
 
 def _attempt(text: Column, regex: str, fields: str) -> Column:
+    """Parse of one P20 pattern: the regex runs once for the matched prefix;
+    its fields are the prefix's separator-delimited parts (by position for
+    the abutting ``yyyyMMdd``)."""
     names = fields.split()
+    prefix = F.regexp_extract(text, regex, 0)
+    if "[0-9]{4})([0-9]{2})([0-9]{2})" in regex:
+        parts = [F.substring(prefix, 1, 4), F.substring(prefix, 5, 2), F.substring(prefix, 7, 2)]
+    else:
+        split = F.split(prefix, "[^0-9A-Za-z]+")
+        parts = [F.get(split, i) for i in range(len(names))]
     got = {}
-    for i, name in enumerate(names, start=1):
-        raw = F.regexp_extract(text, regex, i)
+    for name, raw in zip(names, parts):
         if name == "a":
             got[name] = F.upper(raw)
         elif name == "MMM":
@@ -104,9 +112,8 @@ def _attempt(text: Column, regex: str, fields: str) -> Column:
         hour = F.when((h >= 1) & (h <= 12), (h % 12) + F.when(got["a"] == "PM", 12).otherwise(0))
     minute = got.get("m", F.lit(0))
     second = got.get("s", F.lit(0))
-    ok = F.regexp_extract(text, regex, 0) != ""
-    return F.when(ok, F.call_function("try_make_timestamp", got["y"], got["M"], got["d"], hour, minute,
-                                      second.cast("decimal(16,6)")))
+    return F.when(prefix != "", F.call_function("try_make_timestamp", got["y"], got["M"], got["d"], hour, minute,
+                                                second.cast("decimal(16,6)")))
 
 
 def lastwins_attempts(text: Column) -> Column:
