@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trawl.llm import mixing, packing
+from trawl.llm import langid, mixing, packing, quality, secrets
 from trawl.llm.common import table
 
 
@@ -14,6 +14,14 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_byte_gru_language(spark, sf_dir):
+    """Learned from the rows whose crc32(doc_id) mod 4 is not 2; all rows are judged."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
+    names, weights = langid.fit(docs.where(~held), F.col("text"), F.col("lang"), F.col("doc_id"))
+    return langid.identify(docs.select("doc_id", held.alias("held_out"), "text"), names, weights).drop("text")
+
+
 def op4_source_mix(spark, sf_dir):
     """Rates by entropy balancing; ``taken`` is copies times size."""
     m = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
@@ -26,7 +34,19 @@ def op9_harmonic_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_risk_controlled_quality(spark, sf_dir):
+    v = quality.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return v.select("doc_id", *quality.COUNTS, "base_failed", "kept", "stratum")
+
+
+def op10_secret_cnn(spark, sf_dir):
+    return secrets.find(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op2_byte_gru_language": op2_byte_gru_language,
+    "op5_risk_controlled_quality": op5_risk_controlled_quality,
+    "op10_secret_cnn": op10_secret_cnn,
     "op4_source_mix": op4_source_mix,
     "op9_harmonic_packing": op9_harmonic_packing,
 }
