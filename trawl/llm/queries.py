@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trawl.llm import langid, mixing, packing, quality, secrets
+from trawl.llm import langid, linededup, mixing, packing, quality, secrets
 from trawl.llm.common import table
 
 
@@ -39,6 +39,12 @@ def op5_risk_controlled_quality(spark, sf_dir):
     return v.select("doc_id", *quality.COUNTS, "base_failed", "kept", "stratum")
 
 
+def op6_line_suffix_dedup(spark, sf_dir):
+    """Later copies of repeated line runs of 50 words or more are deleted."""
+    d = linededup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return d.select("doc_id", F.col("_deleted").cast("long").alias("n_deleted"), "text")
+
+
 def op10_secret_cnn(spark, sf_dir):
     return secrets.find(table(spark, sf_dir, "documents"))
 
@@ -46,6 +52,7 @@ def op10_secret_cnn(spark, sf_dir):
 QUERIES = {
     "op2_byte_gru_language": op2_byte_gru_language,
     "op5_risk_controlled_quality": op5_risk_controlled_quality,
+    "op6_line_suffix_dedup": op6_line_suffix_dedup,
     "op10_secret_cnn": op10_secret_cnn,
     "op4_source_mix": op4_source_mix,
     "op9_harmonic_packing": op9_harmonic_packing,
