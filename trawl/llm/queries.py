@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trawl.llm import langid, linededup, mixing, packing, quality, secrets
+from trawl.llm import epsjoin, langid, linededup, mixing, packing, quality, secrets
 from trawl.llm.common import table
 
 
@@ -45,6 +45,10 @@ def op6_line_suffix_dedup(spark, sf_dir):
     return d.select("doc_id", F.col("_deleted").cast("long").alias("n_deleted"), "text")
 
 
+def op7_epsilon_grid_join(spark, sf_dir):
+    return epsjoin.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_secret_cnn(spark, sf_dir):
     return secrets.find(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ QUERIES = {
     "op2_byte_gru_language": op2_byte_gru_language,
     "op5_risk_controlled_quality": op5_risk_controlled_quality,
     "op6_line_suffix_dedup": op6_line_suffix_dedup,
+    "op7_epsilon_grid_join": op7_epsilon_grid_join,
     "op10_secret_cnn": op10_secret_cnn,
     "op4_source_mix": op4_source_mix,
     "op9_harmonic_packing": op9_harmonic_packing,
