@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trawl.llm import epsjoin, langid, linededup, mixing, packing, quality, secrets
+from trawl.llm import blocks, epsjoin, langid, linededup, mixing, packing, quality, secrets
 from trawl.llm.common import table
 
 
@@ -49,6 +49,11 @@ def op7_epsilon_grid_join(spark, sf_dir):
     return epsjoin.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op8_block_lstm(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return blocks.extract(pages, blocks.fit(pages))
+
+
 def op10_secret_cnn(spark, sf_dir):
     return secrets.find(table(spark, sf_dir, "documents"))
 
@@ -58,6 +63,7 @@ QUERIES = {
     "op5_risk_controlled_quality": op5_risk_controlled_quality,
     "op6_line_suffix_dedup": op6_line_suffix_dedup,
     "op7_epsilon_grid_join": op7_epsilon_grid_join,
+    "op8_block_lstm": op8_block_lstm,
     "op10_secret_cnn": op10_secret_cnn,
     "op4_source_mix": op4_source_mix,
     "op9_harmonic_packing": op9_harmonic_packing,
