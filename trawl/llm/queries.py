@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trawl.llm import blocks, epsjoin, langid, linededup, mixing, packing, quality, secrets
+from trawl.llm import blocks, epsjoin, langid, linededup, mixing, ngramjoin, packing, quality, secrets
 from trawl.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op2_byte_gru_language(spark, sf_dir):
     return langid.identify(docs.select("doc_id", held.alias("held_out"), "text"), names, weights).drop("text")
 
 
+def op3_adaptive_prefix_join(spark, sf_dir):
+    return ngramjoin.similar_components(table(spark, sf_dir, "documents"))
+
+
 def op4_source_mix(spark, sf_dir):
     """Rates by entropy balancing; ``taken`` is copies times size."""
     m = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
@@ -65,6 +69,7 @@ QUERIES = {
     "op7_epsilon_grid_join": op7_epsilon_grid_join,
     "op8_block_lstm": op8_block_lstm,
     "op10_secret_cnn": op10_secret_cnn,
+    "op3_adaptive_prefix_join": op3_adaptive_prefix_join,
     "op4_source_mix": op4_source_mix,
     "op9_harmonic_packing": op9_harmonic_packing,
 }
