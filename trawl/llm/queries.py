@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trawl.llm import blocks, epsjoin, langid, linededup, mixing, ngramjoin, packing, quality, secrets
+from trawl.llm import blocks, epsjoin, langid, linededup, mixing, ngramjoin, packing, quality, secrets, warcindex
 from trawl.llm.common import table
 
 
@@ -14,6 +14,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_warc_index_merge(spark, sf_dir):
+    a = warcindex.archive(table(spark, sf_dir, "pages"))
+    return a.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op2_byte_gru_language(spark, sf_dir):
     """Learned from the rows whose crc32(doc_id) mod 4 is not 2; all rows are judged."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -63,6 +68,7 @@ def op10_secret_cnn(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_warc_index_merge": op1_warc_index_merge,
     "op2_byte_gru_language": op2_byte_gru_language,
     "op5_risk_controlled_quality": op5_risk_controlled_quality,
     "op6_line_suffix_dedup": op6_line_suffix_dedup,
@@ -74,4 +80,13 @@ QUERIES = {
     "op9_harmonic_packing": op9_harmonic_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+OP1_SQL = """
+WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS payload_digest, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages),
+k AS (SELECT payload_digest, max(page_id) AS keeper, count(*) AS n FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN n > 1 AND keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n > 1 AND keeper <> page_id THEN keeper END AS refers_to
+FROM p LEFT JOIN k USING (payload_digest)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_warc_index_merge": OP1_SQL}
