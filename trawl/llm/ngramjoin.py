@@ -13,11 +13,12 @@ Shingles met in the prefixes of more than ``HOT`` documents would emit the
 square of that number. They are handled in rounds instead: every hot bucket
 names a pivot, its members are compared with it, and those with Jaccard >= 1/2
 form a cluster, in which each is described by its difference from the pivot.
-Those >= 0.6 leave the bucket. As the Jaccard distance is a metric, two linked
-members (distance <= 0.1) of a bucket always meet in a cluster: when the first
-of them leaves for a pivot at <= 0.4, the other is within 0.5 of it. What is left after
-the rounds is one cluster per bucket with an empty pivot. Clusters are compared inside tasks, block against
-block, and return only a spanning forest of their links.
+Those >= 1/2 + (1 - t) leave the bucket. As the Jaccard distance is a metric,
+two linked members (distance <= 1 - t) of a bucket always meet in a cluster: when
+the first of them leaves for a pivot, the other is within 1/2 of that pivot. What
+is left after the rounds is one cluster per bucket with an empty pivot. Clusters
+are compared inside tasks, block against block, and return only a spanning
+forest of their links.
 
 Equal sets are one class before all of this. Whole sets are never stored for
 all documents, only hashed anew for those with a candidate.
@@ -171,8 +172,10 @@ def linked_pairs(batches, num, den):
 CLUSTER = "pivot long, rep long, base long, plus binary, minus binary, near boolean"
 
 
-def against_pivot(batches):
-    """(pivot, rep, tokens of both) to cluster rows: what the member has more and less than the pivot."""
+def against_pivot(batches, num, den):
+    """(pivot, rep, tokens of both) to cluster rows: what the member has more and less than the pivot.
+
+    Members with Jaccard >= 1/2 join the cluster; those >= 1/2 + (1 - t) are near."""
     for b in batches:
         cols = {k: [] for k in ("pivot", "rep", "base", "plus", "minus", "near")}
         for p, r, tp, tr in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
@@ -182,7 +185,7 @@ def against_pivot(batches):
             if 2 * i < union:
                 continue
             for k, v in (("pivot", p), ("rep", r), ("base", len(x)), ("plus", np.setdiff1d(y, x, True).tobytes()),
-                         ("minus", np.setdiff1d(x, y, True).tobytes()), ("near", 10 * i >= 6 * union)):
+                         ("minus", np.setdiff1d(x, y, True).tobytes()), ("near", 2 * den * i >= (den + 2 * (den - num)) * union)):
                 cols[k].append(v)
         types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.bool_()]
         yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(cols.values(), types, strict=True)], list(cols))
@@ -308,7 +311,7 @@ def similar_components(docs: DataFrame, *, width: int = 3, num: int = 90, den: i
             hot = None
             break
         tries = live.select("pivot", "rep").groupBy("pivot", "rep").agg(F.count(F.lit(1)).alias("n"))
-        compared = lookup(lookup(tries, "rep", "tr"), "pivot", "tp").select("pivot", "rep", "tp", "tr").mapInArrow(against_pivot, CLUSTER)
+        compared = lookup(lookup(tries, "rep", "tr"), "pivot", "tp").select("pivot", "rep", "tp", "tr").mapInArrow(lambda it: against_pivot(it, num, den), CLUSTER)
         compared = written(compared, "sets-compared")
         edges.append(written(join_clusters(compared.withColumnRenamed("pivot", "cluster").drop("near"), num, den), "sets-links"))
         gone = compared.where("near").select("pivot", "rep").distinct()
