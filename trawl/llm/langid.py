@@ -189,12 +189,18 @@ def sample_windows(docs: DataFrame, text: Column, label: Column, key: Column, *,
     most frequent) the ``per_label`` documents first by hash, a piece of each."""
     lab = docs.select(label.alias("label"), text.alias("text"), F.xxhash64(key, text).alias("h")) \
         .where("label is not null and text is not null and length(text) > 0")
-    names = sorted(r["label"] for r in lab.groupBy("label").count().orderBy(F.desc("count"), "label").limit(max_labels).collect())
-    top = (lab.where(F.col("label").isin(names))
-           .withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy("h")))
-           .where(F.col("r") <= per_label))
+    counts = lab.groupBy("label").count().orderBy(F.desc("count"), "label").limit(max_labels).collect()
+    names = sorted(r["label"] for r in counts)
+    # a share of each label's hashes that holds a little more than enough; then the first of those
+    share = F.lit(0)
+    for r in counts:
+        share = F.when(F.col("label") == r["label"], F.lit(min(1 << 30, int((1 << 30) * 2 * per_label / r["count"])))).otherwise(share)
     at = F.pmod(F.col("h"), F.greatest(F.length("text") - piece, F.lit(0)) + 1).cast("int") + 1
-    rows = top.select("label", "h", F.substring(F.col("text"), at, F.lit(piece)).alias("t")).orderBy("label", "h").collect()
+    top = (lab.where(F.pmod("h", F.lit(1 << 30)) < share)
+           .select("label", "h", F.substring(F.col("text"), at, F.lit(piece)).alias("t"))
+           .withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy(F.pmod("h", F.lit(1 << 30)), "h")))
+           .where(F.col("r") <= per_label))
+    rows = top.orderBy("label", "h").collect()
     windows, lengths, labels = [], [], []
     for r in rows:
         raw = r["t"].encode("utf-8", "replace")
