@@ -50,6 +50,14 @@ def json_record(url="url", ts="ts14", content="html", mime="mime", status="statu
                     F.col(mime).alias("type"), F.col(status).alias("s"))
 
 
+_BATCH = "_batch"
+
+
+def _check_columns(docs: DataFrame, key: str) -> None:
+    if _BATCH in docs.columns or key not in docs.columns:
+        raise ValueError(f"documents need the column {key} and none named {_BATCH}")
+
+
 def upsert_documents(spark: SparkSession, docs: DataFrame, out_path: str, existing_path: str | None = None,
                      key: str = "id", fmt: str = "parquet",
                      order: tuple[str, ...] = ("file", "rec_offset")) -> str:
@@ -57,12 +65,13 @@ def upsert_documents(spark: SparkSession, docs: DataFrame, out_path: str, existi
     wins; rows of the existing table (if any) whose key is not in the batch
     are kept. Spark cannot overwrite a table it is reading, so the merged
     table goes to ``out_path`` and callers move their pointer to it."""
-    batch = keep_latest(docs, key, order)
-    merged = batch
+    _check_columns(docs, key)
+    # old rows rank below the batch, so one keep-latest over both is the upsert: the
+    # batch is computed once, and the old table is read once
+    rows = docs.withColumn(_BATCH, F.lit(1))
     if existing_path is not None:
-        existing = spark.read.format(fmt).load(existing_path)
-        cols = batch.columns
-        kept = existing.join(batch.select(key), on=key, how="left_anti").select(*cols)
-        merged = kept.unionByName(batch.select(*cols))
+        old = spark.read.format(fmt).load(existing_path)
+        rows = rows.unionByName(old.select(*docs.columns).withColumn(_BATCH, F.lit(0)))
+    merged = keep_latest(rows, key, (_BATCH, *order)).drop(_BATCH)
     merged.write.mode("overwrite").format(fmt).save(out_path)
     return out_path

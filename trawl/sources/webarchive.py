@@ -7,8 +7,8 @@ HTTP status, headers, MIME type and capture time are derived later by
 built-in expressions (``operators.snapshot``). The reader only frames
 records: gzip member -> archive record -> HTTP head / body.
 
-Splitting (S2). A ``.gz`` archive is a series of gzip members, one record
-each. The file is cut into byte ranges of ``maxPartitionBytes``; a range
+Splitting (S2). A ``.gz`` archive is a series of gzip members, usually one
+record each. The file is cut into byte ranges of ``maxPartitionBytes``; a range
 owns every member whose header *starts* inside it. A range that does not
 start at 0 scans forward to the first ``1f 8b 08`` whose trial inflate
 yields a record header, so each member is read by exactly one range
@@ -30,23 +30,30 @@ Options (all optional):
   mimePattern         keep records whose MIME type matches           F3
   status              ALL (default) or SUCCESS (drop status >= 300)  F4
   responsesOnly       true: drop ARC file headers and non-response   F1
-  withContent         false: drop bodies (header-only scans)
-  maxContentBytes     keep at most this many body bytes (P10)
+  keepFiltered        true: rows the filters above drop come back without
+                      their body, so that a job can count them (A1)
+  withContent         false: drop bodies (header-only scans); ``read_archive``
+                      sets it from the columns asked for
+  maxContentBytes     keep at most this many body bytes of each record (P10);
+                      default: whole bodies
   ignoreCorruptFiles  true: a file that cannot be opened yields no rows
-Reader errors never fail the task: the record comes back with ``error``
-set and the other columns NULL where unknown (F7).
-
-Files are opened with ``pyarrow.fs``, so local paths, HDFS and object
-stores work alike. The writer (``df.write.format("webarchive")``) emits
+Reader errors never fail the task: each corrupt member, truncated record or
+stretch that is no record comes back as one row with ``error`` set and the other
+columns NULL where unknown (F7), and reading goes on behind it. ``rec_offset``
+and ``rec_index`` (place within a gzip member) together are unique in a file.
+
+Members are inflated and records framed in pieces of bounded size; only the
+kept part of a body is held. Files are opened with ``pyarrow.fs``, so local
+paths, HDFS and object stores (``s3a://`` and other Hadoop names) work alike. The writer (``df.write.format("webarchive")``) emits
 one ``.warc.gz`` (and, for rows with ``format = 'arc'``, one ``.arc.gz``)
 per task, one gzip member per record; it exists to build test archives.
 """
 
 from __future__ import annotations
 
-import fnmatch
 import gzip
 import io
+import json
 import re
 import uuid
 import zlib
@@ -56,62 +63,125 @@ from pyspark.sql.datasource import (DataSource, DataSourceReader, DataSourceWrit
                                     InputPartition, IsNotNull, IsNull, StringStartsWith,
                                     WriterCommitMessage)
 
-RECORD_SCHEMA = ("file string, rec_offset long, format string, record_type string, url string, "
+RECORD_SCHEMA = ("file string, rec_offset long, rec_index int, format string, record_type string, url string, "
                  "date_raw string, http_head string, content binary, error string")
-FIELDS = ["file", "rec_offset", "format", "record_type", "url", "date_raw", "http_head", "content", "error"]
+FIELDS = ["file", "rec_offset", "rec_index", "format", "record_type", "url", "date_raw", "http_head", "content", "error"]
 
 GZIP_MAGIC = b"\x1f\x8b\x08"
 CHUNK = 1 << 20
-PROBE_BYTES = 1 << 16
+INFLATE_PIECE = 1 << 18   # most bytes inflated at once
+DEFLATE_PIECE = 1 << 14   # bytes read at once
 DEFAULT_SPLIT = 128 << 20
 DEFAULT_OPEN_COST = 4 << 20
 BATCH_ROWS = 1024
 BATCH_BYTES = 64 << 20
-# Bytes of WARC + HTTP header kept on top of maxContentBytes.
-HEADER_ALLOWANCE = 256 << 10
+# Longest record header or HTTP head that is looked for.
+HEADER_LIMIT = 1 << 20
 # Columns the reader can evaluate pushed predicates on.
 PUSHABLE = {"file", "format", "record_type", "url"}
 
 
 # ---- file system ----------------------------------------------------------------
 
+# Hadoop's names of stores that pyarrow knows by another one.
+SCHEME_ALIASES = {"s3a": "s3", "s3n": "s3"}
+LIST_THREADS = 16
+
+
 def _fs_and_path(uri: str):
+    """(pyarrow file system, path in it) of a local path or a Hadoop-style URI:
+    file, hdfs, viewfs, s3, s3a, gs, abfs, abfss."""
     from pyarrow import fs as pafs
     if uri.startswith("file:") and not uri.startswith("file://"):
         uri = "file://" + uri[len("file:"):]
+    scheme, sep, rest = uri.partition("://")
+    if sep and scheme in SCHEME_ALIASES:
+        uri = f"{SCHEME_ALIASES[scheme]}://{rest}"
     return pafs.FileSystem.from_uri(uri)
 
 
+def glob_regex(pattern: str) -> re.Pattern:
+    """Hadoop's glob as a regular expression over whole paths: ``*`` and ``?``
+    stay within a name, ``[a-c]`` and ``[^a]`` are classes, ``{a,b}`` are
+    alternatives, a backslash quotes. What lies below a match matches too."""
+    out, i, braces = [], 0, 0
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "*":
+            out.append("[^/]*")
+        elif c == "?":
+            out.append("[^/]")
+        elif c == "[" and "]" in pattern[i + 2:]:
+            end = pattern.index("]", i + 2)
+            body = pattern[i + 1: end]
+            neg = body[0] in "^!"
+            out.append("[" + ("^/" if neg else "") + re.escape(body[neg:]).replace(r"\-", "-") + "]")
+            i = end
+        elif c == "{":
+            out.append("(?:")
+            braces += 1
+        elif c == "}" and braces:
+            out.append(")")
+            braces -= 1
+        elif c == "," and braces:
+            out.append("|")
+        elif c == "\\" and i + 1 < len(pattern):
+            i += 1
+            out.append(re.escape(pattern[i]))
+        else:
+            out.append(re.escape(c))
+        i += 1
+    return re.compile("".join(out) + "(?:/.*)?")
+
+
+def _files_below(fs, root: str) -> list:
+    """All files below ``root``, its subfolders listed side by side."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyarrow import fs as pafs
+    files, folders = [], [root]
+    with ThreadPoolExecutor(LIST_THREADS) as pool:
+        while folders:
+            found = [i for infos in pool.map(lambda d: fs.get_file_info(pafs.FileSelector(d)), folders) for i in infos
+                     if not i.base_name.startswith((".", "_"))]  # hidden, as in Spark's file sources
+            files += [i for i in found if i.type == pafs.FileType.File]
+            folders = [i.path for i in found if i.type == pafs.FileType.Directory]
+    return files
+
+
 def list_files(paths: list[str]) -> list[tuple[str, int]]:
-    """(uri, size) of archive files under each path (file, directory or glob)."""
+    """(uri, size) of the archive files under each path (file, folder or glob).
+    A path or glob that matches nothing is an error, as in Spark's file sources."""
     from pyarrow import fs as pafs
-    out = []
+    out = set()
     for p in paths:
-        has_glob = any(c in p for c in "*?[")
-        base = p
-        if has_glob:
-            base = p[:min(p.find(c) for c in "*?[" if c in p)].rsplit("/", 1)[0]
+        base, pattern = p, None
+        if (at := min((p.find(c) for c in "*?[{" if c in p), default=-1)) >= 0 and not _exists(p):
+            base, pattern = p[:at].rsplit("/", 1)[0], glob_regex(p.split("://")[-1] if "://" in p else p)
         fs, root = _fs_and_path(base)
         prefix = base[: len(base) - len(root)] if base.endswith(root) else ""
         info = fs.get_file_info(root)
-        if info.type == pafs.FileType.File:
-            infos = [info]
-        elif info.type == pafs.FileType.Directory:
-            infos = [i for i in fs.get_file_info(pafs.FileSelector(root, recursive=True))
-                     if i.type == pafs.FileType.File]
-        elif has_glob:
-            infos = []
+        if info.type == pafs.FileType.Directory:
+            infos = _files_below(fs, root)
         else:
+            infos = [info] if info.type == pafs.FileType.File and pattern is None else []
+        found = [(prefix + i.path, i.size) for i in infos]
+        if pattern is not None:
+            found = [x for x in found if pattern.fullmatch(x[0].split("://")[-1])]
+        if not found and (pattern is not None or info.type == pafs.FileType.NotFound):
             raise FileNotFoundError(f"archive path does not exist: {p}")
-        for i in infos:
-            uri = prefix + i.path
-            rel = i.path[len(root):] if i.path.startswith(root) else i.path
-            if any(part.startswith((".", "_")) for part in rel.split("/") if part):
-                continue  # hidden, as in Spark's file sources (staging, _SUCCESS)
-            if has_glob and not fnmatch.fnmatch(uri, p):
-                continue
-            out.append((uri, i.size))
-    return sorted(set(out))
+        out.update(found)
+    return sorted(out)
+
+
+def _exists(p: str) -> bool:
+    """True for a file whose name holds glob characters."""
+    from pyarrow import fs as pafs
+    try:
+        fs, root = _fs_and_path(p)
+        return fs.get_file_info(root).type != pafs.FileType.NotFound
+    except (ValueError, OSError):
+        return False
 
 
 def archive_format(name: str) -> str:
@@ -167,90 +237,7 @@ def plan_partitions(files: list[tuple[str, int]], split: int, open_cost: int) ->
     return big + packed
 
 
-# ---- record parsing -----------------------------------------------------------------
-
-_WARC_START = re.compile(rb"^WARC/[0-9]")
-# ARC header line: URL, IP, 12/14-digit date (or '-'), ..., length.
-_ARC_LINE = re.compile(rb"^[^ \r\n]+ [^ \r\n]+ (?:[0-9]{12,14}|-) (?:[^\r\n]* )?[0-9]+\r?$")
-
-
-def _looks_like_record(data: bytes, fmt: str) -> bool:
-    if fmt == "warc":
-        return bool(_WARC_START.match(data))
-    nl = data.find(b"\n")
-    return nl > 0 and bool(_ARC_LINE.match(data[:nl]))
-
-
-def _split_http(block: bytes) -> tuple[str | None, bytes]:
-    """HTTP head (through its last header line) and body, split at the first
-    blank line. A malformed status line is kept as is; the status column
-    then comes out NULL and the record is quarantined downstream."""
-    i = block.find(b"\r\n\r\n")
-    if i >= 0:
-        return block[: i + 2].decode("latin-1"), block[i + 4:]
-    i = block.find(b"\n\n")
-    if i >= 0:
-        return block[: i + 1].decode("latin-1"), block[i + 2:]
-    return None, block
-
-
-def parse_warc(data: bytes, pos: int = 0):
-    """Records in ``data`` from ``pos``: yields (record dict, next pos)."""
-    while pos < len(data):
-        while data.startswith(b"\r\n", pos):
-            pos += 2
-        if pos >= len(data):
-            return
-        head_end = data.find(b"\r\n\r\n", pos)
-        if not data.startswith(b"WARC/", pos) or head_end < 0:
-            raise ValueError("not a WARC record header")
-        headers = {}
-        for line in data[pos:head_end].split(b"\r\n")[1:]:
-            k, sep, v = line.partition(b":")
-            if sep:
-                headers[k.strip().lower().decode("latin-1")] = v.strip().decode("utf-8", "replace")
-        length = int(headers.get("content-length", "0"))
-        block = data[head_end + 4: head_end + 4 + length]
-        rtype = headers.get("warc-type")
-        is_http = (rtype in ("response", "request", "revisit")
-                   or headers.get("content-type", "").lower().startswith("application/http"))
-        head, body = _split_http(block) if is_http else (None, block)
-        pos = head_end + 4 + length
-        yield {"format": "warc", "record_type": rtype, "url": headers.get("warc-target-uri"),
-               "date_raw": headers.get("warc-date"), "http_head": head, "content": body}, pos
-
-
-def parse_arc(data: bytes, pos: int = 0):
-    """ARC v1/v2 records: header line whose last field is the length."""
-    while pos < len(data):
-        while data.startswith(b"\n", pos):
-            pos += 1
-        if pos >= len(data):
-            return
-        nl = data.find(b"\n", pos)
-        if nl < 0:
-            raise ValueError("truncated ARC header")
-        fields = data[pos:nl].decode("utf-8", "replace").split(" ")
-        if len(fields) < 5:
-            raise ValueError("bad ARC header line")
-        length = int(fields[-1])
-        block = data[nl + 1: nl + 1 + length]
-        url = fields[0]
-        date = fields[2] if fields[2] not in ("", "-") else None
-        if url.startswith("filedesc://"):
-            head, body = None, block
-        else:
-            head, body = _split_http(block)
-        pos = nl + 1 + length
-        yield {"format": "arc", "record_type": None, "url": url, "date_raw": date,
-               "http_head": head, "content": body}, pos
-
-
-def _parse(data: bytes, fmt: str):
-    return parse_arc(data) if fmt == "arc" else parse_warc(data)
-
-
-# ---- gzip member walking --------------------------------------------------------------
+# ---- byte streams ------------------------------------------------------------------
 
 class _Reader:
     """Positional reads through one buffered window, so walking many small
@@ -271,13 +258,235 @@ class _Reader:
         return self.buf[off: off + n]
 
 
-def _valid_member_at(r: _Reader, pos: int, fmt: str) -> bool:
-    d = zlib.decompressobj(31)
+class _Stream:
+    """Bytes handed out in order. ``failure`` says why they ended early."""
+
+    def __init__(self):
+        self.buf, self.failure, self.ended = bytearray(), None, False
+
+    def _more(self) -> bytes:
+        raise NotImplementedError
+
+    def _fill(self, n: int) -> bool:
+        """Buffers ``n`` bytes if there are as many."""
+        while len(self.buf) < n and not self.ended:
+            piece = self._more()
+            if piece:
+                self.buf += piece
+        return len(self.buf) >= n
+
+    def peek(self, n: int) -> bytes:
+        self._fill(n)
+        return bytes(self.buf[:n])
+
+    def take(self, n: int) -> bytes:
+        """The next ``n`` bytes, fewer if the stream ends."""
+        self._fill(n)
+        out = bytes(self.buf[:n])
+        del self.buf[:n]
+        return out
+
+    def skip(self, n: int) -> int:
+        """Drops up to ``n`` bytes; returns how many there were."""
+        left = n
+        while left:
+            if not self.buf and not self._fill(1):
+                break
+            k = min(left, len(self.buf))
+            del self.buf[:k]
+            left -= k
+        return n - left
+
+    def until(self, sep: bytes, most: int) -> bytes | None:
+        """Bytes up to and with ``sep`` if it ends within ``most`` bytes; else None, nothing taken."""
+        seen = 0
+        while True:
+            i = self.buf.find(sep, max(0, seen - len(sep) + 1), most)
+            if i >= 0:
+                return self.take(i + len(sep))
+            seen = len(self.buf)
+            if seen >= most or not self._fill(min(most, max(2 * seen, 1024))) and len(self.buf) == seen:
+                return None
+
+    def drain(self) -> None:
+        while self.skip(CHUNK) == CHUNK:
+            pass
+
+
+class _Member(_Stream):
+    """One gzip member, inflated in pieces of bounded size."""
+
+    def __init__(self, r: _Reader, pos: int):
+        super().__init__()
+        self.r, self.at, self.d = r, pos, zlib.decompressobj(31)
+
+    def _inflate(self, data: bytes) -> bytes:
+        before = self.d.copy()
+        try:
+            return self.d.decompress(data, INFLATE_PIECE)
+        except zlib.error as e:
+            self.failure, self.ended = f"corrupt gzip member: {e}", True
+        # what comes before the bad byte is still good
+        out = bytearray()
+        try:
+            for i in range(len(data)):
+                out += before.decompress(data[i: i + 1])
+        except zlib.error:
+            pass
+        return bytes(out)
+
+    def _more(self) -> bytes:
+        if self.d.eof:
+            self.ended = True
+            return b""
+        data = self.d.unconsumed_tail
+        if not data:
+            data = self.r.read(self.at, DEFLATE_PIECE)
+            self.at += len(data)
+            if not data:
+                self.failure, self.ended = "truncated gzip member", True
+                return b""
+        return self._inflate(data)
+
+    def next_pos(self) -> int | None:
+        """Where the next member starts; None if this one broke off."""
+        self.drain()
+        return None if self.failure else self.at - len(self.d.unused_data)
+
+
+class _Plain(_Stream):
+    """An uncompressed file from ``pos`` on; skipping does not read."""
+
+    def __init__(self, r: _Reader, pos: int):
+        super().__init__()
+        self.r, self.at = r, pos
+
+    def _more(self) -> bytes:
+        data = self.r.read(self.at, DEFLATE_PIECE)
+        self.at += len(data)
+        self.ended = not data
+        return data
+
+    def skip(self, n: int) -> int:
+        k = min(n, len(self.buf))
+        del self.buf[:k]
+        far = min(n - k, self.r.size - self.at)
+        self.at += far
+        return k + far
+
+    def pos(self) -> int:
+        return self.at - len(self.buf)
+
+
+# ---- records -------------------------------------------------------------------------
+
+class _Unparseable(Exception):
+    pass
+
+
+_WARC_LENGTH = re.compile(rb"(?im)^content-length:[ \t]*([0-9]+)[ \t]*\r?$")
+# ARC header line: URL, more fields, length.
+_ARC_LINE = re.compile(rb"^[^ \r\n]+ (?:[^\r\n]* )?[0-9]+\r?$")
+
+
+def _warc_header(s: _Stream) -> tuple[dict, int]:
+    raw = s.until(b"\r\n\r\n", HEADER_LIMIT)
+    if raw is None or not raw.startswith(b"WARC/"):
+        raise _Unparseable("not a WARC record header")
+    headers = {}
+    for line in raw.split(b"\r\n")[1:]:
+        k, sep, v = line.partition(b":")
+        if sep:
+            headers[k.strip().lower().decode("latin-1")] = v.strip().decode("utf-8", "replace")
+    try:
+        length = int(headers.get("content-length", "0"))
+    except ValueError:
+        raise _Unparseable("bad Content-Length") from None
+    rtype = headers.get("warc-type")
+    http = rtype in ("response", "request", "revisit") or headers.get("content-type", "").lower().startswith("application/http")
+    return {"format": "warc", "record_type": rtype, "url": headers.get("warc-target-uri"),
+            "date_raw": headers.get("warc-date"), "http": http}, length
+
+
+def _arc_header(s: _Stream) -> tuple[dict, int]:
+    raw = s.until(b"\n", HEADER_LIMIT)
+    fields = raw.rstrip(b"\r\n").decode("utf-8", "replace").split(" ") if raw is not None else []
+    if len(fields) < 5 or not fields[-1].isdigit():
+        raise _Unparseable("bad ARC header line")
+    url = fields[0]
+    return {"format": "arc", "record_type": None, "url": url, "date_raw": fields[2] if fields[2] not in ("", "-") else None,
+            "http": not url.startswith("filedesc://")}, int(fields[-1])
+
+
+def _http_head(s: _Stream, length: int) -> tuple[str | None, int]:
+    """The HTTP head through its last header line, and the bytes taken for
+    it. Without a blank line within the header limit there is none. A malformed
+    status line is kept as is; its status comes out NULL and the record is
+    quarantined downstream."""
+    most = min(length, HEADER_LIMIT)
+    probe = s.peek(min(most, 4096))
+    if probe.find(b"\n\r\n") < 0 and probe.find(b"\n\n") < 0 and most > len(probe):
+        probe = s.peek(most)
+    crlf, lf = probe.find(b"\r\n\r\n"), probe.find(b"\n\n")
+    if crlf >= 0:
+        s.skip(crlf + 4)
+        return probe[: crlf + 2].decode("latin-1"), crlf + 4
+    if lf >= 0:
+        s.skip(lf + 2)
+        return probe[: lf + 1].decode("latin-1"), lf + 2
+    return None, 0
+
+
+def _record(s: _Stream, fmt: str, cap: int | None) -> dict:
+    """The record at the stream's position. At most ``cap`` bytes of its body are
+    kept, the rest is passed over. A record that breaks off carries ``error``."""
+    rec, length = _arc_header(s) if fmt == "arc" else _warc_header(s)
+    head, used = _http_head(s, length) if rec.pop("http") else (None, 0)
+    body = length - used
+    keep = body if cap is None else min(body, cap)
+    content = s.take(keep)
+    got = len(content) + s.skip(body - len(content))
+    rec.update(http_head=head, content=content, error=None if got == body else s.failure or "truncated record")
+    return rec
+
+
+def _at_end(s: _Stream) -> bool:
+    """Passes over blank lines between records; True if nothing follows."""
+    while (c := s.peek(1)) in (b"\r", b"\n"):
+        s.skip(1)
+    return not c
+
+
+def _records(s: _Stream, path: str, offset: int, fmt: str, cap: int | None):
+    """Rows of one gzip member: its records, and an error row if it breaks off
+    or holds something else. Records and errors number on in ``rec_index``."""
+    index, told = 0, False
     try:
-        out = d.decompress(r.read(pos, PROBE_BYTES), 4096)
-    except zlib.error:
+        while not _at_end(s):
+            rec = _record(s, fmt, cap)
+            told = rec["error"] is not None
+            yield {**rec, "file": path, "rec_offset": offset, "rec_index": index}
+            index += 1
+    except _Unparseable as e:
+        told = True
+        yield _error_row(path, offset, index, fmt, s.failure or f"unparseable record: {e}")
+        index += 1
+        s.drain()
+    if s.failure and not told:
+        yield _error_row(path, offset, index, fmt, s.failure)
+
+
+# ---- where a range begins ---------------------------------------------------------------
+
+def _valid_member_at(r: _Reader, pos: int, fmt: str) -> bool:
+    """A gzip member that inflates to the beginning of a record."""
+    if r.read(pos, 3) != GZIP_MAGIC:
         return False
-    return len(out) >= 8 and _looks_like_record(out, fmt)
+    s = _Member(r, pos)
+    if fmt == "warc":
+        return bool(re.match(rb"WARC/[0-9]", s.peek(8)))
+    line = s.until(b"\n", HEADER_LIMIT)
+    return line is not None and bool(_ARC_LINE.match(line.rstrip(b"\n")))
 
 
 def sync_to_member(r: _Reader, start: int, end: int, fmt: str) -> int | None:
@@ -299,27 +508,6 @@ def sync_to_member(r: _Reader, start: int, end: int, fmt: str) -> int | None:
     return None
 
 
-def inflate_member(r: _Reader, pos: int, keep: int | None):
-    """Inflate the member at ``pos``. Returns (data, next member offset,
-    error). At most ``keep`` bytes are kept (the rest is inflated and
-    dropped); ``error`` is set for a truncated or corrupt member."""
-    d = zlib.decompressobj(31)
-    out = bytearray()
-    cur = pos
-    while not d.eof:
-        chunk = r.read(cur, CHUNK)
-        if not chunk:
-            return bytes(out), None, "truncated gzip member"
-        try:
-            piece = d.decompress(chunk)
-        except zlib.error as e:
-            return bytes(out), None, f"corrupt gzip member: {e}"
-        if keep is None or len(out) < keep:
-            out += piece if keep is None else piece[: keep - len(out)]
-        cur += len(chunk)
-    return bytes(out), cur - len(d.unused_data), None
-
-
 # ---- reader ----------------------------------------------------------------------------
 
 class _Filters:
@@ -330,10 +518,10 @@ class _Filters:
         self.responses_only = str(options.get("responsesOnly", "false")).lower() == "true"
         self.pushed = pushed
 
+    def pushed_ok(self, rec: dict) -> bool:
+        return all(_eval_pushed(f, rec) for f in self.pushed)
+
     def keep(self, rec: dict) -> bool:
-        for f in self.pushed:
-            if not _eval_pushed(f, rec):
-                return False
         if rec.get("error"):
             return True
         fmt, url, rtype = rec["format"], rec["url"], rec["record_type"]
@@ -403,8 +591,8 @@ class WebArchiveReader(DataSourceReader):
                 yield f
 
     def partitions(self):
-        paths = [p for p in str(self.options.get("path", "")).split(",") if p]
-        paths += [p for p in str(self.options.get("paths", "")).split(",") if p]
+        paths = [self.options["path"]] if self.options.get("path") else []
+        paths += json.loads(self.options.get("paths") or "[]")  # as Spark hands over load([...])
         files = list_files(paths)
         cost = int(self.options.get("openCostInBytes", DEFAULT_OPEN_COST))
         split = split_bytes(files, int(self.options.get("maxPartitionBytes", DEFAULT_SPLIT)), cost,
@@ -417,19 +605,19 @@ class WebArchiveReader(DataSourceReader):
         filters = _Filters(self.options, self.pushed)
         with_content = str(self.options.get("withContent", "true")).lower() != "false"
         cap = self.options.get("maxContentBytes")
-        cap = int(cap) if cap not in (None, "") else None
+        cap = 0 if not with_content else int(cap) if cap not in (None, "") else None
+        keep_filtered = str(self.options.get("keepFiltered", "false")).lower() == "true"
         ignore_corrupt = str(self.options.get("ignoreCorruptFiles", "false")).lower() == "true"
         cols = {k: [] for k in FIELDS}
         nbytes = 0
         for seg in partition.segments:
             for rec in _read_segment(seg, cap, ignore_corrupt):
-                if not filters.keep(rec):
+                if not filters.pushed_ok(rec):
                     continue
-                body = rec.get("content")
-                if not with_content:
-                    body = None
-                elif cap is not None and body is not None:
-                    body = body[:cap]
+                passed = filters.keep(rec)
+                if not passed and not keep_filtered:
+                    continue
+                body = rec.get("content") if with_content and passed else None
                 rec["content"] = body
                 for k in FIELDS:
                     cols[k].append(rec.get(k))
@@ -449,7 +637,7 @@ def _batch(pa, cols):
     global _ARROW_TYPES
     if _ARROW_TYPES is None:
         s, l, b = pa.string(), pa.int64(), pa.binary()
-        _ARROW_TYPES = {"file": s, "rec_offset": l, "format": s, "record_type": s, "url": s,
+        _ARROW_TYPES = {"file": s, "rec_offset": l, "rec_index": pa.int32(), "format": s, "record_type": s, "url": s,
                         "date_raw": s, "http_head": s, "content": b, "error": s}
     return pa.RecordBatch.from_arrays([pa.array(cols[k], type=_ARROW_TYPES[k]) for k in FIELDS], names=FIELDS)
 
@@ -461,7 +649,7 @@ def _read_segment(seg: Segment, cap: int | None, ignore_corrupt: bool):
         f = fs.open_input_file(p)
     except Exception as e:  # noqa: BLE001
         if not ignore_corrupt:
-            yield _error_row(seg.path, seg.start, fmt, f"cannot open: {e}")
+            yield _error_row(seg.path, seg.start, 0, fmt, f"cannot open: {e}")
         return
     with f:
         r = _Reader(f, seg.size)
@@ -472,37 +660,30 @@ def _read_segment(seg: Segment, cap: int | None, ignore_corrupt: bool):
 
 
 def _read_gzip(r: _Reader, seg: Segment, fmt: str, cap: int | None):
-    keep = None if cap is None else cap + HEADER_ALLOWANCE
+    """A range owns the members that start in it and look like a record, and
+    whatever follows them directly and does not: a range after it can only
+    begin at a member that does. So each row is read once, however the file is cut."""
     pos = seg.start if seg.start == 0 else sync_to_member(r, seg.start, seg.end, fmt)
-    while pos is not None and pos < seg.end:
-        data, nxt, err = inflate_member(r, pos, keep)
-        if err is None or data:
-            yield from _records(data, seg.path, pos, fmt, err)
-        if nxt is None:
-            # corrupt or truncated: resume at the next real member, if any
-            nxt = sync_to_member(r, pos + 1, seg.end, fmt)
-        pos = nxt
-
+    while pos is not None and pos < r.size and (pos < seg.end or not _valid_member_at(r, pos, fmt)):
+        s = _Member(r, pos)
+        yield from _records(s, seg.path, pos, fmt, cap)
+        nxt = s.next_pos()
+        # corrupt or truncated: resume at the next real member, if any
+        pos = nxt if nxt is not None else sync_to_member(r, pos + 1, max(seg.end, pos + 1), fmt)
 
-_WARC_LENGTH = re.compile(rb"(?im)^content-length:[ \t]*([0-9]+)")
 
-
-def _plain_warc_record_at(r: _Reader, pos: int) -> int | None:
-    """Length of the WARC record whose header starts at ``pos`` if it is
-    one: a header with a Content-Length, and a block that ends exactly at
+def _plain_warc_record_at(r: _Reader, pos: int) -> bool:
+    """A WARC record header with a Content-Length, and a block that ends exactly at
     a record separator followed by another record or the end of file."""
-    head = r.read(pos, PROBE_BYTES)
-    end = head.find(b"\r\n\r\n")
-    if not head.startswith(b"WARC/1.") or end < 0:
-        return None
-    m = _WARC_LENGTH.search(head[:end])
+    s = _Plain(r, pos)
+    raw = s.until(b"\r\n\r\n", HEADER_LIMIT)
+    if raw is None or not raw.startswith(b"WARC/1."):
+        return False
+    m = _WARC_LENGTH.search(raw)
     if not m:
-        return None
-    stop = pos + end + 4 + int(m.group(1))
-    tail = r.read(stop, 11)
-    if tail[:4] != b"\r\n\r\n" or not (len(tail) == 4 or tail[4:].startswith(b"WARC/")):
-        return None
-    return stop + 4 - pos
+        return False
+    tail = r.read(pos + len(raw) + int(m.group(1)), 9)
+    return tail[:4] == b"\r\n\r\n" and (len(tail) == 4 or tail[4:] == b"WARC/")
 
 
 def sync_to_plain_record(r: _Reader, start: int, end: int) -> int | None:
@@ -518,7 +699,7 @@ def sync_to_plain_record(r: _Reader, start: int, end: int) -> int | None:
             cand = pos + i + 4
             if cand >= end:
                 return None
-            if cand >= start and _plain_warc_record_at(r, cand) is not None:
+            if cand >= start and _plain_warc_record_at(r, cand):
                 return cand
             i = buf.find(b"\r\n\r\nWARC/1.", i + 1)
         pos += max(len(buf) - 16, 1)
@@ -526,54 +707,31 @@ def sync_to_plain_record(r: _Reader, start: int, end: int) -> int | None:
 
 
 def _read_plain(r: _Reader, seg: Segment, fmt: str, cap: int | None):
-    """Uncompressed archive, one record at a time: read the header, then
-    only the kept part of the block, then jump over the rest. A WARC range
-    that does not start at 0 begins at its first validated record; it owns
-    the records that start before its end (S2 for plain files)."""
+    """Uncompressed archive, one record at a time; what is not kept of a block is
+    jumped over. A WARC range owns its records as a gzip range its members.
+    Something that is no record gives one error row, and reading goes on at
+    the next validated record (WARC; an ARC file ends there)."""
     pos = 0 if seg.start == 0 else sync_to_plain_record(r, seg.start, seg.end)
-    limit = min(seg.end, seg.size)
-    while pos is not None and pos < limit:
-        head = r.read(pos, PROBE_BYTES)
-        skip = len(head) - len(head.lstrip(b"\r\n"))
-        pos += skip
-        head = head[skip:]
-        if not head or pos >= limit:
-            return  # the next record starts in the next range
-        try:
-            if fmt == "warc":
-                end = head.find(b"\r\n\r\n")
-                if not head.startswith(b"WARC/") or end < 0:
-                    raise ValueError("not a WARC record header")
-                m = re.search(rb"(?im)^content-length:[ \t]*([0-9]+)", head[:end])
-                length = int(m.group(1)) if m else 0
-                header_len = end + 4
-            else:
-                end = head.find(b"\n")
-                if end < 0:
-                    raise ValueError("truncated ARC header")
-                length = int(head[:end].rsplit(b" ", 1)[-1])
-                header_len = end + 1
-        except ValueError as e:
-            yield _error_row(seg.path, pos, fmt, f"unparseable record: {e}")
+    while pos is not None and pos < r.size:
+        s = _Plain(r, pos)
+        if _at_end(s):
             return
-        keep = length if cap is None else min(length, cap + HEADER_ALLOWANCE)
-        data = head[:header_len] + r.read(pos + header_len, keep)
-        yield from _records(data, seg.path, pos, fmt, None)
-        pos += header_len + length
-
-
-def _records(data: bytes, path: str, offset: int, fmt: str, err: str | None):
-    """Records of one gzip member or one plain record, at ``offset``."""
-    try:
-        for rec, _ in _parse(data, fmt):
-            rec.update(file=path, rec_offset=offset, error=err)
-            yield rec
-    except Exception as e:  # noqa: BLE001
-        yield _error_row(path, offset, fmt, err or f"unparseable record: {e}")
-
-
-def _error_row(path, offset, fmt, msg):
-    return {"file": path, "rec_offset": offset, "format": fmt, "record_type": None, "url": None,
+        pos = s.pos()
+        if pos >= seg.end and (fmt == "arc" or _plain_warc_record_at(r, pos)):
+            return  # the next range begins here
+        try:
+            rec = _record(s, fmt, cap)
+            if fmt == "warc" and rec["error"] is None and s.peek(4) not in (b"\r\n\r\n", b""):
+                raise _Unparseable("block does not end at a record separator")
+            yield {**rec, "file": seg.path, "rec_offset": pos, "rec_index": 0}
+            pos = s.pos()
+        except _Unparseable as e:
+            yield _error_row(seg.path, pos, 0, fmt, f"unparseable record: {e}")
+            pos = sync_to_plain_record(r, pos + 1, max(seg.end, pos + 1)) if fmt == "warc" else None
+
+
+def _error_row(path, offset, index, fmt, msg):
+    return {"file": path, "rec_offset": offset, "rec_index": index, "format": fmt, "record_type": None, "url": None,
             "date_raw": None, "http_head": None, "content": None, "error": msg}
 
 
@@ -713,14 +871,19 @@ def register(spark) -> None:
     spark.dataSource.register(WebArchiveDataSource)
 
 
-def read_archive(spark, path: str, **options):
-    """``spark.read.format("webarchive")`` with the source registered."""
+def read_archive(spark, path: str | list[str], columns: list[str] | None = None, **options):
+    """``spark.read.format("webarchive")`` with the source registered. With
+    ``columns`` only these come back, and bodies are not read unless they are asked for
+    (Python sources get no column pruning from Spark)."""
     register(spark)
     options.setdefault("minPartitions", spark.sparkContext.defaultParallelism)
+    if columns is not None and "content" not in columns:
+        options["withContent"] = "false"
     reader = spark.read.format("webarchive")
     for k, v in options.items():
         reader = reader.option(k, str(v))
-    return reader.load(path)
+    df = reader.load(path)
+    return df.select(*columns) if columns is not None else df
 
 
 def write_archive(records, path: str) -> str:

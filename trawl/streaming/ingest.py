@@ -23,9 +23,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from trawl.plans import jobs
+from trawl.sources import sinks
 from trawl.sources.webarchive import _fs_and_path, read_archive
 
-ARCHIVE_GLOB = "*.gz"
+ARCHIVE_GLOB = "*.{warc,arc,warc.gz,arc.gz}"
+# Older versions of the table that stay.
+KEEP_VERSIONS = 2
 # The binaryFile source's fixed schema (streams must declare it).
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
@@ -51,12 +54,10 @@ def latest_version(table_dir: str) -> str | None:
 def _upsert(spark: SparkSession, docs: DataFrame, table_dir: str, batch_id: int) -> None:
     out = f"{table_dir.rstrip('/')}/v{batch_id:012d}"
     prev = [v for v in _versions(table_dir) if v < f"v{batch_id:012d}"]
-    merged = docs
-    if prev:
-        existing = spark.read.parquet(f"{table_dir.rstrip('/')}/{prev[-1]}")
-        kept = existing.join(docs.select("id"), on="id", how="left_anti")
-        merged = kept.unionByName(docs)
-    merged.write.mode("overwrite").parquet(out)
+    sinks.upsert_documents(spark, docs, out, f"{table_dir.rstrip('/')}/{prev[-1]}" if prev else None, order=())
+    fs, root = _fs_and_path(table_dir)
+    for old in prev[:-KEEP_VERSIONS]:  # a reader may still be on the versions before this one
+        fs.delete_dir(f"{root}/{old}")
 
 
 def start_incremental_index(spark: SparkSession, archive_dir: str, table_dir: str, checkpoint_dir: str,
@@ -78,7 +79,7 @@ def start_incremental_index(spark: SparkSession, archive_dir: str, table_dir: st
         paths = [r["path"] for r in batch.collect()]
         if not paths:
             return
-        records = read_archive(spark, ",".join(paths), **scan_options)
+        records = read_archive(spark, paths, **scan_options)
         _upsert(spark, jobs.documents(records, gazetteer), table_dir, batch_id)
 
     writer = files.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint_dir)
