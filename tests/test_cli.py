@@ -29,3 +29,21 @@ def test_index_and_text_jobs(spark, tmp_path):
     cli.main(["text", "--input", arch, "--domains", lists, "--output", str(tmp_path / "rows"), "--format", "parquet"])
     rows = spark.read.parquet(str(tmp_path / "rows"))
     assert 0 < rows.count() < lines and rows.where("value like '%\n%'").count() == rows.count()
+
+    # the audit counts every record of the scan, whatever dropped it; the fixture has no reader errors
+    audit = {r["reason"]: r["n"] for r in spark.read.json(str(tmp_path / "docs_audit")).collect()}
+    from trawl.operators import stats
+    from trawl.operators.snapshot import to_snapshots
+    from trawl.sources.webarchive import read_archive
+    want = {r["reason"]: r["n"] for r in stats.scan_audit(to_snapshots(read_archive(spark, arch))).collect()}
+    assert {k: v for k, v in audit.items() if v and k != "Quarantined"} == {k: v for k, v in want.items() if v}
+    assert audit["Quarantined"] == spark.read.json(str(tmp_path / "docs_quarantine")).count() > 0
+
+
+def test_damaged_members_reach_the_quarantine(spark, tmp_path):
+    arch = fx.odd_archive(spark, SF_SMALL, str(tmp_path / "odd"), "corrupt")
+    lists = str(tmp_path / "lists")
+    fx.domains(spark, SF_SMALL).write.text(lists)
+    cli.main(["text", "--input", arch, "--domains", lists, "--output", str(tmp_path / "t"), "--per-file", "3"])
+    bad = spark.read.json(str(tmp_path / "t_quarantine"))
+    assert bad.where("quarantine_reason like 'corrupt gzip member%'").count() == 5

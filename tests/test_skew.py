@@ -11,7 +11,7 @@ def _rows(spark, n=30000):
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id").cast("string"))).alias("key"),
         F.when(F.col("id") % 3 == 0, F.lit("big.warc.gz")).otherwise(
             F.concat(F.lit("f"), (F.col("id") % 97).cast("string"))).alias("file"),
-        F.col("id").alias("rec_offset"))
+        F.col("id").alias("rec_offset"), F.lit(0).alias("rec_index"))
     return df.repartition(8)
 
 

@@ -128,7 +128,31 @@ def test_charset_resolution_and_decode(spark):
 
 def test_sniff_ignores_character_split_by_cap(spark):
     body = ("a" * 9 + "é").encode("utf-8")[:10]   # cut inside the 2-byte é
-    assert one(spark, body, http.sniffed_charset, "v binary") == "UTF-8"
+    assert one(spark, body, lambda c: http.sniffed_charset(c, F.lit(True)), "v binary") == "UTF-8"
+    assert one(spark, body, http.sniffed_charset, "v binary") == "WINDOWS-1252"
+    assert one(spark, b"caf\xe9", http.sniffed_charset, "v binary") == "WINDOWS-1252"
+
+
+def test_late_meta_is_found(spark):
+    page = b"<html><!--" + b"x" * 9000 + b"--><meta charset=iso-8859-5>\xd0"
+    assert one(spark, page, http.meta_charset, "v binary") == "ISO-8859-5"
+
+
+@pytest.mark.parametrize("text,expected", [
+    ("M&uuml;nchen &#8211; &#x20AC;", "M\u00fcnchen \u2013 \u20ac"), ("&amp;lt; &amp &copy2 &nosuch; & &#0; &#xD800; &#150;", "&lt; & \u00a92 &nosuch; & \ufffd \ufffd \u2013"),
+    ("&NotEqualTilde;&#128512;", "\u2242\u0338\U0001F600"), ("", ""), ("a&", "a&")])
+def test_character_references(spark, text, expected):
+    assert one(spark, text, H.unescape) == expected
+
+
+@pytest.mark.parametrize("page", ["<" * 1_000_000, "<script>" * 60_000, "<!--" * 120_000, "<a href='x'>" * 40_000, "<title>" * 60_000, "<meta " * 80_000])
+def test_hostile_markup_is_linear(spark, page):
+    import time
+    t = time.time()
+    for fn in (H.title, H.visible_text, H.outlinks, lambda c: F.size(H.raw_blocks(c)), lambda c: F.length(H.anchor_html(c)),
+               lambda c: http.meta_charset(c.cast("binary"))):
+        one(spark, page, fn)
+    assert time.time() - t < 20
 
 
 def test_capture_time_shapes(spark):

@@ -14,34 +14,69 @@ from pyspark.sql import functions as F
 WS = "[ \t\n\r\f]"
 WS_RUN = "[ \t\n\r\f]+"
 
-# Named entities we unescape (the five XML ones and nbsp),
-# in the order they are applied; &amp; goes last so "&amp;lt;" stays "&lt;".
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-            ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
-
-# Elements whose content is never visible text.
-INVISIBLE = (r"(?is)<head(?:[ \t\n\r\f][^>]*)?>.*?</head>|<script[^>]*>.*?</script>"
-             r"|<style[^>]*>.*?</style>|<noscript[^>]*>.*?</noscript>|<!--.*?-->")
+# Elements whose content is never visible text. One that is not closed runs to
+# the end of the page, as in HTML; so no pattern scans a stretch twice.
+INVISIBLE = (r"(?is)<(?:title|script|style|noscript)(?:[ \t\n\r\f][^<>]*)?>.*?(?:</(?:title|script|style|noscript)[ \t\n\r\f]*>|\z)"
+             r"|<!--.*?(?:-->|\z)")
 # Block-level elements: an opening or closing tag of one of these ends a
 # text block.
 BLOCK_TAGS = ("address|article|aside|blockquote|body|dd|div|dl|dt|fieldset|figcaption|figure"
-              "|footer|form|h1|h2|h3|h4|h5|h6|header|hr|html|li|main|nav|ol|p|pre|section"
+              "|footer|form|h1|h2|h3|h4|h5|h6|head|header|hr|html|li|main|nav|ol|p|pre|section"
               "|table|tbody|td|tfoot|th|thead|tr|ul")
-BLOCK_SPLIT = r"(?i)</?(?:" + BLOCK_TAGS + r")(?:[ \t\n\r\f/][^>]*)?>"
-TAG = "<[^>]*>"
-ANCHOR = r"(?is)<a(?:[ \t\n\r\f][^>]*)?>.*?</a>"
-TITLE = r"(?is)<title[^>]*>(.*?)</title>"
-# Absolute http(s) links in a[href].
-LINK = r"(?i)<a[ \t\n\r\f][^>]*href[ \t\n\r\f]*=[ \t\n\r\f]*[\"'](https?://[^\"']+)[\"']"
+BLOCK_SPLIT = r"(?i)</?(?:" + BLOCK_TAGS + r")(?:[ \t\n\r\f/][^<>]*)?>"
+TAG = "<[^<>]*>"
+ANCHOR = r"(?is)<a(?:[ \t\n\r\f][^<>]*)?>.*?(?:</a>|\z)"
+TITLE = r"(?is)<title(?:[ \t\n\r\f][^<>]*)?>(.*?)(?:</title|\z)"
+# Links (P15): whole start tags, then the value of their href, quoted or not.
+A_TAG = r"(?i)<a[ \t\n\r\f][^<>]*>"
+BASE_TAG = r"(?i)<base[ \t\n\r\f][^<>]*>"
+HREF = (r"(?i)[ \t\n\r\f\"']href[ \t\n\r\f]*=[ \t\n\r\f]*(?:\"([^\"]*)\"|'([^']*)'|([^ \t\n\r\f\"'<>]+))")
+
+_SEP, _IS = "\x01", "\x02"
+
+
+def _names() -> str:
+    """All named character references of HTML as one literal for ``str_to_map``:
+    names that need the semicolon are listed without it."""
+    from html.entities import html5
+    return _SEP.join(f"{k.rstrip(';')}{_IS}{v}" for k, v in html5.items() if k.endswith(";"))
+
+
+def _bare_names() -> str:
+    """The old names that are known without a semicolon, longest first."""
+    from html.entities import html5
+    return "|".join(sorted((k for k in html5 if not k.endswith(";")), key=lambda k: (-len(k), k)))
+
+
+def _code_point(n: Column) -> Column:
+    """The character of a numeric reference: 128-159 mean windows-1252, as browsers
+    read them; what is no character becomes U+FFFD."""
+    wide = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    return (F.when((n >= 128) & (n <= 159), F.decode(F.unhex(F.hex(n)), "windows-1252"))
+            .when((n <= 0) | (n > 0x10FFFF) | ((n >= 0xD800) & (n <= 0xDFFF)), F.lit("\ufffd")).otherwise(wide))
+
+
+def _reference(part: Column) -> Column:
+    """What follows an ampersand, with the reference it begins with resolved."""
+    dec = F.regexp_extract(part, r"^#([0-9]{1,9});?", 1)
+    hexa = F.regexp_extract(part, r"^#[xX]([0-9A-Fa-f]{1,7});?", 1)
+    name = F.regexp_extract(part, r"^([A-Za-z][A-Za-z0-9]{1,31});", 1)
+    bare = F.regexp_extract(part, f"^({_bare_names()})", 1)
+    names = F.str_to_map(F.lit(_names()), F.lit(_SEP), F.lit(_IS))
+    rest = lambda pattern: F.regexp_replace(part, pattern, "")
+    named, old = F.element_at(names, name), F.element_at(names, bare)
+    return (F.when(dec != "", F.concat(_code_point(dec.cast("int")), rest(r"^#[0-9]{1,9};?")))
+            .when(hexa != "", F.concat(_code_point(F.conv(hexa, 16, 10).cast("int")), rest(r"^#[xX][0-9A-Fa-f]{1,7};?")))
+            .when((name != "") & named.isNotNull(), F.concat(named, F.substring(part, F.length(name) + 2, F.length(part))))
+            .when(bare != "", F.concat(old, F.substring(part, F.length(bare) + 1, F.length(part))))
+            .otherwise(F.concat(F.lit("&"), part)))
 
 
 def unescape(text: Column) -> Column:
-    """Named entities -> characters. (No ``contains('&')`` guard: inside a
-    lambda it would evaluate ``text`` twice, which costs more than the
-    replace scans it saves.)"""
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    """Character references -> characters: all named ones of HTML, decimal and
+    hexadecimal ones. Each is resolved once (``&amp;lt;`` stays ``&lt;``)."""
+    parts = F.split(text, "&", -1)
+    return F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(_reference(p))), "")
 
 
 def normalise_ws(text: Column) -> Column:
@@ -62,9 +97,42 @@ def visible_text(html: Column) -> Column:
     return normalise_ws(unescape(strip_tags(F.regexp_replace(html, INVISIBLE, " "))))
 
 
+def _href(tag: Column) -> Column:
+    """The href of a start tag, references resolved, trimmed; '' if it has none."""
+    value = F.concat(*[F.regexp_extract(tag, HREF, i) for i in (1, 2, 3)])
+    return F.trim(unescape(value))
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body reads it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def base_parts(base: Column) -> Column:
+    """struct<scheme, host, page, folder> of an absolute http(s) URL; '' where there is none."""
+    host = F.regexp_extract(base, r"^(https?://[^/?#]*)", 1)
+    page = F.regexp_extract(base, r"^(https?://[^?#]*)", 1)
+    return F.struct(F.regexp_extract(base, r"^(https?:)", 1).alias("scheme"), host.alias("host"),
+                    F.when(page == host, F.concat(host, F.lit("/"))).otherwise(page).alias("page"),
+                    F.concat(host, F.coalesce(F.nullif(F.regexp_extract(base, r"^https?://[^/?#]*(/(?:[^?#]*/)?)", 1), F.lit("")), F.lit("/"))).alias("folder"))
+
+
+def resolve(base: Column, link: Column) -> Column:
+    """``link`` against ``base_parts``: absolute links stay, ``//host`` takes the
+    scheme, ``/path`` the host, ``?query`` the page, the rest the folder."""
+    return (F.when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), link).when(base["host"] == "", F.lit(""))
+            .when(link.startswith("//"), F.concat(base["scheme"], link)).when(link.startswith("/"), F.concat(base["host"], link))
+            .when(link.startswith("?"), F.concat(base["page"], link)).otherwise(F.concat(base["folder"], link)))
+
+
 def outlinks(html: Column) -> Column:
-    """Distinct absolute http(s) links of a page, sorted (D15: per page)."""
-    return F.array_sort(F.array_distinct(F.regexp_extract_all(html, F.lit(LINK), F.lit(1))))
+    """Distinct http(s) links of a page, sorted (D15: per page): quoted or not,
+    references resolved, relative ones only against the page's ``<base href>``."""
+    base = _href(F.concat(F.lit(" "), F.regexp_extract(html, BASE_TAG, 0)))
+    found = F.transform(F.regexp_extract_all(html, F.lit(A_TAG), F.lit(0)), lambda t: _href(t))
+    found = F.array_distinct(F.filter(found, lambda v: v != ""))
+    full = _let(_let(base, base_parts), lambda b: F.transform(found, lambda v: resolve(b, v)))
+    return F.array_sort(F.array_distinct(F.filter(full, lambda v: v.rlike("(?i)^https?://"))))
 
 
 def raw_blocks(html: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values.
-# Content cap applied by both reference jobs before decoding: 1 MiB.
+# Content cap that both reference jobs apply before decoding: 1 MiB. Ours is an option.
 CONTENT_CAP_BYTES = 1024 * 1024
 # MIME placeholder when the response has no Content-Type (our definition).
 NO_TYPE = "no-type"
@@ -111,7 +111,7 @@ def ts14(ts: Column) -> Column:
     return F.date_format(ts, "yyyyMMddHHmmss")
 
 
-def cap_content(content: Column, max_bytes: int = CONTENT_CAP_BYTES) -> Column:
+def cap_content(content: Column, max_bytes: int) -> Column:
     """P10: first ``max_bytes`` bytes of the body, before decoding."""
     return F.substring(content, 1, max_bytes)
 
@@ -128,28 +128,31 @@ def header_charset(content_type: Column) -> Column:
 
 
 def meta_charset(content: Column) -> Column:
-    """Charset declared by a <meta> tag in the first 4 KiB of the body."""
-    head = F.decode(F.substring(content, 1, 4096), "ISO-8859-1")
-    cs = F.regexp_extract(head, r"(?i)<meta[^>]+charset[ \t]*=[ \t]*[\"']?([-_.:A-Za-z0-9]+)", 1)
+    """Charset declared by a <meta> tag anywhere in the body."""
+    text = F.decode(content, "ISO-8859-1")
+    cs = F.regexp_extract(text, r"(?i)<meta[^<>]+charset[ \t]*=[ \t]*[\"']?([-_.:A-Za-z0-9]+)", 1)
     return _normalise_charset(F.when(cs != "", cs))
 
 
-def sniffed_charset(content: Column) -> Column:
-    """UTF-8 if the bytes are valid UTF-8, else windows-1252. Up to three
-    trailing bytes are ignored, since the 1 MiB cut can split a character."""
-    n = F.length(content)
-    trimmed = F.substring(content, 1, F.greatest(n - 3, F.lit(0)))
-    valid = F.is_valid_utf8(F.when(n > 3, trimmed).otherwise(content).cast("string"))
+def sniffed_charset(content: Column, cut: Column | None = None) -> Column:
+    """UTF-8 if the bytes are valid UTF-8, else windows-1252. Where the body was
+    ``cut`` (P10), a character that the cut split may be missing its end."""
+    valid = F.is_valid_utf8(content.cast("string"))
+    if cut is not None:
+        n = F.length(content)
+        for k in (1, 2, 3):  # the last k bytes begin a longer character
+            lead = F.hex(F.substring(content, n - k + 1, F.lit(1))) >= "C2"
+            valid = valid | (cut & (n >= k) & lead & F.is_valid_utf8(F.substring(content, F.lit(1), n - k).cast("string")))
     return F.when(valid, F.lit("UTF-8")).otherwise(F.lit("WINDOWS-1252"))
 
 
-def resolve_charset(content_type: Column, content: Column) -> Column:
+def resolve_charset(content_type: Column, content: Column, cut: Column | None = None) -> Column:
     """Header charset; else for HTML a <meta> charset, then byte
     sniffing; everything else UTF-8."""
     is_html = F.lower(F.coalesce(content_type, F.lit(""))).contains("html")
     return F.coalesce(
         header_charset(content_type),
-        F.when(is_html, F.coalesce(meta_charset(content), sniffed_charset(content))),
+        F.when(is_html, F.coalesce(meta_charset(content), sniffed_charset(content, cut))),
         F.lit("UTF-8"),
     )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,16 +39,98 @@ def date_mention(text: Column) -> Column:
     return F.coalesce(*[F.when(h != "", h) for h in hits])
 
 
-# Strict shapes tried after every separator is turned into
-# '-' (P19, D8). Year-month mentions have no day and stay NULL.
-NORMALISE_PATTERNS = ["dd-MM-yyyy", "yyyy-MM-dd", "yyyyMMdd"]
+# The date patterns of P19, in order.
+NORMALISE_PATTERNS = [
+    "yyyy/MM/dd HH:mm:ss",
+    "yyyy/MM/dd",
+    "yyyy/MM/dd HH:mm:ss",
+    "EEE, MMM d, yyyy",
+    "yyyy-MM-dd'T'HH:mm:ss.SSSZ",
+    "EEE, MMM. dd, yyyy",
+    "EEE, MMM dd, yyyy",
+    "yyyyMMdd",
+    "EEEEE d MMM yyyy",
+    "EEEEE, MMM. dd, yyyy",
+    "dd MMM yyyy",
+    "yyyy-MM-dd HH:mm:ss",
+    "MMM dd, yyyy, HH:mm a",
+    "dd.MM.yyyy",
+    "MMM dd, yyyy, H:mm a",
+    "MMMMM dd, yyyy, HH:mm a",
+    "MMMMM dd, yyyy, H:mm a",
+    "MMM. dd, yyyy",
+    "MMMMM dd, yyyy",
+    "EEEEE, MMM. dd, yyyy",
+    "EEE, dd MMM yyyy HH:mm:ss z",
+    "MMMM dd, yyyy",
+    "MMMM dd, yyyy HH:mm a",
+    "EEE MMMM dd HH:mm:ss z yyyy",
+    "dd/MM/yyyy",
+    "dd-MM-yyyy",
+]
+# Shapes of a mention (P18) once every separator is '-' (D8). Year-month mentions have
+# no day and stay NULL.
+MENTION_SHAPES = ["dd-MM-yyyy", "yyyy-MM-dd", "yyyyMMdd"]
+# Zone names and their offsets.
+ZONES = {"Z": "+00:00", "UT": "+00:00", "UTC": "+00:00", "GMT": "+00:00", "EST": "-05:00", "EDT": "-04:00", "CST": "-06:00",
+         "CDT": "-05:00", "MST": "-07:00", "MDT": "-06:00", "PST": "-08:00", "PDT": "-07:00", "WET": "+00:00", "CET": "+01:00",
+         "CEST": "+02:00", "MEZ": "+01:00", "MESZ": "+02:00", "EET": "+02:00", "EEST": "+03:00"}
+_WEEKDAY = r"^(?i:mon|tues?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:day)?[., ]+"
+# A pattern letter run to what it matches; a run of another length falls back to its first letter.
+_FIELDS = {"yyyy": "[0-9]{4}", "MM": "[0-9]{2}", "M": "[A-Za-z]+", "d": "[0-9]{1,2}", "H": "[0-9]{1,2}", "mm": "[0-9]{2}", "ss": "[0-9]{2}",
+           "SSS": "[0-9]{3}", "a": "[AaPp][Mm]", "Z": "Z|[+-][0-9]{2}:?[0-9]{2}", "z": "[A-Za-z]{1,5}|(?:GMT)?[+-][0-9]{2}:?[0-9]{2}"}
+
+
+def _shape(pattern: str) -> tuple[str, list[str]]:
+    """A date pattern as (regex over a whole text without weekday, field letters by group)."""
+    pattern = re.sub(r"^E+,? ", "", pattern)
+    out, fields = ["^"], []
+    for m in re.finditer(r"'([^']*)'|(([A-Za-z])\3*)|(.)", pattern):
+        quoted, run, other = m[1], m[2], m[4]
+        if run:
+            fields.append("MM" if run == "MM" else run[0] if run != "SSS" else "S")
+            out.append(f"({_FIELDS.get(run, _FIELDS.get(run[0], ''))})")
+        else:
+            out.append(re.escape(quoted or other).replace("\\ ", " +").replace("\\/", "/"))
+    return "".join(out) + "$", fields
+
+
+def _strict(text: Column, pattern: str) -> Column:
+    """Timestamp (UTC) of a text that a date pattern matches as a whole; no calendar date: NULL."""
+    regex, fields = _shape(pattern)
+    part = lambda f: F.regexp_extract(text, regex, fields.index(f) + 1)
+    month = part("MM").try_cast("int") if "MM" in fields else _month_by_name(part("M"))
+    hour = part("H").try_cast("int") if "H" in fields else F.lit(0)
+    if "a" in fields:  # a 12-hour clock, whatever the letter says; 13-23 stay as they are
+        hour = F.when((hour >= 1) & (hour <= 12), (hour % 12) + F.when(F.upper(part("a")) == "PM", 12).otherwise(0)).otherwise(hour)
+    minute = part("m").try_cast("int") if "m" in fields else F.lit(0)
+    second = part("s") if "s" in fields else F.lit("0")
+    if "S" in fields:
+        second = F.concat(second, F.lit("."), part("S"))
+    args = [part("y").try_cast("int"), month, part("d").try_cast("int"), hour, minute, second.try_cast("decimal(16,6)")]
+    zone = next((f for f in ("Z", "z") if f in fields), None)
+    if zone:
+        name = F.upper(part(zone))
+        known = F.element_at(F.create_map(*[F.lit(x) for kv in ZONES.items() for x in kv]), name)
+        offset = F.regexp_replace(name, "^(?:GMT)?([+-][0-9]{2}):?([0-9]{2})$", "$1:$2")
+        args.append(F.when(known.isNotNull(), known).when(offset.rlike("^[+-](0[0-9]|1[0-3]):[0-5][0-9]$"), offset))
+    return F.when(text.rlike(regex), F.call_function("try_make_timestamp", *args))
 
 
 def date_normalise(mention: Column) -> Column:
-    """P19, strict: 14-digit string of the first shape that parses the whole
-    mention; invalid calendar dates and partial shapes -> NULL."""
-    m = F.regexp_replace(mention, "[- /.]", "-")
-    parsed = F.coalesce(*[F.try_to_timestamp(m, F.lit(p)) for p in NORMALISE_PATTERNS])
+    """P19, strict: 14-digit UTC string of the first pattern that parses the whole
+    text; invalid calendar dates and partial shapes -> NULL. A weekday in front is
+    dropped, not checked. A mention of P18 may use any separator."""
+    bare = F.trim(mention)
+    dashed = F.regexp_replace(bare, "[- /.]", "-")
+    shapes = [F.when(F.length(dashed) == len(p), F.try_to_timestamp(dashed, F.lit(p))) for p in MENTION_SHAPES]
+    plain = list(dict.fromkeys(NORMALISE_PATTERNS))
+    timed = [p for p in plain if re.fullmatch("[yMdHms/: -]+", p) and "H" in p]
+    words = [p for p in plain if re.search("MMM|E|'", p)]
+    named = F.regexp_replace(bare, _WEEKDAY, "")
+    parsed = (F.when(F.length(bare) <= 10, F.coalesce(*shapes))
+              .otherwise(F.coalesce(*[_strict(bare, p) for p in timed])))
+    parsed = F.when(bare.rlike("[A-Za-z]"), F.coalesce(*[_strict(named, p) for p in words])).otherwise(parsed)
     return F.date_format(parsed, "yyyyMMddHHmmss")
 
 
@@ -86,19 +170,31 @@ def _month_by_name(name: Column) -> Column:
     return F.element_at(F.create_map(*pairs), F.lower(name))
 
 
-def _attempt(text: Column, regex: str, fields: str) -> Column:
-    """Parse of one P20 pattern: the regex runs once for the matched prefix;
-    its fields are the prefix's separator-delimited parts (by position for
-    the abutting ``yyyyMMdd``)."""
-    names = fields.split()
-    prefix = F.regexp_extract(text, regex, 0)
-    if "[0-9]{4})([0-9]{2})([0-9]{2})" in regex:
-        parts = [F.substring(prefix, 1, 4), F.substring(prefix, 5, 2), F.substring(prefix, 7, 2)]
-    else:
-        split = F.split(prefix, "[^0-9A-Za-z]+")
-        parts = [F.get(split, i) for i in range(len(names))]
+# The distinct shapes of the list: several patterns read the same one.
+LASTWINS_SHAPES = list(dict.fromkeys(regex for _, regex, _ in LASTWINS_PATTERNS))
+_ABUTTING = "([0-9]{4})([0-9]{2})([0-9]{2})"
+
+
+def lastwins_parts(text: Column) -> Column:
+    """array<array<string>>: for each distinct shape the fields of the text's prefix
+    (NULL where the shape does not match). One regex a shape; make it a column of
+    its own before ``lastwins_attempts`` reads it."""
+    def parts(regex):
+        prefix = F.regexp_extract(text, regex, 0)
+        if _ABUTTING in regex:
+            fields = F.array(F.substring(prefix, 1, 4), F.substring(prefix, 5, 2), F.substring(prefix, 7, 2))
+        else:
+            fields = F.split(prefix, "[^0-9A-Za-z]+")
+        return F.when(prefix != "", fields)
+
+    return F.array(*[parts(r) for r in LASTWINS_SHAPES])
+
+
+def _attempt(fields: Column, names: list[str]) -> Column:
+    """Parse of one P20 pattern from the fields of its shape."""
     got = {}
-    for name, raw in zip(names, parts):
+    for i, name in enumerate(names):
+        raw = F.get(fields, i)
         if name == "a":
             got[name] = F.upper(raw)
         elif name == "MMM":
@@ -112,16 +208,16 @@ def _attempt(text: Column, regex: str, fields: str) -> Column:
         hour = F.when((h >= 1) & (h <= 12), (h % 12) + F.when(got["a"] == "PM", 12).otherwise(0))
     minute = got.get("m", F.lit(0))
     second = got.get("s", F.lit(0))
-    return F.when(prefix != "", F.call_function("try_make_timestamp", got["y"], got["M"], got["d"], hour, minute,
-                                                second.cast("decimal(16,6)")))
+    return F.when(fields.isNotNull(), F.call_function("try_make_timestamp", got["y"], got["M"], got["d"], hour, minute,
+                                                      second.cast("decimal(16,6)")))
 
 
-def lastwins_attempts(text: Column) -> Column:
-    """array<timestamp>: the parse of each P20 pattern in list order (NULL
-    where it fails). Compute it once into a column, then read both the
+def lastwins_attempts(parts: Column) -> Column:
+    """array<timestamp>: the parse of each P20 pattern in list order (NULL where it
+    fails) from ``lastwins_parts``. Compute it once into a column, then read both the
     value and the winning pattern from it (``lastwins_value`` /
     ``lastwins_pattern``)."""
-    return F.array(*[_attempt(text, regex, fields) for _, regex, fields in LASTWINS_PATTERNS])
+    return F.array(*[_attempt(F.get(parts, LASTWINS_SHAPES.index(regex)), fields.split()) for _, regex, fields in LASTWINS_PATTERNS])
 
 
 def _last_index(attempts: Column) -> Column:
@@ -145,8 +241,8 @@ def lastwins_pattern(attempts: Column) -> Column:
 
 
 def date_lastwins(text: Column) -> Column:
-    return lastwins_value(lastwins_attempts(text))
+    return lastwins_value(lastwins_attempts(lastwins_parts(text)))
 
 
 def date_lastwins_pattern(text: Column) -> Column:
-    return lastwins_pattern(lastwins_attempts(text))
+    return lastwins_pattern(lastwins_attempts(lastwins_parts(text)))

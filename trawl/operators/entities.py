@@ -1,14 +1,16 @@
 """Dictionary entity annotation.
 
 The reference sends each article to a remote entity-linking service. We
-re-aim it as a join of the article's word n-grams (1-3 tokens, lower-case)
-against a gazetteer ``(spot, title, rho)``: the longest spot starting at a
-position wins, then mentions with rho >= 0.3 are kept, in text order.
-
-Plan: n-grams are generated and exploded inside the scan stage, the
-gazetteer is broadcast when a bounded count shows it small (shuffle join
-otherwise), and only the matched mentions -- a small fraction of the
-n-grams -- are shuffled to be regrouped per document.
+re-aim it as a join of the article's word n-grams (lower-case runs of letters
+and digits) against a gazetteer ``(spot, title, rho)``: the longest spot
+starting at a position wins, of its titles the one with the greatest rho,
+and mentions with rho >= 0.3 are kept, in text order.
+
+Plan: n-grams of the lengths that occur in the gazetteer are exploded inside
+the scan stage as narrow rows (key, position, gram) and joined with one row per
+spot, so neither the page nor a NULL key takes part. Only the hits are
+regrouped by key. Spark decides by size between broadcast and shuffle join,
+and AQE splits frequent grams.
 """
 
 from __future__ import annotations
@@ -16,117 +18,69 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trawl.functions.html import WS_RUN
-from trawl.operators.joins import BROADCAST_MAX_ROWS
-
-# Relevance threshold and longest n-gram.
+# Fixed value: relevance threshold.
 MIN_RHO = 0.3
-MAX_NGRAM = 3
+TOKEN = r"[\p{L}\p{N}]+"
 
 
 def tokens(text: Column) -> Column:
-    """Lower-cased whitespace tokens."""
-    return F.filter(F.split(F.lower(text), WS_RUN), lambda t: t != "")
-
-
-def ngrams(toks: Column, max_n: int = MAX_NGRAM) -> Column:
-    """array<struct<pos, n, gram>>; pos is the 1-based start token.
-    ``toks`` must be a column reference computed in an earlier projection:
-    every n-gram reads it."""
-    def gram_of(n: int):
-        # one-argument lambda: PySpark reads the arity from the signature
-        return lambda i: F.struct(i.alias("pos"), F.lit(n).alias("n"),
-                                  F.array_join(F.slice(toks, i, F.lit(n)), " ").alias("gram"))
-
-    per_n = []
-    for n in range(1, max_n + 1):
-        starts = F.sequence(F.lit(1), F.size(toks) - (n - 1))
-        grams = F.transform(starts, gram_of(n))
-        per_n.append(F.when(F.size(toks) >= n, grams).otherwise(F.array().cast(
-            "array<struct<pos:int,n:int,gram:string>>")))
-    return F.concat(*per_n)
-
-
-def prepare_gazetteer(gazetteer: DataFrame) -> tuple[DataFrame, int]:
-    """(side table ready to join, longest spot in tokens). One aggregate
-    over the gazetteer gives both its row count, which decides the
-    broadcast (bounded, see ``joins``), and its longest spot: no longer
-    n-gram can match, so none is generated."""
-    gaz = gazetteer.select("spot", "title", F.col("rho").cast("double").alias("rho"))
-    st = gaz.agg(F.count(F.lit(1)).alias("rows"), F.max(F.size(F.split(F.col("spot"), " "))).alias("n")).first()
-    side = F.broadcast(gaz) if st["rows"] <= BROADCAST_MAX_ROWS else gaz
-    return side, max(1, min(MAX_NGRAM, st["n"] or 1))
-
-
-def mentions(docs: DataFrame, gazetteer: DataFrame, key: str, text_col: str = "article") -> DataFrame:
-    """All gazetteer hits: key, pos, n, spot, title, rho (every rho)."""
-    gaz, longest = prepare_gazetteer(gazetteer)
-    toks = docs.select(F.col(key), tokens(F.col(text_col)).alias("_toks"))
-    grams = toks.select(F.col(key), F.explode(ngrams(F.col("_toks"), longest)).alias("g"))
-    grams = grams.select(key, F.col("g.pos").alias("pos"), F.col("g.n").alias("n"), F.col("g.gram").alias("spot"))
-    return grams.join(gaz, on="spot", how="inner")
+    """Lower-cased runs of letters and digits."""
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN), F.lit(0))
+
+
+def ngrams(toks: Column, lengths: Column) -> Column:
+    """array<struct<pos, n, gram>> for every n in ``lengths``; pos is the 1-based
+    start token. ``toks`` must be a column reference computed in an earlier
+    projection: every n-gram reads it."""
+    def of_length(n):
+        last = F.size(toks) - n + 1
+        starts = F.when(last >= 1, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.struct(i.alias("pos"), n.alias("n"), F.array_join(F.slice(toks, i, n), " ").alias("gram")))
+
+    return F.flatten(F.transform(lengths, of_length))
+
+
+def spots(gazetteer: DataFrame) -> DataFrame:
+    """One row per spot: spot (its tokens), n, and the title of greatest rho (of
+    equals the first by name)."""
+    toks = tokens(F.col("spot"))
+    g = gazetteer.select(F.array_join(toks, " ").alias("spot"), F.size(toks).alias("n"), "title", F.col("rho").cast("double").alias("rho"))
+    best = F.min_by(F.struct("title", "rho"), F.struct((-F.col("rho")).alias("r"), "title"))
+    return (g.where("n > 0 and title is not null and rho is not null").groupBy("spot", "n").agg(best.alias("b"))
+            .select("spot", "n", "b.title", "b.rho"))
 
 
 def entity_mentions(docs: DataFrame, gazetteer: DataFrame, key: str, text_col: str = "article",
                     min_rho: float = MIN_RHO) -> DataFrame:
-    """One row per annotated position: the longest spot there, kept
-    if rho >= ``min_rho``."""
-    hits = mentions(docs, gazetteer, key, text_col)
-    best = (hits.groupBy(key, "pos")
-            .agg(F.max_by(F.struct("n", "spot", "title", "rho"), F.col("n")).alias("m")))
-    return (best.select(key, "pos", "m.n", "m.spot", "m.title", "m.rho")
-            .where(F.col("rho") >= min_rho))
+    """One row per annotated position: key, pos, n, spot, title, rho of the
+    longest spot there, kept if rho >= ``min_rho``."""
+    known = spots(gazetteer)
+    # a one-value subquery, evaluated when the plan runs
+    lengths = known.agg(F.array_sort(F.collect_set("n"))).scalar()
+    toks = docs.select(F.col(key), tokens(F.col(text_col)).alias("_toks"), lengths.alias("_lengths"))
+    grams = toks.select(F.col(key), F.explode(ngrams(F.col("_toks"), F.col("_lengths"))).alias("g"))
+    grams = grams.select(key, F.col("g.pos").alias("pos"), F.col("g.gram").alias("spot"))
+    hits = grams.join(known, on="spot", how="inner")
+    best = hits.groupBy(key, "pos").agg(F.max_by(F.struct("n", "spot", "title", "rho"), F.col("n")).alias("m"))
+    return best.select(key, "pos", "m.n", "m.spot", "m.title", "m.rho").where(F.col("rho") >= min_rho)
 
 
 def _entity_line(m: Column) -> Column:
     return F.concat(F.lit("spot: "), m["spot"], F.lit(" title: "), m["title"], F.lit("\n"))
 
 
-def annotate(docs: DataFrame, gazetteer: DataFrame, key: str, text_col: str = "article",
-             min_rho: float = MIN_RHO) -> DataFrame:
-    """P16/P17 in one pass: every column of ``docs`` plus ``entities``
-    (the ``"spot: S title: T\n"`` lines of the kept mentions in text order,
-    '' when none). ``key`` must be unique in ``docs``.
-
-    Each document is exploded once into a marker element carrying the row
-    itself and one element per n-gram; n-grams join the gazetteer, only the
-    marker and the hits survive, and one aggregation by ``key`` puts each
-    document back together with its mentions. No second read of ``docs`` and
-    no join back: when ``docs`` is already hash-partitioned by ``key`` (as
-    after ``keep_latest``) the aggregation adds no shuffle, and a group is
-    one document with its hits, bounded by the capped page."""
-    gaz, longest = prepare_gazetteer(gazetteer)
-    row = F.struct(*[F.col(c) for c in docs.columns])
-    with_toks = docs.select(F.col(key), row.alias("_row"), tokens(F.col(text_col)).alias("_toks"))
-    item = "struct<pos:int,n:int,gram:string,row:{}>".format(with_toks.schema["_row"].dataType.simpleString())
-    marker = F.array(F.struct(F.lit(None).cast("int").alias("pos"), F.lit(None).cast("int").alias("n"),
-                              F.lit(None).cast("string").alias("gram"), F.col("_row").alias("row")))
-    grams = F.transform(ngrams(F.col("_toks"), longest),
-                        lambda g: F.struct(g["pos"].alias("pos"), g["n"].alias("n"), g["gram"].alias("gram"),
-                                           F.lit(None).cast(with_toks.schema["_row"].dataType).alias("row")))
-    items = with_toks.select(F.col(key), F.explode(F.concat(marker.cast(f"array<{item}>"), grams)).alias("it"))
-    items = items.select(key, F.col("it.pos").alias("pos"), F.col("it.n").alias("n"),
-                         F.col("it.gram").alias("spot"), F.col("it.row").alias("_row"))
-    hits = items.join(gaz, on="spot", how="left")
-    hits = hits.where(F.col("_row").isNotNull() | F.col("title").isNotNull())
-    mention = F.when(F.col("title").isNotNull(),
-                     F.struct(F.col("pos"), (-F.col("n")).alias("neg_n"), "spot", "title", "rho"))
-    grouped = hits.groupBy(key).agg(F.first("_row", ignorenulls=True).alias("_row"),
-                                    F.array_sort(F.collect_list(mention)).alias("_m"))
-    # longest spot per position (sorted by pos, then longest first), then rho
-    best = F.filter(F.col("_m"), lambda m, i: (i == 0) | (F.get(F.col("_m"), i - 1)["pos"] != m["pos"]))
-    kept = F.filter(best, lambda m: m["rho"] >= min_rho)
-    ents = F.array_join(F.transform(kept, _entity_line), "")
-    return grouped.select(F.col("_row.*"), ents.alias("entities"))
-
-
 def entity_strings(docs: DataFrame, gazetteer: DataFrame, key: str, text_col: str = "article",
                    min_rho: float = MIN_RHO) -> DataFrame:
-    """``key`` and ``entities`` for every document."""
-    return annotate(docs.select(key, text_col), gazetteer, key, text_col, min_rho).select(key, "entities")
+    """``key`` and ``entities`` (the ``"spot: S title: T\\n"`` lines in text order) of
+    every document with a mention."""
+    m = entity_mentions(docs, gazetteer, key, text_col, min_rho)
+    listed = m.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "spot", "title"))).alias("_m"))
+    return listed.select(key, F.array_join(F.transform("_m", _entity_line), "").alias("entities"))
 
 
 def with_entities(docs: DataFrame, gazetteer: DataFrame, key: str, text_col: str = "article",
                   min_rho: float = MIN_RHO) -> DataFrame:
-    """Adds ``entities`` ('' when the document has none)."""
-    return annotate(docs, gazetteer, key, text_col, min_rho)
+    """Adds ``entities`` ('' when the document has none). ``key`` must be unique in
+    ``docs``, which is used twice: hand in a table, not a costly plan."""
+    found = entity_strings(docs.select(key, text_col), gazetteer, key, text_col, min_rho)
+    return docs.join(found, on=key, how="left").withColumn("entities", F.coalesce("entities", F.lit("")))

@@ -18,8 +18,8 @@ SKIPPED_MIME_TYPE = "SkippedMimeType"
 SKIPPED_HTTP_STATUS = "SkippedHttpStatus"
 SKIPPED_URL = "SkippedUrl"
 MATCHED = "Matched"
-FAILED = "Failed"
 INVALID_DATE = "InvalidDate"
+REASONS = [MATCHED, SKIPPED, SKIPPED_WARC_TYPE, SKIPPED_MIME_TYPE, SKIPPED_HTTP_STATUS, SKIPPED_URL]
 
 STATUS_ALL = "ALL"
 STATUS_SUCCESS = "SUCCESS"

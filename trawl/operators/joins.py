@@ -1,8 +1,9 @@
-"""Lookup joins against small side tables.
+"""Lookup joins against side tables.
 
-The small side is broadcast only after a bounded count proves it small;
-above the bound the same join runs as a shuffle join, where AQE's skew
-handling splits a domain that holds a large share of the captures.
+Plain equi-joins: Spark broadcasts a side whose size in bytes is known to be
+under its own limit (statically, or by AQE once it is computed), and otherwise
+shuffles, where AQE splits a domain that holds a large share of the captures.
+Nothing runs while the plan is built.
 """
 
 from __future__ import annotations
@@ -10,30 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows up to which a lookup table is broadcast. A domain list row is a
-# short string, so this bounds the broadcast to a few tens of MB.
-BROADCAST_MAX_ROWS = 1_000_000
 
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows; reads at most
-    ``max_rows + 1`` of them."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
-def allow_list(captures: DataFrame, domains: DataFrame, key: str = "domain",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def allow_list(captures: DataFrame, domains: DataFrame, key: str = "domain") -> DataFrame:
     """Keep captures whose domain is in the list (exact string match)."""
     side = domains.select(F.col(key)).where(F.col(key).isNotNull()).distinct()
-    return captures.join(maybe_broadcast(side, max_rows), on=key, how="left_semi")
+    return captures.join(side, on=key, how="left_semi")
 
 
-def with_hints(captures: DataFrame, hints: DataFrame, key: str = "domain",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Attach the domain's date hint; no hint -> NULL. ``hints`` must hold
-    one row per domain (``domain_hints`` keeps the last line per domain)."""
-    return captures.join(maybe_broadcast(hints, max_rows), on=key, how="left")
+def with_hints(captures: DataFrame, hints: DataFrame, key: str = "domain") -> DataFrame:
+    """Attach the domain's date hint; no hint -> NULL. Of several hints of a
+    domain the greatest is taken, so no capture is doubled."""
+    one = hints.where(F.col(key).isNotNull()).groupBy(key).agg(F.max("hint").alias("hint"))
+    return captures.join(one, on=key, how="left")

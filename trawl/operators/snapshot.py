@@ -24,14 +24,20 @@ def to_snapshots(records: DataFrame) -> DataFrame:
 
 
 def with_ts14(df: DataFrame) -> DataFrame:
-    """P7 + P8: 14-digit capture time and the document id ``ts14 || url``."""
+    """P7 + P8: 14-digit capture time and the document id ``ts14 || url``; without
+    a capture time the id is the URL alone."""
     return (df.withColumn("ts14", http.ts14(F.col("ts")))
-              .withColumn("id", F.concat(F.col("ts14"), F.col("url"))))
-
-
-def with_text(df: DataFrame, cap_bytes: int | None = http.CONTENT_CAP_BYTES) -> DataFrame:
-    """P10 + P11: cap the body (the reference's 1 MiB; ``None`` keeps whole
-    bodies), resolve its charset and decode it to ``html``."""
-    capped = F.col("content") if cap_bytes is None else http.cap_content(F.col("content"), cap_bytes)
-    return (df.withColumn("charset", http.resolve_charset(F.col("content_type"), capped))
-              .withColumn("html", http.decode_content(capped, F.col("charset"))))
+              .withColumn("id", F.concat(F.coalesce(F.col("ts14"), F.lit("")), F.col("url"))))
+
+
+def with_text(df: DataFrame, cap_bytes: int | None = None) -> DataFrame:
+    """P10 + P11: the body, or its first ``cap_bytes`` bytes, decoded to ``html``
+    by its resolved charset."""
+    body, cut = F.col("content"), None
+    if cap_bytes is not None:
+        cut = F.length(body) > cap_bytes
+        # a reader that cut the body itself returns exactly the cap
+        cut = cut | (F.length(body) == cap_bytes)
+        body = http.cap_content(body, cap_bytes)
+    return (df.withColumn("charset", http.resolve_charset(F.col("content_type"), body, cut))
+              .withColumn("html", http.decode_content(body, F.col("charset"))))

@@ -14,17 +14,22 @@ from trawl.functions import http
 from trawl.operators import filters
 
 
+def audit_counts(**options) -> dict:
+    """A1 as aggregate columns by name, for one pass with any other work: a
+    count for every drop reason, and ``InvalidDate``, which drops no row."""
+    reason = filters.scan_reason(**options)
+    counts = {r: F.count_if(reason == r) for r in filters.REASONS}
+    counts[filters.INVALID_DATE] = F.count_if((reason == filters.MATCHED) & http.invalid_date(F.col("date_raw"), F.col("ts")))
+    return counts
+
+
 def scan_audit(snaps: DataFrame, **options) -> DataFrame:
-    """A1: records per drop reason (``Matched`` for kept ones), plus the
-    ``InvalidDate`` count, which does not drop a row."""
-    with_reason = snaps.withColumn("reason", filters.scan_reason(**options))
-    by_reason = with_reason.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
-    invalid = (with_reason
-               .where((F.col("reason") == filters.MATCHED)
-                      & http.invalid_date(F.col("date_raw"), F.col("ts")))
-               .agg(F.count(F.lit(1)).alias("n"))
-               .select(F.lit(filters.INVALID_DATE).alias("reason"), "n"))
-    return by_reason.unionByName(invalid)
+    """A1: records per drop reason (``Matched`` for kept ones; reasons that occur), plus the
+    ``InvalidDate`` count. One aggregate over one scan, turned into rows."""
+    counts = audit_counts(**options)
+    one = snaps.agg(*[c.alias(k) for k, c in counts.items()])
+    rows = F.array(*[F.struct(F.lit(k).alias("reason"), F.col(k).alias("n")) for k in counts])
+    return one.select(F.inline(rows)).where((F.col("n") > 0) | (F.col("reason") == filters.INVALID_DATE))
 
 
 def run_stats(docs: DataFrame) -> DataFrame:

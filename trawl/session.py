@@ -64,24 +64,32 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder on the storage every executor sees.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is
-    unset (local tests) do we make our own and register it.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local session, whose
+    one machine is all there is, may do without: then we make our own and register it.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="trawl-shared-"))
         base = sc.getCheckpointDir()
     base = base.rstrip("/")
     return "/".join([base, *parts]) if parts else base
 
 
-def spread(df, min_partitions: int | None = None):
-    """Round-robin ``df`` to at least the default parallelism when its scan
-    yields fewer partitions (a small input, or one file with one row group),
-    so per-row text work uses every core. Inputs that already arrive in
-    enough splits -- any large one -- are returned untouched, without a
-    shuffle. Round-robin repartitioning sorts locally first, so a retried
-    task gets the same rows."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+# Inputs above this many bytes are never spread: they arrive in enough splits.
+SPREAD_MAX_BYTES = 64 << 20
+
+
+def spread(df):
+    """Round-robins a small file table (at most ``SPREAD_MAX_BYTES`` by its file
+    sizes) that comes in fewer splits than there are cores: the test tables are one
+    row group each, which one task would have to read and extract. A
+    larger table is returned as it is, whatever the number of cores. Round-robin
+    sorts locally first, so a retried task gets the same rows."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if size > SPREAD_MAX_BYTES or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)

@@ -80,6 +80,7 @@ def capture_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         pid.alias("page_id"),
         file.alias("file"),
         pid.alias("rec_offset"),
+        F.lit(0).alias("rec_index"),
         fmt.alias("format"),
         record_type.alias("record_type"),
         url.alias("url"),
@@ -123,28 +124,54 @@ def dated_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(F.col("o_orderkey"), F.concat(F.lit("Stand "), d, F.lit(" Uhr")).alias("text"))
 
 
+# Links put in front of a page, and what they mean below BASE_HREF.
+BASE_HREF = "http://base.example/dir/page?x=1"
+LINK_MARKUP = ('<base href="http://base.example/dir/page?x=1"><a href="/rel">z</a><a class=k href=up/two.html>u</a>'
+               "<A HREF='//other.example/q?a=1&amp;b=2'>v</A><a href=\"?only=query\">w</a><a href=\"mailto:x@y.example\">m</a>")
+LINK_TARGETS = ["http://base.example/rel", "http://base.example/dir/up/two.html", "http://other.example/q?a=1&b=2",
+                "http://base.example/dir/page?only=query"]
+
+
 def linked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages with two absolute links to their own URL and one relative link
-    in front (the driver's pages hold relative links only)."""
+    """Pages with links in front: two to their own URL, and the fixed ones below a
+    ``<base>`` on the pages with an https URL (the driver's pages hold relative links only, which
+    without a base are none)."""
+    p = table(spark, sf_dir, "pages")
+    own = F.concat(F.lit('<a href="'), F.col("url"), F.lit('">x</a><a href='), F.col("url"), F.lit(">y</a>"))
+    based = F.when(F.col("url").startswith("https"), F.lit(LINK_MARKUP)).otherwise(F.lit('<a href="/rel">z</a>'))
+    return p.select("page_id", "url", F.concat(own, based, F.col("html")).alias("html"))
+
+
+# Character references put into every page's title and after its first
+# heading, and what they mean.
+REF_TITLE, REF_TITLE_MEANS = "M&uuml;nchen &#8211; &#x20AC;5 &amp;lt; AT&ampT ", "M\u00fcnchen \u2013 \u20ac5 &lt; AT&T "
+REF_WORDS = "F&uuml;r &#8222;uns&#8220; kostet der Weg nach K&ouml;ln heute nur noch &#x35; &euro; und zwar f&#252;r alle die &copy; 2012 &unknown; da waren"
+REF_WORDS_MEANS = ("F\u00fcr \u201euns\u201c kostet der Weg nach K\u00f6ln heute nur noch 5 \u20ac und zwar f\u00fcr alle die \u00a9 2012 &unknown; da waren")
+
+
+def reference_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with character references of every kind in title and article."""
     p = table(spark, sf_dir, "pages")
-    prefix = F.concat(F.lit('<a href="'), F.col("url"), F.lit('">x</a><a href="'), F.col("url"),
-                      F.lit('">y</a><a href="/rel">z</a>'))
-    return p.select("page_id", "url", F.concat(prefix, F.col("html")).alias("html"))
+    html = F.replace(F.col("html"), F.lit("<title>"), F.lit("<title>" + REF_TITLE))
+    html = F.replace(html, F.lit("</h1>"), F.lit(f"</h1><p>{REF_WORDS}</p>"))
+    return p.select("page_id", "url", html.alias("html"))
 
 
 def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(spot, title, rho)``: each distinct lower-cased first title word;
     title = that word with its first letter upper-cased; rho =
-    (length(spot) % 10) / 10."""
+    (length(spot) % 10) / 10. Each of these spots is ambiguous: it has a second title
+    (``... 2``) with rho 0.35. The first five title words are a spot too, rho 0.9."""
     from trawl.functions.html import title
     p = table(spark, sf_dir, "pages")
-    first = F.lower(F.substring_index(title(F.col("html")), " ", 1))
-    spots = p.select(first.alias("spot")).where(F.col("spot") != "").distinct()
-    return spots.select(
-        "spot",
-        F.concat(F.upper(F.substring("spot", 1, 1)), F.substring("spot", 2, 1 << 30)).alias("title"),
-        ((F.length("spot") % 10) / F.lit(10.0)).alias("rho"),
-    )
+    words = F.split(F.lower(title(F.col("html"))), " ")
+    upper = lambda c: F.concat(F.upper(F.substring(c, 1, 1)), F.substring(c, 2, 1 << 30))
+    spots = p.select(F.get(words, 0).alias("spot")).where(F.col("spot") != "").distinct()
+    rho = (F.length("spot") % 10) / F.lit(10.0)
+    rows = F.array(F.struct(upper(F.col("spot")).alias("title"), rho.alias("rho")),
+                   F.struct(F.concat(upper(F.col("spot")), F.lit(" 2")).alias("title"), F.lit(0.35).alias("rho")))
+    long = p.where(F.size(words) >= 5).select(F.array_join(F.slice(words, 1, 5), " ").alias("spot")).distinct()
+    return spots.select("spot", F.inline(rows)).unionByName(long.select("spot", upper(F.col("spot")).alias("title"), F.lit(0.9).alias("rho")))
 
 
 def _shape_by(key: Column, value: Column, shapes: list[str]) -> Column:
@@ -168,6 +195,30 @@ def lastwins_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select("o_orderkey", text.alias("text"))
 
 
+# An order date written in every shape of the date list, by o_orderkey
+# modulo their number: the shape, and what goes with it. Times are 15:04:05.
+LONG_SHAPES = [
+    ("yyyy/MM/dd HH:mm:ss", "", "150405"), ("yyyy/MM/dd", "", "000000"), ("EEE, MMM d, yyyy", "", "000000"),
+    ("yyyy-MM-dd'T'HH:mm:ss'.250+0200'", "", "130405"), ("EEE, MMM. dd, yyyy", "", "000000"), ("EEE, MMM dd, yyyy", "", "000000"),
+    ("yyyyMMdd", "", "000000"), ("EEEE d MMM yyyy", "", "000000"), ("EEEE, MMM. dd, yyyy", "", "000000"), ("dd MMM yyyy", "", "000000"),
+    ("yyyy-MM-dd HH:mm:ss", "", "150405"), ("MMM dd, yyyy, hh:mm a", "", "150400"), ("dd.MM.yyyy", "", "000000"),
+    ("MMM dd, yyyy, h:mm a", "", "150400"), ("MMMM dd, yyyy, hh:mm a", "", "150400"), ("MMMM dd, yyyy, h:mm a", "", "150400"),
+    ("MMM. dd, yyyy", "", "000000"), ("MMMM dd, yyyy", "", "000000"), ("EEE, dd MMM yyyy HH:mm:ss 'GMT'", "", "150405"),
+    ("MMMM dd, yyyy HH:mm 'PM'", "", "150400"), ("EEE MMMM dd HH:mm:ss 'EST' yyyy", "", "200405"), ("dd/MM/yyyy", "", "000000"),
+    ("dd-MM-yyyy", "", "000000"), ("yyyy/MM/dd", " junk", None), ("MMMM 32, yyyy", "", None), ("yyyy-MM", "", None),
+]
+
+
+def long_dated_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An order date in one of the long shapes (``LONG_SHAPES``)."""
+    ensure_conf(spark)
+    o = table(spark, sf_dir, "orders")
+    at = F.date_trunc("DAY", F.col("o_orderdate").cast("timestamp")) + F.expr("interval '15:04:05' hour to second")
+    text = _shape_by(F.col("o_orderkey"), at, [s for s, _, _ in LONG_SHAPES])
+    tail = F.element_at(F.array(*[F.lit(t) for _, t, _ in LONG_SHAPES]), (F.col("o_orderkey") % len(LONG_SHAPES) + 1).cast("int"))
+    return o.select("o_orderkey", "o_orderdate", F.concat(text, tail).alias("text"))
+
+
 # Dated pages put 'Stand <date> Uhr' after the first </h1>,
 # the date being 1992-01-01 plus 37 days per page id.
 DATED_PAGES_START = "1992-01-01"
@@ -186,3 +237,52 @@ def dated_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     dated = F.when(at > 0, F.concat(F.substring(html, F.lit(1), at + 4), line,
                                     F.substring(html, at + 5, F.lit(1 << 30)))).otherwise(html)
     return p.select("page_id", "url", dated.alias("html"))
+
+
+# ---- archives that the package's writer does not make --------------------------
+
+#: Pages whose member is damaged: the last bytes of the gzip trailer are changed.
+CORRUPT_MODULUS, CORRUPT_REST = 10, 7
+
+
+def odd_archive(spark: SparkSession, sf_dir: str, path: str, kind: str) -> str:
+    """The capture records as archives of another make, one file per task: ``whole``
+    (one gzip member for all records of a file), ``corrupt`` (some members with a
+    wrong checksum) or ``arc`` (short dates, very long URLs)."""
+    import gzip
+
+    from trawl.sources import webarchive as W
+    W.register(spark)
+
+    def write(batches):
+        import uuid
+
+        import pyarrow as pa
+        parts, n = [], 0
+        for b in batches:
+            for r in b.to_pylist():
+                n += 1
+                if kind == "arc":
+                    rec = W.arc_record(r["url"], r["date_raw"], W.mime_of_head(r["http_head"]), r["http_head"], r["content"])
+                else:
+                    rec = W.warc_record(r["url"], r["date_raw"], r["record_type"], r["http_head"], r["content"])
+                if kind != "whole":
+                    rec = W.gzip_member(rec)
+                if kind == "corrupt" and r["page_id"] % CORRUPT_MODULUS == CORRUPT_REST:
+                    rec = rec[:-1] + bytes([rec[-1] ^ 1])
+                parts.append(rec)
+        if parts:
+            data = b"".join(parts)
+            fs, base = W._fs_and_path(path)
+            fs.create_dir(base, recursive=True)
+            with fs.open_output_stream(f"{base}/{uuid.uuid4().hex}.{'arc' if kind == 'arc' else 'warc'}.gz", compression=None) as f:
+                f.write(gzip.compress(data, mtime=0) if kind == "whole" else data)
+        yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
+
+    recs = capture_records(spark, sf_dir)
+    if kind == "arc":
+        pid, plain = F.col("page_id"), ~F.col("url").startswith("filedesc")
+        recs = recs.withColumn("date_raw", F.when(pid % 3 == 0, F.substring("date_raw", 1, 4)).otherwise(F.col("date_raw")))
+        recs = recs.withColumn("url", F.when((pid % 3 == 1) & plain, F.concat("url", F.lit("#"), F.repeat(F.lit("0123456789"), 600))).otherwise(F.col("url")))
+    recs.mapInArrow(write, "n long").count()
+    return path

@@ -60,7 +60,7 @@ def _check_columns(docs: DataFrame, key: str) -> None:
 
 def upsert_documents(spark: SparkSession, docs: DataFrame, out_path: str, existing_path: str | None = None,
                      key: str = "id", fmt: str = "parquet",
-                     order: tuple[str, ...] = ("file", "rec_offset")) -> str:
+                     order: tuple[str, ...] = ("file", "rec_offset", "rec_index")) -> str:
     """S5 + A7: keyed document table. Within the batch the latest row per key
     wins; rows of the existing table (if any) whose key is not in the batch
     are kept. Spark cannot overwrite a table it is reading, so the merged
