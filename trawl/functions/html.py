@@ -97,17 +97,17 @@ def visible_text(html: Column) -> Column:
     return normalise_ws(unescape(strip_tags(F.regexp_replace(html, INVISIBLE, " "))))
 
 
-def _href(tag: Column) -> Column:
-    """The href of a start tag, references resolved, trimmed; '' if it has none."""
-    value = F.concat(*[F.regexp_extract(tag, HREF, i) for i in (1, 2, 3)])
-    return F.trim(unescape(value))
-
-
 def _let(value: Column, body) -> Column:
     """``body`` of a value that is computed once, however often the body reads it."""
     return F.get(F.transform(F.array(value), body), 0)
 
 
+def _href(tag: Column) -> Column:
+    """The href of a start tag, references resolved, trimmed; '' if it has none."""
+    value = F.concat(*[F.regexp_extract(tag, HREF, i) for i in (1, 2, 3)])
+    return _let(value, lambda v: F.trim(F.when(F.instr(v, "&") > 0, unescape(v)).otherwise(v)))
+
+
 def base_parts(base: Column) -> Column:
     """struct<scheme, host, page, folder> of an absolute http(s) URL; '' where there is none."""
     host = F.regexp_extract(base, r"^(https?://[^/?#]*)", 1)

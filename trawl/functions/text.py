@@ -76,62 +76,68 @@ ZONES = {"Z": "+00:00", "UT": "+00:00", "UTC": "+00:00", "GMT": "+00:00", "EST":
          "CDT": "-05:00", "MST": "-07:00", "MDT": "-06:00", "PST": "-08:00", "PDT": "-07:00", "WET": "+00:00", "CET": "+01:00",
          "CEST": "+02:00", "MEZ": "+01:00", "MESZ": "+02:00", "EET": "+02:00", "EEST": "+03:00"}
 _WEEKDAY = r"^(?i:mon|tues?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:day)?[., ]+"
-# A pattern letter run to what it matches; a run of another length falls back to its first letter.
-_FIELDS = {"yyyy": "[0-9]{4}", "MM": "[0-9]{2}", "M": "[A-Za-z]+", "d": "[0-9]{1,2}", "H": "[0-9]{1,2}", "mm": "[0-9]{2}", "ss": "[0-9]{2}",
-           "SSS": "[0-9]{3}", "a": "[AaPp][Mm]", "Z": "Z|[+-][0-9]{2}:?[0-9]{2}", "z": "[A-Za-z]{1,5}|(?:GMT)?[+-][0-9]{2}:?[0-9]{2}"}
-
-
-def _shape(pattern: str) -> tuple[str, list[str]]:
-    """A date pattern as (regex over a whole text without weekday, field letters by group)."""
-    pattern = re.sub(r"^E+,? ", "", pattern)
-    out, fields = ["^"], []
-    for m in re.finditer(r"'([^']*)'|(([A-Za-z])\3*)|(.)", pattern):
-        quoted, run, other = m[1], m[2], m[4]
-        if run:
-            fields.append("MM" if run == "MM" else run[0] if run != "SSS" else "S")
-            out.append(f"({_FIELDS.get(run, _FIELDS.get(run[0], ''))})")
-        else:
-            out.append(re.escape(quoted or other).replace("\\ ", " +").replace("\\/", "/"))
-    return "".join(out) + "$", fields
-
-
-def _strict(text: Column, pattern: str) -> Column:
-    """Timestamp (UTC) of a text that a date pattern matches as a whole; no calendar date: NULL."""
-    regex, fields = _shape(pattern)
-    part = lambda f: F.regexp_extract(text, regex, fields.index(f) + 1)
-    month = part("MM").try_cast("int") if "MM" in fields else _month_by_name(part("M"))
-    hour = part("H").try_cast("int") if "H" in fields else F.lit(0)
-    if "a" in fields:  # a 12-hour clock, whatever the letter says; 13-23 stay as they are
-        hour = F.when((hour >= 1) & (hour <= 12), (hour % 12) + F.when(F.upper(part("a")) == "PM", 12).otherwise(0)).otherwise(hour)
-    minute = part("m").try_cast("int") if "m" in fields else F.lit(0)
-    second = part("s") if "s" in fields else F.lit("0")
-    if "S" in fields:
-        second = F.concat(second, F.lit("."), part("S"))
-    args = [part("y").try_cast("int"), month, part("d").try_cast("int"), hour, minute, second.try_cast("decimal(16,6)")]
-    zone = next((f for f in ("Z", "z") if f in fields), None)
-    if zone:
-        name = F.upper(part(zone))
-        known = F.element_at(F.create_map(*[F.lit(x) for kv in ZONES.items() for x in kv]), name)
-        offset = F.regexp_replace(name, "^(?:GMT)?([+-][0-9]{2}):?([0-9]{2})$", "$1:$2")
-        args.append(F.when(known.isNotNull(), known).when(offset.rlike("^[+-](0[0-9]|1[0-3]):[0-5][0-9]$"), offset))
-    return F.when(text.rlike(regex), F.call_function("try_make_timestamp", *args))
-
-
-def date_normalise(mention: Column) -> Column:
+_TIME = "[0-9]{1,2}:[0-9]{2}:[0-9]{2}"
+_ZONE = "(?:[A-Za-z]{1,5}|(?:GMT)?[+-][0-9]{2}:?[0-9]{2})"
+# The forms that the list's patterns come down to once the weekday is gone: a regex
+# over the whole text, and its fields in order, separated by blanks, commas, dots, slashes, colons or dashes.
+_NUMERIC = f"^[0-9]{{4}}([/-])[0-9]{{2}}[/-][0-9]{{2}} +{_TIME}$"
+WORD_FORMS = [
+    (r"^[A-Za-z]+[.]? +[0-9]{1,2}, +[0-9]{4}$", "M d y"),
+    (r"^[A-Za-z]+[.]? +[0-9]{1,2}, +[0-9]{4},? +[0-9]{1,2}:[0-9]{2} +[AaPp][Mm]$", "M d y h m a"),
+    (r"^[0-9]{1,2} +[A-Za-z]+ +[0-9]{4}$", "d M y"),
+    (rf"^[0-9]{{1,2}} +[A-Za-z]+ +[0-9]{{4}} +{_TIME} +{_ZONE}$", "d M y h m s z"),
+    (rf"^[A-Za-z]+ +[0-9]{{1,2}} +{_TIME} +{_ZONE} +[0-9]{{4}}$", "M d h m s z y"),
+    (rf"^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}T{_TIME}[.][0-9]{{3}}(?:Z|[+-][0-9]{{2}}:?[0-9]{{2}})$", "y M d h m s f z"),
+]
+
+
+def _month(field: Column) -> Column:
+    return F.coalesce(field.try_cast("int"), _month_by_name(field))
+
+
+def _zone_offset(zone: Column) -> Column:
+    """``+hh:mm`` of a zone name or offset; NULL if unknown."""
+    known = F.element_at(F.create_map(*[F.lit(x) for kv in ZONES.items() for x in kv]), F.upper(zone))
+    offset = F.regexp_replace(zone, "^(?:GMT)?([+-])([0-9]{2}):?([0-9]{2})$", "$1$2:$3")
+    return F.coalesce(known, F.when(offset.rlike("^[+-](0[0-9]|1[0-3]):[0-5][0-9]$"), offset))
+
+
+def _of_form(text: Column, regex: str, fields: str) -> Column:
+    """Timestamp (UTC) of a text of one form; no calendar date: NULL."""
+    names = fields.split()
+    zoned = "z" in names
+    # an offset's sign would be lost at the split, so the zone is taken by itself
+    zone = F.regexp_extract(text, rf"(?:[ .0-9]|^)({_ZONE}|Z)(?: +[0-9]{{4}})?$", 1) if zoned else None
+    body = F.replace(text, zone, F.lit(" ")) if zoned else text
+    part = F.split(F.trim(body), "[ ,./:T-]+" if "f" in names else "[ ,.:]+")
+    at = {n: F.get(part, i) for i, n in enumerate(n for n in names if n != "z")}
+    hour = at["h"].try_cast("int") if "h" in at else F.lit(0)
+    if "a" in at:  # a 12-hour clock, whatever the pattern's letter; 13-23 stay as they are
+        hour = F.when((hour >= 1) & (hour <= 12), (hour % 12) + F.when(F.upper(at["a"]) == "PM", 12).otherwise(0)).otherwise(hour)
+    second = F.concat(at["s"], F.lit("."), at["f"]) if "f" in at else at.get("s", F.lit("0"))
+    args = [at["y"].try_cast("int"), _month(at["M"]), at["d"].try_cast("int"), hour, at["m"].try_cast("int") if "m" in at else F.lit(0),
+            second.try_cast("decimal(16,6)")]
+    made = F.call_function("try_make_timestamp", *args, *([_zone_offset(zone)] if zoned else []))
+    return F.when(text.rlike(regex), made)
+
+
+def normalise_mention(mention: Column) -> Column:
+    """P19 of a date mention (P18): 14-digit string of the first shape that parses
+    the whole of it, whatever its separators; else NULL."""
+    dashed = F.regexp_replace(mention, "[- /.]", "-")
+    return F.date_format(F.coalesce(*[F.try_to_timestamp(dashed, F.lit(p)) for p in MENTION_SHAPES]), "yyyyMMddHHmmss")
+
+
+def date_normalise(text: Column) -> Column:
     """P19, strict: 14-digit UTC string of the first pattern that parses the whole
     text; invalid calendar dates and partial shapes -> NULL. A weekday in front is
-    dropped, not checked. A mention of P18 may use any separator."""
-    bare = F.trim(mention)
-    dashed = F.regexp_replace(bare, "[- /.]", "-")
-    shapes = [F.when(F.length(dashed) == len(p), F.try_to_timestamp(dashed, F.lit(p))) for p in MENTION_SHAPES]
-    plain = list(dict.fromkeys(NORMALISE_PATTERNS))
-    timed = [p for p in plain if re.fullmatch("[yMdHms/: -]+", p) and "H" in p]
-    words = [p for p in plain if re.search("MMM|E|'", p)]
+    dropped, not checked."""
+    bare = F.trim(text)
     named = F.regexp_replace(bare, _WEEKDAY, "")
-    parsed = (F.when(F.length(bare) <= 10, F.coalesce(*shapes))
-              .otherwise(F.coalesce(*[_strict(bare, p) for p in timed])))
-    parsed = F.when(bare.rlike("[A-Za-z]"), F.coalesce(*[_strict(named, p) for p in words])).otherwise(parsed)
-    return F.date_format(parsed, "yyyyMMddHHmmss")
+    words = F.coalesce(*[_of_form(named, regex, fields) for regex, fields in WORD_FORMS])
+    timed = F.when(bare.rlike(_NUMERIC), F.try_to_timestamp(F.regexp_replace(bare, "/", "-"), F.lit("yyyy-MM-dd HH:mm:ss")))
+    long = F.date_format(F.when(bare.rlike("[A-Za-z]"), words).otherwise(timed), "yyyyMMddHHmmss")
+    return F.when(F.length(bare) <= 10, F.coalesce(normalise_mention(bare), long)).otherwise(long)
 
 
 # The strict pattern list of P20 in the reference's order;

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from trawl.functions.text import date_mention, date_normalise
+from trawl.functions.text import date_mention, normalise_mention
 
 # Fixed value: the reference's fallback publication date.
 DEFAULT_PUB_DATE = "19700101010100"
@@ -41,4 +41,4 @@ def candidate_lines(html: Column, article: Column, hint: Column) -> Column:
 def pub_date(html: Column, article: Column, hint: Column) -> Column:
     mentions = F.filter(F.transform(candidate_lines(html, article, hint), date_mention), lambda m: m.isNotNull())
     first = F.get(mentions, 0)
-    return F.when(first.isNull(), F.lit(DEFAULT_PUB_DATE)).otherwise(date_normalise(first))
+    return F.when(first.isNull(), F.lit(DEFAULT_PUB_DATE)).otherwise(normalise_mention(first))

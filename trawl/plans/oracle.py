@@ -235,7 +235,7 @@ def gazetteer_words() -> str:
     return f"""
 gw AS (SELECT string_split(lower({title('html')}), ' ') AS w FROM pages),
 g1 AS (SELECT DISTINCT w[1] AS spot FROM gw WHERE w[1] <> ''),
-g5 AS (SELECT DISTINCT array_to_string(w[1:5], ' ') AS spot FROM gw WHERE len(w) >= 5)"""
+g5 AS (SELECT DISTINCT array_to_string(k[1:5], ' ') AS spot FROM (SELECT {gram_tokens(title('html'))} AS k FROM pages) t WHERE len(k) >= 5)"""
 
 
 def article_ctes(src: str, key: str, html: str, prefix: str = "a") -> str:

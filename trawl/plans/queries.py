@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from trawl.functions import html as H
 from trawl.functions import http
 from trawl.functions.text import (date_mention, date_normalise, lastwins_attempts, lastwins_parts,
-                                  lastwins_pattern, lastwins_value, word_count)
+                                  lastwins_pattern, lastwins_value, normalise_mention, word_count)
 from trawl.functions.urls import domain
 from trawl.operators import article, entities, filters, joins, stats
 from trawl.operators.dedup import cap_per_file
@@ -127,7 +127,7 @@ def q_date_mention(spark, sf_dir):
 
 def q_date_normalize(spark, sf_dir):
     t = fx.dated_text(spark, sf_dir).withColumn("mention", date_mention(F.col("text")))
-    return t.select("o_orderkey", "mention", date_normalise(F.col("mention")).alias("normalized"))
+    return t.select("o_orderkey", "mention", normalise_mention(F.col("mention")).alias("normalized"))
 
 
 def q_date_normalize_long(spark, sf_dir):

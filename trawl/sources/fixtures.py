@@ -161,16 +161,18 @@ def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(spot, title, rho)``: each distinct lower-cased first title word;
     title = that word with its first letter upper-cased; rho =
     (length(spot) % 10) / 10. Each of these spots is ambiguous: it has a second title
-    (``... 2``) with rho 0.35. The first five title words are a spot too, rho 0.9."""
+    (``... 2``) with rho 0.35. The first five title tokens (letters, digits) are a spot too, rho 0.9."""
     from trawl.functions.html import title
-    p = table(spark, sf_dir, "pages")
-    words = F.split(F.lower(title(F.col("html"))), " ")
+    # the generator makes the title a column of its own, computed once a page
+    p = table(spark, sf_dir, "pages").select(F.inline(F.array(F.struct(F.lower(title(F.col("html"))).alias("t")))))
+    words = F.split(F.col("t"), " ")
     upper = lambda c: F.concat(F.upper(F.substring(c, 1, 1)), F.substring(c, 2, 1 << 30))
     spots = p.select(F.get(words, 0).alias("spot")).where(F.col("spot") != "").distinct()
     rho = (F.length("spot") % 10) / F.lit(10.0)
     rows = F.array(F.struct(upper(F.col("spot")).alias("title"), rho.alias("rho")),
                    F.struct(F.concat(upper(F.col("spot")), F.lit(" 2")).alias("title"), F.lit(0.35).alias("rho")))
-    long = p.where(F.size(words) >= 5).select(F.array_join(F.slice(words, 1, 5), " ").alias("spot")).distinct()
+    toks = F.regexp_extract_all(F.col("t"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    long = p.where(F.size(toks) >= 5).select(F.array_join(F.slice(toks, 1, 5), " ").alias("spot")).distinct()
     return spots.select("spot", F.inline(rows)).unionByName(long.select("spot", upper(F.col("spot")).alias("title"), F.lit(0.9).alias("rho")))
 
 
