@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trawl.llm.ngramjoin import CHUNK, WordHasher
+
 # HTML's elements by kind.
 BLOCK_TAGS = set("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset "
                  "figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu "
@@ -46,7 +48,8 @@ _ATTR = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)
 _HIDDEN = re.compile(r"\bhidden\b|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _NAME = re.compile(r"[A-Za-z]+")
 
-PATHS, WORDS, DENSE = 512, 1024, 8
+PATHS, WORDS, DENSE = 512, 512, 8
+BLOCKS_AT_ONCE = 1024
 
 
 def leaf_blocks(page: str) -> list[tuple[str, tuple[str, ...], int, int]]:
@@ -132,59 +135,60 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple[str, ...], int, int]]:
 
 # ---- features ----------------------------------------------------------------
 
-def path_slot(item: str) -> int:
-    if item in FURNITURE:
-        return 1  # one slot for all furniture names next to each name's own
-    if item in CONTENT:
-        return 2
-    return 0
+def item_slots(items) -> list[int]:
+    """Slots of a block's path items: one each, and one that all furniture or content names share."""
+    own = [3 + zlib.crc32(i.encode("utf-8", "replace")) % (PATHS - 3) for i in items]
+    return own + [1] * bool(FURNITURE.intersection(items)) + [2] * bool(CONTENT.intersection(items))
 
 
 class Features:
-    """Slots of the input table for blocks: path items, words, and dense values."""
-
-    def __init__(self):
-        self.words, self.items = {}, {}
-
-    def word(self, w: str) -> int:
-        s = self.words.get(w)
-        if s is None:
-            if len(self.words) > 200_000:
-                self.words.clear()
-            s = self.words[w] = PATHS + zlib.crc32(w.encode("utf-8", "replace")) % WORDS
-        return s
-
-    def item(self, i: str) -> int:
-        s = self.items.get(i)
-        if s is None:
-            if len(self.items) > 50_000:
-                self.items.clear()
-            s = self.items[i] = 3 + zlib.crc32(i.encode("utf-8", "replace")) % (PATHS - 3)
-        return s
-
-    def block(self, text, items, links, level, at, of):
-        """(path slots, word slots, dense values)"""
-        paths = [self.item(i) for i in items] + [s for s in {path_slot(i) for i in items} if s]
-        words = text.lower().split()
-        n = len(words)
-        dense = (1.0, np.log1p(n) / 4, np.log1p(len(text)) / 6, links / max(1, len(text)), float(text[-1] in ".!?:;\"'»”"),
-                 level / 8, at / max(1, of), np.log1p(of) / 4)
-        return paths, [self.word(w) for w in words], dense
-
-
-def pages_input(feats: Features, pages):
-    """Flat input of many pages' blocks: (slots, weights, block of each slot, dense)."""
-    slots, weights, owner, dense = [], [], [], []
-    b = 0
-    for blocks in pages:
-        for at, (text, items, links, level) in enumerate(blocks):
-            p, w, d = feats.block(text, items, links, level, at, len(blocks))
-            slots += p + w
-            weights += [1.0] * len(p) + [1.0 / np.sqrt(len(w))] * len(w)
-            owner += [b] * (len(p) + len(w))
-            dense.append(d)
-            b += 1
-    return np.array(slots, np.int64), np.array(weights, np.float32), np.array(owner, np.int64), np.array(dense, np.float32).reshape(-1, DENSE)
+    """Input of the network for blocks: which path they lie on, how often each word slot occurs, dense values."""
+
+    def __init__(self, hasher: WordHasher | None = None):
+        self.hasher, self.paths, self.slots = hasher or WordHasher(), {}, []
+
+    def path(self, items) -> int:
+        at = self.paths.get(items)
+        if at is None:
+            at = self.paths[items] = len(self.slots)
+            self.slots.append(item_slots(items))
+        return at
+
+    def pages(self, pages):
+        """(path of each block, word slots, block of each word, words of each block, dense) of many pages."""
+        if len(self.slots) > 20_000:
+            self.paths, self.slots = {}, []
+        blocks = [b for page in pages for b in page]
+        n_words = np.array([t.count(" ") + 1 for t, *_ in blocks], np.int64)  # texts hold single blanks only
+        slots, at = [], 0
+        while at < len(blocks):  # hashed in pieces of about a megabyte
+            end, room = at, CHUNK
+            while end < len(blocks) and (room > 0 or end == at):
+                room -= len(blocks[end][0])
+                end += 1
+            slots.append((self.hasher.words("\n".join(t for t, *_ in blocks[at:end]).encode("utf-8", "replace")) >> np.uint64(20)) % np.uint64(WORDS))
+            at = end
+        paths = np.array([self.path(i) for _, i, _, _ in blocks], np.int64)
+        chars = np.array([len(t) for t, *_ in blocks], np.float64)
+        place = np.concatenate([np.arange(len(p)) / max(1, len(p)) for p in pages])
+        size = np.concatenate([np.full(len(p), np.log1p(len(p)) / 4) for p in pages])
+        dense = np.stack([np.ones(len(blocks)), np.log1p(n_words) / 4, np.log1p(chars) / 6, np.array([k for _, _, k, _ in blocks]) / np.maximum(1, chars),
+                          np.array([t[-1] in ".!?:;\"'»”" for t, *_ in blocks], float), np.array([v for *_, v in blocks]) / 8, place, size], axis=1)
+        return paths, np.concatenate(slots).astype(np.int64), np.repeat(np.arange(len(blocks)), n_words), n_words, dense.astype(np.float32)
+
+    def path_counts(self) -> np.ndarray:
+        """(paths, PATHS) how often each path holds each slot."""
+        out = np.zeros((len(self.slots), PATHS), np.float32)
+        for i, s in enumerate(self.slots):
+            np.add.at(out[i], s, 1)
+        return out
+
+
+def word_counts(slots, owner, n_words, a: int, b: int) -> np.ndarray:
+    """(b - a, WORDS) word slots of blocks a to b, scaled by the root of their number."""
+    lo, hi = np.searchsorted(owner, [a, b])
+    flat = np.bincount((owner[lo:hi] - a) * WORDS + slots[lo:hi], minlength=(b - a) * WORDS)
+    return flat.reshape(b - a, WORDS).astype(np.float32) / np.sqrt(n_words[a:b, None]).astype(np.float32)
 
 
 # ---- the network -------------------------------------------------------------
@@ -198,20 +202,21 @@ def new_weights(hidden: int, seed: int):
     g = lambda *s, k: (rng.normal(size=s) * k).astype(np.float32)
     w = {"o": g(2 * hidden, k=0.3), "ob": np.zeros(1, np.float32)}
     for d in "fb":
-        w["e" + d], w["x" + d], w["u" + d] = g(PATHS + WORDS, 4 * hidden, k=0.1), g(DENSE, 4 * hidden, k=0.3), g(hidden, 4 * hidden, k=0.3)
-        w["x" + d][0, hidden:2 * hidden] += 1.0  # remember by default
+        w["u" + d] = g(hidden, 4 * hidden, k=0.3)
+    # the inputs of both directions side by side
+    w["p"], w["w"], w["x"] = g(PATHS, 8 * hidden, k=0.1), g(WORDS, 8 * hidden, k=0.1), g(DENSE, 8 * hidden, k=0.3)
+    w["x"][0, hidden:2 * hidden] += 1.0  # remember by default
+    w["x"][0, 5 * hidden:6 * hidden] += 1.0
     return w
 
 
-def project(w, d, slots, weights, owner, dense):
-    """(blocks, 4H) input of the gates: an embedding bag and the dense part."""
-    out = dense @ w["x" + d]
-    step = 1 << 18
-    for i in range(0, len(slots), step):  # owners are sorted, so slices add up by block
-        o = owner[i: i + step]
-        rows = w["e" + d][slots[i: i + step]] * weights[i: i + step, None]
-        first = np.flatnonzero(np.concatenate([[True], o[1:] != o[:-1]]))
-        out[o[first]] += np.add.reduceat(rows, first, axis=0)
+def project(w, feats, inp):
+    """(blocks, 8H) input of the gates, forward then backward."""
+    paths, slots, owner, n_words, dense = inp
+    out = dense @ w["x"] + (feats.path_counts() @ w["p"])[paths]
+    for a in range(0, len(n_words), BLOCKS_AT_ONCE):
+        b = min(a + BLOCKS_AT_ONCE, len(n_words))
+        out[a:b] += word_counts(slots, owner, n_words, a, b) @ w["w"]
     return out
 
 
@@ -265,14 +270,15 @@ def lay_out(lens: np.ndarray):
     return order, lane[page], t, lens[page] - 1 - t
 
 
-def logits(w, inp, lens, keep=None):
+def logits(w, feats, inp, lens, keep=None):
     order, lane, tf, tb = lay_out(lens)
     steps, lanes = int(lens.max()), len(lens)
     hid = w["uf"].shape[0]
+    both = project(w, feats, inp)
     states = []
-    for d, t in (("f", tf), ("b", tb)):
+    for d, t, part in (("f", tf, both[:, :4 * hid]), ("b", tb, both[:, 4 * hid:])):
         x = np.zeros((steps, lanes, 4 * hid), np.float32)
-        x[t, lane] = project(w, d, *inp)
+        x[t, lane] = part
         k = [] if keep is not None else None
         states.append(run_direction(x, w["u" + d], lens[order], k)[t, lane])
         if keep is not None:
@@ -281,9 +287,9 @@ def logits(w, inp, lens, keep=None):
     return both @ w["o"] + w["ob"], both
 
 
-def train(pages, labels, *, hidden: int = 16, steps: int = 240, batch: int = 24, rate: float = 0.02, seed: int = 5):
+def train(pages, labels, *, hidden: int = 12, steps: int = 240, batch: int = 24, rate: float = 0.02, seed: int = 5):
     """Adam on the mean cross-entropy of all blocks; ``pages`` are block lists, ``labels`` 0/1 lists."""
-    rng, w, feats = np.random.default_rng(seed), new_weights(hidden, seed), Features()
+    rng, w, hasher = np.random.default_rng(seed), new_weights(hidden, seed), WordHasher()
     m, v = {k: np.zeros_like(a) for k, a in w.items()}, {k: np.zeros_like(a) for k, a in w.items()}
     for step in range(1, steps + 1):
         some, ys = [], []
@@ -292,19 +298,24 @@ def train(pages, labels, *, hidden: int = 16, steps: int = 240, batch: int = 24,
             some.append(b)
             ys.append(y)
         lens = np.array([len(b) for b in some])
-        inp, y, keep = pages_input(feats, some), np.concatenate(ys).astype(np.float32), []
-        z, both = logits(w, inp, lens, keep)
+        feats = Features(hasher)  # paths anew: disturbed pages have ever new ones
+        inp, y, keep = feats.pages(some), np.concatenate(ys).astype(np.float32), []
+        z, both = logits(w, feats, inp, lens, keep)
         err = ((sigma(z) - y) / len(y)).astype(np.float32)
         g = {"o": both.T @ err, "ob": err.sum(keepdims=True)}
         dboth = err[:, None] * w["o"]
+        dins = []
         for d, (k, t, lane, n_steps, lanes), part in zip("fb", keep, (dboth[:, :hidden], dboth[:, hidden:]), strict=True):
             ds = np.zeros((n_steps, lanes, hidden), np.float32)
             ds[t, lane] = part
             dx, g["u" + d] = run_direction_back(w["u" + d], k, ds)
-            dp = dx[t, lane]
-            slots, weights, owner, dense = inp
-            g["x" + d], g["e" + d] = dense.T @ dp, np.zeros_like(w["e" + d])
-            np.add.at(g["e" + d], slots, dp[owner] * weights[:, None])
+            dins.append(dx[t, lane])
+        dp = np.concatenate(dins, axis=1)
+        paths, slots, owner, n_words, dense = inp
+        by_path = np.zeros((len(feats.slots), dp.shape[1]), np.float32)
+        np.add.at(by_path, paths, dp)
+        g["x"], g["p"] = dense.T @ dp, feats.path_counts().T @ by_path
+        g["w"] = word_counts(slots, owner, n_words, 0, len(n_words)).T @ dp
         lr = rate * min(1.0, 2 * (1 - step / (steps + 1)))
         for k in w:
             m[k] = 0.9 * m[k] + 0.1 * g[k]
@@ -418,7 +429,7 @@ def judge(weights, feats, group):
             y = page_labels(g) if g else []
             marks.append(y if y is not None else [int(not (OUTSIDE_TAGS | FURNITURE).intersection(i)) for _, i, _, _ in g])
         return marks
-    z, _ = logits(weights, pages_input(feats, full), np.array([len(g) for g in full]))
+    z, _ = logits(weights, feats, feats.pages(full), np.array([len(g) for g in full]))
     out, at = [], 0
     for g in group:
         out.append((z[at: at + len(g)] > 0).tolist())
