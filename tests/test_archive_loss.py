@@ -3,10 +3,8 @@
 import gzip
 import random
 import re
-import zlib
 
 import pytest
-from pyspark.sql import functions as F
 
 from trawl.sources import webarchive as W
 
