@@ -23,14 +23,48 @@ def scratch(spark: SparkSession, tag: str) -> str:
     return shared_dir(spark, f"{tag}-{uuid.uuid4().hex}")
 
 
-def written(df: DataFrame, tag: str) -> DataFrame:
+def written(df: DataFrame, tag: str, path: str | None = None) -> DataFrame:
     """``df`` written as Parquet to shared storage and read back: computed
     once, lineage cut, and nothing lost with an executor."""
-    path = scratch(df.sparkSession, tag)
+    path = path or scratch(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Written tables of an operator's inner steps, deleted by ``drop`` once no
+    lazy result reads them any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths, self.tables = spark, [], []
+
+    def written(self, df: DataFrame, tag: str) -> DataFrame:
+        self.paths.append(scratch(self.spark, tag))
+        return written(df, tag, self.paths[-1])
+
+    def drop(self) -> None:
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for p in self.paths:
+            path = jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(conf).delete(path, True)
+        for t in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {t}")
+        self.paths, self.tables = [], []
+
+
+def bucketed(df: DataFrame, key: str, tag: str, keep: Scratch) -> DataFrame:
+    """``written``, and dealt into buckets by ``key``: joins on it shuffle the other
+    side only. The table lives in shared storage; the catalog entry is the session's."""
+    spark = df.sparkSession
+    path = scratch(spark, tag)
+    keep.paths.append(path)
+    name = f"{tag}_{uuid.uuid4().hex}".replace("-", "_")
+    keep.tables.append(name)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", path).format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
 def count_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
@@ -45,9 +79,9 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     with the table of minima is one AQE may split. Every round is written
     to shared storage. Empty edges give an empty table.
     """
-    e = written(edges.select(F.col("a").cast("long"), F.col("b").cast("long"))
-                .where(F.col("a") != F.col("b")), "cc")
-    seen = None
+    temp, seen = Scratch(edges.sparkSession), None
+    e = temp.written(edges.select(F.col("a").cast("long"), F.col("b").cast("long"))
+                     .where(F.col("a") != F.col("b")), "cc")
     for _ in range(max_rounds):
         # large star: every node links its larger neighbours to its smallest one
         both = e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -58,7 +92,9 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         low2 = down.groupBy("a").agg(F.min("b").alias("m"))
         star = (down.join(low2, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                 .unionByName(low2.select("a", F.col("m").alias("b"))))
-        e = written(star.where("a != b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).drop("n"), "cc")
+        before, temp = temp, Scratch(edges.sparkSession)
+        e = temp.written(star.where("a != b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).drop("n"), "cc")
+        before.drop()
         # a forest of stars onto minima no longer changes
         state = e.agg(F.count(F.lit(1)).alias("n"), F.sum("a").cast("decimal(38,0)").alias("s"),
                       F.sum("b").cast("decimal(38,0)").alias("t"),

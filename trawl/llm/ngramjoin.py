@@ -9,16 +9,21 @@ chooses its l by estimated cost: a longer prefix is scanned, but partners must
 share more of it. A pair is a candidate when it shares at least the smaller of
 both l's, and is then verified on the whole sets.
 
+Candidates are tried on signatures first: a bitmap of eight bits per shingle,
+whose common bits, with the shingles that share a bit, bound the overlap from
+above. Only pairs that the bound allows have their whole sets compared.
+
 Shingles met in the prefixes of more than ``HOT`` documents would emit the
 square of that number. They are handled in rounds instead: every hot bucket
 names a pivot, its members are compared with it, and those with Jaccard >= 1/2
 form a cluster, in which each is described by its difference from the pivot.
 Those >= 1/2 + (1 - t) leave the bucket. As the Jaccard distance is a metric,
 two linked members (distance <= 1 - t) of a bucket always meet in a cluster: when
-the first of them leaves for a pivot, the other is within 1/2 of that pivot. What
-is left after the rounds is one cluster per bucket with an empty pivot. Clusters
-are compared inside tasks, block against block, and return only a spanning
-forest of their links.
+the first of them leaves for a pivot, the other is within 1/2 of that pivot.
+Clusters are compared inside tasks, block against block, and return only a
+spanning forest of their links. What is left of a bucket after the rounds is of
+many small kinds: its members' signatures are compared block against block, and what
+the bound allows is verified like any candidate.
 
 Equal sets are one class before all of this. Whole sets are never stored for
 all documents, only hashed anew for those with a candidate.
@@ -34,34 +39,77 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawl.llm.common import components, written
+from trawl.llm.common import Scratch, bucketed, components, written
 
 MAX_L = 4
 HOT = 16
 VERIFY = 24.0      # cost of a verification in units of a scanned posting
-ROUNDS = 5
-CELLS = 1 << 20    # counters of the frequency sketch
+ROUNDS = 3
+CELLS = 1 << 22    # counters of the frequency sketch
+SIGNATURE = 8      # bits a shingle
+WANTED = 1 << 26   # bits of the filter of wanted documents
 BLOCK = 64         # cluster members in a block, as long as that gives at most GRID blocks
 GRID = 40
 WIDEST = 1024
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def shingles(raw: bytes, width: int, book: dict[bytes, int]) -> np.ndarray:
+# Word hashes are polynomials over random byte values, modulo 2**64, so all words of
+# a text come from one running sum.
+_RANDOM = np.random.default_rng(20240229)
+_BYTE = _RANDOM.integers(0, 1 << 64, 256, dtype=np.uint64)
+_BASE = int(_RANDOM.integers(0, 1 << 62)) * 4 + 3
+_SPACE = np.isin(np.arange(256), [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
+CHUNK = 1 << 20  # bytes hashed at once, give or take a word
+
+
+class WordHasher:
+    """Hashes of the words of texts in UTF-8, A-Z lower-cased."""
+
+    def __init__(self):
+        self.power = self.inverse = np.ones(1, np.uint64)
+
+    def _grow(self, n: int) -> None:
+        while len(self.power) < n:
+            k = len(self.power)
+            self.power = np.concatenate([self.power, self.power * np.uint64(pow(_BASE, k, 1 << 64))])
+            self.inverse = np.concatenate([self.inverse, self.inverse * np.uint64(pow(pow(_BASE, -1, 1 << 64), k, 1 << 64))])
+
+    def _chunk(self, a: np.ndarray) -> np.ndarray:
+        edge = np.flatnonzero(np.diff(np.concatenate([[True], _SPACE[a], [True]])))
+        start, end = edge[::2], edge[1::2]
+        self._grow(len(a) + 1)
+        run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[a] * self.power[: len(a)])])
+        h = (run[end] - run[start]) * self.inverse[start] + (end - start).astype(np.uint64)
+        h ^= h >> np.uint64(31)
+        h *= np.uint64(0xD6E8FEB86659FD93)
+        return h ^ (h >> np.uint64(32))
+
+    def words(self, raw: bytes) -> np.ndarray:
+        a = np.frombuffer(raw.translate(_LOWER), np.uint8)
+        if len(a) <= CHUNK:
+            return self._chunk(a)
+        out, at = [], 0
+        while at < len(a):  # cut behind the last blank of a chunk, or at the next one
+            stop = min(at + CHUNK, len(a))
+            if stop < len(a):
+                blank = np.flatnonzero(_SPACE[a[at:stop]])
+                while not len(blank) and stop < len(a):
+                    stop = min(stop + CHUNK, len(a))
+                    blank = np.flatnonzero(_SPACE[a[at:stop]])
+                stop = at + int(blank[-1]) + 1 if len(blank) else len(a)
+            out.append(self._chunk(a[at:stop]))
+            at = stop
+        return np.concatenate(out)
+
+
+def shingles(raw: bytes, width: int, hasher: WordHasher) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the ``width``-word shingles of a text in
-    UTF-8; with fewer words, of the whole sequence. ``book`` keeps word hashes."""
-    words = raw.translate(_LOWER).split()  # at exactly blank and U+0009..U+000D
-    n = len(words)
+    UTF-8; with fewer words, of the whole sequence."""
+    h = hasher.words(raw)
+    n = len(h)
     if n == 0:
-        return np.zeros(0, np.uint64)
-    if len(book) > 300_000:
-        book.clear()
-    h = np.empty(n, np.uint64)
-    for i, w in enumerate(words):
-        v = book.get(w)
-        if v is None:
-            v = book[w] = xxhash.xxh3_64_intdigest(w)
-        h[i] = v
+        return h
     if n < width:
         return np.array([xxhash.xxh3_64_intdigest(h.tobytes(), seed=n)], np.uint64)
     acc = np.zeros(n - width + 1, np.uint64)
@@ -71,7 +119,8 @@ def shingles(raw: bytes, width: int, book: dict[bytes, int]) -> np.ndarray:
         acc ^= acc >> np.uint64(29)
     acc *= np.uint64(0xBF58476D1CE4E5B9)
     acc ^= acc >> np.uint64(32)
-    return np.unique(acc)
+    acc.sort()
+    return acc[np.concatenate([[True], acc[1:] != acc[:-1]])]
 
 
 def least(n: int, num: int, den: int) -> int:
@@ -87,25 +136,31 @@ def frequency_levels(rows: DataFrame, width: int) -> np.ndarray:
     """(CELLS,) uint8: the binary logarithm of how many sets hold a hash of the cell.
 
     Every task counts its own sets; arrays of fixed size are added up in parts
-    by key, so neither a task nor the driver holds more than the sketch."""
+    by key, so neither a task nor the driver holds more than the sketch. (A task counts
+    to 255 for each cell: beyond that a shingle is frequent anyway.)"""
     parts = 64
     size = CELLS // parts
 
     def count(batches):
-        cells, book = np.zeros(CELLS, np.int64), {}
+        cells, hasher, held, n = np.zeros(CELLS, np.int64), WordHasher(), [], 0
         for b in batches:
             for t in b.column(1):
-                s = shingles((t.as_py() or "").encode("utf-8", "replace"), width, book)
-                cells += np.bincount((s & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS) if len(s) > CELLS // 8 else 0
-                if len(s) <= CELLS // 8:
-                    cells[(s & np.uint64(CELLS - 1)).astype(np.int64)] += 1
+                held.append(shingles((t.as_py() or "").encode("utf-8", "replace"), width, hasher) & np.uint64(CELLS - 1))
+                n += len(held[-1])
+                if n > CELLS // 2:
+                    cells += np.bincount(np.concatenate(held).astype(np.int64), minlength=CELLS)
+                    held, n = [], 0
+        if held:
+            cells += np.bincount(np.concatenate(held).astype(np.int64), minlength=CELLS)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(range(parts), pa.int32()), pa.array([cells[i * size: (i + 1) * size].astype("<i8").tobytes() for i in range(parts)], pa.binary())],
+            [pa.array(range(parts), pa.int32()), pa.array([np.minimum(cells[i * size: (i + 1) * size], 255).astype(np.uint8).tobytes() for i in range(parts)], pa.binary())],
             ["part", "cells"])
 
-    counted = written(rows.mapInArrow(count, "part int, cells binary"), "sets-sketch")
-    summed = (counted.rdd.map(lambda r: (r["part"], np.frombuffer(r["cells"], "<i8")))
+    temp = Scratch(rows.sparkSession)
+    counted = temp.written(rows.mapInArrow(count, "part int, cells binary"), "sets-sketch")
+    summed = (counted.rdd.map(lambda r: (r["part"], np.frombuffer(r["cells"], np.uint8).astype(np.int64)))
               .reduceByKey(lambda a, b: a + b, parts).collect())
+    temp.drop()
     out = np.zeros(CELLS, np.int64)
     for part, cells in summed:
         out[part * size: (part + 1) * size] = cells
@@ -116,15 +171,15 @@ def frequency_levels(rows: DataFrame, width: int) -> np.ndarray:
 def prefixes(rows: DataFrame, levels, width: int, num: int, den: int) -> DataFrame:
     """(doc, n, set_id, prefix): set size, digest of the set and its longest prefix, of every row."""
     def run(batches):
-        level, book = levels.value, {}
+        level, hasher = levels.value, WordHasher()
         for b in batches:
             ns, digests, firsts = [], [], []
             for t in b.column(1):
-                s = shingles((t.as_py() or "").encode("utf-8", "replace"), width, book)
+                s = shingles((t.as_py() or "").encode("utf-8", "replace"), width, hasher)
                 n = len(s)
                 k = min(n, n - least(n, num, den) + MAX_L)
                 lv = level[(s & np.uint64(CELLS - 1)).astype(np.int64)]
-                first = s[np.lexsort((s, lv))[:k]]
+                first = s[np.argsort(lv, kind="stable")[:k]]  # s is sorted: ties go by the hash
                 ns.append(n)
                 digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 firsts.append(first.view(np.int64))
@@ -137,15 +192,75 @@ def prefixes(rows: DataFrame, levels, width: int, num: int, den: int) -> DataFra
     return rows.mapInArrow(run, "doc long, n long, set_id binary, prefix array<long>")
 
 
-def whole_sets(rows: DataFrame, width: int) -> DataFrame:
-    """(rep, tokens): the sorted set of each row as bytes."""
+def signature(s: np.ndarray) -> np.ndarray:
+    """Bitmap of a set in 64-bit words; its size in bits is a power of two."""
+    bits = max(64, 1 << int(SIGNATURE * len(s) - 1).bit_length()) if len(s) else 64
+    at = (s & np.uint64(bits - 1)).astype(np.int64)
+    out = np.zeros(bits, np.uint8)
+    out[at] = 1
+    return np.packbits(out, bitorder="little").view("<u8")
+
+
+def fold(sig: np.ndarray, words: int) -> np.ndarray:
+    """The signatures (rows) as they are with fewer bits."""
+    while sig.shape[1] > words:
+        half = sig.shape[1] // 2
+        sig = sig[:, :half] | sig[:, half:]
+    return sig
+
+
+def most_common(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """Upper bounds of all overlaps of two lists of sets, from their signatures (rows, of one width each) and sizes."""
+    words = min(a.shape[1], b.shape[1])
+    a, b = fold(a, words), fold(b, words)
+    double = np.minimum((na - np.bitwise_count(a).sum(axis=1))[:, None], (nb - np.bitwise_count(b).sum(axis=1))[None])
+    both = np.zeros((len(a), len(b)), np.int64)
+    for w in range(words):
+        both += np.bitwise_count(a[:, w][:, None] & b[:, w][None])
+    return np.minimum(both + double, np.minimum(na[:, None], nb[None]))
+
+
+def wanted_bits(ids: DataFrame) -> np.ndarray:
+    """Bitmap of the hashes of ``ids`` (rep): at most WANTED / 64 rows reach the driver."""
+    cell = F.pmod(F.xxhash64("rep"), F.lit(WANTED))
+    words = (ids.select(cell.alias("c")).groupBy(F.floor(F.col("c") / 64).alias("word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(c % 64 as int))")).alias("bits")).toArrow())
+    out = np.zeros(WANTED // 64, np.int64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return out.view(np.uint64)
+
+
+def whole_sets(rows: DataFrame, bits, width: int) -> DataFrame:
+    """(rep, n, sig, tokens): size, signature and sorted set, as bytes, of the wanted rows.
+
+    A text is hashed where it is read if its id is among ``bits``, so no text is shuffled. The
+    bitmap lets through a few others, which no pair names; the more ids there are, the more of them."""
     def run(batches):
-        book = {}
+        hasher, known = WordHasher(), bits.value
         for b in batches:
-            sets = [shingles((t.as_py() or "").encode("utf-8", "replace"), width, book).tobytes() for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], ["rep", "tokens"])
+            cell = b.column(2).to_numpy()
+            hit = np.flatnonzero((known[cell // 64] >> (cell % 64).astype(np.uint64)) & np.uint64(1))
+            b = b.take(pa.array(hit))
+            sets = [shingles((t.as_py() or "").encode("utf-8", "replace"), width, hasher) for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([signature(s).tobytes() for s in sets], pa.binary()),
+                 pa.array([s.tobytes() for s in sets], pa.binary())], ["rep", "n", "sig", "tokens"])
 
-    return rows.mapInArrow(run, "rep long, tokens binary")
+    cells = rows.where("doc is not null").withColumn("cell", F.pmod(F.xxhash64("doc"), F.lit(WANTED)))
+    return cells.mapInArrow(run, "rep long, n long, sig binary, tokens binary")
+
+
+def allowed_pairs(batches, num, den):
+    """Of (a, b, n and signature of both) the pairs whose bound reaches num / den."""
+    for b in batches:
+        a_id, b_id, na, sa, nb, sb = (b.column(i).to_pylist() for i in range(6))
+        keep = []
+        for i in range(len(a_id)):
+            x, y = np.frombuffer(sa[i], "<u8")[None], np.frombuffer(sb[i], "<u8")[None]
+            most = int(most_common(x, y, np.array([na[i]]), np.array([nb[i]]))[0, 0])
+            keep.append(den * most >= num * (na[i] + nb[i] - most))
+        keep = pa.array(keep, pa.bool_())
+        yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], ["a", "b"])
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -158,6 +273,7 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def linked_pairs(batches, num, den):
+    """Of (a, b, tokens of both) the pairs that are linked."""
     for b in batches:
         out_a, out_b = [], []
         for a, c, ta, tc in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
@@ -243,15 +359,43 @@ def cluster_links(num: int, den: int):
     return run
 
 
-def join_clusters(clusters: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b) links inside clusters (cluster, rep, base, plus, minus)."""
-    sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+def block_pairs(members: DataFrame) -> DataFrame:
+    """Rows of ``members`` (cluster, rep, ...) dealt to the pairs of blocks of their cluster:
+    blk is a row's own block, (cluster, i, j) its pair."""
+    sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
     n = F.when(F.col("k") <= BLOCK * GRID, F.ceil(F.col("k") / BLOCK)).otherwise(F.greatest(F.lit(GRID), F.ceil(F.col("k") / WIDEST)))
     sizes = sizes.withColumn("blocks", n.cast("int"))
-    dealt = clusters.join(sizes, "cluster").withColumn("blk", F.pmod(F.xxhash64("rep", F.lit(11)), F.col("blocks").cast("long")).cast("int"))
+    dealt = members.join(sizes, "cluster").withColumn("blk", F.pmod(F.xxhash64("rep", F.lit(11)), F.col("blocks").cast("long")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("cluster", "rep", "blk", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "base", "plus", "minus")
-    return dealt.groupBy("cluster", "i", "j").applyInArrow(cluster_links(num, den), "a long, b long")
+    return dealt.withColumn("i", F.least("blk", "other")).withColumn("j", F.greatest("blk", "other")).drop("k", "blocks", "other")
+
+
+def join_clusters(clusters: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b) links inside clusters (cluster, rep, base, plus, minus)."""
+    return block_pairs(clusters).groupBy("cluster", "i", "j").applyInArrow(cluster_links(num, den), "a long, b long")
+
+
+def allowed_in_blocks(num: int, den: int):
+    """For groups (cluster, i, j) of (rep, n, sig): the pairs between block i and block j whose bound reaches num / den."""
+    def run(t: pa.Table) -> pa.Table:
+        rep, blk, n = (np.array(t.column(c).to_pylist(), np.int64) for c in ("rep", "blk", "n"))
+        sig = [np.frombuffer(x, "<u8") for x in t.column("sig").to_pylist()]
+        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+        width = np.array([len(x) for x in sig])
+        a, b = [], []
+        for wa in np.unique(width[blk == i]):
+            ia = np.flatnonzero((blk == i) & (width == wa))
+            for wb in np.unique(width[blk == j]):
+                ib = np.flatnonzero((blk == j) & (width == wb))
+                most = most_common(np.array([sig[k] for k in ia]), np.array([sig[k] for k in ib]), n[ia], n[ib])
+                r, c = np.nonzero((den * most >= num * (n[ia][:, None] + n[ib][None] - most)) & (rep[ia][:, None] != rep[ib][None]))
+                a.append(np.minimum(rep[ia][r], rep[ib][c]))
+                b.append(np.maximum(rep[ia][r], rep[ib][c]))
+        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+        one = np.unique(np.stack([a, b], axis=1), axis=0)
+        return pa.table({"a": pa.array(one[:, 0], pa.int64()), "b": pa.array(one[:, 1], pa.int64())})
+
+    return run
 
 
 def similar_components(docs: DataFrame, *, width: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id",
@@ -268,13 +412,15 @@ def similar_components(docs: DataFrame, *, width: int = 3, num: int = 90, den: i
     spark = docs.sparkSession
     rows = texts(docs, id_col, text_col)
     levels = spark.sparkContext.broadcast(frequency_levels(rows, width))  # 1 MB, whatever the input
-    every = written(prefixes(rows, levels, width, num, den), "sets")
-    classes = written(every.where("n > 0 and doc is not null").groupBy("set_id", "n")
-                      .agg(F.min("doc").alias("rep"), F.first("prefix").alias("prefix")), "sets-classes")
+    temp = Scratch(spark)
+    firsts = temp.written(prefixes(rows, levels, width, num, den), "sets-prefixes")
+    every = written(firsts.drop("prefix"), "sets")
+    classes = temp.written(firsts.where("n > 0 and doc is not null").groupBy("set_id", "n")
+                           .agg(F.min("doc").alias("rep"), F.first("prefix").alias("prefix")), "sets-classes")
 
     post = classes.select("rep", "n", F.posexplode("prefix").alias("pos", "token"))
     counts = post.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    shared = written(post.join(counts, "token"), "sets-shared")
+    shared = temp.written(post.join(counts, "token"), "sets-shared")
     need = (F.col("n") - F.ceil(F.col("n") * num / den)).cast("int")
 
     # l of each document by estimated cost, over its cold postings
@@ -290,36 +436,46 @@ def similar_components(docs: DataFrame, *, width: int = 3, num: int = 90, den: i
     fits = (den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b"))
     pairs = (one.join(two, "token").where((F.col("rep_a") < F.col("rep_b")) & fits).groupBy("rep_a", "rep_b")
              .agg(F.count(F.lit(1)).alias("m"), F.min(F.least("l_a", "l_b")).alias("l")).where("m >= l"))
-    pairs = written(pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")), "sets-pairs")
+    pairs = temp.written(pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")), "sets-pairs")
 
     # a linked pair shares a hot bucket, or enough cold ones to be among the pairs
-    hot = written(shared.where((F.col("c") > HOT)).select("token", "rep"), "sets-hot")
+    hot = temp.written(shared.where((F.col("c") > HOT)).select("token", "rep"), "sets-hot")
     wanted = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))) \
         .unionByName(hot.select("rep")).distinct()
-    sets = written(whole_sets(rows.join(wanted, rows["doc"] == wanted["rep"], "left_semi"), width), "sets-whole")
-    lookup = lambda df, key, name: df.join(sets.select(F.col("rep").alias(key), F.col("tokens").alias(name)), key)
+    bits = spark.sparkContext.broadcast(wanted_bits(wanted))  # 8 MB, whatever the input
+    sets = bucketed(whole_sets(rows, bits, width), "rep", "sets-whole", temp)
+    sigs = sets.select("rep", "n", "sig")
+
+    def with_both(pairs, a, b, what, *cols):
+        for key, end in ((a, "_a"), (b, "_b")):
+            pairs = pairs.join(what.select(F.col("rep").alias(key), *[F.col(c).alias(c + end) for c in cols]), key)
+        return pairs.select(a, b, *[c + end for end in ("_a", "_b") for c in cols])
+
+    def allowed(pairs, num, den):
+        """(a, b) whose signatures allow Jaccard >= num / den."""
+        return temp.written(with_both(pairs, "a", "b", sigs, "n", "sig").mapInArrow(lambda it: allowed_pairs(it, num, den), "a long, b long"), "sets-allowed")
 
-    found = lookup(lookup(pairs, "a", "ta"), "b", "tb").select("a", "b", "ta", "tb") \
-        .mapInArrow(lambda it: linked_pairs(it, num, den), "a long, b long")
-    edges = [written(found, "sets-links")]
+    def verified(pairs):
+        return temp.written(with_both(pairs, "a", "b", sets, "tokens").mapInArrow(lambda it: linked_pairs(it, num, den), "a long, b long"), "sets-links")
 
+    edges = [verified(allowed(pairs, num, den))]
     for r in range(ROUNDS):
         live = hot.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct(F.xxhash64("rep", F.lit(r)), "rep")).alias("p")).where("c > 1") \
             .select("token", F.col("p.rep").alias("pivot"))
-        live = written(hot.join(live, "token"), "sets-live")
+        live = temp.written(hot.join(live, "token"), "sets-live")
         if live.isEmpty():
-            hot = None
+            hot = live
             break
-        tries = live.select("pivot", "rep").groupBy("pivot", "rep").agg(F.count(F.lit(1)).alias("n"))
-        compared = lookup(lookup(tries, "rep", "tr"), "pivot", "tp").select("pivot", "rep", "tp", "tr").mapInArrow(lambda it: against_pivot(it, num, den), CLUSTER)
-        compared = written(compared, "sets-compared")
-        edges.append(written(join_clusters(compared.withColumnRenamed("pivot", "cluster").drop("near"), num, den), "sets-links"))
+        tries = live.groupBy("pivot", "rep").agg(F.count(F.lit(1)).alias("n")).select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
+        tries = with_both(allowed(tries, 1, 2), "a", "b", sets, "tokens")
+        compared = temp.written(tries.mapInArrow(lambda it: against_pivot(it, num, den), CLUSTER), "sets-compared")
+        edges.append(temp.written(join_clusters(compared.withColumnRenamed("pivot", "cluster").drop("near"), num, den), "sets-links"))
         gone = compared.where("near").select("pivot", "rep").distinct()
-        hot = written(live.join(gone, ["pivot", "rep"], "left_anti").select("token", "rep"), "sets-hot")
-    if hot is not None and not hot.isEmpty():
-        rest = lookup(hot, "rep", "plus").select(F.col("token").alias("cluster"), "rep", F.lit(0).cast("long").alias("base"), "plus",
-                                                 F.lit(b"").alias("minus"))
-        edges.append(written(join_clusters(rest, num, den), "sets-links"))
+        hot = temp.written(live.join(gone, ["pivot", "rep"], "left_anti").select("token", "rep"), "sets-hot")
+    if not hot.isEmpty():
+        rest = block_pairs(hot.join(sigs, "rep").withColumnRenamed("token", "cluster"))
+        rest = rest.groupBy("cluster", "i", "j").applyInArrow(allowed_in_blocks(num, den), "a long, b long")
+        edges.append(verified(temp.written(rest.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).drop("n"), "sets-allowed")))
 
     union = edges[0]
     for e in edges[1:]:
@@ -327,6 +483,8 @@ def similar_components(docs: DataFrame, *, width: int = 3, num: int = 90, den: i
     comp = components(union)
     named = classes.select("set_id", "n", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left") \
         .select("set_id", "n", F.coalesce("component", "rep").alias("component_id"))
+    named = written(named, "sets-named")
+    temp.drop()
     linked = every.where("n > 0 and doc is not null").select("doc", "n", "set_id").join(named, ["set_id", "n"]).select("doc", "n", "component_id")
     alone = every.where("n = 0 or doc is null").select("doc", "n", F.col("doc").alias("component_id"))
     return linked.unionByName(alone).select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
