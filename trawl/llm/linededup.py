@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trawl.llm.common import WORD, written
+from trawl.llm.common import WORD, Scratch, written
 
 DOC = ["d", "h"]
 
@@ -36,12 +36,12 @@ def positions(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             .select("d", "h", "seq", F.col("x.line").alias("line"), F.col("x.words").alias("words"), F.col("x.key").alias("key")))
 
 
-def numbered(keys: DataFrame, cols: list[str], name: str) -> DataFrame:
+def numbered(keys: DataFrame, cols: list[str], name: str, temp: Scratch) -> DataFrame:
     """Distinct ``cols`` with their rank in sorted order: a range exchange, then the
     row number in each part plus the rows of the parts before it."""
     spark = keys.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = written(keys.select(*cols).repartitionByRange(parts, *cols).withColumn("_pid", F.spark_partition_id()), "lines-rank")
+    ranged = temp.written(keys.select(*cols).repartitionByRange(parts, *cols).withColumn("_pid", F.spark_partition_id()), "lines-rank")
     sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = sizes.withColumn("_before", F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).drop("_n")  # one row per part
     local = F.row_number().over(Window.partitionBy("_pid").orderBy(*cols))
@@ -75,10 +75,11 @@ def later_runs(docs: DataFrame, *, min_words: int = 50, id_col: str = "doc_id",
     lines = positions(docs, id_col, text_col)
     seen = lines.select("d", "h", "seq", "line", "words", "key")
     repeated = seen.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    rank0 = numbered(repeated, ["key"], "rank")
+    temp = Scratch(docs.sparkSession)
+    rank0 = numbered(repeated, ["key"], "rank", temp)
     active = written(seen.join(rank0, "key").groupBy("d", "h", "seq")
                      .agg(F.first("line").alias("line"), F.first("words").alias("words"), F.first("rank").alias("rank")), "lines")
-    runs = written(windows(active, min_words).withColumn("k", F.floor(F.log2("m")).cast("int")), "lines-runs")
+    runs = temp.written(windows(active, min_words).withColumn("k", F.floor(F.log2("m")).cast("int")), "lines-runs")
     deepest = runs.agg(F.max("k")).first()[0]
     if deepest is None:
         return active.where(F.lit(False)).select("d", "h", "line")
@@ -96,13 +97,15 @@ def later_runs(docs: DataFrame, *, min_words: int = 50, id_col: str = "doc_id",
             break
         # doubling: the rank 2**k lines on, in the same document
         step = Window.partitionBy(*DOC).orderBy("seq").rangeBetween(1 << k, 1 << k)
-        pairs = written(level.withColumn("next", F.max("rank").over(step)).where("next is not null"), "lines-pairs")
+        pairs = temp.written(level.withColumn("next", F.max("rank").over(step)).where("next is not null"), "lines-pairs")
         groups = pairs.groupBy("rank", "next").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        order = numbered(groups, ["rank", "next"], "new")
-        level = written(pairs.join(order, ["rank", "next"]).select("d", "h", "seq", F.col("new").alias("rank")), "lines-level")
+        order = numbered(groups, ["rank", "next"], "new", temp)
+        level = temp.written(pairs.join(order, ["rank", "next"]).select("d", "h", "seq", F.col("new").alias("rank")), "lines-level")
     ranked = written(ranked, "lines-ranked")
+    temp.drop()
     pos = F.struct(F.col("d").isNull().alias("n"), "d", "h", "start")
     first = ranked.groupBy("m", "ra", "rb").agg(F.min(pos).alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    first = written(first, "lines-first")  # so that the join below is one AQE can split
     later = (ranked.join(first.select("m", "ra", "rb", "first"), ["m", "ra", "rb"])
              .where(~(F.col("first").eqNullSafe(pos)))
              .select("d", "h", F.col("start").alias("x"), (F.col("start") + F.col("m") - 1).alias("end"), F.lit(None).cast("int").alias("line")))
