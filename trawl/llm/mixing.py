@@ -113,10 +113,11 @@ def _running(batches):
 
 
 def mix(docs: DataFrame, *, weights=(3, 1, 2), share: float = 1.5, ceiling: int = 2, id_col: str = "doc_id",
-        text_col: str = "text", source_col: str = "source") -> DataFrame:
+        text_col: str = "text", source_col: str = "source", size_col: str | None = None) -> DataFrame:
     """All columns of ``docs`` plus _size, _source_size, _target, _copies.
 
-    _size counts the words of the whole text (null: 0); _copies is how often
+    _size counts the words of the whole text (null: 0), or is ``size_col`` where
+    the caller has counted already; _copies is how often
     the mix takes the document, 0 to ``ceiling``. A null source is a source
     of its own, last in order. Documents without words are kept once, since
     they cost no tokens. Repeated rows count one by one, and between equal
@@ -127,7 +128,8 @@ def mix(docs: DataFrame, *, weights=(3, 1, 2), share: float = 1.5, ceiling: int
     own = [c for c in docs.columns if c not in ("_size", "_source_size", "_target", "_copies")]
     sized = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"),
                         F.col(f"`{source_col}`").cast("string").alias("source"),
-                        F.xxhash64(F.col(f"`{id_col}`")).alias("h"), count_words(F.col(f"`{text_col}`")).alias("size"))
+                        F.xxhash64(F.col(f"`{id_col}`")).alias("h"),
+                        (F.col(f"`{size_col}`").cast("long") if size_col else count_words(F.col(f"`{text_col}`"))).alias("size"))
     hist = written(sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "mix-hist")
     src = source_targets(hist, weights, share, ceiling)
     hist = hist.join(src.select("source", "sid"), hist["source"].eqNullSafe(src["source"])).select("sid", "size", "n")

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from trawl.llm import blocks, epsjoin, langid, linededup, mixing, ngramjoin, packing, quality, secrets, warcindex
-from trawl.llm.common import table
+from trawl.llm.common import count_words, table, written
 
 
 def tokenizer_path() -> str:
@@ -33,7 +33,8 @@ def op3_adaptive_prefix_join(spark, sf_dir):
 
 def op4_source_mix(spark, sf_dir):
     """Rates by entropy balancing; ``taken`` is copies times size."""
-    m = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", count_words(F.col("text")).alias("words"))
+    m = mixing.mix(written(docs, "mix-sizes"), size_col="words")
     return m.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
                     F.col("_target").alias("target"), (F.col("_copies") * F.col("_size")).alias("taken"),
                     F.col("_copies").alias("copies"))
@@ -89,4 +90,56 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM p LEFT JOIN k USING (payload_digest)
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_warc_index_merge": OP1_SQL}
+# a word, and what RE2 needs of it
+_WORD = r"[^\x20\x09-\x0D]+"
+
+OP3_SQL = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS ws
+  FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(ws) >= 3 THEN array_to_string(ws[i:i + 2], ' ') ELSE array_to_string(ws, ' ') END AS sh
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS i FROM w WHERE len(ws) > 0) x),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON p.a = x.doc_id JOIN n y ON p.b = y.doc_id WHERE 100 * m >= 90 * (x.n + y.n - m)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(node, reached) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.node, e.b FROM r JOIN e ON r.reached = e.a),
+c AS (SELECT node, min(reached) AS component_id FROM r GROUP BY node)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id
+FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN c ON d.doc_id = c.node
+"""
+
+OP6_SQL = f"""
+WITH t AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no FROM documents),
+w AS (SELECT doc_id, line, no, len(regexp_extract_all(line, '{_WORD}')) AS words FROM t),
+k AS (SELECT *, row_number() OVER o AS seq, sum(words) OVER o AS c1 FROM w WHERE words > 0 WINDOW o AS (PARTITION BY doc_id ORDER BY no)),
+f AS (SELECT a.doc_id, a.seq AS s, min(b.seq) AS e FROM k a JOIN k b ON a.doc_id = b.doc_id AND b.seq >= a.seq AND b.c1 - (a.c1 - a.words) >= 50 GROUP BY 1, 2),
+g AS (SELECT a.doc_id, max(b.seq) AS s, a.seq AS e FROM k a JOIN k b ON a.doc_id = b.doc_id AND b.seq <= a.seq AND a.c1 - (b.c1 - b.words) >= 50 GROUP BY 1, 3),
+v AS (SELECT * FROM f UNION SELECT * FROM g),
+x AS (SELECT v.doc_id, v.s, v.e, string_agg(k.line, chr(10) ORDER BY k.seq) AS body FROM v JOIN k ON v.doc_id = k.doc_id AND k.seq BETWEEN v.s AND v.e GROUP BY 1, 2, 3),
+y AS (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, s) AS copy FROM x),
+gone AS (SELECT DISTINCT k.doc_id, k.no FROM y JOIN k ON y.doc_id = k.doc_id AND k.seq BETWEEN y.s AND y.e WHERE y.copy > 1),
+rest AS (SELECT w.doc_id, count(g.no) AS n_deleted, count(*) FILTER (w.words > 0 AND g.no IS NULL) AS kept,
+                string_agg(w.line, chr(10) ORDER BY w.no) FILTER (g.no IS NULL) AS body
+         FROM w LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.no = g.no GROUP BY w.doc_id)
+SELECT d.doc_id, CAST(coalesce(n_deleted, 0) AS BIGINT) AS n_deleted,
+       CASE WHEN coalesce(n_deleted, 0) = 0 THEN d.text WHEN kept > 0 THEN body ELSE '' END AS text
+FROM documents d LEFT JOIN rest USING (doc_id)
+"""
+
+OP7_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+r(node, reached) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.node, l.b FROM r JOIN l ON r.reached = l.a),
+c AS (SELECT node, min(reached) AS component_id FROM r GROUP BY node),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e LEFT JOIN n ON e.vec_id = n.a LEFT JOIN c ON e.vec_id = c.node
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_warc_index_merge": OP1_SQL, "op3_adaptive_prefix_join": OP3_SQL, "op6_line_suffix_dedup": OP6_SQL,
+                              "op7_epsilon_grid_join": OP7_SQL}
