@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trawl.llm.common import sample_rows
 from trawl.llm.ngramjoin import CHUNK, WordHasher
 
 # HTML's elements by kind.
@@ -373,8 +374,8 @@ def fit(pages: DataFrame, *, id_col: str = "page_id", html_col: str = "html", sa
     """Weights learned from at most ``sample`` pages (first by hash, each no longer than
     ``max_chars``) whose markup tells their article; None if there is none."""
     h = F.col(f"`{html_col}`").cast("string")
-    rows = (pages.select(h.alias("html"), F.xxhash64(F.col(f"`{id_col}`"), h).alias("k"))
-            .where(F.lower("html").rlike("<(article|main)\\b") & (F.length("html") <= max_chars)).orderBy("k", "html").limit(sample).collect())
+    told = pages.select(h.alias("html"), F.col(f"`{id_col}`").alias("id")).where(F.lower("html").rlike("<(article|main)\\b") & (F.length("html") <= max_chars))
+    rows = sample_rows(told, F.xxhash64("id", "html"), sample)
     seqs, labels = [], []
     for r in rows:
         b = leaf_blocks(r["html"])[:max_blocks]
