@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
-from tests.llm.conftest import corpus
+from tests.llm.conftest import corpus, prose
 from tests.llm.test_ngramjoin import brute as components
 from trawl.llm import langid, linededup, mixing
 
@@ -89,3 +89,14 @@ def test_an_empty_table_runs_through(spark):
     for _, stage in P.STAGES:
         docs = P.written(stage(spark, docs, None), "test")
     assert docs.isEmpty()
+
+
+def test_language_keeps_what_no_label_fits_well(spark):
+    rows = [(i, prose(i, 20), f"l{i % 8}" if i % 9 else None, "s", 1) for i in range(160)]  # eight labels of one language
+    rows += [(200, "ok", "l1", "s", 1), (201, "12 34", "l1", "s", 1), (202, "x", "und", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = P.written(P.language(spark, docs, None), "test")
+    assert {r["doc_id"] for r in out.collect()} == {r[0] for r in rows} - {201}
+    assert out.where("lang is null").isEmpty()
+    unlabelled = P.language(spark, docs.withColumn("lang", F.lit(None).cast("string")), None)
+    assert {r["doc_id"] for r in unlabelled.collect()} == {r[0] for r in rows} - {201}
