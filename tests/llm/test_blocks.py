@@ -33,6 +33,15 @@ def test_blocks_of_markup():
     assert blocks.leaf_blocks("<div class='Side-Bar x1' id=top><p>a")[0][1] == ("div", "side", "bar", "x", "top", "p")
 
 
+def test_letters_that_grow_in_lower_case():
+    leaf = lambda h: [b[0] for b in blocks.leaf_blocks(h)]
+    dots = "\u0130" * 40
+    assert leaf(f"{dots}<script>var a = 1;</SCRIPT><p>abc</p>") == [dots, "abc"]
+    assert leaf(f"{dots}<script>x</script><p>abc") == [dots, "abc"]
+    assert leaf(f"{dots}<script>x</script >{'y' * 30}<script>leak</script>z") == [dots + "y" * 30 + "z"]
+    assert leaf("<p>a<\u017fcript>b") == ["a<\u017fcript>b"]  # no tag
+
+
 @pytest.mark.parametrize("hostile", ["<" * 400_000, "<a \"" * 100_000, "<div>x" * 50_000, "<b>x" * 100_000, "<!--" * 100_000, "<p class='" * 50_000, "</div>x" * 50_000])
 def test_hostile_markup_is_linear(hostile):
     t = time.time()

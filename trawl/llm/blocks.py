@@ -43,8 +43,9 @@ FURNITURE = set("ad ads advert advertisement advertising aside banner breadcrumb
 CONTENT = set("article main content post entry story text body".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?:%s)\b[^<>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*+|[^<>]*)>|<[!?][^<>]*>" % DEAD_TAGS,
-                    re.S | re.I)
-_DEAD = re.compile(r"<(%s)\b" % DEAD_TAGS, re.I)
+                    re.S | re.I | re.A)
+_DEAD = re.compile(r"<(%s)\b" % DEAD_TAGS, re.I | re.A)
+_DEAD_END = {t: re.compile(r"</%s(?=[\t\n\f\r />])" % t, re.I | re.A) for t in DEAD_TAGS.split("|")}
 _ATTR = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"\bhidden\b|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _NAME = re.compile(r"[A-Za-z]+")
@@ -53,6 +54,13 @@ PATHS, WORDS, DENSE = 512, 512, 8
 BLOCKS_AT_ONCE = 1024
 
 
+def dead_end(page: str, tag: str, pos: int) -> tuple[int, int]:
+    """(start, end) of the end tag from ``pos`` on; the end of the page if it has none."""
+    m = _DEAD_END[tag].search(page, pos)
+    stop = page.find(">", m.end()) if m else -1
+    return (m.start(), stop + 1) if stop >= 0 else (len(page), len(page))
+
+
 def leaf_blocks(page: str) -> list[tuple[str, tuple[str, ...], int, int]]:
     """(text, path items, characters inside links, level) of the leaf blocks in page order.
 
@@ -78,7 +86,6 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple[str, ...], int, int]]:
 
     pos, n = 0, len(page)
     in_link = 0
-    low = None
     while pos < n:
         m = _TOKEN.search(page, pos)
         end = m.start() if m else n
@@ -93,10 +100,7 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple[str, ...], int, int]]:
         if tag is None:
             dead = _DEAD.match(m[0])
             if dead and not m[0].endswith("/>"):
-                low = low if low is not None else page.lower()
-                close = low.find("</" + dead[1].lower(), pos)
-                stop = page.find(">", close) if close >= 0 else -1
-                pos = stop + 1 if stop >= 0 else n
+                pos = dead_end(page, dead[1].lower(), pos)[1]
             continue
         tag = tag.lower()
         if tag == "br":
