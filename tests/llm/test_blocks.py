@@ -42,6 +42,27 @@ def test_letters_that_grow_in_lower_case():
     assert leaf("<p>a<\u017fcript>b") == ["a<\u017fcript>b"]  # no tag
 
 
+def test_only_what_is_not_shown_goes():
+    leaf = lambda h: [b[0] for b in blocks.leaf_blocks(h)]
+    assert leaf("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds<xmp>a <b> &amp; c</xmp><p>d") == ["so x=1 holds", "a <b> &amp; c", "d"]
+    for t in ("svg", "object", "canvas", "template"):
+        assert leaf(f"<p>a <{t} id='x>y'><{t}>no</{t}><i>no</i></{t.upper()}> b<p>c") == ["a b", "c"]
+        assert leaf(f"<p>a <{t}/>b<p>c") == ["a b", "c"]
+        assert leaf(f"<div>a <{t}></div><p>b</p><p>c") == ["a", "b", "c"]  # without an end tag
+        assert leaf(f"<p>a <{t}><p>b</p><{t}>no</{t}>c") == ["a", "b", "c"]
+    assert leaf("<p>a<svg><title>no</svg><p>b") == ["a", "b"]
+    assert leaf("<p>a<svg><script>'</svg>'</script>no</svg>b") == ["ab"]
+    assert leaf("<svg-icon>a</svg-icon><title-bar>b</title-bar><p>c") == ["ab", "c"]
+    assert leaf("<p>a<script>b") == ["a"]
+
+
+@pytest.mark.parametrize("hostile", ["<svg>" * 100_000, "<p>a<svg></p>" * 50_000, "<svg>" * 50_000 + "</svg>" * 50_000, "<canvas><svg></canvas>" * 50_000, "<i><svg></i>x" * 50_000])
+def test_hostile_nesting_is_linear(hostile):
+    t = time.time()
+    blocks.leaf_blocks(hostile)
+    assert time.time() - t < 5
+
+
 @pytest.mark.parametrize("hostile", ["<" * 400_000, "<a \"" * 100_000, "<div>x" * 50_000, "<b>x" * 100_000, "<!--" * 100_000, "<p class='" * 50_000, "</div>x" * 50_000])
 def test_hostile_markup_is_linear(hostile):
     t = time.time()

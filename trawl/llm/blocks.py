@@ -32,7 +32,8 @@ BLOCK_TAGS = set("address article aside blockquote body button caption center dd
                  "figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu "
                  "nav ol optgroup option p pre search section select summary table tbody td tfoot th thead tr ul".split())
 VOID_TAGS = set("area base br col embed hr img input link meta param source track wbr".split())
-DEAD_TAGS = "script|style|noscript|template|iframe|svg|textarea|title|object|canvas|math|noframes|xmp"
+DEAD_TAGS = "script|style|noscript|iframe|textarea|title|noframes|xmp"  # raw text up to the end tag, else to the end of the page
+UNSHOWN = set("template svg object canvas".split())  # these hold elements and end where the element does
 ITEMS = set("li dt dd tr td th option".split())
 ENDS_P = BLOCK_TAGS - {"body", "html", "head"}
 #: Usual names of page furniture, which reader and training share.
@@ -42,9 +43,10 @@ FURNITURE = set("ad ads advert advertisement advertising aside banner breadcrumb
                 "signup social sponsor sponsored subscribe tags toolbar topbar widget".split())
 CONTENT = set("article main content post entry story text body".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?:%s)\b[^<>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*+|[^<>]*)>|<[!?][^<>]*>" % DEAD_TAGS,
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?:%s)(?=[\t\n\f\r />])[^<>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*+|[^<>]*)>|<[!?][^<>]*>" % DEAD_TAGS,
                     re.S | re.I | re.A)
-_DEAD = re.compile(r"<(%s)\b" % DEAD_TAGS, re.I | re.A)
+_DEAD = re.compile(r"<(%s)(?=[\t\n\f\r />])" % DEAD_TAGS, re.I | re.A)
+_UNSHOWN = re.compile(r"<(?:%s)(?=[\t\n\f\r />])" % "|".join(sorted(UNSHOWN)), re.I | re.A)
 _DEAD_END = {t: re.compile(r"</%s(?=[\t\n\f\r />])" % t, re.I | re.A) for t in DEAD_TAGS.split("|")}
 _ATTR = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"\bhidden\b|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
@@ -61,6 +63,37 @@ def dead_end(page: str, tag: str, pos: int) -> tuple[int, int]:
     return (m.start(), stop + 1) if stop >= 0 else (len(page), len(page))
 
 
+def unshown(page: str) -> dict[int, int]:
+    """Where each element of UNSHOWN starts and where its own end tag ends. One that is never closed, or only by the
+    end of an element around it, is not among them: nothing tells what belongs to it."""
+    ends, stack, opened, pos = {}, [], Counter(), 0
+    if not _UNSHOWN.search(page):
+        return ends
+    while m := _TOKEN.search(page, pos):
+        pos = m.end()
+        tag = m[2].lower() if m[2] else None
+        if tag is None:
+            dead = _DEAD.match(m[0])
+            if not dead or m[0].endswith("/>"):
+                continue
+            tag = dead[1].lower()
+            if not (tag in ("title", "style") and opened["svg"]):  # elements like others in there
+                pos = dead_end(page, tag, pos)[1]
+                continue
+        if m[1]:
+            while opened[tag]:
+                t, start = stack.pop()
+                opened[t] -= 1
+                if t == tag:
+                    if t in UNSHOWN:
+                        ends[start] = pos
+                    break
+        elif tag not in VOID_TAGS and not m[0].endswith("/>"):
+            stack.append((tag, m.start()))
+            opened[tag] += 1
+    return ends
+
+
 def leaf_blocks(page: str) -> list[tuple[str, tuple[str, ...], int, int]]:
     """(text, path items, characters inside links, level) of the leaf blocks in page order.
 
@@ -86,6 +119,7 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple[str, ...], int, int]]:
 
     pos, n = 0, len(page)
     in_link = 0
+    ends = unshown(page)
     while pos < n:
         m = _TOKEN.search(page, pos)
         end = m.start() if m else n
@@ -100,7 +134,15 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple[str, ...], int, int]]:
         if tag is None:
             dead = _DEAD.match(m[0])
             if dead and not m[0].endswith("/>"):
-                pos = dead_end(page, dead[1].lower(), pos)[1]
+                close, stop = dead_end(page, dead[1].lower(), pos)
+                if dead[1].lower() == "xmp":  # shown as it is
+                    flush()
+                    parts.append(html.escape(page[pos:close]))
+                    flush()
+                pos = stop
+            continue
+        if m.start() in ends:
+            pos = ends[m.start()]
             continue
         tag = tag.lower()
         if tag == "br":
