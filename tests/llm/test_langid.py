@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -71,3 +73,20 @@ def test_held_out_accuracy_and_edge_cases(spark, docs, no_docs):
     assert langid.identify(no_docs, names, w).collect() == []
     assert langid.fit(no_docs, F.col("text"), F.col("lang"), F.col("doc_id")) == ([], None)
     assert {r["lang_pred"] for r in langid.identify(docs, [], None).collect()} == {"und"}
+
+
+def test_more_than_64_labels(spark):
+    letters = [chr(c) for c in range(0x400, 0x2000) if chr(c).isalpha()]
+
+    def words(label, seed):  # letters of its own
+        r = random.Random(f"{label} {seed}")
+        return " ".join("".join(letters[12 * label + r.randrange(12)] for _ in range(r.randint(2, 7))) for _ in range(30))
+
+    rows = [(1000 * k + i, words(k, i), f"l{k:02}") for k in range(70) for i in range(18 + k // 10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    names, w = langid.fit(df, F.col("text"), F.col("lang"), F.col("doc_id"))
+    assert names == [f"l{k:02}" for k in range(70)]
+    asked = spark.createDataFrame([(k, words(k, 99), f"l{k:02}") for k in range(70)], df.schema)
+    got = langid.identify(asked, names, w).collect()
+    right = {r["lang"] for r in got if r["lang"] == r["lang_pred"]}
+    assert len(right) >= 66 and len({f"l{k:02}" for k in range(6)} - right) <= 1  # the rarest six were left out

@@ -77,9 +77,12 @@ def _direction_back(x, u, bytes_, valid, keep, dstates):
     return dx, du
 
 
-def train(windows: np.ndarray, lengths: np.ndarray, labels: np.ndarray, n_labels: int, *, hidden: int = 12,
-          steps: int = 260, batch: int = 192, rate: float = 0.02, seed: int = 7) -> dict[str, np.ndarray]:
-    """Adam on the mean cross-entropy of all positions of (N, L) byte windows."""
+def train(windows: np.ndarray, lengths: np.ndarray, labels: np.ndarray, n_labels: int, *, hidden: int | None = None,
+          steps: int | None = None, batch: int = 192, rate: float = 0.02, seed: int = 7) -> dict[str, np.ndarray]:
+    """Adam on the mean cross-entropy of all positions of (N, L) byte windows. Hidden units and
+    steps, unless given, grow with the root of the labels beyond 16."""
+    scale = max(1.0, (n_labels / 16) ** 0.5)
+    hidden, steps = hidden or round(12 * scale), steps or round(260 * scale)
     rng, w = np.random.default_rng(seed), new_weights(n_labels, hidden, seed)
     m, v = {k: np.zeros_like(a) for k, a in w.items()}, {k: np.zeros_like(a) for k, a in w.items()}
     for step in range(1, steps + 1):
@@ -88,13 +91,13 @@ def train(windows: np.ndarray, lengths: np.ndarray, labels: np.ndarray, n_labels
         sf, kf = _direction(w["xf"], w["uf"], by, valid)
         sb, kb = _direction(w["xb"], w["ub"], by[::-1], valid[::-1])
         both = np.concatenate([sf, sb[::-1]], axis=1)                       # (L, 2H, B)
-        logits = np.einsum("kh,lhb->lkb", w["out"], both) + w["bias"]
+        logits = np.matmul(w["out"], both) + w["bias"]
         p = np.exp(logits - logits.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
         p[:, labels[pick], np.arange(batch)] -= 1
         p *= valid[:, None] / max(1, valid.sum())
-        g = {"out": np.einsum("lkb,lhb->kh", p, both), "bias": p.sum(axis=(0, 2))[:, None]}
-        dboth = np.einsum("kh,lkb->lhb", w["out"], p)
+        g = {"out": np.tensordot(p, both, axes=([0, 2], [0, 2])), "bias": p.sum(axis=(0, 2))[:, None]}
+        dboth = np.matmul(w["out"].T, p)
         g["xf"], g["uf"] = _direction_back(w["xf"], w["uf"], by, valid, kf, dboth[:, :hidden])
         g["xb"], g["ub"] = _direction_back(w["xb"], w["ub"], by[::-1], valid[::-1], kb, dboth[::-1, hidden:])
         norm = np.sqrt(sum(float((a * a).sum()) for a in g.values()))
@@ -170,8 +173,9 @@ class Labeller:
         at, lens = starts[owner] + nth * WINDOW, np.minimum(WINDOW, sizes[owner] - nth * WINDOW)
         order = np.argsort(-lens, kind="stable")
         padded = np.concatenate([data, np.zeros(WINDOW, np.uint8)])
-        for i in range(0, len(order), LANES):
-            o = order[i: i + LANES]
+        lanes = max(16, min(LANES, LANES * 64 // k))  # the probabilities of all positions take the same memory
+        for i in range(0, len(order), lanes):
+            o = order[i: i + lanes]
             by = padded[at[o][None] + np.arange(WINDOW)[:, None]]
             p = self.positions(by.astype(np.intp), lens[o])
             np.add.at(sums, owner[o], p.sum(axis=0).T)
@@ -184,31 +188,32 @@ class Labeller:
 # ---- Spark -------------------------------------------------------------------
 
 def sample_windows(docs: DataFrame, text: Column, label: Column, key: Column, *, per_label: int = 400,
-                   piece: int = 1024, max_labels: int = 64):
-    """A bounded training sample: for each of at most ``max_labels`` labels (the
-    most frequent) the ``per_label`` documents first by hash, a piece of each."""
+                   piece: int = 1024, shared: int = 64):
+    """A training sample: of every label the ``per_label`` documents first by hash, a piece of each;
+    more than ``shared`` labels share the rows of so many, at least 16 each."""
     lab = docs.select(label.alias("label"), text.alias("text"), F.xxhash64(key, text).alias("h")) \
         .where("label is not null and text is not null and length(text) > 0")
-    counts = lab.groupBy("label").count().orderBy(F.desc("count"), "label").limit(max_labels).collect()
+    counts = lab.groupBy("label").count().collect()
     names = sorted(r["label"] for r in counts)
+    per_label = min(per_label, max(16, per_label * shared // max(1, len(names))))
     # a share of each label's hashes that holds a little more than enough; then the first of those
-    share = F.lit(0)
-    for r in counts:
-        share = F.when(F.col("label") == r["label"], F.lit(min(1 << 30, int((1 << 30) * 2 * per_label / r["count"])))).otherwise(share)
+    shares = docs.sparkSession.createDataFrame(
+        [(r["label"], min(1 << 30, int((1 << 30) * 2 * per_label / r["count"]))) for r in counts], T.StructType([
+            T.StructField("label", lab.schema["label"].dataType), T.StructField("share", T.LongType())]))
     at = F.pmod(F.col("h"), F.greatest(F.length("text") - piece, F.lit(0)) + 1).cast("int") + 1
-    top = (lab.where(F.pmod("h", F.lit(1 << 30)) < share)
+    top = (lab.join(F.broadcast(shares), "label").where(F.pmod("h", F.lit(1 << 30)) < F.col("share"))
            .select("label", "h", F.substring(F.col("text"), at, F.lit(piece)).alias("t"))
            .withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy(F.pmod("h", F.lit(1 << 30)), "h")))
            .where(F.col("r") <= per_label))
     rows = top.orderBy("label", "h").collect()
-    windows, lengths, labels = [], [], []
+    windows, lengths, labels, at = [], [], [], {n: i for i, n in enumerate(names)}
     for r in rows:
         raw = r["t"].encode("utf-8", "replace")
         for i in range(0, len(raw), WINDOW // 2):
             w = raw[i: i + WINDOW // 2]
             windows.append(np.frombuffer(w.ljust(WINDOW // 2, b"\0"), np.uint8))
             lengths.append(len(w))
-            labels.append(names.index(r["label"]))
+            labels.append(at[r["label"]])
     return names, np.array(windows), np.array(lengths), np.array(labels)
 
 
