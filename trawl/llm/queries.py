@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trawl.llm import blocks, epsjoin, langid, linededup, mixing, ngramjoin, packing, quality, secrets, warcindex
+from trawl.llm import blocks, epsjoin, langid, lemp, linededup, mixing, ngramjoin, packing, quality, secrets, warcindex
 from trawl.llm.common import count_words, table, written
 
 
@@ -68,6 +68,10 @@ def op10_secret_cnn(spark, sf_dir):
     return secrets.find(table(spark, sf_dir, "documents"))
 
 
+def op13_lemp_search(spark, sf_dir):
+    return lemp.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_warc_index_merge": op1_warc_index_merge,
     "op2_byte_gru_language": op2_byte_gru_language,
@@ -79,6 +83,7 @@ QUERIES = {
     "op3_adaptive_prefix_join": op3_adaptive_prefix_join,
     "op4_source_mix": op4_source_mix,
     "op9_harmonic_packing": op9_harmonic_packing,
+    "op13_lemp_search": op13_lemp_search,
 }
 
 OP1_SQL = """
@@ -141,5 +146,22 @@ SELECT e.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, c.component_id, e.
 FROM embeddings e LEFT JOIN n ON e.vec_id = n.a LEFT JOIN c ON e.vec_id = c.node
 """
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_TERMS = f"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_TERM}')"
+
+OP13_SQL = f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS ts FROM documents),
+c AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(ts)) AS BIGINT) AS n_terms FROM d WHERE len(ts) > 0),
+q AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) b),
+t AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, CAST(len(ts) AS BIGINT) AS n, unnest(ts) AS term FROM d) u
+      WHERE term IN (SELECT term FROM q) GROUP BY doc_id, n, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM t, c GROUP BY term, n_docs),
+s AS (SELECT q.item_id, t.doc_id,
+             CAST(sum(w.w * ((1000000000 * t.tf) // (1000 * t.tf + 8 * (100 - 90 + ((90 * t.n * c.n_docs) // c.n_terms))))) AS BIGINT) AS score
+      FROM q JOIN t ON q.term = t.term JOIN w ON w.term = t.term, c GROUP BY 1, 2),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
 ORACLE_SQL: dict[str, str] = {"op1_warc_index_merge": OP1_SQL, "op3_adaptive_prefix_join": OP3_SQL, "op6_line_suffix_dedup": OP6_SQL,
-                              "op7_epsilon_grid_join": OP7_SQL}
+                              "op7_epsilon_grid_join": OP7_SQL, "op13_lemp_search": OP13_SQL}
