@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trawl.llm import blocks, epsjoin, langid, lemp, linededup, mixing, ngramjoin, packing, quality, secrets, warcindex
+from trawl.llm import blocks, epsjoin, langid, lemp, linededup, mixing, ngramjoin, packing, quality, secrets, urlrules, warcindex
 from trawl.llm.common import count_words, table, written
 
 
@@ -68,6 +68,12 @@ def op10_secret_cnn(spark, sf_dir):
     return secrets.find(table(spark, sf_dir, "documents"))
 
 
+def op11_url_association_rules(spark, sf_dir):
+    p = urlrules.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return p.select("page_id", F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_rule").alias("rule"),
+                    F.col("_verdict").alias("verdict"))
+
+
 def op13_lemp_search(spark, sf_dir):
     return lemp.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -83,6 +89,7 @@ QUERIES = {
     "op3_adaptive_prefix_join": op3_adaptive_prefix_join,
     "op4_source_mix": op4_source_mix,
     "op9_harmonic_packing": op9_harmonic_packing,
+    "op11_url_association_rules": op11_url_association_rules,
     "op13_lemp_search": op13_lemp_search,
 }
 
@@ -146,6 +153,37 @@ SELECT e.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, c.component_id, e.
 FROM embeddings e LEFT JOIN n ON e.vec_id = n.a LEFT JOIN c ON e.vec_id = c.node
 """
 
+# Counts every combination of the mined tokens of every labelled URL, without a tree, an index or pruning.
+OP11_SQL = r"""
+WITH u AS (SELECT row_number() OVER () AS r, page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS x FROM pages),
+s AS (SELECT r, page_id, url, translate(regexp_extract(x, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(x, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(x, '^[^?#]*(\?[^#]*)', 1) AS query FROM u),
+listed AS (SELECT * FROM (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+                                 ('block', 'net', '/es/'), ('block', 'net', '/fr/')) t(verdict, h, p)),
+fit AS (SELECT r, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict
+        FROM s JOIN listed ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY r),
+part AS (SELECT r, 'h:' AS mark, unnest(string_split(host, '.')) AS w FROM s UNION ALL
+         SELECT r, 'd:', array_to_string(string_split(host, '.')[-2:], '.') FROM s UNION ALL
+         SELECT r, 'p:', unnest(string_split_regex(path, '[/._-]+')) FROM s UNION ALL
+         SELECT r, 'q:', unnest(regexp_extract_all(query, '[?&;]([^=&;]+)', 1)) FROM s UNION ALL
+         SELECT r, 's:', lower(string_split(url, '://')[1]) FROM s),
+tok AS (SELECT DISTINCT r, mark || w AS token FROM part JOIN s USING (r) WHERE w <> '' AND host <> ''),
+lab AS (SELECT r, token, verdict FROM tok JOIN fit USING (r)),
+c AS (SELECT CAST(count(*) AS HUGEINT) AS n, CAST(count(*) FILTER (verdict = 'block') AS HUGEINT) AS b, greatest(5, CAST(ceil(0.005 * count(*)) AS BIGINT)) AS least FROM fit),
+st AS (SELECT token, count(*) AS df, abs(count(*) FILTER (verdict = 'block') * c.n - count(*) * c.b) AS apart FROM lab, c GROUP BY token, c.n, c.b, c.least HAVING count(*) >= c.least),
+ch AS (SELECT r, list(token ORDER BY token) AS a FROM (SELECT r, token, row_number() OVER (PARTITION BY r ORDER BY apart DESC, token) AS k FROM lab JOIN st USING (token)) t WHERE k <= 8 GROUP BY r),
+sub AS (SELECT r, verdict, list_filter(a, lambda x, i: (m >> (i - 1)) & 1 = 1) AS a
+        FROM (SELECT r, a, unnest(range(1, 1 << len(a))) AS m FROM ch) t JOIN fit USING (r)),
+ante AS (SELECT a, count(*) AS n_all FROM sub GROUP BY a),
+rules AS (SELECT sub.a, verdict, count(*) AS n, CAST(count(*) AS DOUBLE) / n_all AS confidence FROM sub JOIN ante ON sub.a = ante.a, c
+          GROUP BY sub.a, verdict, n_all, c.least HAVING count(*) >= c.least AND CAST(count(*) AS DOUBLE) / n_all >= 0.9),
+open AS (SELECT r, list(token) AS ts FROM tok WHERE r NOT IN (SELECT r FROM fit) GROUP BY r),
+hit AS (SELECT r, verdict, row_number() OVER (PARTITION BY r ORDER BY confidence DESC, n DESC, verdict DESC, len(a), a) AS k
+        FROM open JOIN rules ON list_has_all(ts, a))
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, fit.rule, coalesce(fit.verdict, hit.verdict, 'allow') AS verdict
+FROM s LEFT JOIN fit USING (r) LEFT JOIN hit ON hit.r = s.r AND hit.k = 1
+"""
+
 _TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _TERMS = f"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_TERM}')"
 
@@ -164,4 +202,4 @@ SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
 """
 
 ORACLE_SQL: dict[str, str] = {"op1_warc_index_merge": OP1_SQL, "op3_adaptive_prefix_join": OP3_SQL, "op6_line_suffix_dedup": OP6_SQL,
-                              "op7_epsilon_grid_join": OP7_SQL, "op13_lemp_search": OP13_SQL}
+                              "op7_epsilon_grid_join": OP7_SQL, "op11_url_association_rules": OP11_SQL, "op13_lemp_search": OP13_SQL}
