@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trawl.llm import blocks, epsjoin, langid, lemp, linededup, mixing, ngramjoin, packing, quality, secrets, urlrules, warcindex
+from trawl.llm import blocks, epsjoin, langid, lemp, linededup, mixing, ngramjoin, packing, quality, repair, secrets, urlrules, warcindex
 from trawl.llm.common import count_words, table, written
 
 
@@ -74,6 +74,25 @@ def op11_url_association_rules(spark, sf_dir):
                     F.col("_verdict").alias("verdict"))
 
 
+def damaged_conversations(rows):
+    """Rows of ``conversations`` damaged by crc32(``conv_id:turn``) % 20; a null is one space."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fate = F.crc32(F.concat(text("conv_id"), F.lit(":"), text("turn")).cast("binary")) % 20
+    words = F.when(fate == 1, F.lit("")).when(fate == 2, F.regexp_replace(text("text"), "[.!?]", "")).otherwise(text("text"))
+    return rows.where(fate != 0).select("conv_id", "turn", F.when(fate == 4, F.lit("user")).otherwise(text("role")).alias("role"), words.alias("text"),
+                                        F.explode(F.when(fate == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy")).drop("copy")
+
+
+def op12_checkpointed_repair(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    edited, counts = repair.repair(damaged_conversations(rows))
+    every, told = rows.select("conv_id").distinct(), repair.digests(edited)
+    out = every.join(counts, every["conv_id"].eqNullSafe(counts["conv_id"]), "left").join(told, every["conv_id"].eqNullSafe(told["conv_id"]), "left")
+    zero = [F.coalesce(counts[c], F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return out.select(every["conv_id"], *zero, F.coalesce(told["audit"], F.lit("")).alias("audit"),
+                      F.coalesce(told["repaired_sha256"], F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def op13_lemp_search(spark, sf_dir):
     return lemp.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -90,6 +109,7 @@ QUERIES = {
     "op4_source_mix": op4_source_mix,
     "op9_harmonic_packing": op9_harmonic_packing,
     "op11_url_association_rules": op11_url_association_rules,
+    "op12_checkpointed_repair": op12_checkpointed_repair,
     "op13_lemp_search": op13_lemp_search,
 }
 
@@ -184,6 +204,56 @@ SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, fit.rule
 FROM s LEFT JOIN fit USING (r) LEFT JOIN hit ON hit.r = s.r AND hit.k = 1
 """
 
+# Forward over the rows, with the least (cost, edits) of each state carried along: 0 nothing yet, 1 after s, 2 after u, 3 after a.
+OP12_SQL = r"""
+WITH RECURSIVE src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_concat([4294967295], list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+           lambda a, b: list_reduce(list_concat([xor(a, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, z: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295) % 20 AS fate
+  FROM conversations),
+dmg AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN fate = 1 THEN '' WHEN fate = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN fate = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM src WHERE fate <> 0),
+num AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i FROM dmg),
+flt AS (
+  SELECT *, substr(role, 1, 1) AS c,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE '' END AS f,
+         substr(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1, 1) || substr(role, 1, 1) AS pair
+  FROM num),
+ins(s, k, t, audit, body) AS (VALUES
+  (0, 0, 0, '', ''), (1, 0, 1, '', ''), (2, 0, 2, '', ''), (3, 0, 3, '', ''),
+  (0, 3, 2, 'I', chr(10) || 'user:'), (1, 3, 2, 'I', chr(10) || 'user:'), (2, 3, 3, 'I', chr(10) || 'assistant:'), (3, 3, 2, 'I', chr(10) || 'user:'),
+  (0, 6, 3, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'), (1, 6, 3, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')),
+edit(s, e, c, cost, t, role) AS (VALUES
+  (0, 'D', NULL, 4, 0, NULL), (1, 'D', NULL, 4, 1, NULL), (2, 'D', NULL, 4, 2, NULL), (3, 'D', NULL, 4, 3, NULL),
+  (0, 'K', 's', 0, 1, NULL), (0, 'K', 'u', 0, 2, NULL), (1, 'K', 'u', 0, 2, NULL), (3, 'K', 'u', 0, 2, NULL), (2, 'K', 'a', 0, 3, NULL),
+  (0, 'R', NULL, 3, 2, 'user'), (1, 'R', NULL, 3, 2, 'user'), (3, 'R', NULL, 3, 2, 'user'), (2, 'R', NULL, 3, 3, 'assistant')),
+best(conv_id, i, s, cost, audit, body) AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT), 0, 0, '', '' FROM flt
+  UNION ALL
+  SELECT conv_id, i, s, cost, audit, body FROM (
+    SELECT b.conv_id, r.i, e.t AS s, b.cost + n.k + e.cost + CASE WHEN r.f = 't' AND e.e <> 'D' THEN 3 ELSE 0 END AS cost,
+           b.audit || n.audit || e.e AS audit,
+           b.body || n.body || CASE WHEN e.e = 'D' THEN '' ELSE chr(10) || coalesce(e.role, r.role) || ':' || r.text END AS body,
+           row_number() OVER (PARTITION BY b.conv_id, e.t ORDER BY b.cost + n.k + e.cost + CASE WHEN r.f = 't' AND e.e <> 'D' THEN 3 ELSE 0 END, b.audit || n.audit || e.e) AS k
+    FROM best b JOIN flt r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.i = b.i + 1 JOIN ins n ON n.s = b.s JOIN edit e ON e.s = n.t
+    WHERE (e.c IS NULL OR e.c = r.c) AND (e.e = 'D' OR r.f NOT IN ('b', 'd'))) x
+  WHERE k = 1),
+sums AS (SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (f = 'b') AS blank, count(*) FILTER (f = 'd') AS duplicate,
+                count(*) FILTER (f = 't') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM flt GROUP BY conv_id),
+done AS (SELECT b.conv_id, b.cost + n.k AS cost, b.audit || n.audit AS audit, b.body || n.body AS body,
+                row_number() OVER (PARTITION BY b.conv_id ORDER BY b.cost + n.k, b.audit || n.audit) AS k
+         FROM best b JOIN sums z ON z.conv_id IS NOT DISTINCT FROM b.conv_id AND z.n = b.i JOIN ins n ON n.s = b.s WHERE n.t = 3 OR (b.s = 0 AND n.k = 0)),
+every AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT v.conv_id, CAST(coalesce(z.gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(z.blank, 0) AS BIGINT) AS blank, CAST(coalesce(z.duplicate, 0) AS BIGINT) AS duplicate,
+       CAST(coalesce(z.truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(z.illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(d.cost, 0) AS BIGINT) AS cost,
+       coalesce(d.audit, '') AS audit, sha256(substr(coalesce(d.body, ''), 2)) AS repaired_sha256
+FROM every v LEFT JOIN sums z ON z.conv_id IS NOT DISTINCT FROM v.conv_id LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM v.conv_id AND d.k = 1
+"""
+
 _TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _TERMS = f"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_TERM}')"
 
@@ -202,4 +272,5 @@ SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
 """
 
 ORACLE_SQL: dict[str, str] = {"op1_warc_index_merge": OP1_SQL, "op3_adaptive_prefix_join": OP3_SQL, "op6_line_suffix_dedup": OP6_SQL,
-                              "op7_epsilon_grid_join": OP7_SQL, "op11_url_association_rules": OP11_SQL, "op13_lemp_search": OP13_SQL}
+                              "op7_epsilon_grid_join": OP7_SQL, "op11_url_association_rules": OP11_SQL, "op12_checkpointed_repair": OP12_SQL,
+                              "op13_lemp_search": OP13_SQL}
