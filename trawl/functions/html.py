@@ -1,9 +1,8 @@
 """HTML columns: title, visible text, links (P12, P15) and the block split
 used by the article extractor (P13).
 
-Regex-based on purpose (H4): each step is a built-in expression that runs
-inside whole-stage codegen. Patterns avoid look-around and back-references
-so they mean the same in Java regex and RE2 (the SQL oracle).
+Regex-based on purpose (H4): each step is a built-in expression. Titles and links
+are read from one ordered scan of the markup (``functions.markup``).
 """
 
 from __future__ import annotations
@@ -11,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from trawl.functions import markup as M
+from trawl.functions.urls import let, resolve, url_parts
+
 WS = "[ \t\n\r\f]"
 WS_RUN = "[ \t\n\r\f]+"
 
@@ -26,57 +28,75 @@ BLOCK_TAGS = ("address|article|aside|blockquote|body|dd|div|dl|dt|fieldset|figca
 BLOCK_SPLIT = r"(?i)</?(?:" + BLOCK_TAGS + r")(?:[ \t\n\r\f/][^<>]*)?>"
 TAG = "<[^<>]*>"
 ANCHOR = r"(?is)<a(?:[ \t\n\r\f][^<>]*)?>.*?(?:</a>|\z)"
-TITLE = r"(?is)<title(?:[ \t\n\r\f][^<>]*)?>(.*?)(?:</title|\z)"
-# Links (P15): whole start tags, then the value of their href, quoted or not.
-A_TAG = r"(?i)<a[ \t\n\r\f][^<>]*>"
-BASE_TAG = r"(?i)<base[ \t\n\r\f][^<>]*>"
-HREF = (r"(?i)[ \t\n\r\f\"']href[ \t\n\r\f]*=[ \t\n\r\f]*(?:\"([^\"]*)\"|'([^']*)'|([^ \t\n\r\f\"'<>]+))")
-
 _SEP, _IS = "\x01", "\x02"
 
 
+#: Names that pages use most, looked up first.
+_FREQUENT = ("amp", "nbsp", "quot", "lt", "gt", "apos", "copy", "middot", "raquo", "laquo", "ndash", "mdash", "hellip")
+
+
 def _names() -> str:
-    """All named character references of HTML as one literal for ``str_to_map``:
-    names that need the semicolon are listed without it."""
+    """All named character references of HTML as one literal for ``str_to_map``, without the
+    semicolon they need. The map is searched in order: the frequent ones come first."""
     from html.entities import html5
-    return _SEP.join(f"{k.rstrip(';')}{_IS}{v}" for k, v in html5.items() if k.endswith(";"))
+    names = [k[:-1] for k in html5 if k.endswith(";")]
+    return _SEP.join(f"{k}{_IS}{html5[k + ';']}" for k in sorted(names, key=lambda k: (_FREQUENT + (k,)).index(k)))
 
 
-def _bare_names() -> str:
+def _bare_names() -> dict[str, str]:
     """The old names that are known without a semicolon, longest first."""
     from html.entities import html5
-    return "|".join(sorted((k for k in html5 if not k.endswith(";")), key=lambda k: (-len(k), k)))
+    return {k: html5[k] for k in sorted((k for k in html5 if not k.endswith(";")), key=lambda k: (-len(k), k))}
+
+
+def _map(text: str) -> Column:
+    return F.str_to_map(F.lit(text), F.lit(_SEP), F.lit(_IS))
 
 
 def _code_point(n: Column) -> Column:
-    """The character of a numeric reference: 128-159 mean windows-1252, as browsers
+    """The character of a numeric reference: 128-159 mean windows-1252 where it has one, as browsers
     read them; what is no character becomes U+FFFD."""
     wide = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
-    return (F.when((n >= 128) & (n <= 159), F.decode(F.unhex(F.hex(n)), "windows-1252"))
+    return (F.when((n >= 128) & (n <= 159) & ~n.isin(129, 141, 143, 144, 157), F.decode(F.unhex(F.hex(n)), "windows-1252"))
             .when((n <= 0) | (n > 0x10FFFF) | ((n >= 0xD800) & (n <= 0xDFFF)), F.lit("\ufffd")).otherwise(wide))
 
 
-def _reference(part: Column) -> Column:
-    """What follows an ampersand, with the reference it begins with resolved."""
-    dec = F.regexp_extract(part, r"^#([0-9]{1,9});?", 1)
-    hexa = F.regexp_extract(part, r"^#[xX]([0-9A-Fa-f]{1,7});?", 1)
-    name = F.regexp_extract(part, r"^([A-Za-z][A-Za-z0-9]{1,31});", 1)
-    bare = F.regexp_extract(part, f"^({_bare_names()})", 1)
-    names = F.str_to_map(F.lit(_names()), F.lit(_SEP), F.lit(_IS))
-    rest = lambda pattern: F.regexp_replace(part, pattern, "")
-    named, old = F.element_at(names, name), F.element_at(names, bare)
-    return (F.when(dec != "", F.concat(_code_point(dec.cast("int")), rest(r"^#[0-9]{1,9};?")))
-            .when(hexa != "", F.concat(_code_point(F.conv(hexa, 16, 10).cast("int")), rest(r"^#[xX][0-9A-Fa-f]{1,7};?")))
-            .when((name != "") & named.isNotNull(), F.concat(named, F.substring(part, F.length(name) + 2, F.length(part))))
-            .when(bare != "", F.concat(old, F.substring(part, F.length(bare) + 1, F.length(part))))
-            .otherwise(F.concat(F.lit("&"), part)))
+def _numeric(part: Column) -> Column:
+    """What begins with a numeric reference, with it resolved; null where there is none."""
+    def known(token: Column) -> Column:
+        hexa = F.regexp_extract(token, "^#[xX]0*([0-9A-Fa-f]*)", 1)
+        digits = F.when(token.rlike("^#[xX]"), F.conv(hexa, 16, 10)).otherwise(F.regexp_extract(token, "^#0*([0-9]*)", 1))
+        # more than seven digits are beyond the last character, whatever they are
+        value = F.when((F.length(digits) > 7) | (F.length(hexa) > 6), F.lit(-1)).otherwise(F.coalesce(F.nullif(digits, F.lit("")), F.lit("0")).cast("int"))
+        return F.when(token != "", let(value, lambda n: F.concat(_code_point(n), F.substring(part, F.length(token) + 1, F.length(part)))))
+
+    return let(F.regexp_extract(part, "^#(?:[xX][0-9A-Fa-f]+|[0-9]+);?", 0), known)
+
+
+def _named(part: Column, attribute: bool) -> Column:
+    """What begins with a named reference, with it resolved; null where there is none."""
+    def rest(name: Column, more: int) -> Column:
+        return F.substring(part, F.length(name) + more, F.length(part))
+
+    names = _bare_names()
+    # in an attribute, a name without its semicolon that goes on like one, or is followed by =, is text
+    bare = f"^({'|'.join(names)})" + ("(?![=A-Za-z0-9])" if attribute else "")
+    full = let(F.regexp_extract(part, r"^([A-Za-z][A-Za-z0-9]{1,31});", 1),
+               lambda n: F.when(n != "", F.concat(F.element_at(_map(_names()), n), rest(n, 2))))
+    old = let(F.regexp_extract(part, bare, 1),
+              lambda n: F.when(n != "", F.concat(F.element_at(_map(_SEP.join(f"{k}{_IS}{v}" for k, v in names.items())), n), rest(n, 1))))
+    return F.coalesce(full, old)
 
 
-def unescape(text: Column) -> Column:
+def unescape(text: Column, attribute: bool = False) -> Column:
     """Character references -> characters: all named ones of HTML, decimal and
-    hexadecimal ones. Each is resolved once (``&amp;lt;`` stays ``&lt;``)."""
-    parts = F.split(text, "&", -1)
-    return F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(_reference(p))), "")
+    hexadecimal ones, by the rule for text or for attribute values. Each is resolved once (``&amp;lt;`` stays ``&lt;``);
+    a text without an ampersand is returned as it is."""
+    def resolved(p: Column, i: Column) -> Column:
+        known = F.when(p.startswith("#"), _numeric(p)).otherwise(_named(p, attribute))
+        return F.when(i == 0, p).otherwise(F.coalesce(known, F.concat(F.lit("&"), p)))
+
+    return let(text, lambda t: F.when(F.instr(t, "&") > 0, F.array_join(F.transform(F.split(t, "&", -1), resolved), "")).otherwise(t))
 
 
 def normalise_ws(text: Column) -> Column:
@@ -84,8 +104,10 @@ def normalise_ws(text: Column) -> Column:
 
 
 def title(html: Column) -> Column:
-    """<title> text, entities unescaped, whitespace collapsed; '' if none."""
-    return normalise_ws(unescape(F.regexp_extract(html, TITLE, 1)))
+    """The text of the page's title element, entities unescaped, whitespace collapsed; '' if none.
+    A title in a comment, a script or an svg is none."""
+    raw = let(M.tokens(html), M.title_text)
+    return F.when(html.isNotNull(), normalise_ws(unescape(F.coalesce(raw, F.lit("")))))
 
 
 def strip_tags(html: Column) -> Column:
@@ -97,42 +119,18 @@ def visible_text(html: Column) -> Column:
     return normalise_ws(unescape(strip_tags(F.regexp_replace(html, INVISIBLE, " "))))
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once, however often the body reads it."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
-def _href(tag: Column) -> Column:
-    """The href of a start tag, references resolved, trimmed; '' if it has none."""
-    value = F.concat(*[F.regexp_extract(tag, HREF, i) for i in (1, 2, 3)])
-    return _let(value, lambda v: F.trim(F.when(F.instr(v, "&") > 0, unescape(v)).otherwise(v)))
-
-
-def base_parts(base: Column) -> Column:
-    """struct<scheme, host, page, folder> of an absolute http(s) URL; '' where there is none."""
-    host = F.regexp_extract(base, r"^(https?://[^/?#]*)", 1)
-    page = F.regexp_extract(base, r"^(https?://[^?#]*)", 1)
-    return F.struct(F.regexp_extract(base, r"^(https?:)", 1).alias("scheme"), host.alias("host"),
-                    F.when(page == host, F.concat(host, F.lit("/"))).otherwise(page).alias("page"),
-                    F.concat(host, F.coalesce(F.nullif(F.regexp_extract(base, r"^https?://[^/?#]*(/(?:[^?#]*/)?)", 1), F.lit("")), F.lit("/"))).alias("folder"))
-
-
-def resolve(base: Column, link: Column) -> Column:
-    """``link`` against ``base_parts``: absolute links stay, ``//host`` takes the
-    scheme, ``/path`` the host, ``?query`` the page, the rest the folder."""
-    return (F.when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), link).when(base["host"] == "", F.lit(""))
-            .when(link.startswith("//"), F.concat(base["scheme"], link)).when(link.startswith("/"), F.concat(base["host"], link))
-            .when(link.startswith("?"), F.concat(base["page"], link)).otherwise(F.concat(base["folder"], link)))
-
-
 def outlinks(html: Column) -> Column:
-    """Distinct http(s) links of a page, sorted (D15: per page): quoted or not,
-    references resolved, relative ones only against the page's ``<base href>``."""
-    base = _href(F.concat(F.lit(" "), F.regexp_extract(html, BASE_TAG, 0)))
-    found = F.transform(F.regexp_extract_all(html, F.lit(A_TAG), F.lit(0)), lambda t: _href(t))
-    found = F.array_distinct(F.filter(found, lambda v: v != ""))
-    full = _let(_let(base, base_parts), lambda b: F.transform(found, lambda v: resolve(b, v)))
-    return F.array_sort(F.array_distinct(F.filter(full, lambda v: v.rlike("(?i)^https?://"))))
+    """Distinct http(s) links of a page in normal form, sorted (D15: per page): the first ``href`` of every ``a`` tag,
+    references resolved; relative ones only against the page's ``<base href>``."""
+    def links(found: Column) -> Column:
+        bases = F.filter(F.transform(F.filter(found, lambda t: M.is_tag(t, "base")), M.href), lambda h: h != "")
+        base = let(unescape(F.coalesce(F.get(bases, 0), F.lit("")), attribute=True), url_parts)
+        # a base that is no absolute URL is none
+        base = let(base, lambda b: F.when(b["scheme"].isNotNull() & (b["authority"] != ""), b))
+        raw = F.array_distinct(F.filter(F.transform(F.filter(found, lambda t: M.is_tag(t, "a")), M.href), lambda h: h != ""))
+        return let(base, lambda b: F.transform(raw, lambda h: let(unescape(h, attribute=True), lambda v: let(url_parts(v), lambda s: resolve(b, s)))))
+
+    return F.array_sort(F.array_distinct(F.array_compact(let(M.tokens(html), links))))
 
 
 def raw_blocks(html: Column) -> Column:

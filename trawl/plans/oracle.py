@@ -10,14 +10,35 @@ and ``lag``/``lead`` windows, where Spark works inside the row.
 
 from __future__ import annotations
 
-from trawl.functions import html as H
-from trawl.functions import http as HT
-from trawl.functions import text as T
-from trawl.functions.urls import HOST_PATTERN
-from trawl.operators import article as A
-from trawl.operators.pubdate import DEFAULT_PUB_DATE, FIRST_LINES
 from trawl.sources import fixtures as FX
 
+# Values of the definitions, stated here and not taken from the engine.
+BLANK_RUN = "[ \t\n\r\f]+"
+WORD = "[^ \t\n\r\f]+"
+TAG = "<[^<>]*>"
+HIDDEN = (r"(?is)<(?:title|script|style|noscript)(?:[ \t\n\r\f][^<>]*)?>.*?(?:</(?:title|script|style|noscript)[ \t\n\r\f]*>|\z)"
+          r"|<!--.*?(?:-->|\z)")
+BLOCK_TAG = (r"(?i)</?(?:address|article|aside|blockquote|body|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h1|h2|h3|h4|h5|h6"
+             r"|head|header|hr|html|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|tr|ul)(?:[ \t\n\r\f/][^<>]*)?>")
+ANCHOR = r"(?is)<a(?:[ \t\n\r\f][^<>]*)?>.*?(?:</a>|\z)"
+PAGE_TITLE = "<title>([^<]*)</title>"  # the driver's pages have one, in plain markup
+HOST = r"(?i)https?://(?:[^/?#@]*@)?([^/:?#]+)"
+MIME_TOKEN = r"[!#$%&'*+.^_`|~0-9A-Za-z-]+"
+DAY, SEP = "(0[1-9]|[12][0-9]|3[01])", "[- /.]"
+MENTIONS = [f"{DAY}{SEP}{DAY}{SEP}19[0-9][0-9]", f"{DAY}{SEP}{DAY}{SEP}20[0-9][0-9]", f"19[0-9][0-9]{SEP}{DAY}{SEP}{DAY}",
+            f"20[0-9][0-9]{SEP}{DAY}{SEP}{DAY}", f"19[0-9][0-9]{DAY}{DAY}", f"20[0-9][0-9]{DAY}{DAY}",
+            f"19[0-9][0-9]{SEP}(0[1-9]|[12][0-9])", f"20[0-9][0-9]{SEP}(0[1-9]|[12][0-9])"]
+LAST_WINS = [
+    ("M/dd/yyyy", r"^(\d+)/(\d+)/(\d+)", "M d y"), ("dd/MM/yyyy", r"^(\d+)/(\d+)/(\d+)", "d M y"), ("dd.M.yyyy", r"^(\d+)\.(\d+)\.(\d+)", "d M y"),
+    ("M/dd/yyyy hh:mm:ss a", r"^(\d+)/(\d+)/(\d+) (\d+):(\d+):(\d+) ([AaPp][Mm])", "M d y h m s a"),
+    ("dd.M.yyyy hh:mm:ss a", r"^(\d+)\.(\d+)\.(\d+) (\d+):(\d+):(\d+) ([AaPp][Mm])", "d M y h m s a"),
+    ("dd.MMM.yyyy", r"^(\d+)\.([A-Za-z]+)\.(\d+)", "d MMM y"), ("dd-MMM-yyyy", r"^(\d+)-([A-Za-z]+)-(\d+)", "d MMM y"),
+    ("dd-MM-yyyy", r"^(\d+)-(\d+)-(\d+)", "d M y"), ("yyyyMMdd", r"^(\d{4})(\d{2})(\d{2})", "y M d"), ("yyyy-MM-dd", r"^(\d+)-(\d+)-(\d+)", "y M d"),
+    ("dd.MM.yyyy", r"^(\d+)\.(\d+)\.(\d+)", "d M y"), ("yyyy/MM/dd", r"^(\d+)/(\d+)/(\d+)", "y M d"), ("yyyy.MM.dd", r"^(\d+)\.(\d+)\.(\d+)", "y M d"),
+]
+MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december"]
+NO_DATE, FIRST_LINES = "19700101010100", 5
+
 
 def lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
@@ -47,38 +68,37 @@ def unesc(x: str) -> str:
 
 
 def norm(x: str) -> str:
-    return f"trim(regexp_replace({x}, {lit(H.WS_RUN)}, ' ', 'g'))"
+    return f"trim(regexp_replace({x}, {lit(BLANK_RUN)}, ' ', 'g'))"
 
 
 def strip(x: str) -> str:
-    return f"regexp_replace({x}, {lit(H.TAG)}, ' ', 'g')"
+    return f"regexp_replace({x}, {lit(TAG)}, ' ', 'g')"
 
 
 def wc(x: str) -> str:
-    return f"CAST(coalesce(len(regexp_extract_all({x}, {lit(T.WORD)})), 0) AS INTEGER)"
+    return f"CAST(coalesce(len(regexp_extract_all({x}, {lit(WORD)})), 0) AS INTEGER)"
 
 
 def title(h: str) -> str:
-    return norm(unesc(f"regexp_extract({h}, {lit(H.TITLE)}, 1)"))
+    return norm(unesc(f"regexp_extract({h}, {lit(PAGE_TITLE)}, 1)"))
 
 
 def visible(h: str) -> str:
-    return norm(unesc(strip(f"regexp_replace({h}, {lit(H.INVISIBLE)}, ' ', 'g')")))
+    return norm(unesc(strip(f"regexp_replace({h}, {lit(HIDDEN)}, ' ', 'g')")))
 
 
 def domain(u: str) -> str:
-    h = f"nullif(regexp_extract({u}, {lit(HOST_PATTERN)}, 1), '')"
+    h = f"nullif(regexp_extract({u}, {lit(HOST)}, 1), '')"
     return f"(CASE WHEN contains({h}, 'www') THEN substr({h}, instr({h}, '.') + 1) ELSE {h} END)"
 
 
 def mime(ct: str) -> str:
-    return f"coalesce(nullif(regexp_extract({ct}, {lit(r'^[ \t]*([^ \t;,]+)')}, 1), ''), {lit(HT.NO_TYPE)})"
+    return f"coalesce(nullif(regexp_extract({ct}, {lit(r'^[ \t]*([^ \t;,]+)')}, 1), ''), 'no-type')"
 
 
 def mime_top(m: str) -> str:
-    tok = HT._TOKEN  # noqa: SLF001 (same token class)
-    return (f"(CASE WHEN regexp_matches({m}, {lit('^' + tok + '/' + tok + '$')}) "
-            f"THEN lower(split_part({m}, '/', 1)) ELSE {lit(HT.UNKNOWN_TYPE)} END)")
+    return (f"(CASE WHEN regexp_matches({m}, {lit('^' + MIME_TOKEN + '/' + MIME_TOKEN + '$')}) "
+            f"THEN lower(split_part({m}, '/', 1)) ELSE 'unknown' END)")
 
 
 def latin1(x: str) -> str:
@@ -89,7 +109,7 @@ def latin1(x: str) -> str:
 
 
 def mention(x: str) -> str:
-    parts = [f"nullif(regexp_extract({x}, {lit(p)}, 0), '')" for p in T.DATE_MENTION_PATTERNS]
+    parts = [f"nullif(regexp_extract({x}, {lit(p)}, 0), '')" for p in MENTIONS]
     return f"coalesce({', '.join(parts)})"
 
 
@@ -101,10 +121,8 @@ def normalise(m: str) -> str:
 
 def _month(x: str) -> str:
     whens = []
-    for i, (s, l) in enumerate(zip(T.MONTHS, T.MONTHS_LONG), start=1):
-        whens.append(f"WHEN {lit(s)} THEN {i}")
-        if l != s:
-            whens.append(f"WHEN {lit(l)} THEN {i}")
+    for i, name in enumerate(MONTHS, start=1):
+        whens += [f"WHEN {lit(n)} THEN {i}" for n in dict.fromkeys((name[:3], name))]
     return f"(CASE lower({x}) {' '.join(whens)} END)"
 
 
@@ -128,7 +146,7 @@ def _lastwins_attempt(x: str, regex: str, fields: str) -> str:
 
 
 def lastwins(x: str) -> tuple[str, str]:
-    attempts = [(name, _lastwins_attempt(x, regex, fields)) for name, regex, fields in T.LASTWINS_PATTERNS]
+    attempts = [(name, _lastwins_attempt(x, regex, fields)) for name, regex, fields in LAST_WINS]
     ts = f"coalesce({', '.join(a for _, a in reversed(attempts))})"
     pat = f"coalesce({', '.join(f'CASE WHEN {a} IS NOT NULL THEN {lit(n)} END' for n, a in reversed(attempts))})"
     return ts, pat
@@ -202,7 +220,7 @@ ok AS (
 
 
 REF_PAGES = f"""
-refp AS (SELECT page_id, replace(replace(html, '<title>', {lit('<title>' + FX.REF_TITLE)}), '</h1>',
+refp AS (SELECT page_id, replace(replace(html, '<title>', {lit(FX.NO_TITLE + '<title>' + FX.REF_TITLE)}), '</h1>',
                                  {lit('</h1><p>' + FX.REF_WORDS + '</p>')}) AS html, html AS plain FROM pages)"""
 
 
@@ -243,20 +261,20 @@ def article_ctes(src: str, key: str, html: str, prefix: str = "a") -> str:
     return f"""
 {prefix}_frags AS (
   SELECT {key}, unnest(parts) AS frag, generate_subscripts(parts, 1) AS pos
-  FROM (SELECT {key}, string_split_regex(regexp_replace({html}, {lit(H.INVISIBLE)}, ' ', 'g'),
-                                          {lit(H.BLOCK_SPLIT)}) AS parts FROM {src}) s),
+  FROM (SELECT {key}, string_split_regex(regexp_replace({html}, {lit(HIDDEN)}, ' ', 'g'),
+                                          {lit(BLOCK_TAG)}) AS parts FROM {src}) s),
 {prefix}_blk AS (
   SELECT {key}, pos, txt, {wc('txt')} AS words, {wc('atxt')} AS anchor_words
   FROM (SELECT {key}, pos, {norm(unesc(strip('frag')))} AS txt,
-               {norm(unesc(strip(f"array_to_string(regexp_extract_all(frag, {lit(H.ANCHOR)}), ' ')")))} AS atxt
+               {norm(unesc(strip(f"array_to_string(regexp_extract_all(frag, {lit(ANCHOR)}), ' ')")))} AS atxt
         FROM {prefix}_frags) f),
 {prefix}_cls AS (
   SELECT {key}, pos, txt, words, anchor_words,
-    CASE WHEN ld > {A.MAX_LINK_DENSITY!r} THEN false
-         WHEN coalesce(lag(ld) OVER w, 0.0) <= {A.PREV_LINK_DENSITY!r}
-           THEN words > {A.KEEP_CUR_WORDS_A} OR coalesce(lead(words) OVER w, 0) > {A.KEEP_NEXT_WORDS_A}
-                OR coalesce(lag(words) OVER w, 0) > {A.KEEP_PREV_WORDS_A}
-         ELSE words > {A.KEEP_CUR_WORDS_B} OR coalesce(lead(words) OVER w, 0) > {A.KEEP_NEXT_WORDS_B} END AS keep
+    CASE WHEN ld > {1.0 / 3.0!r} THEN false
+         WHEN coalesce(lag(ld) OVER w, 0.0) <= 0.555556
+           THEN words > 16 OR coalesce(lead(words) OVER w, 0) > 15
+                OR coalesce(lag(words) OVER w, 0) > 4
+         ELSE words > 40 OR coalesce(lead(words) OVER w, 0) > 17 END AS keep
   FROM (SELECT *, CAST(anchor_words AS DOUBLE) / CAST(words AS DOUBLE) AS ld
         FROM {prefix}_blk WHERE words > 0) b
   WINDOW w AS (PARTITION BY {key} ORDER BY pos)),
@@ -368,7 +386,7 @@ def _sql() -> dict[str, str]:
             f"FROM dph d JOIN p_art a ON d.page_id = a.page_id) x)")
     ment = f"ment AS (SELECT *, list_filter(list_transform(cands, lambda c: {mention('c')}), lambda m: m IS NOT NULL) AS ms FROM cand)"
     q["pub_date"] = (f"{with_(dp, domains_cte(), hints, dph, article_ctes('dph', 'page_id', 'html', 'p'), cand, ment)} "
-                     f"SELECT page_id, domain, hint, CASE WHEN len(ms) = 0 THEN '{DEFAULT_PUB_DATE}' "
+                     f"SELECT page_id, domain, hint, CASE WHEN len(ms) = 0 THEN '{NO_DATE}' "
                      f"ELSE {normalise('ms[1]')} END AS pub_date FROM ment")
 
     q["pub_date_list"] = q["pub_date"]

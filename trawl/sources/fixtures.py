@@ -127,9 +127,15 @@ def dated_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Links put in front of a page, and what they mean below BASE_HREF.
 BASE_HREF = "http://base.example/dir/page?x=1"
 LINK_MARKUP = ('<base href="http://base.example/dir/page?x=1"><a href="/rel">z</a><a class=k href=up/two.html>u</a>'
-               "<A HREF='//other.example/q?a=1&amp;b=2'>v</A><a href=\"?only=query\">w</a><a href=\"mailto:x@y.example\">m</a>")
+               "<A HREF='//other.example/q?a=1&amp;b=2'>v</A><a href=\"?only=query\">w</a><a href=\"mailto:x@y.example\">m</a>"
+               '<a href="?a=1&section=3&copy=2&region=de&amp;x=&copy;">e</a><a title="a>b" href=../up/./x>p</a>'
+               "<a href='HTTP://Quoted.example:80'>q</a><a name=href>n</a>")
 LINK_TARGETS = ["http://base.example/rel", "http://base.example/dir/up/two.html", "http://other.example/q?a=1&b=2",
-                "http://base.example/dir/page?only=query"]
+                "http://base.example/dir/page?only=query", "http://base.example/dir/page?a=1&section=3&copy=2&region=de&x=\u00a9",
+                "http://base.example/up/x", "http://quoted.example/"]
+# Fixed value: markup that is no link, in front of every page.
+NO_LINKS = ('<!-- <a href="http://comment.example/">c</a> --><script>var s = "<a href=\'http://script.example/\'>";</script>'
+            '<div title="<a href=http://value.example/>">d</div><textarea><a href="http://text.example/"></textarea>')
 
 
 def linked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,20 +145,21 @@ def linked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "pages")
     own = F.concat(F.lit('<a href="'), F.col("url"), F.lit('">x</a><a href='), F.col("url"), F.lit(">y</a>"))
     based = F.when(F.col("url").startswith("https"), F.lit(LINK_MARKUP)).otherwise(F.lit('<a href="/rel">z</a>'))
-    return p.select("page_id", "url", F.concat(own, based, F.col("html")).alias("html"))
+    return p.select("page_id", "url", F.concat(F.lit(NO_LINKS), own, based, F.col("html")).alias("html"))
 
 
 # Character references put into every page's title and after its first
-# heading, and what they mean.
+# heading, and what they mean; and what comes before the title.
+NO_TITLE = '<!-- <title>no</title> --><svg viewBox="0 > 1"><title>no</title></svg><script>"<title>no</title>"</script>'
 REF_TITLE, REF_TITLE_MEANS = "M&uuml;nchen &#8211; &#x20AC;5 &amp;lt; AT&ampT ", "M\u00fcnchen \u2013 \u20ac5 &lt; AT&T "
 REF_WORDS = "F&uuml;r &#8222;uns&#8220; kostet der Weg nach K&ouml;ln heute nur noch &#x35; &euro; und zwar f&#252;r alle die &copy; 2012 &unknown; da waren"
 REF_WORDS_MEANS = ("F\u00fcr \u201euns\u201c kostet der Weg nach K\u00f6ln heute nur noch 5 \u20ac und zwar f\u00fcr alle die \u00a9 2012 &unknown; da waren")
 
 
 def reference_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages with character references of every kind in title and article."""
+    """Pages with character references of every kind in title and article, and titles that are none before the title."""
     p = table(spark, sf_dir, "pages")
-    html = F.replace(F.col("html"), F.lit("<title>"), F.lit("<title>" + REF_TITLE))
+    html = F.replace(F.col("html"), F.lit("<title>"), F.lit(NO_TITLE + "<title>" + REF_TITLE))
     html = F.replace(html, F.lit("</h1>"), F.lit(f"</h1><p>{REF_WORDS}</p>"))
     return p.select("page_id", "url", html.alias("html"))
 
