@@ -44,30 +44,97 @@ def archive(spark, tmp_path_factory):
     return write_archive(fx.capture_records(spark, SF_SMALL).drop("page_id"), path)
 
 
-def test_pages_never_meet_the_gazetteer(no_aqe):
-    """Without broadcasts the join by spot moves narrow rows with no NULL key; the page joins by id alone."""
+def nodes(df, name):
+    """The output column names of all nodes of a kind in the physical plan."""
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]  # noqa: SLF001
+    while todo:
+        n = todo.pop()
+        if n.nodeName() == name:
+            out = n.output()
+            found.append({out.apply(i).name() for i in range(out.size())})
+        todo += [n.children().apply(i) for i in range(n.children().size())]
+    return found
+
+
+@pytest.fixture
+def no_broadcast(no_aqe):
     no_aqe.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        docs = no_aqe.createDataFrame([("a", "<p>x</p>", "some words")], "id string, html string, article string")
-        gaz = no_aqe.createDataFrame([("some words", "T", 0.9)], "spot string, title string, rho double")
-        df = entities.with_entities(docs, gaz, "id")
-        p = plan(df)
-        assert df.first()["entities"] == "spot: some words title: T\n"
-    finally:
-        no_aqe.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    yield no_aqe
+    no_aqe.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+GAZ = "spot string, title string, rho double"
+
+
+def annotated(spark):
+    docs = spark.createDataFrame([("a", "<p>x</p>", "some words"), (None, "y", "some words")], "id string, html string, article string")
+    gaz = spark.createDataFrame([("some words", "T", 0.9), ("some", "S", 0.9), ("words", "W", 0.1)], GAZ)
+    return entities.with_entities(docs, gaz, "id")
+
+
+def test_pages_never_meet_the_gazetteer(no_broadcast):
+    """Without broadcasts the joins by token and by n-gram move narrow rows with no NULL key; the page joins by id alone."""
+    df = annotated(no_broadcast)
+    p = plan(df)
+    assert {r["html"]: r["entities"] for r in df.collect()} == {"<p>x</p>": "spot: some words title: T\n", "y": ""}
     lines = p.splitlines()
-    by_spot = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(spot" in line]
-    assert by_spot and "SortMergeJoin" in p
-    assert all("html" not in lines[i + 1] and "isnotnull(spot" not in lines[i] for i in by_spot)
-    assert "LeftOuter" in p and p.count("Exchange hashpartitioning(id") <= 4
-
-
-def test_no_job_runs_while_annotation_is_planned(spark):
-    docs = spark.createDataFrame([("a", "x")], "id string, article string")
-    gaz = spark.createDataFrame([("x", "T", 0.9)], "spot string, title string, rho double").where(F.assert_true(F.lit(False)).isNull())
-    df = entities.with_entities(docs, gaz, "id")  # would fail here if the gazetteer were read
-    with pytest.raises(Exception, match="assert|is not true"):
-        df.collect()
+    by_word = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(token" in line or "Exchange hashpartitioning(_gram" in line]
+    assert len(by_word) == 4 and "Broadcast" not in p
+    assert all("html" not in lines[i + 1] for i in by_word)
+    # the hits move once, and the line of a document is made where its mentions are
+    assert p.count("Exchange hashpartitioning(id") == 2 and "LeftOuter" in p
+
+
+def test_only_the_gazetteer_is_broadcast(no_aqe):
+    """Whatever Spark makes of the size of exploded n-grams, they are never the built side."""
+    docs = no_aqe.range(10).select(F.col("id"), F.lit("some words").alias("article"))
+    gaz = no_aqe.range(100_000).select(F.concat(F.lit("some w"), "id").alias("spot"), F.col("id").cast("string").alias("title"), F.lit(0.9).alias("rho"))
+    for limit in ("10m", "200k"):  # the spots are under the first, over the second
+        no_aqe.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            df = entities.entity_mentions(docs, gaz, "id")
+            built = nodes(df, "BroadcastExchange")
+        finally:
+            no_aqe.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert not any("id" in cols or "pos" in cols for cols in built)
+        assert ("SortMergeJoin" in plan(df)) == (limit == "200k")
+
+
+def test_longer_ngrams_only_where_a_spot_can_begin(no_aqe):
+    """Rows into the join by n-gram: at most one for each length of the spots that begin with a token that occurs."""
+    docs = no_aqe.range(50).select(F.col("id"), F.lit("the old town of the north " * 20).alias("article"))
+    gaz = no_aqe.createDataFrame([("old town of", "O", 0.9), ("north sea", "N", 0.9), ("old", "o", 0.4), ("absent long spot of five", "A", 0.9)], GAZ)
+    df = entities.entity_mentions(docs, gaz, "id")
+    got = df.groupBy("spot").count().collect()
+    assert {r["spot"]: r["count"] for r in got} == {"old town of": 1000}
+    tries = [c for c in nodes(df, "Generate") if "n" in c]
+    assert len(tries) == 1  # exploded from the lengths that the index holds for the token
+
+
+def test_html_moves_once(no_broadcast, monkeypatch):
+    """Documents are bucketed by id in the keep-latest's shuffle; entity strings and hints come to them."""
+    from trawl.session import Workspace
+    written = []
+    real = Workspace.bucketed
+    monkeypatch.setattr(Workspace, "bucketed", lambda self, df, *a: written.append(df) or real(self, df, *a))
+    with Workspace(no_broadcast) as ws:
+        docs = jobs.documents(fx.capture_records(no_broadcast, SF_SMALL), fx.gazetteer(no_broadcast, SF_SMALL),
+                              hints=fx.domain_hints(no_broadcast, SF_SMALL), ws=ws)
+        moved = [c for df in (*written, docs) for c in nodes(df, "Exchange") if "html" in c]
+        assert len(moved) == 1
+        assert docs.count() > 0 and docs.where("pub_date is null").count() == 0
+
+
+def test_a_workspace_leaves_nothing(spark, tmp_path):
+    import os
+
+    from trawl.session import Workspace, shared_dir
+    base = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(base))
+    with Workspace(spark) as ws:
+        jobs.documents(fx.capture_records(spark, SF_SMALL), fx.gazetteer(spark, SF_SMALL), ws=ws).count()
+        assert set(os.listdir(base)) > before
+    assert set(os.listdir(base)) == before and not [t for t in spark.catalog.listTables() if t.name.startswith("documents_")]
 
 
 def test_one_scan_for_audit_and_upsert(no_aqe, archive, tmp_path):

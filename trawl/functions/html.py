@@ -122,15 +122,17 @@ def visible_text(html: Column) -> Column:
 def outlinks(html: Column) -> Column:
     """Distinct http(s) links of a page in normal form, sorted (D15: per page): the first ``href`` of every ``a`` tag,
     references resolved; relative ones only against the page's ``<base href>``."""
-    def links(found: Column) -> Column:
-        bases = F.filter(F.transform(F.filter(found, lambda t: M.is_tag(t, "base")), M.href), lambda h: h != "")
-        base = let(unescape(F.coalesce(F.get(bases, 0), F.lit("")), attribute=True), url_parts)
-        # a base that is no absolute URL is none
-        base = let(base, lambda b: F.when(b["scheme"].isNotNull() & (b["authority"] != ""), b))
-        raw = F.array_distinct(F.filter(F.transform(F.filter(found, lambda t: M.is_tag(t, "a")), M.href), lambda h: h != ""))
-        return let(base, lambda b: F.transform(raw, lambda h: let(unescape(h, attribute=True), lambda v: let(url_parts(v), lambda s: resolve(b, s)))))
-
-    return F.array_sort(F.array_distinct(F.array_compact(let(M.tokens(html), links))))
+    def link(tag: Column) -> Column:
+        return F.struct(M.is_tag(tag, "base").alias("base"), url_parts(unescape(M.href(tag), attribute=True)).alias("parts"))
+
+    def absolute(found: Column) -> Column:
+        bases = F.filter(found, lambda t: t["base"])
+        # the first base; one that is no absolute URL is none
+        base = F.get(F.transform(F.slice(bases, 1, 1), lambda t: F.when(t["parts"]["scheme"].isNotNull() & (t["parts"]["authority"] != ""), t["parts"])), 0)
+        return let(base, lambda b: F.transform(F.array_distinct(F.filter(found, lambda t: ~t["base"])), lambda t: resolve(b, t["parts"])))
+
+    wanted = F.filter(M.tokens(html), lambda t: (M.is_tag(t, "a") | M.is_tag(t, "base")) & (M.href(t) != ""))
+    return F.array_sort(F.array_distinct(F.array_compact(let(F.transform(wanted, link), absolute))))
 
 
 def raw_blocks(html: Column) -> Column:

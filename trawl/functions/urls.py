@@ -71,10 +71,13 @@ def without_dots(path: Column) -> Column:
 
 def _quoted(text: Column) -> Column:
     """Characters that end a URL in text, percent-encoded. Others, non-ASCII ones included, stay as they are."""
-    out = text
-    for c in ' "<>':
-        out = F.replace(out, F.lit(c), F.lit(f"%{ord(c):02X}"))
-    return F.when(text.rlike('[ "<>]'), out).otherwise(text)
+    def quoted(t: Column) -> Column:
+        out = t
+        for c in ' "<>':
+            out = F.replace(out, F.lit(c), F.lit(f"%{ord(c):02X}"))
+        return F.when(t.rlike('[ "<>]'), out).otherwise(t)
+
+    return let(text, quoted)
 
 
 def resolve(base: Column, link: Column) -> Column:
@@ -90,11 +93,14 @@ def resolve(base: Column, link: Column) -> Column:
             F.when(same_page & (s["query"] == ""), b["query"]).otherwise(s["query"]).alias("query"), s["fragment"].alias("fragment"))
 
     def text(u: Column) -> Column:
-        user = F.regexp_extract(u["authority"], "^.*@", 0)
-        host_port = F.lower(F.substring(u["authority"], F.length(user) + 1, F.length(u["authority"])))
-        bare = F.when(u["scheme"] == "http", F.regexp_replace(host_port, ":(?:80)?$", "")).otherwise(F.regexp_replace(host_port, ":(?:443)?$", ""))
+        owner = F.struct(u["scheme"].alias("scheme"), F.regexp_extract(u["authority"], "^.*@", 0).alias("user"),
+                         F.lower(F.regexp_extract(u["authority"], "([^@]*)$", 1)).alias("host"))
         path = F.when(u["path"].startswith("/"), without_dots(u["path"])).otherwise(F.concat(F.lit("/"), u["path"]))
-        return let(bare, lambda h: F.when((u["scheme"] != "") & (h != "") & ~h.startswith(":"), F.concat(
-            u["scheme"], F.lit("://"), user, h, _quoted(F.concat(path, u["query"], u["fragment"])))))
+        return F.concat(let(owner, origin), _quoted(F.concat(path, u["query"], u["fragment"])))
+
+    def origin(o: Column) -> Column:
+        port = F.when(o["scheme"] == "http", ":80").otherwise(":443")
+        bare = F.when(o["host"].endswith(port), F.substring(o["host"], F.lit(1), F.length(o["host"]) - F.length(port))).otherwise(F.rtrim(o["host"], F.lit(":")))
+        return let(F.concat(o["scheme"], F.lit("://"), o["user"], bare), lambda x: F.when((o["host"] != "") & ~o["host"].startswith(":"), x))
 
     return let(against(base, link), text)

@@ -53,8 +53,9 @@ def status_counts(snaps: DataFrame) -> DataFrame:
 
 
 def link_edges(pages: DataFrame, links_col: str = "links", src: str = "url") -> DataFrame:
-    """One row per (page, outlink)."""
-    return pages.select(F.col(src).alias("src"), F.explode(links_col).alias("link"))
+    """One row per (page, outlink). The outer explode keeps Spark from inferring a filter on the array's
+    size, which would compute the links a second time."""
+    return pages.select(F.col(src).alias("src"), F.explode_outer(links_col).alias("link")).where(F.col("link").isNotNull())
 
 
 def distinct_links(edges: DataFrame) -> DataFrame:

@@ -7,8 +7,6 @@ from capture records: a real scan (``sources.webarchive``) or a fixture
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -17,7 +15,7 @@ from trawl.operators import article, entities, filters, joins, stats
 from trawl.operators.dedup import cap_per_file, keep_latest
 from trawl.operators.pubdate import pub_date
 from trawl.operators.snapshot import to_snapshots, with_text, with_ts14
-from trawl.session import shared_dir
+from trawl.session import Workspace
 
 DOC_COLUMNS = ["ts", "url", "id", "domain", "wc", "html", "entities"]
 
@@ -50,30 +48,35 @@ def extracted(captures: DataFrame, cap_bytes: int | None = None) -> DataFrame:
     return filters.non_empty_article(article.with_article(with_text(captures, cap_bytes)))
 
 
+def latest_documents(records: DataFrame, cap_bytes: int | None = None, **scan_options) -> DataFrame:
+    """Captures extracted in the scan stage, the latest of each id (A7). Only what a document
+    needs crosses the one shuffle, not the raw body; a partial WindowGroupLimit before
+    it lets copies of a hot id collapse map-side."""
+    docs = extracted(ok_captures(records, **scan_options), cap_bytes)
+    docs = docs.select("ts14", "url", "id", "domain", "wc", "html", "article", "file", "rec_offset", "rec_index")
+    return keep_latest(docs, "id").drop("file", "rec_offset", "rec_index")
+
+
 def documents(records: DataFrame, gazetteer: DataFrame, cap_bytes: int | None = None,
-              hints: DataFrame | None = None, **scan_options) -> DataFrame:
+              hints: DataFrame | None = None, ws: Workspace | None = None, **scan_options) -> DataFrame:
     """Index job: one document per id (the latest capture wins, A7), with
     its entity string (P16/P17) -> P23 columns; with ``hints`` (domain, hint) also the
     publication date (P21).
 
-    Extraction runs in the scan stage. The one shuffle of documents is the
-    keep-latest on ``id`` (partial WindowGroupLimit before it, so copies of a
-    hot id collapse map-side). The documents are then written to shared storage:
-    extraction is the costly part, annotation reads the articles and the result the whole rows,
-    and neither may run it again."""
-    docs = extracted(ok_captures(records, **scan_options), cap_bytes)
-    # only what the document needs crosses the shuffle (not the raw body)
-    docs = docs.select("ts14", "url", "id", "domain", "wc", "html", "article", "file", "rec_offset", "rec_index")
-    docs = keep_latest(docs, "id").drop("file", "rec_offset", "rec_index")
-    path = shared_dir(docs.sparkSession, f"documents-{uuid.uuid4().hex}")
-    docs.write.parquet(path)
-    docs = docs.sparkSession.read.schema(docs.schema).parquet(path)
-    docs = entities.with_entities(docs, gazetteer, key="id", text_col="article")
+    The documents are written once to ``ws``, in buckets of their id: extraction is the costly part, annotation
+    reads the articles and the result the whole rows, and neither may run it again. The buckets are those of
+    the keep-latest's shuffle, so html moves in that one exchange: the entity strings and the hints come
+    to the documents, by id. Close ``ws`` (or let the application end) once the result is used."""
+    ws = ws or Workspace(records.sparkSession)
+    docs = ws.bucketed(latest_documents(records, cap_bytes, **scan_options), "id", "documents")
     out = [F.col("ts14").alias("ts"), "url", "id", "domain", "wc", "html", "entities"]
+    side = entities.entity_strings(docs.select("id", "article"), gazetteer, key="id", text_col="article", ws=ws)
+    rows = docs.join(side, on="id", how="left").withColumn("entities", F.coalesce("entities", F.lit("")))
     if hints is not None:
-        docs = joins.with_hints(docs, hints)
+        known = joins.with_hints(docs.select("id", "domain"), hints).where("hint is not null").select("id", "hint")
+        rows = rows.join(known, on="id", how="left")
         out.append(pub_date(F.col("html"), F.col("article"), F.col("hint")).alias("pub_date"))
-    return docs.select(*out)
+    return rows.select(*out)
 
 
 def text_rows(records: DataFrame, domains: DataFrame, per_file: int | None = None,

@@ -8,8 +8,10 @@ cluster session built elsewhere as under ``build_session`` in tests.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Runtime SQL settings the operators depend on for their results.
 RUNTIME_CONF = {
@@ -32,6 +34,8 @@ TUNING_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.pythonUDF.arrow.enabled": "true",
+    # no Python call site for each column: building long expressions is several times faster
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -78,18 +82,59 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, *parts]) if parts else base
 
 
-# Inputs above this many bytes are never spread: they arrive in enough splits.
-SPREAD_MAX_BYTES = 64 << 20
-
-
-def spread(df):
-    """Round-robins a small file table (at most ``SPREAD_MAX_BYTES`` by its file
-    sizes) that comes in fewer splits than there are cores: the test tables are one
-    row group each, which one task would have to read and extract. A
-    larger table is returned as it is, whatever the number of cores. Round-robin
-    sorts locally first, so a retried task gets the same rows."""
+class Workspace:
+    """Inner tables of a job in shared storage: written once, deleted by ``close`` (or ``with``),
+    at the latest when the application ends. A lazy result that reads them must be used before that."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self._paths, self._tables = spark, [], []
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+    def _fs(self, path: str):
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
+
+    def folder(self, tag: str) -> str:
+        """The name of a new folder, which goes when the workspace does."""
+        path = shared_dir(self.spark, f"{tag}-{uuid.uuid4().hex}")
+        fs, at = self._fs(path)
+        fs.deleteOnExit(at)
+        self._paths.append(path)
+        return path
+
+    def written(self, df: DataFrame, tag: str) -> DataFrame:
+        """``df`` computed once: its size is known from then on, and its lineage cut."""
+        path = self.folder(tag)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def bucketed(self, df: DataFrame, key: str, tag: str) -> DataFrame:
+        """``written`` in as many buckets of ``key`` as there are shuffle partitions: a join or grouping by ``key``
+        then moves the other side only. The table is in shared storage, its catalog entry the session's."""
+        path, n = self.folder(tag), int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        name = f"{tag}_{uuid.uuid4().hex}".replace("-", "_")
+        df.write.bucketBy(n, key).option("path", path).format("parquet").saveAsTable(name)
+        self._tables.append(name)
+        return self.spark.table(name)
+
+    def close(self) -> None:
+        for name in self._tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        for path in self._paths:
+            fs, at = self._fs(path)
+            fs.delete(at, True)
+        self._paths, self._tables = [], []
+
+
+def lookup_side(df: DataFrame) -> DataFrame:
+    """A written lookup table as the side of a join that is built or moved: broadcast if its files
+    are under Spark's limit, else merged with the other side. The other side, whose size Spark
+    underrates where rows are exploded, is never the one that is broadcast."""
+    state = df.sparkSession._jsparkSession.sessionState()
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if size > SPREAD_MAX_BYTES or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+    return F.broadcast(df) if size <= state.conf().autoBroadcastJoinThreshold() else df.hint("merge")

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.session import ensure_conf, spread
+from trawl.session import ensure_conf
 
 CRLF = "\r\n"
 
@@ -30,9 +30,14 @@ ALLOW_LIST_MARK = "/en/"
 RECRAWL_MARK = "?"
 
 
+#: Applied to every table as it is read; nothing unless the benchmark sets it.
+prepare = None
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, spread over the cores when it arrives in fewer splits."""
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    """A driver table."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return prepare(df) if prepare else df
 
 
 def _case(col: Column, cases: list[tuple[int, str | None]], default) -> Column:
@@ -172,15 +177,15 @@ def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trawl.functions.html import title
     # the generator makes the title a column of its own, computed once a page
     p = table(spark, sf_dir, "pages").select(F.inline(F.array(F.struct(F.lower(title(F.col("html"))).alias("t")))))
-    words = F.split(F.col("t"), " ")
     upper = lambda c: F.concat(F.upper(F.substring(c, 1, 1)), F.substring(c, 2, 1 << 30))
-    spots = p.select(F.get(words, 0).alias("spot")).where(F.col("spot") != "").distinct()
-    rho = (F.length("spot") % 10) / F.lit(10.0)
-    rows = F.array(F.struct(upper(F.col("spot")).alias("title"), rho.alias("rho")),
-                   F.struct(F.concat(upper(F.col("spot")), F.lit(" 2")).alias("title"), F.lit(0.35).alias("rho")))
+    first = F.get(F.split(F.col("t"), " "), 0)
     toks = F.regexp_extract_all(F.col("t"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    long = p.where(F.size(toks) >= 5).select(F.array_join(F.slice(toks, 1, 5), " ").alias("spot")).distinct()
-    return spots.select("spot", F.inline(rows)).unionByName(long.select("spot", upper(F.col("spot")).alias("title"), F.lit(0.9).alias("rho")))
+    five = F.when(F.size(toks) >= 5, F.array_join(F.slice(toks, 1, 5), " "))
+    # both kinds of spot from one reading of the pages
+    spots = p.select(F.inline(F.array(F.struct(F.lit(True).alias("word"), first.alias("spot")), F.struct(F.lit(False).alias("word"), five.alias("spot"))))).where("spot <> ''").distinct()
+    own = F.struct(upper(F.col("spot")).alias("title"), F.when(F.col("word"), (F.length("spot") % 10) / F.lit(10.0)).otherwise(0.9).alias("rho"))
+    second = F.struct(F.concat(upper(F.col("spot")), F.lit(" 2")).alias("title"), F.lit(0.35).alias("rho"))
+    return spots.select("spot", F.inline(F.when(F.col("word"), F.array(own, second)).otherwise(F.array(own))))
 
 
 def _shape_by(key: Column, value: Column, shapes: list[str]) -> Column:
