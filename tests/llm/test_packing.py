@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import defaultdict
 
@@ -20,7 +21,6 @@ def test_cuts_fill_their_slots():
 
 def test_every_id_lies_in_one_piece(docs):
     tok = Tokenizer.from_file(PATH)
-    tok.encode_special_tokens = True
     want = defaultdict(list)
     for r in docs.collect():
         want[r["doc_id"]].append([*tok.encode(r["text"] or "", add_special_tokens=False).ids, 1])
@@ -49,7 +49,15 @@ def test_every_id_lies_in_one_piece(docs):
     assert used / (2048 * len(bins)) > 0.9
 
 
-def test_special_strings_are_text_and_empty_table(spark, no_docs):
-    encode = packing.load_encoder(PATH)
-    assert 50256 not in encode("a <|endoftext|> b")
+def test_special_tokens_as_the_library_gives_them(spark, no_docs):
+    encode, tok, r = packing.load_encoder(PATH), Tokenizer.from_file(PATH), random.Random(4)
+    assert encode("a <|endoftext|> b") == [64, 220, 50256, 275]
+    bits = ["<|endoftext|>", "<|endof", "text|>", " ", "  ", "a", "\n", "é", "'s", "12", "<|ENDOFTEXT|>", "\u00a0"]
+    for _ in range(2000):
+        text = "".join(r.choice(bits) for _ in range(r.randint(0, 9)))
+        assert encode(text) == tok.encode(text, add_special_tokens=False).ids, text
+    docs = spark.createDataFrame([(1, "x <|endoftext|><|endoftext|>y"), (2, "<|endoftext|>")], "doc_id long, text string")
+    for row in packing.pack(docs, PATH).collect():
+        ids = [*tok.encode("x <|endoftext|><|endoftext|>y" if row["doc_id"] == 1 else "<|endoftext|>", add_special_tokens=False).ids, 1]
+        assert (row["length"], row["ids_crc32"]) == (len(ids), zlib.crc32(np.asarray(ids, "<u4").tobytes()))
     assert packing.pack(no_docs, PATH).collect() == []

@@ -97,9 +97,10 @@ class HarmonicPacker:
 def load_encoder(path: str):
     """A function text -> ids for a byte-level BPE file of the ``tokenizers``
     library. Its merges are given to tiktoken (the same ids, five times as
-    fast); a text tiktoken refuses goes to ``tokenizers`` itself. Special
-    tokens inside a text are ordinary text."""
+    fast); a text tiktoken refuses goes to ``tokenizers`` itself. As in that library, the
+    file's special tokens inside a text are their ids, and what is between them is encoded by itself."""
     import json
+    import re
 
     import tiktoken
     from tokenizers import Tokenizer
@@ -107,19 +108,23 @@ def load_encoder(path: str):
     with open(path, encoding="utf-8") as f:
         vocab = json.load(f)["model"]["vocab"]
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     # the byte-level alphabet: printable Latin-1 stands for itself, the rest for U+0100 onward
     own = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in set(own)]
     byte_of = {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
-    special = set(tok.get_added_tokens_decoder())
+    special = {i: t.content for i, t in tok.get_added_tokens_decoder().items()}
     ranks = {bytes(byte_of[c] for c in s): i for s, i in vocab.items() if i not in special}
     pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
     fast = tiktoken.Encoding("byte-bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
+    id_of = {t: i for i, t in special.items()}
+    marks = re.compile("(" + "|".join(re.escape(t) for t in sorted(id_of, key=len, reverse=True)) + ")") if id_of else None
+
     def encode(text: str) -> list[int]:
         try:
-            return fast.encode_ordinary(text)
+            if marks is None or not marks.search(text):
+                return fast.encode_ordinary(text)
+            return [i for part in marks.split(text) for i in ([id_of[part]] if part in id_of else fast.encode_ordinary(part))]
         except BaseException as e:  # the Rust side panics on runs beyond its backtracking limit
             if isinstance(e, (KeyboardInterrupt, SystemExit)):
                 raise
