@@ -40,6 +40,16 @@ def test_upper_bound_is_exact():
     assert quality.upper_bound(5, 5, 0.05) == 1.0 and quality.upper_bound(0, 0, 0.05) == 1.0
 
 
+def test_copies_are_one_trial(spark):
+    """A thousand copies of one good text certify no more than the text itself."""
+    rows = [(i, prose(5, 200)) for i in range(1000)] + [(1000 + i, prose(i, 200)) for i in range(20)] \
+        + [(2000 + i, " ".join(w + "***" for w in prose(i, 200).split())) for i in range(100)]
+    df = spark.createDataFrame(rows + rows[:50], "doc_id long, text string")
+    labels = spark.createDataFrame([(d, int(d < 2000), 0) for d, _ in rows], "doc_id long, quality int, toxic int")
+    got = quality.verdicts(df, labels).collect()
+    assert len(got) == len(rows) + 50 and all(r["kept"] == (not r["base_failed"]) for r in got)
+
+
 def test_certified_cutoffs_reject_junk_and_keep_good(spark, docs, no_docs):
     rows = [(i, prose(i, 200)) for i in range(1200)] + [(i, " ".join(w + "***" for w in prose(i, 200).split())) for i in range(1200, 1400)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)

@@ -83,7 +83,7 @@ def count_texts(texts: list[str]) -> dict[str, list[int]]:
 
 
 def features(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, the counts, the rule scores, base_failed and the stratum, one row per input row."""
+    """doc_id, a hash of the text, the counts, the rule scores, base_failed and the stratum, one row per input row."""
     cols = [*COUNTS, "n_lines", "n_upper", "n_bangs"]
 
     def run(batches):
@@ -99,13 +99,14 @@ def features(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
                     i += 1
                 for k, v in count_texts(part).items():
                     got[k].extend(v)
-            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(got[k], pa.int64()) for k in cols]], ["doc_id", *cols])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *[pa.array(got[k], pa.int64()) for k in cols]], ["doc_id", "text_hash", *cols])
 
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")) \
-        .mapInArrow(run, "doc_id long, " + ", ".join(f"{c} long" for c in cols))
+    text = F.col(f"`{text_col}`").cast("string")
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash")) \
+        .mapInArrow(run, "doc_id long, text_hash long, " + ", ".join(f"{c} long" for c in cols))
     rate = lambda a, b: F.coalesce((1000.0 * F.col(a) / F.expr(f"nullif({b}, 0)")), F.lit(0.0))
     scored = rows.select(
-        "doc_id", *COUNTS, rate("n_symbols", "word_chars").alias("symbol_rate"), rate("n_dup_lines", "n_lines").alias("dup_line_rate"),
+        "doc_id", "text_hash", *COUNTS, rate("n_symbols", "word_chars").alias("symbol_rate"), rate("n_dup_lines", "n_lines").alias("dup_line_rate"),
         rate("n_repeat_words", "n_words").alias("repeat_rate"), rate("n_upper", "word_chars").alias("upper_rate"),
         rate("n_bangs", "n_words").alias("bang_rate"), rate("word_chars", "n_words").alias("long_words"),
         rate("n_words", "word_chars").alias("short_words"),
@@ -170,16 +171,19 @@ def verdicts(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text
 
     A null text counts as empty (and fails the base). A null doc_id has no
     label but gets a verdict. A document whose label rows disagree, or are
-    null, is unlabelled. Repeated rows get the same verdict. Other columns
+    null, is unlabelled. Repeated rows get the same verdict. The exact bound needs independent trials: each distinct
+    text counts once, by a hash, in one half only, and not at all where its copies' labels disagree (near copies still
+    count one by one). Other columns
     are not read. Without labels nothing is certified and kept is the base
     verdict; empty documents give an empty result.
     """
     feats = written(features(docs, id_col=id_col, text_col=text_col), "quality")
     marks = (labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).alias("q")).where("q is not null")
              .groupBy("doc_id").agg(F.min("q").alias("lo"), F.max("q").alias("hi")).where("lo = hi and lo in (0, 1)"))
-    labelled = (feats.where("not base_failed").join(marks, "doc_id")
+    labelled = (feats.where("not base_failed").join(marks, "doc_id").groupBy("text_hash", "stratum", *RULES)
+                .agg(F.min("lo").alias("lo"), F.max("lo").alias("hi")).where("lo = hi")
                 .select("stratum", *RULES, (F.col("lo") == 1).alias("good"),
-                        (F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1).alias("holdout")))
+                        (F.pmod(F.xxhash64("text_hash"), F.lit(2)) == 1).alias("holdout")))
     chosen = choose(written(labelled, "quality-labels"), **options)
     reject = F.lit(False)
     for s, cut in chosen.items():
