@@ -415,10 +415,14 @@ def disturb(blocks, labels, pages, all_labels, rng):
 
 # ---- Spark -------------------------------------------------------------------
 
+#: Characters of pages parsed before the network runs, and blocks (padding included) it runs at once.
+GROUP_CHARS, PADDED = 400_000, 20_000
+
+
 def fit(pages: DataFrame, *, id_col: str = "page_id", html_col: str = "html", sample: int = 400, max_blocks: int = 200,
         max_chars: int = 200_000, **options):
     """Weights learned from at most ``sample`` pages (first by hash, each no longer than
-    ``max_chars``) whose markup tells their article; None if there is none."""
+    ``max_chars``, the first ``max_blocks`` blocks of each) whose markup tells their article; None if there is none."""
     h = F.col(f"`{html_col}`").cast("string")
     told = pages.select(h.alias("html"), F.col(f"`{id_col}`").alias("id")).where(F.lower("html").rlike("<(article|main)\\b") & (F.length("html") <= max_chars))
     rows = sample_rows(told, F.xxhash64("id", "html"), sample)
@@ -447,9 +451,11 @@ def extract(pages: DataFrame, weights, *, id_col: str = "page_id", url_col: str
             htmls = b.column(2)
             i = 0
             while i < len(htmls):
-                group, room = [], 400_000  # characters parsed before the network runs; a longer page goes alone
-                while i < len(htmls) and (room > 0 or not group):
+                group, room = [], GROUP_CHARS  # a page that does not fit any more waits; a longer one goes alone
+                while i < len(htmls):
                     page = htmls[i].as_py() or ""
+                    if group and len(page) > room:
+                        break
                     group.append(leaf_blocks(page))
                     room -= len(page)
                     i += 1
@@ -476,9 +482,15 @@ def judge(weights, feats, group):
             y = page_labels(g) if g else []
             marks.append(y if y is not None else [int(not (OUTSIDE_TAGS | FURNITURE).intersection(i)) for _, i, _, _ in g])
         return marks
-    z, _ = logits(weights, feats, feats.pages(full), np.array([len(g) for g in full]))
-    out, at = [], 0
-    for g in group:
-        out.append((z[at: at + len(g)] > 0).tolist())
-        at += len(g)
+    out: list = [[] for _ in group]
+    order = sorted((i for i, g in enumerate(group) if g), key=lambda i: -len(group[i]))
+    while order:
+        # pages of like length run side by side: their lanes, padded to the longest, stay under PADDED places
+        take = max(1, PADDED // len(group[order[0]]))
+        some, order = order[:take], order[take:]
+        z, _ = logits(weights, feats, feats.pages([group[i] for i in some]), np.array([len(group[i]) for i in some]))
+        at = 0
+        for i in some:
+            out[i] = (z[at: at + len(group[i])] > 0).tolist()
+            at += len(group[i])
     return out
