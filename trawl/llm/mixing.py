@@ -21,11 +21,12 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trawl.llm.common import count_words, written
+from trawl.llm.common import Scratch, count_words, written
+from trawl.llm.linededup import numbered
 
 ONE = 1 << 20  # fixed-point unit of a rate
 MAX_NEWTON = 60
@@ -39,12 +40,16 @@ def source_targets(sizes: DataFrame, weights=(3, 1, 2), share: float = 1.5, ceil
     share ``share`` of all sizes; a target stops at ``ceiling`` times its
     source's size and the excess is reshared by weight until none is above.
     """
-    w = Window.orderBy(F.col("source").asc_nulls_last())
-    src = sizes.groupBy("source").agg(F.sum("n").alias("n_docs"), F.sum(F.col("n") * F.col("size")).alias("source_size"))
-    src = (src.withColumn("sid", F.row_number().over(w).cast("long"))
+    temp = Scratch(sizes.sparkSession)
+    src = written(sizes.groupBy("source").agg(F.sum("n").alias("n_docs"), F.sum(F.col("n") * F.col("size")).alias("source_size")), "mix-sources")
+    # numbered by a range exchange; a null source comes behind all others
+    ids = numbered(src.where("source is not null"), ["source"], "sid", temp)
+    last = src.agg(F.count("source")).first()[0] + 1
+    src = (src.join(ids, "source", "left").withColumn("sid", F.coalesce("sid", F.lit(last)).cast("long"))
            .withColumn("weight", F.element_at(F.array(*[F.lit(float(x)) for x in weights]),
                                               (((F.col("sid") - 1) % len(weights)) + 1).cast("int"))))
     src = written(src, "mix-sources")
+    temp.drop()
     most = F.col("source_size") * float(ceiling)
     total = (src.agg(F.sum("source_size")).first()[0] or 0) * share
     level = 0.0
