@@ -42,14 +42,16 @@ def test_fast_inference_equals_the_training_network():
     sums, won, sizes = langid.Labeller(w).pooled(raws)
     for raw, s, n in zip(raws, sums, won, strict=True):
         total = np.zeros(3)
-        for i in range(0, len(raw), langid.WINDOW):
-            by = np.frombuffer(raw[i: i + langid.WINDOW], np.uint8).astype(np.intp)[:, None]
+        step = langid.WINDOW - 2 * langid.MARGIN
+        for i in range(0, len(raw), step):  # each with its margins, which are not counted
+            lo = max(0, i - langid.MARGIN)
+            by = np.frombuffer(raw[lo: i + step + langid.MARGIN], np.uint8).astype(np.intp)[:, None]
             valid = np.ones_like(by, bool)
             f = langid._direction(w["xf"], w["uf"], by, valid)[0]
             b = langid._direction(w["xb"], w["ub"], by[::-1], valid)[0][::-1]
             z = np.einsum("kh,lhb->lkb", w["out"], np.concatenate([f, b], axis=1)) + w["bias"]
             p = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
-            total += p.sum(axis=(0, 2))
+            total += p[i - lo: i - lo + step].sum(axis=(0, 2))
         assert np.allclose(total, s, atol=1e-3) and n.sum() == len(raw)
 
 
@@ -70,6 +72,8 @@ def test_held_out_accuracy_and_edge_cases(spark, docs, no_docs):
             assert (r["lang_pred"], r["score"]) == ("und", 0.0)
         if r["doc_id"] in (104, 107, 90, 91):
             assert r["lang_pred"] in names
+    odd = df.sparkSession.createDataFrame([(1, "\u00b2 \u00bd \u2167 12_34"), (2, "\u00e9")], "doc_id long, text string")
+    assert {r["doc_id"]: r["lang_pred"] == "und" for r in langid.identify(odd, names, w).collect()} == {1: True, 2: False}
     assert langid.identify(no_docs, names, w).collect() == []
     assert langid.fit(no_docs, F.col("text"), F.col("lang"), F.col("doc_id")) == ([], None)
     assert {r["lang_pred"] for r in langid.identify(docs, [], None).collect()} == {"und"}

@@ -6,23 +6,27 @@ every position, and a document's probabilities are the mean over all its
 positions. The network is trained in numpy by backpropagation through time on
 windows of labelled documents. A text is cut into windows of ``WINDOW`` bytes
 that are run side by side, so memory is bounded by ``LANES`` windows however
-long the text is; every byte of every text is read.
+long the text is. Windows overlap by ``MARGIN`` bytes on either side, which are read for the state and not
+counted, so a label near a cut has seen its neighbours; every byte of every text counts once.
 """
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-WINDOW = 128
-LANES = 2048
+WINDOW, MARGIN = 256, 32
+TRAINED = 64  # bytes of a training window
+LANES = 1024
 UND = "und"
-LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """A character of Unicode's letter categories (L): digits and numerals of any kind are none."""
+    return next(filter(str.isalpha, text), None) is not None
 
 
 # ---- the network -------------------------------------------------------------
@@ -167,10 +171,14 @@ class Labeller:
         sizes = np.array([len(r) for r in raws], np.int64)
         data = np.frombuffer(b"".join(raws), np.uint8)
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(raws) else np.zeros(0, np.int64)
-        per = -(-sizes // WINDOW)
+        step = WINDOW - 2 * MARGIN
+        per = -(-sizes // step)
         owner = np.repeat(np.arange(len(raws)), per)
         nth = np.arange(len(owner)) - np.repeat(np.cumsum(per) - per, per)
-        at, lens = starts[owner] + nth * WINDOW, np.minimum(WINDOW, sizes[owner] - nth * WINDOW)
+        first = np.maximum(nth * step - MARGIN, 0)
+        at, lens = starts[owner] + first, np.minimum(nth * step + step + MARGIN, sizes[owner]) - first
+        lo = nth * step - first  # the inner positions, which count
+        hi = np.minimum(lo + step, lens)
         order = np.argsort(-lens, kind="stable")
         padded = np.concatenate([data, np.zeros(WINDOW, np.uint8)])
         lanes = max(16, min(LANES, LANES * 64 // k))  # the probabilities of all positions take the same memory
@@ -178,9 +186,10 @@ class Labeller:
             o = order[i: i + lanes]
             by = padded[at[o][None] + np.arange(WINDOW)[:, None]]
             p = self.positions(by.astype(np.intp), lens[o])
-            np.add.at(sums, owner[o], p.sum(axis=0).T)
+            inside = (np.arange(WINDOW)[:, None] >= lo[o][None]) & (np.arange(WINDOW)[:, None] < hi[o][None])
             best = p.argmax(axis=1)
-            inside = np.arange(WINDOW)[:, None] < lens[o][None]
+            p *= inside[:, None]
+            np.add.at(sums, owner[o], p.sum(axis=0).T)
             np.add.at(won, owner[o], np.stack([((best == j) & inside).sum(axis=0) for j in range(k)], axis=1))
         return sums, won, sizes
 
@@ -209,9 +218,9 @@ def sample_windows(docs: DataFrame, text: Column, label: Column, key: Column, *,
     windows, lengths, labels, at = [], [], [], {n: i for i, n in enumerate(names)}
     for r in rows:
         raw = r["t"].encode("utf-8", "replace")
-        for i in range(0, len(raw), WINDOW // 2):
-            w = raw[i: i + WINDOW // 2]
-            windows.append(np.frombuffer(w.ljust(WINDOW // 2, b"\0"), np.uint8))
+        for i in range(0, len(raw), TRAINED):
+            w = raw[i: i + TRAINED]
+            windows.append(np.frombuffer(w.ljust(TRAINED, b"\0"), np.uint8))
             lengths.append(len(w))
             labels.append(at[r["label"]])
     return names, np.array(windows), np.array(lengths), np.array(labels)
@@ -247,7 +256,7 @@ def identify(docs: DataFrame, names: list[str], weights, *, text_col: str = "tex
                 raws, room = [], 4 << 20  # bytes run at once; one longer text goes alone
                 while i < len(texts) and (room > 0 or not raws):
                     t = texts[i].as_py() or ""
-                    raws.append(t.encode("utf-8", "replace") if model and LETTER.search(t) else b"")
+                    raws.append(t.encode("utf-8", "replace") if model and has_letter(t) else b"")
                     room -= len(raws[-1])
                     i += 1
                 if not model:
