@@ -100,3 +100,15 @@ def test_language_keeps_what_no_label_fits_well(spark):
     assert out.where("lang is null").isEmpty()
     unlabelled = P.language(spark, docs.withColumn("lang", F.lit(None).cast("string")), None)
     assert {r["doc_id"] for r in unlabelled.collect()} == {r[0] for r in rows} - {201}
+
+
+def test_different_texts_of_one_id_are_different_documents(spark):
+    a, b, c = prose(1, 80), prose(2, 80), prose(3, 80)
+    near = " ".join(b.split()[:-1] + ["other"])
+    rows = [(1, a, "en", "s", 1), (1, b, "en", "s", 1), (1, b, "fr", "t", 1), (2, near, "en", "s", 1), (3, c, "en", "s", 1), (3, c, "en", "s", 1),
+            (4, None, "en", "s", 1), (4, "", "en", "s", 1), (None, a, "en", "s", 1), (None, None, "en", "s", 1), (5, a, "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r["doc_id"], r["text"]) for r in P.near_duplicates(spark, docs, None).collect()), key=str)
+    # a stays under the id that only it has (5), b's group under 2; empty texts are in no group
+    want = [(2, near), (3, c), (4, None), (4, ""), (None, a), (None, None), (5, a)]
+    assert got == sorted(want, key=str) or got == sorted([(4, None) if w == (4, "") else w for w in want if w != (4, None)], key=str)
