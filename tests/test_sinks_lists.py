@@ -30,3 +30,38 @@ def test_rows_and_json_sinks_round_trip(spark, tmp_path):
     assert back.where(F.col("value").isNull()).count() == 1 and back.count() == 2
     text = spark.read.text(sinks.write_text(df.where("value is not null"), str(tmp_path / "txt")))
     assert sorted(r[0] for r in text.collect()) == ["2012", "line two"]   # newline splits the value
+
+
+def _files(path):
+    return {str(p): p.stat().st_mtime_ns for p in path.rglob("part-*.parquet")}
+
+
+def test_a_batch_rewrites_the_buckets_it_touches(spark, tmp_path):
+    rows = [(f"k{i}", 0, i, 0, f"v{i}") for i in range(500)] + [(None, 0, 0, 0, "null")]
+    schema = "id string, file int, rec_offset long, rec_index int, v string"
+    table = sinks.upsert_buckets(spark, spark.createDataFrame(rows, schema), str(tmp_path / "t"), buckets=16)
+    before = _files(tmp_path / "t")
+    assert len(before) == 16  # one file a bucket: no task writes to two
+    batch = spark.createDataFrame([("k7", 1, 1, 0, "new"), ("k7", 1, 0, 0, "older")], schema)
+    for _ in range(2):  # a rerun agrees
+        sinks.upsert_buckets(spark, batch, table, buckets=99)  # the table keeps its number of buckets
+        after = _files(tmp_path / "t")
+        kept = {p: t for p, t in after.items() if before.get(p) == t}
+        assert len(after) == 16 and len(kept) == 15
+        got = {r["id"]: r["v"] for r in sinks.read_buckets(spark, table).collect()}
+        assert got == {r[0]: "new" if r[0] == "k7" else r[4] for r in rows}
+    assert [r["v"] for r in sinks.read_buckets(spark, table, ["k7"]).collect()] == ["new"]
+    sinks.upsert_buckets(spark, batch.limit(0), table)
+    assert sinks.read_buckets(spark, table).count() == 501
+    # a wide table: many shuffle partitions to a bucket, and a key of every bucket
+    more = spark.range(2000).select(F.concat(F.lit("k"), "id").alias("id"), F.lit(2).alias("file"), F.col("id").alias("rec_offset"),
+                                    F.lit(0).alias("rec_index"), F.lit("w").alias("v"))
+    sinks.upsert_buckets(spark, more, table)
+    assert sinks.read_buckets(spark, table).groupBy("v").count().where("v = 'w'").first()["count"] == 2000
+
+
+def test_an_empty_batch_makes_no_table_rows(spark, tmp_path):
+    none = spark.createDataFrame([], "id string, file int, rec_offset long, rec_index int")
+    table = sinks.upsert_buckets(spark, none, str(tmp_path / "t"))
+    sinks.upsert_buckets(spark, spark.createDataFrame([("a", 1, 1, 1)], none.schema), table)
+    assert sinks.read_buckets(spark, table).count() == 1

@@ -6,7 +6,10 @@
 
 Next to the output go ``<output>_audit`` (records per drop reason, counted in the job's own
 scan) and ``<output>_quarantine`` (corrupt or unparseable records with the
-reason; read again without bodies, only if there are any). Cuts are
+reason; read again without bodies, only if there are any). A result is written to the
+side and published only if at most ``--max-failed`` of the records could not be read (5 % as in the reference); else the
+old one stays and the command fails, with audit and quarantine written. With ``--upsert`` the output is a table of id buckets, of
+which a run rewrites those it touches. Cuts are
 options: ``--max-content-bytes`` and ``--per-file`` are off unless given. The
 session comes from spark-submit; only settings the results depend on are
 applied (``ensure_conf``).
@@ -33,10 +36,12 @@ def _parser() -> argparse.ArgumentParser:
         p.add_argument("--mime-pattern")
         p.add_argument("--status", choices=["ALL", "SUCCESS"], default="ALL")
         p.add_argument("--max-content-bytes", type=int, help="body bytes kept per record (the reference: 1 MiB)")
+        p.add_argument("--max-failed", type=float, default=0.05, help="share of unreadable records up to which the result is published; 1 publishes always")
         p.add_argument("--files", type=int, default=0, help="output files (round-robin); 0 = one per task")
     idx = sub.choices["index"]
     idx.add_argument("--gazetteer", required=True, help="parquet table (spot, title, rho)")
     idx.add_argument("--hints", help="folder of domain-hint files; adds the publication date")
+    idx.add_argument("--upsert", action="store_true", help="merge into the output table in place, bucket by bucket")
     idx.add_argument("--existing", help="previous document table to upsert into")
     idx.add_argument("--format", default="parquet")
     txt = sub.choices["text"]
@@ -54,7 +59,7 @@ def main(argv: list[str] | None = None) -> None:
     from trawl.operators import filters
     from trawl.operators.snapshot import to_snapshots
     from trawl.plans import jobs
-    from trawl.session import ensure_conf
+    from trawl.session import Workspace, ensure_conf
     from trawl.sources import sinks
     from trawl.sources.lists import read_domain_hints, read_domain_list
     from trawl.sources.webarchive import read_archive
@@ -68,18 +73,28 @@ def main(argv: list[str] | None = None) -> None:
     records = read_archive(spark, args.input, **opts)
     scan = {"url_pattern": args.url_pattern, "mime_pattern": args.mime_pattern, "status_selection": args.status}
     seen = Observation("audit")
-    if args.job == "index":
-        docs = jobs.documents(records, spark.read.parquet(args.gazetteer), cap_bytes=cap, observation=seen,
-                              hints=read_domain_hints(spark, args.hints) if args.hints else None, **scan)
-        docs = sinks.fan_out(docs, args.files or None)
-        sinks.upsert_documents(spark, docs, args.output, args.existing, fmt=args.format, order=())
-    else:
-        rows = jobs.text_rows(records, read_domain_list(spark, args.domains), per_file=args.per_file, cap_bytes=cap,
-                              observation=seen, **scan)
-        if args.format == "text":
-            sinks.write_text(rows, args.output, files=args.files or None)
+    failed = lambda: jobs.failed_share(seen.get)
+    over = None
+    try:
+        if args.job == "index":
+            with Workspace(spark) as ws:
+                docs = jobs.documents(records, spark.read.parquet(args.gazetteer), cap_bytes=cap, observation=seen, ws=ws,
+                                      hints=read_domain_hints(spark, args.hints) if args.hints else None, **scan)
+                sinks.within_budget(failed(), args.max_failed)  # the scan is done once the documents are planned
+                docs = sinks.fan_out(docs, args.files or None)
+                if args.upsert:
+                    sinks.upsert_buckets(spark, docs, args.output, order=())
+                else:
+                    sinks.publish(spark, args.output, lambda at: sinks.upsert_documents(spark, docs, at, args.existing, fmt=args.format, order=()),
+                                  failed, args.max_failed)
         else:
-            sinks.write_rows(rows.select("value"), args.output, fmt="parquet", files=args.files or None)
+            rows = jobs.text_rows(records, read_domain_list(spark, args.domains), per_file=args.per_file, cap_bytes=cap,
+                                  observation=seen, **scan)
+            write = (lambda at: sinks.write_text(rows, at, files=args.files or None)) if args.format == "text" \
+                else (lambda at: sinks.write_rows(rows.select("value"), at, fmt="parquet", files=args.files or None))
+            sinks.publish(spark, args.output, write, failed, args.max_failed)
+    except sinks.FailureBudgetExceeded as e:
+        over = e
     counts = seen.get
     audit = spark.createDataFrame(sorted(counts.items()), "reason string, n long").coalesce(1)
     sinks.write_rows(audit, f"{args.output.rstrip('/')}_audit", fmt="json")
@@ -87,6 +102,8 @@ def main(argv: list[str] | None = None) -> None:
     _, bad = filters.split_quarantine(bare if counts[jobs.QUARANTINED] else bare.limit(0))
     keep = ["file", "rec_offset", "rec_index", "url", "quarantine_reason"]
     sinks.write_rows(bad.select(*keep), f"{args.output.rstrip('/')}_quarantine", fmt="json")
+    if over:
+        raise over
 
 
 if __name__ == "__main__":

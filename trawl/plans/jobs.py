@@ -20,8 +20,13 @@ from trawl.session import Workspace
 DOC_COLUMNS = ["ts", "url", "id", "domain", "wc", "html", "entities"]
 
 
-#: Name of the quarantine's count in a job's observation.
-QUARANTINED = "Quarantined"
+#: Names of the quarantine's count in a job's observation, and of the reader's errors among them.
+QUARANTINED, CORRUPT = "Quarantined", "Corrupt"
+
+
+def failed_share(counts: dict) -> float:
+    """the share of records that the reader could not read, from a job's observed counts."""
+    return counts[CORRUPT] / max(1, sum(counts[r] for r in filters.REASONS))
 
 
 def observed(snaps: DataFrame, observation: Observation | None, **scan_options) -> DataFrame:
@@ -30,6 +35,7 @@ def observed(snaps: DataFrame, observation: Observation | None, **scan_options)
         return snaps
     counts = stats.audit_counts(**scan_options)
     counts[QUARANTINED] = F.count_if(filters.error_reason().isNotNull())
+    counts[CORRUPT] = F.count_if(F.col("error").isNotNull())
     return snaps.observe(observation, *[c.alias(k) for k, c in counts.items()])
 
 

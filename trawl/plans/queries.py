@@ -340,14 +340,14 @@ def _doc_rows(records: DataFrame) -> DataFrame:
 
 
 def q_doc_upsert(spark, sf_dir):
-    """Write the documents, then upsert a recrawl batch: later copies
+    """Write the documents by bucket of their id, then upsert a recrawl batch: later copies
     (rec_offset + 100000) of the pages whose URL has a query; read back."""
     recs = fx.capture_records(spark, sf_dir)
-    first = sinks.upsert_documents(spark, _doc_rows(recs), _scratch(spark, "docs", sf_dir))
+    table = sinks.upsert_buckets(spark, _doc_rows(recs), _scratch(spark, "docs", sf_dir), buckets=16)
     copies = (recs.where(F.col("url").contains(fx.RECRAWL_MARK))
               .withColumn("rec_offset", F.col("rec_offset") + fx.COPY_OFFSET))
-    merged = sinks.upsert_documents(spark, _doc_rows(copies), _scratch(spark, "docs", sf_dir), existing_path=first)
-    return spark.read.parquet(merged).drop("rec_index")
+    sinks.upsert_buckets(spark, _doc_rows(copies), table)
+    return sinks.read_buckets(spark, table).drop("rec_index")
 
 
 def q_pub_date_list(spark, sf_dir):

@@ -6,67 +6,45 @@ micro-batch of *new files*. The file stream only lists paths: the
 ``binaryFile`` source prunes its ``content`` column when it is not
 selected, so no archive bytes go through it. ``foreachBatch`` reads those
 files with the ``webarchive`` source, builds their documents
-(``plans.jobs.documents``) and upserts them into a versioned document
-table: ``<table>/v<batch id>``, the previous version's rows whose id is
-not in the batch plus the batch.
+(``plans.jobs.documents``) and upserts them into a document table in folders of the id's hash
+(``sinks.upsert_buckets``): a micro-batch rewrites the buckets it touches and no other.
 
-A rerun of a batch after a failure rewrites the same version from the same
-inputs, so the sink is idempotent, and the checkpoint folder gives the
-usual exactly-once file tracking. Each micro-batch rewrites the whole
-table (anti-join + union). With a table format that supports MERGE, swap
-in a MERGE for ``_upsert``.
+A rerun of a batch after a failure merges the same rows again, which changes nothing, so the sink is idempotent, and
+the checkpoint folder gives the usual exactly-once file tracking. A batch over the failure budget stops the
+query before it is merged; its inner tables are deleted with it. Plain Parquet folders give readers no snapshot: a reader
+that must not see a batch half committed needs a table format, with its MERGE in place of the upsert.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from trawl.plans import jobs
+from trawl.session import Workspace
 from trawl.sources import sinks
 from trawl.sources.webarchive import _fs_and_path, read_archive
 
 ARCHIVE_GLOB = "*.{warc,arc,warc.gz,arc.gz}"
-# Older versions of the table that stay.
-KEEP_VERSIONS = 2
 # The binaryFile source's fixed schema (streams must declare it).
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
-def _versions(table_dir: str) -> list[str]:
-    from pyarrow import fs as pafs
-    fs, root = _fs_and_path(table_dir)
-    info = fs.get_file_info(root)
-    if info.type != pafs.FileType.Directory:
-        return []
-    found = [i.base_name for i in fs.get_file_info(pafs.FileSelector(root)) if i.type == pafs.FileType.Directory]
-    done = [v for v in found if v.startswith("v") and
-            fs.get_file_info(f"{root}/{v}/_SUCCESS").type == pafs.FileType.File]
-    return sorted(done)
-
-
 def latest_version(table_dir: str) -> str | None:
-    """Path of the newest complete version of the document table, if any."""
-    vs = _versions(table_dir)
-    return f"{table_dir.rstrip('/')}/{vs[-1]}" if vs else None
-
-
-def _upsert(spark: SparkSession, docs: DataFrame, table_dir: str, batch_id: int) -> None:
-    out = f"{table_dir.rstrip('/')}/v{batch_id:012d}"
-    prev = [v for v in _versions(table_dir) if v < f"v{batch_id:012d}"]
-    sinks.upsert_documents(spark, docs, out, f"{table_dir.rstrip('/')}/{prev[-1]}" if prev else None, order=())
+    """Path of the document table, if it has been written (there is one version, updated in place)."""
+    from pyarrow import fs as pafs
     fs, root = _fs_and_path(table_dir)
-    for old in prev[:-KEEP_VERSIONS]:  # a reader may still be on the versions before this one
-        fs.delete_dir(f"{root}/{old}")
+    return table_dir.rstrip("/") if fs.get_file_info(root).type == pafs.FileType.Directory else None
 
 
 def start_incremental_index(spark: SparkSession, archive_dir: str, table_dir: str, checkpoint_dir: str,
                             gazetteer: DataFrame, max_files_per_trigger: int = 1000,
-                            available_now: bool = False, **scan_options) -> StreamingQuery:
+                            available_now: bool = False, buckets: int = 256, max_failed: float | None = 0.05, **scan_options) -> StreamingQuery:
     """Start the stream; returns the running query.
 
     ``scan_options`` are passed to the ``webarchive`` reader. With
-    ``available_now`` the query processes what is there and stops."""
+    ``available_now`` the query processes what is there and stops. ``buckets`` counts for a new table, ``max_failed`` is the
+    share of unreadable records up to which a batch is merged (None: any)."""
     files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
              .option("pathGlobFilter", ARCHIVE_GLOB)
              .option("recursiveFileLookup", "true")
@@ -80,7 +58,10 @@ def start_incremental_index(spark: SparkSession, archive_dir: str, table_dir: st
         if not paths:
             return
         records = read_archive(spark, paths, **scan_options)
-        _upsert(spark, jobs.documents(records, gazetteer), table_dir, batch_id)
+        seen = Observation(f"batch-{batch_id}")
+        with Workspace(spark) as ws:
+            docs = jobs.documents(records, gazetteer, ws=ws, observation=seen)
+            sinks.upsert_buckets(spark, docs, table_dir, buckets=buckets, order=(), failed=lambda: jobs.failed_share(seen.get), most=max_failed)
 
     writer = files.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
