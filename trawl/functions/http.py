@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from trawl.functions.charsets import legacy_charset
+
 # Fixed values.
 # Content cap that both reference jobs apply before decoding: 1 MiB. Ours is an option.
 CONTENT_CAP_BYTES = 1024 * 1024
@@ -135,7 +137,7 @@ def meta_charset(content: Column) -> Column:
 
 
 def sniffed_charset(content: Column, cut: Column | None = None) -> Column:
-    """UTF-8 if the bytes are valid UTF-8, else windows-1252. Where the body was
+    """UTF-8 if the bytes are valid UTF-8, else the legacy charset they look like (``functions.charsets``). Where the body was
     ``cut`` (P10), a character that the cut split may be missing its end."""
     valid = F.is_valid_utf8(content.cast("string"))
     if cut is not None:
@@ -143,7 +145,7 @@ def sniffed_charset(content: Column, cut: Column | None = None) -> Column:
         for k in (1, 2, 3):  # the last k bytes begin a longer character
             lead = F.hex(F.substring(content, n - k + 1, F.lit(1))) >= "C2"
             valid = valid | (cut & (n >= k) & lead & F.is_valid_utf8(F.substring(content, F.lit(1), n - k).cast("string")))
-    return F.when(valid, F.lit("UTF-8")).otherwise(F.lit("WINDOWS-1252"))
+    return F.when(valid, F.lit("UTF-8")).otherwise(legacy_charset(content))
 
 
 def resolve_charset(content_type: Column, content: Column, cut: Column | None = None) -> Column:

@@ -400,8 +400,13 @@ def _sql() -> dict[str, str]:
                          f"ELSE 'content-type: ' || content_type || {NL} || 'server: fixture' END AS headers FROM snaps")
     q["capture_time"] = (f"{base} SELECT page_id, format, date_raw, strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS ts, "
                          f"(date_raw IS NOT NULL AND ts IS NULL) AS invalid_date FROM snaps")
-    q["charset_decode"] = (f"{base} SELECT page_id, charset, CAST(length(html) AS INTEGER) AS n_chars, "
-                           f"(html = page_html) AS same_text FROM snaps")
+    nl, sentences = len(FX.LEGACY_TEXTS), " ".join(f"WHEN {i} THEN {len(t)}" for i, (_, t) in enumerate(FX.LEGACY_TEXTS))
+    made = " ".join(f"WHEN {i} THEN {lit(c)}" for i, (c, _) in enumerate(FX.LEGACY_TEXTS))
+    around = len('<html><head><title></title></head><body><p class="text"></p></body></html>')
+    q["charset_decode"] = (f"{base} SELECT page_id, CAST(NULL AS VARCHAR) AS made, charset, CAST(length(html) AS INTEGER) AS n_chars, "
+                           f"(html = page_html) AS same_text FROM snaps UNION ALL "
+                           f"SELECT page_id, CASE page_id % {nl} {made} END AS made, CASE page_id % {nl} {made} END AS charset, "
+                           f"CAST({around} + length(CAST(page_id AS VARCHAR)) + CASE page_id % {nl} {sentences} END AS INTEGER) AS n_chars, true AS same_text FROM pages")
     cap = CONTENT_CAP_QUERY_BYTES
     q["content_cap"] = (f"{base} SELECT page_id, CAST(least(octet_length(encode(page_html)), {cap}) AS INTEGER) AS n_bytes, "
                         f"substr(hex(encode(page_html)), 1, {2 * cap}) AS head_hex FROM snaps")

@@ -183,8 +183,10 @@ def q_capture_time(spark, sf_dir):
 def q_charset_decode(spark, sf_dir):
     s = with_text(_snaps(spark, sf_dir))
     page_text = F.decode(F.col("content"), "UTF-8")  # the fixture's body is the page as UTF-8
-    return s.select("page_id", "charset", F.length("html").alias("n_chars"),
+    told = s.select("page_id", F.lit(None).cast("string").alias("made"), "charset", F.length("html").alias("n_chars"),
                     (F.col("html") == page_text).alias("same_text"))
+    old = with_text(fx.legacy_pages(spark, sf_dir))
+    return told.unionByName(old.select("page_id", "made", "charset", F.length("html").alias("n_chars"), (F.col("html") == F.col("text")).alias("same_text")))
 
 
 def q_content_cap(spark, sf_dir):

@@ -95,6 +95,32 @@ def capture_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# By page_id modulo their number, the charset a page is written in without declaring it, and a sentence of its body.
+LEGACY_TEXTS = [
+    ("WINDOWS-1251", "Сегодня в городе открылась новая выставка, на которой показаны работы молодых художников."),
+    ("SHIFT_JIS", "今日は天気がいいので、公園まで散歩に行きました。そこでたくさんの花を見ることができました。"),
+    ("EUC-KR", "오늘은 날씨가 좋아서 공원까지 산책을 갔습니다. 그곳에서 많은 사람들을 볼 수 있었습니다."),
+    ("WINDOWS-1252", "Für die Größe der Bäume gibt es schöne Gründe, und über Äpfel weiß man vieles; déjà vu à l'été."),
+    ("EUC-JP", "この町には古い建物がたくさん残っていて、毎年おおくの人がおとずれます。"),
+    ("GB18030", "今天我们在北京的一个地方看到了很多人，他们都说这是中国最大的新闻。"),
+    ("KOI8-R", "Правительство приняло решение о том, что все школы страны получат новые учебники."),
+    ("WINDOWS-1253", "Σήμερα ο καιρός είναι πολύ καλός και πήγαμε στο πάρκο με τα παιδιά."),
+    ("BIG5", "今天我們在台北的一個地方看到了很多人，他們都說這是最大的新聞。"),
+]
+
+
+def legacy_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One page for each of ``pages`` in a charset that neither its header nor its markup names: page_id, made (the charset),
+    text, content_type, content."""
+    ensure_conf(spark)
+    k = F.col("page_id") % len(LEGACY_TEXTS)
+    one = lambda value: _case(k, [(i, value(t)) for i, t in enumerate(LEGACY_TEXTS)], None)
+    html = F.concat(F.lit("<html><head><title>"), F.col("page_id").cast("string"), F.lit("</title></head><body><p class=\"text\">"),
+                    one(lambda t: t[1]), F.lit("</p></body></html>"))
+    return table(spark, sf_dir, "pages").select("page_id", one(lambda t: t[0]).alias("made"), html.alias("text"), F.lit("text/html").alias("content_type")) \
+        .withColumn("content", F.call_function("encode", F.col("text"), F.col("made")))
+
+
 def domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Allow-list: the distinct domains of the English pages (URL path
     under ``/en/``)."""
