@@ -41,6 +41,7 @@ def _parser() -> argparse.ArgumentParser:
     idx = sub.choices["index"]
     idx.add_argument("--gazetteer", required=True, help="parquet table (spot, title, rho)")
     idx.add_argument("--hints", help="folder of domain-hint files; adds the publication date")
+    idx.add_argument("--late", action="store_true", help="two reads: which captures win, then only their bodies")
     idx.add_argument("--upsert", action="store_true", help="merge into the output table in place, bucket by bucket")
     idx.add_argument("--existing", help="previous document table to upsert into")
     idx.add_argument("--format", default="parquet")
@@ -78,8 +79,9 @@ def main(argv: list[str] | None = None) -> None:
     try:
         if args.job == "index":
             with Workspace(spark) as ws:
-                docs = jobs.documents(records, spark.read.parquet(args.gazetteer), cap_bytes=cap, observation=seen, ws=ws,
-                                      hints=read_domain_hints(spark, args.hints) if args.hints else None, **scan)
+                more = dict(cap_bytes=cap, observation=seen, ws=ws, hints=read_domain_hints(spark, args.hints) if args.hints else None, **scan)
+                gazetteer = spark.read.parquet(args.gazetteer)
+                docs = jobs.archive_documents(spark, args.input, gazetteer, **more) if args.late else jobs.documents(records, gazetteer, **more)
                 sinks.within_budget(failed(), args.max_failed)  # the scan is done once the documents are planned
                 docs = sinks.fan_out(docs, args.files or None)
                 if args.upsert:

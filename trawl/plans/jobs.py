@@ -7,7 +7,7 @@ from capture records: a real scan (``sources.webarchive``) or a fixture
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from trawl.functions.urls import domain
@@ -16,6 +16,8 @@ from trawl.operators.dedup import cap_per_file, keep_latest
 from trawl.operators.pubdate import pub_date
 from trawl.operators.snapshot import to_snapshots, with_text, with_ts14
 from trawl.session import Workspace
+from trawl.sources.fetch import PLACE, fetch_records
+from trawl.sources.webarchive import FIELDS, read_archive
 
 DOC_COLUMNS = ["ts", "url", "id", "domain", "wc", "html", "entities"]
 
@@ -74,7 +76,11 @@ def documents(records: DataFrame, gazetteer: DataFrame, cap_bytes: int | None =
     the keep-latest's shuffle, so html moves in that one exchange: the entity strings and the hints come
     to the documents, by id. Close ``ws`` (or let the application end) once the result is used."""
     ws = ws or Workspace(records.sparkSession)
-    docs = ws.bucketed(latest_documents(records, cap_bytes, **scan_options), "id", "documents")
+    return annotated(ws.bucketed(latest_documents(records, cap_bytes, **scan_options), "id", "documents"), gazetteer, hints, ws)
+
+
+def annotated(docs: DataFrame, gazetteer: DataFrame, hints: DataFrame | None, ws: Workspace) -> DataFrame:
+    """The index job's result from its documents, bucketed by id: what is added comes to them."""
     out = [F.col("ts14").alias("ts"), "url", "id", "domain", "wc", "html", "entities"]
     side = entities.entity_strings(docs.select("id", "article"), gazetteer, key="id", text_col="article", ws=ws)
     rows = docs.join(side, on="id", how="left").withColumn("entities", F.coalesce("entities", F.lit("")))
@@ -85,6 +91,38 @@ def documents(records: DataFrame, gazetteer: DataFrame, cap_bytes: int | None =
     return rows.select(*out)
 
 
+DOCUMENT = ["ts14", "url", "id", "domain", "wc", "html", "article"]
+
+
+def archive_documents(spark: SparkSession, path: str | list[str], gazetteer: DataFrame, cap_bytes: int | None = None,
+                      hints: DataFrame | None = None, ws: Workspace | None = None, observation: Observation | None = None,
+                      reader: dict | None = None, **scan_options) -> DataFrame:
+    """The index job over archives with late extraction: the rows of ``documents``, for crawls that capture much of it again.
+
+    A first read without bodies ranks the captures of an id as narrow rows (A7). Then only the latest ones'
+    bodies are read, by file and offset, and decoded; copies that lose are neither decoded nor shuffled. The few ids whose
+    latest capture has no article (F6) get a second turn, over their other captures. The documents move once, to the buckets of their id."""
+    ws = ws or Workspace(spark)
+    reader = {"responsesOnly": "true", **(reader or {})}
+    bare = read_archive(spark, path, columns=[c for c in FIELDS if c != "content"], **reader, **({"keepFiltered": "true"} if observation else {}))
+    keys = ws.written(ok_captures(bare, observation, **scan_options).select("id", *PLACE), "captures")
+    latest = ws.written(keep_latest(keys, "id"), "latest")
+
+    def read(places: DataFrame) -> DataFrame:
+        return article.with_article(with_text(ok_captures(fetch_records(places, cap_bytes), **scan_options), cap_bytes))
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    first = ws.bucketed(read(latest).select(*DOCUMENT).repartition(parts, "id"), "id", "documents")
+    empty = ws.written(first.where("wc = 0").select("id"), "empty")
+    docs = filters.non_empty_article(first)
+    if not empty.isEmpty():
+        others = keys.join(empty, "id", "left_semi").join(latest.select(*PLACE), PLACE, "left_anti")
+        again = filters.non_empty_article(read(others))
+        again = keep_latest(again.select(*DOCUMENT, *PLACE), "id").select(*DOCUMENT)
+        docs = filters.non_empty_article(ws.append(again, "id"))
+    return annotated(docs, gazetteer, hints, ws)
+
+
 def text_rows(records: DataFrame, domains: DataFrame, per_file: int | None = None,
               cap_bytes: int | None = None, **scan_options) -> DataFrame:
     """Text job: allow-listed domains (J1), article text -> ``value = ts14 ||

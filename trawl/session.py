@@ -87,7 +87,7 @@ class Workspace:
     at the latest when the application ends. A lazy result that reads them must be used before that."""
 
     def __init__(self, spark: SparkSession):
-        self.spark, self._paths, self._tables = spark, [], []
+        self.spark, self._paths, self._tables, self._buckets = spark, [], [], {}
 
     def __enter__(self) -> Workspace:
         return self
@@ -120,6 +120,13 @@ class Workspace:
         name = f"{tag}_{uuid.uuid4().hex}".replace("-", "_")
         df.write.bucketBy(n, key).option("path", path).format("parquet").saveAsTable(name)
         self._tables.append(name)
+        self._buckets[name] = n
+        return self.spark.table(name)
+
+    def append(self, df: DataFrame, key: str) -> DataFrame:
+        """Adds rows to the table made last by ``bucketed``, in its buckets."""
+        name = self._tables[-1]
+        df.write.bucketBy(self._buckets[name], key).format("parquet").mode("append").saveAsTable(name)
         return self.spark.table(name)
 
     def close(self) -> None:
