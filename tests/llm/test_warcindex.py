@@ -64,3 +64,13 @@ def test_damage_is_an_error_and_empty_table(spark):
     with pytest.raises(ValueError):
         warcindex.parse(raw.replace(b"abc\r\n\r\n", b"abd\r\n\r\n"))
     assert warcindex.archive(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_runs_are_bounded_and_merge_all_the_same(spark, docs, monkeypatch):
+    pages = docs.where("text is null or length(text) < 3000").selectExpr("doc_id as page_id", "concat('http://h', doc_id % 7, '.example/', doc_id) as url", "text as html")
+    want = sorted(map(tuple, warcindex.archive(pages).collect()), key=str)
+    monkeypatch.setattr(warcindex, "RUN_ROWS", 5)
+    monkeypatch.setattr(warcindex, "MERGE_ROWS", 20)
+    got = sorted(map(tuple, warcindex.archive(pages).collect()), key=str)
+    cut = lambda rows: [(*r[:8],) for r in rows]
+    assert cut(got) == cut(want) and sorted(r[8] for r in got) == list(range(len(want)))

@@ -20,6 +20,7 @@ import base64
 import hashlib
 import uuid
 import zlib
+from itertools import islice
 
 import pyarrow as pa
 from pyspark import TaskContext, cloudpickle
@@ -32,9 +33,10 @@ from trawl.sources.webarchive import _fs_and_path, gzip_member
 
 cloudpickle.register_pickle_by_value(webarchive)  # its helpers run in tasks
 
+RUN_ROWS = 50_000  # index rows of a run, at most
 MERGE_ROWS = 100_000  # index rows a merge task holds, about
-INDEX = "urlkey string, ts string, page_id long, file string, offset long, length long, run int"
-_INDEX_TYPES = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32()]
+INDEX = "urlkey string, ts string, page_id long, file string, offset long, length long, run long"
+_INDEX_TYPES = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
 _INDEX_NAMES = ["urlkey", "ts", "page_id", "file", "offset", "length", "run"]
 
 
@@ -103,11 +105,11 @@ def captures(pages: DataFrame, *, id_col: str, url_col: str, html_col: str, min_
 
 
 def write_runs(caps: DataFrame, folder: str) -> DataFrame:
-    """Archives in ``folder``; returns the index, each task's rows a sorted run."""
+    """Archives in ``folder``; returns the index as sorted runs, each of at most ``RUN_ROWS`` rows of one task."""
     def run(batches):
         part = TaskContext.get().partitionId()
         name = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.warc.gz"
-        out, at, rows = None, 0, []
+        out, at, rows, runs = None, 0, [], 0
         try:
             for b in batches:
                 if out is None and len(b):
@@ -118,14 +120,16 @@ def write_runs(caps: DataFrame, folder: str) -> DataFrame:
                     page, url, key, ts, payload, digest, refers = (b.column(c)[i].as_py() for c in range(7))
                     member = gzip_member(record(page, url, ts, payload, digest, refers))
                     out.write(member)
-                    rows.append((key, ts, page, name, at, len(member), part))
+                    rows.append((key, ts, page, name, at, len(member), (part << 32) + runs))
                     at += len(member)
+                    if len(rows) == RUN_ROWS:
+                        yield batch_of(sorted(rows, key=order_key))
+                        rows, runs = [], runs + 1
         finally:
             if out is not None:
                 out.close()
-        rows.sort(key=order_key)
-        for i in range(0, len(rows), 50_000):
-            yield batch_of(rows[i: i + 50_000])
+        if rows:
+            yield batch_of(sorted(rows, key=order_key))
 
     return written(caps.mapInArrow(run, INDEX), "warc-runs")
 
@@ -199,11 +203,12 @@ def merge_runs(index: DataFrame) -> DataFrame:
         for b in batches:
             for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 runs.setdefault(row[6], []).append(row)
-        merged = list(LoserTree(list(runs.values()), order_key))
-        for i in range(0, len(merged), 50_000):
-            some = batch_of(merged[i: i + 50_000])
+        merged, i = iter(LoserTree(list(runs.values()), order_key)), 0
+        while rows := list(islice(merged, RUN_ROWS)):
+            some = batch_of(rows)
             yield pa.RecordBatch.from_arrays([*some.columns, pa.array([part] * len(some), pa.int32()), pa.array(range(i, i + len(some)), pa.int64())],
                                              [*_INDEX_NAMES, "_part", "_pos"])
+            i += len(some)
 
     merged = written(ranged.mapInArrow(run, INDEX + ", _part int, _pos long"), "warc-merged")
     # one row per range
