@@ -8,7 +8,6 @@ match the DuckDB oracle in ``plans.oracle``.
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +23,7 @@ from trawl.operators.dedup import cap_per_file
 from trawl.operators.pubdate import pub_date
 from trawl.operators.snapshot import to_snapshots, with_text
 from trawl.plans import jobs
-from trawl.session import ensure_conf, shared_dir
+from trawl.session import Workspace, ensure_conf
 from trawl.sources import fixtures as fx
 from trawl.sources import sinks
 from trawl.sources.webarchive import read_archive, write_archive
@@ -274,7 +273,8 @@ def q_text_rows(spark, sf_dir):
 # ---- archive source and sinks (written under the shared folder, read back) ----
 
 def _scratch(spark, kind: str, sf_dir: str) -> str:
-    return shared_dir(spark, kind, f"{os.path.basename(sf_dir.rstrip('/'))}-{uuid.uuid4().hex[:12]}")
+    """A new folder, deleted when the application ends."""
+    return Workspace(spark).folder(f"{kind}-{os.path.basename(sf_dir.rstrip('/'))}")
 
 
 def _fixture_archive(spark, sf_dir) -> str:
