@@ -46,13 +46,12 @@ def measured_blocks(html: Column) -> Column:
     """array<struct<pos, text, words, anchor_words, ld>> of the non-empty
     blocks of a page, in document order. ``pos`` is the 1-based index of the
     fragment in the raw split."""
-    raw = F.transform(H.raw_blocks(html),
-                      lambda frag, i: F.struct((i + 1).alias("pos"),
-                                               _block_text(frag).alias("text"),
-                                               _block_text(H.anchor_html(frag)).alias("anchor_text")))
+    # the block and its anchors go through one expression
+    raw = F.transform(H.raw_blocks(html), lambda frag, i: F.struct(
+        (i + 1).alias("pos"), F.transform(F.array(frag, H.anchor_html(frag)), _block_text).alias("texts")))
     counted = F.transform(raw, lambda b: F.struct(
-        b["pos"].alias("pos"), b["text"].alias("text"),
-        _normalised_words(b["text"]).alias("words"), _normalised_words(b["anchor_text"]).alias("anchor_words")))
+        b["pos"].alias("pos"), F.get(b["texts"], 0).alias("text"),
+        _normalised_words(F.get(b["texts"], 0)).alias("words"), _normalised_words(F.get(b["texts"], 1)).alias("anchor_words")))
     nonempty = F.filter(counted, lambda b: b["words"] > 0)
     return F.transform(nonempty, lambda b: F.struct(
         b["pos"].alias("pos"), b["text"].alias("text"), b["words"].alias("words"),

@@ -6,7 +6,7 @@ and digits) against a gazetteer ``(spot, title, rho)``: the longest spot
 starting at a position wins, of its titles the one with the greatest rho,
 and mentions with rho >= 0.3 are kept, in text order.
 
-Plan: the gazetteer becomes two small written tables. The first-token index has one row
+Plan: the gazetteer becomes one written table of spots. The first-token index made of it has one row
 per first token of a spot: the spot that is this token alone, and the lengths of the longer ones. Tokens are
 joined with it once, as narrow rows (key, position, token and the few that follow), so longer n-grams are made only
 where a spot can begin; those are joined with the longer spots. Neither the page nor a
@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from trawl.session import Workspace, lookup_side
@@ -44,7 +44,8 @@ def spots(gazetteer: DataFrame) -> DataFrame:
 
 
 class Gazetteer(NamedTuple):
-    """Written lookup tables: ``index`` (token, title, rho, lengths), ``long`` (spot, title, rho) and the most tokens of a spot."""
+    """``spots`` (written), and of them ``index`` (token, title, rho, lengths), ``long`` (spot, title, rho) and the most tokens of one."""
+    spots: DataFrame
     index: DataFrame
     long: DataFrame
     longest: int
@@ -52,11 +53,12 @@ class Gazetteer(NamedTuple):
 
 def lookup(gazetteer: DataFrame, ws: Workspace) -> Gazetteer:
     """The gazetteer as the joins read it. It is computed here, once: its size decides how it is joined."""
-    known = ws.written(spots(gazetteer), "spots")
+    seen = Observation()
+    known = ws.written(spots(gazetteer).observe(seen, F.max("n").alias("longest")), "spots")
     own = lambda c: F.max(F.when(F.col("n") == 1, F.col(c))).alias(c)
     lengths = F.array_sort(F.collect_set(F.when(F.col("n") > 1, F.col("n")))).alias("lengths")
-    index = ws.written(known.groupBy(F.col("first").alias("token")).agg(own("title"), own("rho"), lengths), "first-tokens")
-    return Gazetteer(index, known.where("n > 1").select("spot", "title", "rho"), known.agg(F.max("n")).first()[0] or 0)
+    index = known.groupBy(F.col("first").alias("token")).agg(own("title"), own("rho"), lengths)
+    return Gazetteer(known, index, known.where("n > 1").select("spot", "title", "rho"), seen.get["longest"] or 0)
 
 
 def document_mentions(docs: DataFrame, gazetteer: DataFrame, key: str, text_col: str = "article",
@@ -69,7 +71,7 @@ def document_mentions(docs: DataFrame, gazetteer: DataFrame, key: str, text_col:
     # a token, its place, and as many that follow as a spot can have
     at = F.inline(F.transform("_toks", lambda t, i: F.struct((i + 1).alias("pos"), t.alias("token"),
                                                              F.slice(F.col("_toks"), i + 2, F.lit(max(known.longest - 1, 0))).alias("_next"))))
-    starts = toks.select(key, at).join(lookup_side(known.index), "token")
+    starts = toks.select(key, at).join(lookup_side(known.index, known.spots), "token")
     # a longer spot has the smaller rank
     hit = lambda n, spot, title, rho: F.struct("pos", (-n).alias("rank"), spot.alias("spot"), title.alias("title"), rho.alias("rho"))
     one = F.when(F.col("title").isNotNull(), hit(F.lit(1), F.col("token"), F.col("title"), F.col("rho")))
@@ -81,7 +83,7 @@ def document_mentions(docs: DataFrame, gazetteer: DataFrame, key: str, text_col:
         # where there is no such n-gram the key is one that no spot has, and not the same for all
         gram = F.coalesce(gram, F.concat(F.lit("\x00"), F.xxhash64(key, "pos").cast("string")))
         long = known.long.select(F.col("spot").alias("_gram"), F.col("title").alias("_title"), F.col("rho").alias("_rho"))
-        met = tries.select(key, "pos", "_one", "n", gram.alias("_gram")).join(lookup_side(long), "_gram", "left")
+        met = tries.select(key, "pos", "_one", "n", gram.alias("_gram")).join(lookup_side(long, known.spots), "_gram", "left")
         hits = met.select(key, F.coalesce(F.when(F.col("_title").isNotNull(), hit(F.col("n"), F.col("_gram"), F.col("_title"), F.col("_rho"))),
                                           F.col("_one")).alias("m"))
     listed = hits.where(F.col("m").isNotNull()).groupBy(key).agg(F.array_sort(F.collect_list("m")).alias("_m"))

@@ -138,10 +138,10 @@ class Workspace:
         self._paths, self._tables = [], []
 
 
-def lookup_side(df: DataFrame) -> DataFrame:
-    """A written lookup table as the side of a join that is built or moved: broadcast if its files
-    are under Spark's limit, else merged with the other side. The other side, whose size Spark
+def lookup_side(df: DataFrame, written: DataFrame) -> DataFrame:
+    """A lookup table, no larger than the ``written`` one it is made of, as the side of a join that is built or moved: broadcast
+    if the written files are under Spark's limit, else merged with the other side. The other side, whose size Spark
     underrates where rows are exploded, is never the one that is broadcast."""
     state = df.sparkSession._jsparkSession.sessionState()
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    size = int(written._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return F.broadcast(df) if size <= state.conf().autoBroadcastJoinThreshold() else df.hint("merge")
