@@ -137,6 +137,17 @@ def test_a_workspace_leaves_nothing(spark, tmp_path):
     assert set(os.listdir(base)) == before and not [t for t in spark.catalog.listTables() if t.name.startswith("documents_")]
 
 
+def test_an_application_leaves_nothing(tmp_path):
+    """A workspace that nobody closes goes when the application ends."""
+    import subprocess
+    import sys
+    code = ("from pyspark.sql import SparkSession; from trawl.session import Workspace;"
+            f"s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').config('spark.checkpoint.dir', 'file://{tmp_path}').getOrCreate();"
+            "print(Workspace(s).written(s.range(3), 't').count())")
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120)
+    assert done.stdout.strip() == "3" and not [p for p in tmp_path.rglob("work-*")]
+
+
 def test_one_scan_for_audit_and_upsert(no_aqe, archive, tmp_path):
     audit = stats.scan_audit(to_snapshots(read_archive(no_aqe, archive)))
     assert plan(audit).count("BatchScan") == 1

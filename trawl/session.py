@@ -87,7 +87,7 @@ class Workspace:
     at the latest when the application ends. A lazy result that reads them must be used before that."""
 
     def __init__(self, spark: SparkSession):
-        self.spark, self._paths, self._tables, self._buckets = spark, [], [], {}
+        self.spark, self._base, self._tables, self._buckets = spark, None, [], {}
 
     def __enter__(self) -> Workspace:
         return self
@@ -95,17 +95,18 @@ class Workspace:
     def __exit__(self, *_) -> None:
         self.close()
 
-    def _fs(self, path: str):
-        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+    def _fs(self):
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(self._base)
         return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
 
     def folder(self, tag: str) -> str:
         """The name of a new folder, which goes when the workspace does."""
-        path = shared_dir(self.spark, f"{tag}-{uuid.uuid4().hex}")
-        fs, at = self._fs(path)
-        fs.deleteOnExit(at)
-        self._paths.append(path)
-        return path
+        if self._base is None:
+            self._base = shared_dir(self.spark, f"work-{uuid.uuid4().hex}")
+            fs, at = self._fs()
+            fs.mkdirs(at)
+            fs.deleteOnExit(at)  # takes only what exists
+        return f"{self._base}/{tag}-{uuid.uuid4().hex}"
 
     def written(self, df: DataFrame, tag: str) -> DataFrame:
         """``df`` computed once: its size is known from then on, and its lineage cut."""
@@ -132,10 +133,10 @@ class Workspace:
     def close(self) -> None:
         for name in self._tables:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        for path in self._paths:
-            fs, at = self._fs(path)
+        if self._base is not None:
+            fs, at = self._fs()
             fs.delete(at, True)
-        self._paths, self._tables = [], []
+        self._base, self._tables = None, []
 
 
 def lookup_side(df: DataFrame, written: DataFrame) -> DataFrame:
