@@ -95,7 +95,7 @@ def with_blocks(df: DataFrame, html_col: str = "html", out: str = "blocks") -> D
     regex pipeline per block (about 10x slower on the test pages)."""
     tmp = f"_{out}_measured"
     measured = df.select("*", F.inline(F.array(F.struct(measured_blocks(F.col(html_col)).alias(tmp)))))
-    return measured.withColumn(out, classified_blocks(F.col(tmp))).drop(tmp)
+    return measured.select(*[c for c in df.columns if c != out], classified_blocks(F.col(tmp)).alias(out))
 
 
 def kept_words(blocks: Column) -> Column:
@@ -107,10 +107,9 @@ def kept_words(blocks: Column) -> Column:
 
 def with_article(df: DataFrame, html_col: str = "html") -> DataFrame:
     """Adds ``article`` and its word count ``wc``."""
-    return (with_blocks(df, html_col, "_blocks")
-            .withColumn("article", article_from_blocks(F.col("_blocks")))
-            .withColumn("wc", kept_words(F.col("_blocks")))
-            .drop("_blocks"))
+    kept = [c for c in df.columns if c not in ("article", "wc")]
+    return with_blocks(df, html_col, "_blocks").select(*kept, article_from_blocks(F.col("_blocks")).alias("article"),
+                                                       kept_words(F.col("_blocks")).alias("wc"))
 
 
 def blocks(df: DataFrame, key: str, html_col: str = "html") -> DataFrame:
