@@ -26,7 +26,7 @@ from trawl.plans import jobs
 from trawl.session import Workspace, ensure_conf
 from trawl.sources import fixtures as fx
 from trawl.sources import sinks
-from trawl.sources.webarchive import read_archive, write_archive
+from trawl.sources.webarchive import TASK_BYTES, read_archive, write_archive
 
 Query = Callable[[SparkSession, str], DataFrame]
 TS_MS = "yyyy-MM-dd HH:mm:ss.SSS"
@@ -316,7 +316,7 @@ def _odd_rows(spark, sf_dir, kind: str) -> DataFrame:
     for ranges, split in (("one", 1 << 40), ("many", SMALL_SPLIT_BYTES)):
         for cap in (None, 1 << 20):
             opts = {"maxPartitionBytes": split, "openCostInBytes": 0} | ({"maxContentBytes": cap} if cap else {}) \
-                | ({"minPartitions": 1} if ranges == "one" else {})
+                | ({"minPartitions": 1, "taskBytes": TASK_BYTES} if ranges == "one" else {})
             rows = read_archive(spark, path, **opts).select(
                 F.lit(f"{ranges} {'capped' if cap else 'whole'}").alias("setting"), "url", "date_raw",
                 F.md5("content").alias("content_md5"), F.substring_index("error", ":", 1).alias("error"))

@@ -283,22 +283,24 @@ def dated_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Pages whose member is damaged: the last bytes of the gzip trailer are changed.
 CORRUPT_MODULUS, CORRUPT_REST = 10, 7
+#: Bytes of records after which a task begins another file.
+ODD_FILE_BYTES = 64 << 20
 
 
 def odd_archive(spark: SparkSession, sf_dir: str, path: str, kind: str) -> str:
-    """The capture records as archives of another make, one file per task: ``whole``
-    (one gzip member for all records of a file), ``corrupt`` (some members with a
-    wrong checksum) or ``arc`` (short dates, very long URLs)."""
-    import gzip
-
+    """The capture records as archives of another make, a file per task and ``ODD_FILE_BYTES``
+    of records: ``whole`` (one gzip member for all records of a file), ``corrupt`` (some members with a
+    wrong checksum) or ``arc`` (short dates, very long URLs). A file is written as its records come."""
     from trawl.sources import webarchive as W
     W.register(spark)
 
     def write(batches):
         import uuid
+        import zlib
 
         import pyarrow as pa
-        parts, n = [], 0
+        fs, base = W._fs_and_path(path)
+        n, room, f, z = 0, 0, None, None
         for b in batches:
             for r in b.to_pylist():
                 n += 1
@@ -306,19 +308,26 @@ def odd_archive(spark: SparkSession, sf_dir: str, path: str, kind: str) -> str:
                     rec = W.arc_record(r["url"], r["date_raw"], W.mime_of_head(r["http_head"]), r["http_head"], r["content"])
                 else:
                     rec = W.warc_record(r["url"], r["date_raw"], r["record_type"], r["http_head"], r["content"])
+                if f is None:
+                    fs.create_dir(base, recursive=True)
+                    f = fs.open_output_stream(f"{base}/{uuid.uuid4().hex}.{'arc' if kind == 'arc' else 'warc'}.gz", compression=None)
+                    room, z = ODD_FILE_BYTES, zlib.compressobj(wbits=31)
+                room -= len(rec)
                 if kind != "whole":
                     rec = W.gzip_member(rec)
                 if kind == "corrupt" and r["page_id"] % CORRUPT_MODULUS == CORRUPT_REST:
                     rec = rec[:-1] + bytes([rec[-1] ^ 1])
-                parts.append(rec)
-        if parts:
-            data = b"".join(parts)
-            fs, base = W._fs_and_path(path)
-            fs.create_dir(base, recursive=True)
-            with fs.open_output_stream(f"{base}/{uuid.uuid4().hex}.{'arc' if kind == 'arc' else 'warc'}.gz", compression=None) as f:
-                f.write(gzip.compress(data, mtime=0) if kind == "whole" else data)
+                f.write(z.compress(rec) if kind == "whole" else rec)
+                if room <= 0:
+                    f = _ended(f, z if kind == "whole" else None)
+        _ended(f, z if kind == "whole" else None)
         yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
 
+    def _ended(f, member):
+        if f is not None:
+            f.write(member.flush() if member else b"")
+            f.close()
+
     recs = capture_records(spark, sf_dir)
     if kind == "arc":
         pid, plain = F.col("page_id"), ~F.col("url").startswith("filedesc")

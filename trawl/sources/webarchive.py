@@ -17,11 +17,16 @@ finished by the range that owns its start. Uncompressed WARC files are
 cut the same way, a range syncing to the first record header after a
 ``\r\n\r\n`` whose Content-Length lands on the next record; uncompressed
 ARC files are read whole. Small files are packed into one partition up to
-``maxPartitionBytes``, counting ``openCostInBytes`` per file (S7).
+``maxPartitionBytes``, counting ``openCostInBytes`` per file (S7). Ranges
+below ``TASK_BYTES`` share a task with their neighbours, each still read for
+itself, so the tasks grow with the bytes and not with the cuts.
 
 Options (all optional):
   maxPartitionBytes   largest range, default 128 MiB
   openCostInBytes     packing cost per file, default 4 MiB
+  taskBytes           most bytes of the ranges or small files that share a task
+                      (one always fits); default maxPartitionBytes, but at
+                      least 4 MiB or, if less, total bytes / minPartitions
   minPartitions       spread a small input over this many tasks (ranges
                       shrink to total bytes / minPartitions, as in Spark's
                       file sources); ``read_archive`` passes the session's
@@ -71,8 +76,10 @@ GZIP_MAGIC = b"\x1f\x8b\x08"
 CHUNK = 1 << 20
 INFLATE_PIECE = 1 << 18   # most bytes inflated at once
 DEFLATE_PIECE = 1 << 14   # bytes read at once
+LEAST_WINDOW = 1 << 18    # bytes buffered of a file, for a small range too
 DEFAULT_SPLIT = 128 << 20
 DEFAULT_OPEN_COST = 4 << 20
+TASK_BYTES = 4 << 20      # adjacent ranges up to this much share a task
 BATCH_ROWS = 1024
 BATCH_BYTES = 64 << 20
 # Longest record header or HTTP head that is looked for.
@@ -197,6 +204,12 @@ class Segment:
     start: int
     end: int          # exclusive; a member starting before it is read to its end
     size: int
+    split: int = 0    # ranges of so many bytes, one behind the other; 0: one range
+
+    def ranges(self):
+        step = self.split or max(self.end - self.start, 1)
+        for at in range(self.start, max(self.end, self.start + 1), step):
+            yield Segment(self.path, at, min(at + step, self.end), self.size)
 
 
 class ArchivePartition(InputPartition):
@@ -214,20 +227,29 @@ def split_bytes(files: list[tuple[str, int]], max_split: int, open_cost: int, mi
     return max(1, min(max_split, max(open_cost, per_task)))
 
 
-def plan_partitions(files: list[tuple[str, int]], split: int, open_cost: int) -> list[ArchivePartition]:
-    """Cut gzip and plain WARC files into ranges; pack small files."""
+def task_bytes(files: list[tuple[str, int]], split: int, min_partitions: int) -> int:
+    """Bytes of the ranges that share a task: one range, or neighbours up to ``TASK_BYTES`` as long as there are ``min_partitions`` tasks."""
+    total = sum(size for _, size in files)
+    return max(split, min(TASK_BYTES, total // max(min_partitions, 1)))
+
+
+def plan_partitions(files: list[tuple[str, int]], split: int, open_cost: int, task: int | None = None) -> list[ArchivePartition]:
+    """Cut gzip and plain WARC files into ranges of ``split`` bytes, neighbours up to ``task`` bytes in one task;
+    pack small files (S7). What is planned grows with the tasks, however small the ranges are."""
+    task = task or split
+    run = max(1, task // split) * split
     big, small = [], []
     for path, size in files:
         splittable = path.lower().endswith((".gz", ".warc"))
         if splittable and size > split:
-            for start in range(0, size, split):
-                big.append(ArchivePartition([Segment(path, start, min(start + split, size), size)]))
+            for start in range(0, size, run):
+                big.append(ArchivePartition([Segment(path, start, min(start + run, size), size, split)]))
         else:
             small.append(Segment(path, 0, size, size))
     packed, cur, cur_bytes = [], [], 0
     for seg in sorted(small, key=lambda s: -s.size):
         cost = seg.size + open_cost
-        if cur and cur_bytes + cost > split:
+        if cur and cur_bytes + cost > task:
             packed.append(ArchivePartition(cur))
             cur, cur_bytes = [], 0
         cur.append(seg)
@@ -327,12 +349,14 @@ class _Member(_Stream):
         except zlib.error as e:
             self.failure, self.ended = f"corrupt gzip member: {e}", True
         # what comes before the bad byte is still good
-        out = bytearray()
-        try:
-            for i in range(len(data)):
-                out += before.decompress(data[i: i + 1])
-        except zlib.error:
-            pass
+        out, at, step = bytearray(), 0, len(data)
+        while step and at < len(data):
+            tried = before.copy()
+            try:
+                out += tried.decompress(data[at: at + step])
+                before, at = tried, at + step
+            except zlib.error:
+                step //= 2
         return bytes(out)
 
     def _more(self) -> bytes:
@@ -493,7 +517,7 @@ def sync_to_member(r: _Reader, start: int, end: int, fmt: str) -> int | None:
     """Offset of the first real gzip member header in [start, end), or None."""
     pos = start
     while pos < end:
-        buf = r.read(pos, CHUNK + 2)
+        buf = r.read(pos, min(LEAST_WINDOW, end - pos) + 2)
         if not buf:
             return None
         i = buf.find(GZIP_MAGIC)
@@ -597,7 +621,8 @@ class WebArchiveReader(DataSourceReader):
         cost = int(self.options.get("openCostInBytes", DEFAULT_OPEN_COST))
         split = split_bytes(files, int(self.options.get("maxPartitionBytes", DEFAULT_SPLIT)), cost,
                             int(self.options.get("minPartitions", 1)))
-        parts = plan_partitions(files, split, cost)
+        task = int(self.options.get("taskBytes") or task_bytes(files, split, int(self.options.get("minPartitions", 1))))
+        parts = plan_partitions(files, split, cost, task)
         return parts or [ArchivePartition([])]
 
     def read(self, partition: ArchivePartition):
@@ -652,11 +677,10 @@ def _read_segment(seg: Segment, cap: int | None, ignore_corrupt: bool):
             yield _error_row(seg.path, seg.start, 0, fmt, f"cannot open: {e}")
         return
     with f:
-        r = _Reader(f, seg.size)
-        if seg.path.lower().endswith(".gz"):
-            yield from _read_gzip(r, seg, fmt, cap)
-        else:
-            yield from _read_plain(r, seg, fmt, cap)
+        r = _Reader(f, seg.size, min(4 * CHUNK, max(seg.end - seg.start, LEAST_WINDOW)))
+        read = _read_gzip if seg.path.lower().endswith(".gz") else _read_plain
+        for one in seg.ranges():
+            yield from read(r, one, fmt, cap)
 
 
 def _read_gzip(r: _Reader, seg: Segment, fmt: str, cap: int | None):
@@ -691,7 +715,7 @@ def sync_to_plain_record(r: _Reader, start: int, end: int) -> int | None:
     right after a record separator (which may begin before ``start``)."""
     pos = max(start - 4, 0)
     while pos < end:
-        buf = r.read(pos, CHUNK + 16)
+        buf = r.read(pos, min(LEAST_WINDOW, end - pos) + 16)
         if not buf:
             return None
         i = buf.find(b"\r\n\r\nWARC/1.")
