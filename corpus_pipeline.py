@@ -23,11 +23,12 @@ LETTER = r"\p{L}"
 
 
 def language(spark, docs, sf_dir):
-    """Operator 2: documents without letters (null and empty texts too) go, whatever their score; a null lang is filled in."""
+    """Operator 2: documents without letters (null and empty texts too) go, whatever their score; ``lang`` becomes
+    the language identified in the text, by which the sequences are packed. Without any label to learn from it is ``und``."""
     names, weights = langid.fit(docs, F.col("text"), F.col("lang"), F.col("doc_id"))
     told = langid.identify(docs, names, weights)
     kept = told.where(F.col("score") > 0 if names else F.col("text").rlike(LETTER))  # only a text without letters scores 0
-    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    return kept.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
 
 
 def line_dedup(spark, docs, sf_dir):
@@ -74,8 +75,8 @@ def mix_sources(spark, docs, sf_dir):
 
 
 def pack_sequences(spark, docs, sf_dir):
-    """Operator 9: the pieces of all documents in sequences of 2048 ids."""
-    return packing.pack(docs, tokenizer_path())
+    """Operator 9: the pieces of all documents in sequences of 2048 ids, each of documents of one language."""
+    return packing.pack(docs, tokenizer_path(), group_col="lang")
 
 
 STAGES = [

@@ -14,6 +14,7 @@ task's end is packed together, first fit by decreasing length.
 from __future__ import annotations
 
 import zlib
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -49,19 +50,18 @@ def cuts(n: int, capacity: int, classes: int, fill: float) -> list[tuple[int, in
 
 
 class HarmonicPacker:
-    """Bins of one task. ``add`` and ``close`` yield (sequence, offset, piece)."""
+    """Bins of one task and group, numbered from ``ids``. ``add`` and ``close`` yield (sequence, offset, piece)."""
 
-    def __init__(self, capacity: int, classes: int, first_id: int):
-        self.capacity, self.classes, self.next_id = capacity, classes, first_id
+    def __init__(self, capacity: int, classes: int, ids):
+        self.capacity, self.classes, self.ids = capacity, classes, ids
         self.open = {}
         self.small, self.small_len = [], 0
 
     def _bin(self, pieces):
-        offset = 0
+        offset, number = 0, next(self.ids)
         for p in pieces:
-            yield self.next_id, offset, p
+            yield number, offset, p
             offset += p[1]
-        self.next_id += 1
 
     def add(self, piece, length, k):
         if k == 0:
@@ -138,18 +138,19 @@ SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 
 
 def pack(docs: DataFrame, tokenizer_path: str, *, capacity: int = 2048, end_id: int = 1, classes: int = 64,
-         fill: float = 0.97, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         fill: float = 0.97, id_col: str = "doc_id", text_col: str = "text", group_col: str | None = None) -> DataFrame:
     """Pieces of all documents placed in sequences of at most ``capacity`` ids.
 
     One row per piece: doc_id, start, length, ids_crc32 (unsigned, of the
     piece's ids as little-endian unsigned 32-bit), doc_tokens, sequence_id,
     offset, class. A null or empty text is the lone end id; a null doc_id
     stays null; repeated rows are packed each for itself; an empty table
-    gives an empty result. Other columns are not read, whatever their names.
+    gives an empty result. With ``group_col`` a sequence holds documents of one of its values
+    (null is one) only: each task keeps open bins for each value it meets. Other columns are not read, whatever their names.
     """
     def run(batches):
         encode = load_encoder(tokenizer_path)
-        packer = HarmonicPacker(capacity, classes, TaskContext.get().partitionId() * TASK_STRIDE)
+        ids_of, packers = count(TaskContext.get().partitionId() * TASK_STRIDE), {}
         rows, known = [], {}
 
         def batch():
@@ -164,7 +165,10 @@ def pack(docs: DataFrame, tokenizer_path: str, *, capacity: int = 2048, end_id:
                 rows.append((doc, start, length, crc, total, seq, offset, k))
 
         for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            for doc, text, group in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
+                packer = packers.get(group)
+                if packer is None:
+                    packer = packers[group] = HarmonicPacker(capacity, classes, ids_of)
                 ids = encode(text.as_py() or "")
                 ids.append(end_id)
                 raw = memoryview(np.asarray(ids, dtype="<u4").tobytes())
@@ -178,9 +182,11 @@ def pack(docs: DataFrame, tokenizer_path: str, *, capacity: int = 2048, end_id:
                     start += length
                 if len(rows) >= EMIT_ROWS:
                     yield batch()
-        place(packer.close())
+        for packer in packers.values():
+            place(packer.close())
         if rows:
             yield batch()
 
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    group = F.col(f"`{group_col}`").cast("string") if group_col else F.lit(None).cast("string")
+    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), group.alias("group"))
     return narrow.mapInArrow(run, SCHEMA)
