@@ -5,8 +5,9 @@ URLs it does not reach, Spark's FP-growth mines which combinations of URL tokens
 which label:
 
 * Tokens are the host's labels, its last two labels, the path's words, the query's keys and the scheme,
-  each marked with its place. A transaction is a labelled URL's label and those of its frequent
-  tokens (``max_items`` at most) whose labels differ most from the average.
+  each marked with its place. A transaction is a labelled URL's label and its frequent tokens, less those
+  that no combination needs: a token whose URLs all have one label says all by itself, one that every URL holds says nothing
+  beside others, and tokens held by the very same URLs are one item. A rule with such a token more is no surer than without it.
 * Association rules from tokens to a label are pruned by support and confidence, and where a rule of
   fewer tokens says the same at least as surely.
 * Rules match by an inverted index: each is posted under its rarest token, the tokens of a URL
@@ -72,25 +73,24 @@ def tokens(url: Column, host_col: Column, path_col: Column) -> Column:
     return F.when(host_col == "", F.array().cast("array<string>")).otherwise(F.array_sort(F.array_distinct(found)))
 
 
-def mine(labelled: DataFrame, keep: Scratch, *, min_support: float = 0.005, min_count: int = 5, min_confidence: float = 0.9,
-         max_items: int = 8) -> DataFrame:
-    """Rules (antecedent, post, verdict, confidence, n) from (_row, tokens, verdict), one row for each labelled URL.
+def mine(labelled: DataFrame, keep: Scratch, *, min_support: float = 0.005, min_count: int = 5, min_confidence: float = 0.9) -> DataFrame:
+    """Rules (antecedent, members, post, verdict, confidence, n) from (_row, tokens, verdict), one row for each labelled URL.
 
     ``n`` counts the URLs with the antecedent and the verdict: at least ``min_count`` of them and the share ``min_support``
-    of all. ``max_items`` bounds the tokens of a URL that are mined, and so the combinations;
-    which ones is decided by their counts over all labelled URLs. Without labels there are no rules.
+    of all. Every frequent token is mined. A token of the antecedent stands for all of its place in ``members``, the tokens held
+    by the same labelled URLs (told by two 64-bit sums over the rows), and the rule is posted under each member. Without labels there are no rules.
     """
     is_block = (F.col("verdict") == BLOCK).cast("long")
     total = labelled.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(is_block), F.lit(0)).alias("b")).first()
-    n, blocked = int(total["n"]), int(total["b"])
+    n = int(total["n"])
     least = max(min_count, -(-int(round(min_support * n * 1_000_000)) // 1_000_000), 1)
     each = labelled.select("_row", F.explode("tokens").alias("token"), is_block.alias("b"))
-    # how far a token's blocked URLs are from the average, as an exact number
-    apart = F.abs(F.sum("b").cast("decimal(19,0)") * F.lit(n).cast("decimal(19,0)") - F.count(F.lit(1)).cast("decimal(19,0)") * F.lit(blocked).cast("decimal(19,0)"))
-    stats = each.groupBy("token").agg(F.count(F.lit(1)).alias("df"), apart.alias("apart")).where(F.col("df") >= least)
+    rows_of = [F.bit_xor(F.xxhash64("_row", F.lit(1))).alias("x"), F.sum(F.xxhash64("_row", F.lit(2)).cast("decimal(38,0)")).alias("s")]
+    stats = each.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.sum("b").alias("b"), *rows_of).where(F.col("df") >= least)
+    stats = stats.groupBy("df", "b", "x", "s").agg(F.array_sort(F.collect_list("token")).alias("same")) \
+        .select(F.get("same", 0).alias("token"), "same", "df", "b", ((F.col("b") > 0) & (F.col("b") < F.col("df")) & (F.col("df") < n)).alias("mixed"))
     stats = keep.written(stats, "url-tokens")
-    best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("apart")).alias("by"), "token"))), 1, max_items)
-    chosen = each.join(stats, "token").groupBy("_row").agg(F.transform(best, lambda s: s["token"]).alias("chosen"))
+    chosen = each.join(stats.where("mixed").select("token"), "token").groupBy("_row").agg(F.collect_list("token").alias("chosen"))
     label = F.array(F.concat(F.lit(LABEL), F.col("verdict")))
     items = labelled.select("_row", "verdict").join(chosen, "_row", "left") \
         .select(F.concat(F.coalesce("chosen", F.array().cast("array<string>")), label).alias("items"))
@@ -99,26 +99,31 @@ def mine(labelled: DataFrame, keep: Scratch, *, min_support: float = 0.005, min_
         found = items.select(F.col("items").alias("antecedent"), F.col("items").alias("consequent"), F.lit(0.0).alias("confidence"), F.lit(0.0).alias("support"))
     else:
         found = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n, minConfidence=min_confidence).fit(items).associationRules
+    verdicts = F.array(F.struct(F.lit(BLOCK).alias("verdict"), F.col("b").alias("n")), F.struct(F.lit(ALLOW).alias("verdict"), (F.col("df") - F.col("b")).alias("n")))
+    alone = stats.where("not mixed").select(F.array("token").alias("antecedent"), "df", F.inline(verdicts)) \
+        .select("antecedent", "verdict", (F.col("n") / F.col("df")).alias("confidence"), "n").where((F.col("n") >= least) & (F.col("confidence") >= min_confidence))
     rules = keep.written(found.where(F.get("consequent", 0).startswith(LABEL)).select(
         F.array_sort("antecedent").alias("antecedent"), F.substring(F.get("consequent", 0), len(LABEL) + 1, 99).alias("verdict"),
-        "confidence", F.round(F.col("support") * n).cast("long").alias("n")), "url-rules")
-    # a rule goes if a part of its tokens says the same at least as surely
-    parts = ("CASE WHEN size(antecedent) > 1 THEN transform(sequence(1, shiftleft(1, size(antecedent)) - 2), "
+        "confidence", F.round(F.col("support") * n).cast("long").alias("n")).unionByName(alone), "url-rules")
+    # a rule goes if a part of its tokens says the same at least as surely: it would never be the first that fits. Of the
+    # longest ones only parts of one token less are tried
+    parts = ("CASE WHEN size(antecedent) > 10 THEN transform(antecedent, y -> array_remove(antecedent, y)) WHEN size(antecedent) > 1 THEN transform(sequence(1, shiftleft(1, size(antecedent)) - 2), "
              "m -> filter(antecedent, (x, i) -> (shiftright(m, i) & 1) = 1)) ELSE array() END")
     smaller = rules.select(F.col("antecedent").alias("part"), "verdict", F.col("confidence").alias("sure"))
     needless = (rules.select("antecedent", "verdict", "confidence", F.explode(F.expr(parts)).alias("part"))
                 .join(smaller, ["part", "verdict"]).where(F.col("sure") >= F.col("confidence")).select("antecedent", "verdict").distinct())
     rules = rules.join(needless, ["antecedent", "verdict"], "left_anti")
     # posted under the rarest token
-    rare = (rules.select("antecedent", F.explode("antecedent").alias("token")).distinct().join(stats.select("token", "df"), "token")
-            .groupBy("antecedent").agg(F.min_by("token", F.struct("df", "token")).alias("post")))
-    return keep.written(rules.join(rare, "antecedent").select("antecedent", "post", "verdict", "confidence", "n"), "url-rules")
+    known = rules.select("antecedent", F.posexplode("antecedent").alias("at", "token")).distinct().join(stats.select("token", "same", "df"), "token") \
+        .groupBy("antecedent").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "same"))), lambda x: x["same"]).alias("members"),
+                                   F.min_by("same", F.struct("df", "token")).alias("posts"))
+    return keep.written(rules.join(known, "antecedent").select("antecedent", "members", F.explode("posts").alias("post"), "verdict", "confidence", "n"), "url-rules")
 
 
 def match(rows: DataFrame, rules: DataFrame) -> DataFrame:
     """(_row, best) of the rows (_row, tokens) that some rule fits; best: struct<verdict, confidence, n, antecedent>."""
     probe = rows.select("_row", F.col("tokens").alias("all_tokens"), F.explode("tokens").alias("post"))
-    hits = probe.join(rules, "post").where(F.size(F.array_except("antecedent", "all_tokens")) == 0)
+    hits = probe.join(rules, "post").where(F.forall("members", lambda same: F.arrays_overlap(same, F.col("all_tokens"))))
     order = F.struct((-F.col("confidence")).alias("c"), (-F.col("n")).alias("k"), (F.col("verdict") == ALLOW).alias("v"),
                      F.size("antecedent").alias("s"), "antecedent")
     return hits.groupBy("_row").agg(F.min_by(F.struct("verdict", "confidence", "n", "antecedent"), order).alias("best"))
