@@ -47,3 +47,37 @@ def test_empty_table_and_low_threshold(no_docs):
     assert ngramjoin.similar_components(no_docs).collect() == []
     with pytest.raises(ValueError):
         ngramjoin.similar_components(no_docs, num=70)
+
+
+def test_the_sketch_is_added_up_in_tasks(docs, no_docs):
+    """The levels are those of all sets; of the sums, eight bytes a cell, the driver holds none."""
+    import tracemalloc
+
+    import numpy as np
+
+    rows = ngramjoin.texts(docs, "doc_id", "text")
+    tracemalloc.start()
+    got = ngramjoin.frequency_levels(rows, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    hasher, cells = ngramjoin.WordHasher(), np.zeros(ngramjoin.CELLS, np.int64)
+    for r in rows.collect():
+        np.add.at(cells, (ngramjoin.shingles((r["text"] or "").encode(), 3, hasher) & np.uint64(ngramjoin.CELLS - 1)).astype(np.int64), 1)
+    usual = max(1.0, float(np.median(cells)))
+    assert (got == np.clip(np.ceil(2 * np.log2(np.maximum(cells / usual, 1.0))), 0, 255)).all() and got.max() > 0
+    assert peak < 5 * ngramjoin.CELLS
+    assert not ngramjoin.frequency_levels(ngramjoin.texts(no_docs, "doc_id", "text"), 3).any()
+
+
+def test_the_sketch_goes_by_the_usual_count(spark, monkeypatch):
+    """Where most cells are in use, levels are relative to the median."""
+    import numpy as np
+
+    monkeypatch.setattr(ngramjoin, "CELLS", 1 << 10)
+    rows = spark.createDataFrame([(i, " ".join(f"w{i * 7 + j * j}" for j in range(90)) + " the same few words") for i in range(200)], "doc long, text string")
+    cells, hasher = np.zeros(1 << 10, np.int64), ngramjoin.WordHasher()
+    for r in rows.collect():
+        cells += np.bincount((ngramjoin.shingles(r["text"].encode(), 3, hasher) & np.uint64((1 << 10) - 1)).astype(np.int64), minlength=1 << 10)
+    usual = float(np.median(cells))
+    assert usual > 1
+    assert (ngramjoin.frequency_levels(rows, 3) == np.clip(np.ceil(2 * np.log2(np.maximum(cells / usual, 1.0))), 0, 255)).all()

@@ -135,37 +135,50 @@ def texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def frequency_levels(rows: DataFrame, width: int) -> np.ndarray:
     """(CELLS,) uint8: the binary logarithm of how many sets hold a hash of the cell.
 
-    Every task counts its own sets; arrays of fixed size are added up in parts
-    by key, so neither a task nor the driver holds more than the sketch. (A task counts
-    to 255 for each cell: beyond that a shingle is frequent anyway.)"""
-    parts = 64
-    size = CELLS // parts
+    Every task counts its own sets; arrays of fixed size are added up in parts by key, and the
+    levels of a part are made where its sums are. The driver gets the usual count and the
+    levels, a byte a cell. (A task counts to 255 for each cell: beyond that a shingle is frequent anyway.)"""
+    spark, cells_n, parts = rows.sparkSession, CELLS, 64
+    size = cells_n // parts
 
     def count(batches):
-        cells, hasher, held, n = np.zeros(CELLS, np.int64), WordHasher(), [], 0
+        cells, hasher, held, n = np.zeros(cells_n, np.int64), WordHasher(), [], 0
         for b in batches:
             for t in b.column(1):
-                held.append(shingles((t.as_py() or "").encode("utf-8", "replace"), width, hasher) & np.uint64(CELLS - 1))
+                held.append(shingles((t.as_py() or "").encode("utf-8", "replace"), width, hasher) & np.uint64(cells_n - 1))
                 n += len(held[-1])
-                if n > CELLS // 2:
-                    cells += np.bincount(np.concatenate(held).astype(np.int64), minlength=CELLS)
+                if n > cells_n // 2:
+                    cells += np.bincount(np.concatenate(held).astype(np.int64), minlength=cells_n)
                     held, n = [], 0
         if held:
-            cells += np.bincount(np.concatenate(held).astype(np.int64), minlength=CELLS)
+            cells += np.bincount(np.concatenate(held).astype(np.int64), minlength=cells_n)
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(parts), pa.int32()), pa.array([np.minimum(cells[i * size: (i + 1) * size], 255).astype(np.uint8).tobytes() for i in range(parts)], pa.binary())],
             ["part", "cells"])
 
-    temp = Scratch(rows.sparkSession)
+    def values(batches):
+        for b in batches:
+            for x in b.column(1):
+                v, k = np.unique(np.frombuffer(x.as_py(), np.int64), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()), pa.array(k, pa.int64())], ["v", "k"])
+
+    def level(batches):
+        for b in batches:
+            sums = [np.frombuffer(x.as_py(), np.int64) for x in b.column(1)]
+            levels = [np.clip(np.ceil(2 * np.log2(np.maximum(x / usual, 1.0))), 0, 255).astype(np.uint8).tobytes() for x in sums]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(levels, pa.binary())], ["part", "levels"])
+
+    temp, out = Scratch(spark), np.zeros(cells_n, np.uint8)
     counted = temp.written(rows.mapInArrow(count, "part int, cells binary"), "sets-sketch")
-    summed = (counted.rdd.map(lambda r: (r["part"], np.frombuffer(r["cells"], np.uint8).astype(np.int64)))
-              .reduceByKey(lambda a, b: a + b, parts).collect())
+    added = (counted.rdd.map(lambda r: (r["part"], np.frombuffer(r["cells"], np.uint8).astype(np.int64)))
+             .reduceByKey(lambda a, b: a + b, parts).map(lambda r: (r[0], r[1].tobytes())))
+    summed = temp.written(spark.createDataFrame(added, "part int, cells binary"), "sets-sums")
+    held = summed.mapInArrow(values, "v long, k long").groupBy("v").agg(F.sum("k").alias("k"))
+    usual = max(1.0, held.agg(F.percentile("v", 0.5, F.col("k"))).first()[0] or 0.0)  # of no rows: null
+    for r in summed.mapInArrow(level, "part int, levels binary").collect():
+        out[r["part"] * size: (r["part"] + 1) * size] = np.frombuffer(r["levels"], np.uint8)
     temp.drop()
-    out = np.zeros(CELLS, np.int64)
-    for part, cells in summed:
-        out[part * size: (part + 1) * size] = cells
-    usual = max(1.0, float(np.median(out)))
-    return np.clip(np.ceil(2 * np.log2(np.maximum(out / usual, 1.0))), 0, 255).astype(np.uint8)
+    return out
 
 
 def prefixes(rows: DataFrame, levels, width: int, num: int, den: int) -> DataFrame:
@@ -411,9 +424,10 @@ def similar_components(docs: DataFrame, *, width: int = 3, num: int = 90, den: i
         raise ValueError("the clusters' bounds hold for similarities of 0.8 and more")
     spark = docs.sparkSession
     rows = texts(docs, id_col, text_col)
-    levels = spark.sparkContext.broadcast(frequency_levels(rows, width))  # 1 MB, whatever the input
+    levels = spark.sparkContext.broadcast(frequency_levels(rows, width))  # 4 MB, whatever the input
     temp = Scratch(spark)
     firsts = temp.written(prefixes(rows, levels, width, num, den), "sets-prefixes")
+    levels.destroy()
     every = written(firsts.drop("prefix"), "sets")
     classes = temp.written(firsts.where("n > 0 and doc is not null").groupBy("set_id", "n")
                            .agg(F.min("doc").alias("rep"), F.first("prefix").alias("prefix")), "sets-classes")
@@ -444,6 +458,7 @@ def similar_components(docs: DataFrame, *, width: int = 3, num: int = 90, den: i
         .unionByName(hot.select("rep")).distinct()
     bits = spark.sparkContext.broadcast(wanted_bits(wanted))  # 8 MB, whatever the input
     sets = bucketed(whole_sets(rows, bits, width), "rep", "sets-whole", temp)
+    bits.destroy()
     sigs = sets.select("rep", "n", "sig")
 
     def with_both(pairs, a, b, what, *cols):
