@@ -137,6 +137,13 @@ def test_a_workspace_leaves_nothing(spark, tmp_path):
     assert set(os.listdir(base)) == before and not [t for t in spark.catalog.listTables() if t.name.startswith("documents_")]
 
 
+def test_documents_without_a_workspace_leave_no_table(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    docs = jobs.documents(fx.capture_records(spark, SF_SMALL), fx.gazetteer(spark, SF_SMALL))
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert docs.count() > 0 and docs.where("id is null").isEmpty()  # its files are still read
+
+
 def test_an_application_leaves_nothing(tmp_path):
     """A workspace that nobody closes goes when the application ends."""
     import subprocess
